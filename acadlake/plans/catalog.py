@@ -6,6 +6,7 @@ import importlib
 
 MODULES = (
     "acadlake.plans.catalog_products",
+    "acadlake.plans.catalog_ops",
 )
 
 

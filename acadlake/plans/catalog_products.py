@@ -321,17 +321,23 @@ def q_load_students(spark, sf):
     return P.load_students(domain(spark, sf))
 
 
-@register("load_assessment_units", with_views(f"""
+ASSESS_SELECT = f"""
 SELECT substr(code || '-' || pv, 1, 200) AS codigoUnidade, {trunc(exam_labels_case('pv'), 64)} AS nomeUnidade,
   {trunc('cu', 30)} AS codigoCurso, code AS codigoDisciplina, coalesce({to_int_via_float('ordem')}, 0) AS ordemExibicao,
   substr(code || '-' || pv, 1, 200) AS codigoAgrupamento
 FROM (SELECT *, {trunc(subject_code('d', 'cn2', 'cu'), 30)} AS code FROM (
   SELECT *, CASE WHEN {present('cn')} THEN cn ELSE coalesce(nome_curso, cu) END AS cn2
-  FROM {unify_sql('j2', 'co')} u) a) b""",
+  FROM {unify_sql('j2', 'co')} u) a) b"""
+
+ASSESS_CTES = [
     course_map_cte(),
     f"""j2 AS (SELECT * FROM (SELECT p.*, t.curso, c.nome AS nome_curso, {strip("coalesce(p.disciplina, '')")} AS d,
         {strip("coalesce(t.curso, '')")} AS co, {strip("coalesce(p.prova, '')")} AS pv
       FROM exam p JOIN class t ON {keys4('p', 't')} JOIN course c ON c.curso = t.curso
-      WHERE p.prova IS NOT NULL AND p.nome IS NOT NULL AND t.curso IS NOT NULL) x WHERE d <> '' AND co <> '' AND pv <> '')"""))
+      WHERE p.prova IS NOT NULL AND p.nome IS NOT NULL AND t.curso IS NOT NULL) x WHERE d <> '' AND co <> '' AND pv <> '')""",
+]
+
+
+@register("load_assessment_units", with_views(ASSESS_SELECT, *ASSESS_CTES))
 def q_load_assessment_units(spark, sf):
     return P.load_assessment_units(domain(spark, sf))
