@@ -7,6 +7,7 @@ import importlib
 MODULES = (
     "acadlake.plans.catalog_products",
     "acadlake.plans.catalog_ops",
+    "acadlake.plans.catalog_maint",
 )
 
 

@@ -222,27 +222,32 @@ def q_load_users_courses(spark, sf):
     return P.load_users_courses(domain(spark, sf))
 
 
-COMMITTEE_CTES = [
-    f"""sh AS (SELECT linha, {', '.join(f"CASE WHEN {strip(c)} = '' THEN NULL ELSE {strip(c)} END AS {c}" for c in
-        ['codigoCurso', 'nomeCurso', 'Coordenador', 'emailCoordenador', 'nomeMembro', 'emailMembro'])}
-      FROM committee_sheet)""",
-    "sh2 AS (SELECT *, coalesce(codigoCurso, nomeCurso) AS chave FROM sh WHERE nomeCurso IS NOT NULL)",
-    """cf AS (SELECT chave, arg_min(codigoCurso, linha) AS codigoCurso, arg_min(nomeCurso, linha) AS nomeCurso, min(linha) AS pos,
-      arg_min(Coordenador, linha) FILTER (WHERE Coordenador IS NOT NULL) AS Coordenador,
+def committee_ctes(p: str = "", sheet: str = "committee_sheet") -> list[str]:
+    """Committee product (D16) as CTEs named ``{p}sh``, ``{p}cc`` (courses), ``{p}cm`` (members)."""
+    cols = ['codigoCurso', 'nomeCurso', 'Coordenador', 'emailCoordenador', 'nomeMembro', 'emailMembro']
+    return [
+        f"""{p}sh AS (SELECT linha, {', '.join(f"CASE WHEN {strip(c)} = '' THEN NULL ELSE {strip(c)} END AS {c}" for c in cols)}
+      FROM {sheet})""",
+        f"{p}sh2 AS (SELECT *, coalesce(codigoCurso, nomeCurso) AS chave FROM {p}sh WHERE nomeCurso IS NOT NULL)",
+        f"""{p}cf AS (SELECT chave, arg_min(codigoCurso, linha) AS codigoCurso, arg_min(nomeCurso, linha) AS nomeCurso,
+      min(linha) AS pos, arg_min(Coordenador, linha) FILTER (WHERE Coordenador IS NOT NULL) AS Coordenador,
       arg_min(emailCoordenador, linha) FILTER (WHERE emailCoordenador IS NOT NULL) AS emailCoordenador
-      FROM sh2 GROUP BY chave)""",
-    f"""cg AS (SELECT cf.*, coalesce(cf.codigoCurso, CASE WHEN sq = 0 THEN base ELSE base || lpad(CAST(sq AS VARCHAR), 2, '0') END) AS code
+      FROM {p}sh2 GROUP BY chave)""",
+        f"""{p}cg AS (SELECT b.*, coalesce(b.codigoCurso, CASE WHEN sq = 0 THEN base ELSE base || lpad(CAST(sq AS VARCHAR), 2, '0') END) AS code
       FROM (SELECT *, row_number() OVER (PARTITION BY base ORDER BY pos) - 1 AS sq FROM (
         SELECT *, CASE WHEN codigoCurso IS NULL THEN coalesce(nullif(upper(substr(array_to_string(
           list_transform(string_split_regex(nomeCurso, '\\s+'), lambda w: substr(w, 1, 1)), ''), 1, 3)), ''), 'XXX') END AS base
-        FROM cf) b) cf)""",
-    f"""cc AS (SELECT code AS codigoCurso, {trunc('nomeCurso', 64)} AS nomeCurso, coalesce({trunc('Coordenador', 100)}, '') AS coordenador,
-      {trunc('emailCoordenador', 100)} AS emailCoordenador, 'S' AS status FROM cg
+        FROM {p}cf) a) b)""",
+        f"""{p}cc AS (SELECT code AS codigoCurso, {trunc('nomeCurso', 64)} AS nomeCurso, coalesce({trunc('Coordenador', 100)}, '') AS coordenador,
+      {trunc('emailCoordenador', 100)} AS emailCoordenador, 'S' AS status FROM {p}cg
       WHERE {within('code', 30)} AND {within(trunc('nomeCurso', 64), 64)})""",
-    f"""cm AS (SELECT DISTINCT cg.code AS codigoCurso, {trunc('sh2.nomeMembro', 100)} AS nomeMembro,
-      {trunc('sh2.emailMembro', 100)} AS emailMembro, 'S' AS status
-      FROM sh2 JOIN cg ON cg.chave = sh2.chave WHERE sh2.nomeMembro IS NOT NULL)""",
-]
+        f"""{p}cm AS (SELECT DISTINCT g.code AS codigoCurso, {trunc('h.nomeMembro', 100)} AS nomeMembro,
+      {trunc('h.emailMembro', 100)} AS emailMembro, 'S' AS status
+      FROM {p}sh2 h JOIN {p}cg g ON g.chave = h.chave WHERE h.nomeMembro IS NOT NULL)""",
+    ]
+
+
+COMMITTEE_CTES = committee_ctes()
 
 
 @register("committee_courses", with_views("SELECT * FROM cc", *COMMITTEE_CTES))

@@ -414,7 +414,7 @@ def assessment_units_keyed(d: Domain) -> tuple[DataFrame, DataFrame]:
 
 # --------------------------------------------------------------------------- D16
 
-def committee(d: Domain) -> tuple[DataFrame, DataFrame]:
+def committee(d: Domain, sheet: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Committee courses and members from the committee sheet.
 
     Courses keyed by code (or by name when the code is blank); coordinator name
@@ -422,7 +422,7 @@ def committee(d: Domain) -> tuple[DataFrame, DataFrame]:
     codes for code-less courses get 01, 02 ... suffixes (W9).  Every row
     present in the sheet has status 'S' (M8 marks the others 'N').
     """
-    sh = d.committee_sheet
+    sh = d.committee_sheet if sheet is None else sheet
     cols = ["codigoCurso", "nomeCurso", "Coordenador", "emailCoordenador", "nomeMembro", "emailMembro"]
     sh = sh.select("linha", *[S.blank_to_null(c).alias(c) for c in cols]).where(F.col("nomeCurso").isNotNull())
     sh = sh.withColumn("chave", F.coalesce("codigoCurso", "nomeCurso"))
