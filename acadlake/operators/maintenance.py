@@ -171,10 +171,11 @@ def rewrite_if_unchanged(target: DataFrame, updates: DataFrame, keys: list[str],
     """Write ``new`` only where the stored value still equals ``old`` (optimistic match)."""
     u = updates.select(*keys, F.col(old).alias("__old"), F.col(new).alias("__new"))
     j = target.join(u, keys, "left")
-    hit = F.col("__old").isNotNull() & F.col(col).eqNullSafe(F.col("__old"))
-    return j.withColumn(col, F.when(hit, F.col("__new")).otherwise(F.col(col))) \
-        .withColumn("acao", F.when(hit & ~F.col("__old").eqNullSafe(F.col("__new")), "update").otherwise("keep")) \
-        .drop("__old", "__new")
+    j = j.withColumn("__hit", F.col("__old").isNotNull() & F.col(col).eqNullSafe(F.col("__old")))
+    return j.withColumn("acao", F.when(F.col("__hit") & ~F.col("__old").eqNullSafe(F.col("__new")), "update")
+                        .otherwise("keep")) \
+        .withColumn(col, F.when(F.col("__hit"), F.col("__new")).otherwise(F.col(col))) \
+        .drop("__old", "__new", "__hit")
 
 
 def evolve(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:

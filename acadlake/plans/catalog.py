@@ -8,6 +8,7 @@ MODULES = (
     "acadlake.plans.catalog_products",
     "acadlake.plans.catalog_ops",
     "acadlake.plans.catalog_maint",
+    "acadlake.plans.catalog_quality",
 )
 
 
