@@ -9,6 +9,7 @@ MODULES = (
     "acadlake.plans.catalog_ops",
     "acadlake.plans.catalog_maint",
     "acadlake.plans.catalog_quality",
+    "acadlake.plans.catalog_io",
 )
 
 
