@@ -217,3 +217,12 @@ def q_referential_audit(spark, sf):
         ("imp_011.codigoOferta->imp_005", P.load_student_offerings(d), "codigoOferta", offers, "codigoOferta"),
         ("imp_010.codigoCurso->imp_001", P.load_students(d), "codigoCurso", P.load_courses(d), "codigoCurso"),
     ])
+
+
+# --------------------------------------------------------------------------- Q7 (no SQL twin: the
+# sequential greedy pass is tested against a brute-force implementation in tests/)
+
+@register("fuzzy_groups")
+def q_fuzzy_groups(spark, sf):
+    from acadlake.operators.entity import fuzzy_groups
+    return fuzzy_groups(domain(spark, sf).institution, "linha", "nome_instituicao")

@@ -193,11 +193,12 @@ FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 # Institution names typed by hand: year suffixes, case and spacing variants.
 VIEW_SQL["institution"] = """
 SELECT p_partkey AS linha,
-  CASE WHEN p_partkey % 5 = 0 THEN p_name || ' - ' || CAST(2015 + p_partkey % 9 AS STRING)
-       WHEN p_partkey % 5 = 1 THEN upper(p_name) || ' ' || CAST(2018 + p_partkey % 5 AS STRING)
-       WHEN p_partkey % 5 = 2 THEN p_name || 's'
-       WHEN p_partkey % 5 = 3 THEN p_brand || ' ' || p_type
-       ELSE p_name END AS nome_instituicao
+  CASE WHEN p_partkey % 6 = 0 THEN p_brand || ' ' || p_type || ' - ' || CAST(2015 + p_partkey % 9 AS STRING)
+       WHEN p_partkey % 6 = 1 THEN upper(p_brand || ' ' || p_type) || ' ' || CAST(2018 + p_partkey % 5 AS STRING)
+       WHEN p_partkey % 6 = 2 THEN p_brand || ' ' || p_type || 'S'
+       WHEN p_partkey % 6 = 3 THEN replace(p_brand || '  ' || p_type, 'E', 'e')
+       WHEN p_partkey % 6 = 4 THEN p_name
+       ELSE p_type || ' ' || p_brand END AS nome_instituicao
 FROM {part}
 """
 
