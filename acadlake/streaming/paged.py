@@ -100,9 +100,11 @@ class PagedLoad:
         last = -1 if state is None or state.isEmpty() else int(state.first()["ultima_pagina"])
         pages = self.spark.read.schema(PAGE_SCHEMA).text(self.landing)
         pages = pages.where((F.col(PAGE_COL) > last) & (F.col(PAGE_COL) <= last + count))
-        self._process(pages, f"p{last + count}")
         top = pages.agg(F.max(PAGE_COL)).first()[0]
-        new_last = last if top is None else int(top)
+        if top is None:                      # nothing landed after the stored state
+            return last
+        self._process(pages, f"p{last + 1}_{top}")
+        new_last = int(top)
         self.spark.createDataFrame([(new_last, self.high_water_value())], "ultima_pagina bigint, ultima_chave bigint") \
             .withColumn("atualizado_em", F.current_timestamp()).write.mode("overwrite").parquet(state_path)
         return new_last
