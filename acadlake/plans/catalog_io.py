@@ -54,10 +54,18 @@ def _api_events(d):
                     F.col("value"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), F.col("props"))
 
 
+_LANDED: dict = {}
+
+
 def _land(spark, d, label):
-    root = scratch_path(spark, label)
-    L.land_pages(_api_events(d), root, [F.col("eventId").asc()], PAGE_SIZE, bare_every=5)
-    return root
+    """Stage the events extract as landing pages once per session and data folder
+    (it stands for the API extract; loads never modify it)."""
+    key = (id(spark), d.sf_dir, spark.conf.get("spark.checkpoint.dir"))
+    if key not in _LANDED:
+        root = scratch_path(spark, "landing")
+        L.land_pages(_api_events(d), root, [F.col("eventId").asc()], PAGE_SIZE, bare_every=5)
+        _LANDED[key] = root
+    return _LANDED[key]
 
 
 _EVENTS_ORACLE = """SELECT event_id, user_id, CASE WHEN event_id % 7 = 0 THEN upper(event_type) ELSE event_type END AS event_type,

@@ -91,7 +91,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/acadlake/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Cut lineage through a Parquet table written in the shared checkpoint folder.
+
+    One computation of ``df`` and columnar I/O (an RDD ``checkpoint()`` computes the
+    plan twice and serialises rows); a lost executor re-reads the files instead of
+    recomputing upstream stages.  Never a machine-local folder on a cluster.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

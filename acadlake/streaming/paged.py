@@ -1,7 +1,7 @@
 """Checkpointed paged loads (T1-T5) with Structured Streaming.
 
 Landing pages (see ``acadlake.sources.landing``) are consumed by a file
-stream, one page file per micro-batch (``maxFilesPerTrigger``), with
+stream, ``pages_per_batch`` page files per micro-batch (``maxFilesPerTrigger``), with
 ``trigger(availableNow=True)``; progress lives in the stream checkpoint, so a
 restart resumes after the last committed page and a second run adds nothing.
 
@@ -28,9 +28,10 @@ PAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType()), T.StructFiel
 
 class PagedLoad:
     def __init__(self, spark: SparkSession, landing: str, target: str, checkpoint: str,
-                 schema: T.StructType, key: str, keep: Column | None = None):
+                 schema: T.StructType, key: str, keep: Column | None = None, pages_per_batch: int = 100):
         self.spark, self.landing, self.target = spark, landing.rstrip("/"), target.rstrip("/")
         self.checkpoint, self.schema, self.key, self.keep = checkpoint, schema, key, keep
+        self.pages_per_batch = pages_per_batch      # commit (checkpoint) granularity
         self.end_marker = self.target + "_fim"
 
     # ------------------------------------------------------------------ helpers
@@ -53,6 +54,7 @@ class PagedLoad:
     def _process(self, pages: DataFrame, batch_id) -> None:
         """One batch of page files -> stored rows (idempotent per batch id)."""
         pages = pages.select(F.col(PAGE_COL).cast("bigint").alias(PAGE_COL), self._data().alias("data"))
+        pages = pages.persist()                     # a micro-batch is bounded by pages_per_batch
         empty = pages.where(F.size("data") == 0).agg(F.min(PAGE_COL)).first()[0]
         end = self._end_page()
         if empty is not None and (end is None or empty < end):
@@ -68,13 +70,14 @@ class PagedLoad:
         if stored is not None:
             rows = rows.join(stored.where(F.col(BATCH_COL) != F.lit(str(batch_id))).select(self.key), self.key, "left_anti")
         rows.write.mode("overwrite").parquet(f"{self.target}/{BATCH_COL}={batch_id}")
+        pages.unpersist()
 
     # ------------------------------------------------------------------ T1 / T3
     def run(self, reset: bool = False) -> int:
         """Consume every landed page not yet committed; returns the number of batches run."""
         if reset:
             self.reset()
-        stream = (self.spark.readStream.format("text").option("maxFilesPerTrigger", 1)
+        stream = (self.spark.readStream.format("text").option("maxFilesPerTrigger", self.pages_per_batch)
                   .schema(PAGE_SCHEMA).load(self.landing))
         query = (stream.writeStream.foreachBatch(lambda df, bid: self._process(df, bid))
                  .option("checkpointLocation", self.checkpoint)
