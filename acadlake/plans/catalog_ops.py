@@ -470,3 +470,10 @@ SELECT doc_id, regexp_replace(source || ':' || lang || '/' || CAST(doc_id AS VAR
   regexp_replace(replace(text, chr(10), '<br/>'), '[\\s\\x{0B}\\x{85}\\p{Z}]+', ' ', 'g') AS texto FROM documents"""))
 def q_syllabus_text(spark, sf):
     return WL.syllabus_text(domain(spark, sf))
+
+
+@register("subject_first_course", with_views("""
+SELECT g.disciplina, min(g.curso) AS curso, arg_min(c.nome, g.curso) AS nome_curso
+FROM grid g JOIN course c ON c.curso = g.curso GROUP BY g.disciplina"""))
+def q_subject_first_course(spark, sf):
+    return WL.subject_first_course(domain(spark, sf))

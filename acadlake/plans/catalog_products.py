@@ -243,7 +243,8 @@ def committee_ctes(p: str = "", sheet: str = "committee_sheet") -> list[str]:
       WHERE {within('code', 30)} AND {within(trunc('nomeCurso', 64), 64)})""",
         f"""{p}cm AS (SELECT DISTINCT g.code AS codigoCurso, {trunc('h.nomeMembro', 100)} AS nomeMembro,
       {trunc('h.emailMembro', 100)} AS emailMembro, 'S' AS status
-      FROM {p}sh2 h JOIN {p}cg g ON g.chave = h.chave WHERE h.nomeMembro IS NOT NULL)""",
+      FROM {p}sh2 h JOIN {p}cg g ON g.chave = h.chave WHERE h.nomeMembro IS NOT NULL
+        AND g.code IN (SELECT codigoCurso FROM {p}cc))""",
     ]
 
 

@@ -453,4 +453,6 @@ def committee(d: Domain, sheet: DataFrame | None = None) -> tuple[DataFrame, Dat
         S.truncate("emailCoordenador", 100).alias("emailCoordenador"),
         F.lit("S").alias("status"))
     courses = courses.where(R.is_text_within("codigoCurso", 30) & R.is_text_within("nomeCurso", 64))
+    # Members are loaded only when their course exists among the loaded courses
+    members, _orphans = J.keep_with_parent(members, courses, ["codigoCurso"])
     return courses, members
