@@ -37,10 +37,16 @@ def rank_within(df: DataFrame, keys: list[str], order: list[Column], name: str =
     return df.withColumn(name, F.row_number().over(w).cast("bigint"))
 
 
-def keep_first_with_rejects(df: DataFrame, keys: list[str], order: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """First row per key kept, the others counted as key violations."""
-    ranked = rank_within(df, keys, order, "__rn")
-    return ranked.where("__rn = 1").drop("__rn"), ranked.where("__rn > 1").drop("__rn")
+def keep_first_with_rejects(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """First row per key is kept, every other row of the key is a key violation.
+
+    Both sides are partial aggregates (no per-key sort in one task): the kept row
+    is ``min(struct(order..., rest...))`` and the rejects are ``count - 1`` per key.
+    """
+    kept = pick_per_key(df, keys, order, keep="first")
+    rejects = (df.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("rejeitados"))
+               .where(F.col("rejeitados") > 0))
+    return kept, rejects
 
 
 def sequential_ids(df: DataFrame, order: list[Column], name: str = "id", partitions: int | None = None) -> DataFrame:

@@ -356,7 +356,7 @@ SELECT codigoUnidade, count(*) AS rejeitados FROM (
 WHERE rn > 1 GROUP BY codigoUnidade""", *ASSESS_CTES, f"au AS ({ASSESS_SELECT})"))
 def q_dup_rejects(spark, sf):
     kept, rejects = assessment_units_keyed(domain(spark, sf))
-    return rejects.groupBy("codigoUnidade").agg(F.count(F.lit(1)).alias("rejeitados"))
+    return rejects
 
 
 # --------------------------------------------------------------------------- D17-D24
@@ -477,3 +477,12 @@ SELECT g.disciplina, min(g.curso) AS curso, arg_min(c.nome, g.curso) AS nome_cur
 FROM grid g JOIN course c ON c.curso = g.curso GROUP BY g.disciplina"""))
 def q_subject_first_course(spark, sf):
     return WL.subject_first_course(domain(spark, sf))
+
+
+@register("assessment_units_kept", with_views("""
+SELECT codigoUnidade, nomeUnidade, codigoCurso, codigoDisciplina, ordemExibicao, codigoAgrupamento FROM (
+  SELECT *, row_number() OVER (PARTITION BY codigoUnidade ORDER BY codigoDisciplina, ordemExibicao, nomeUnidade,
+    codigoCurso, codigoAgrupamento) AS rn FROM au) x WHERE rn = 1""", *ASSESS_CTES, f"au AS ({ASSESS_SELECT})"))
+def q_assessment_units_kept(spark, sf):
+    kept, _ = assessment_units_keyed(domain(spark, sf))
+    return kept

@@ -408,8 +408,7 @@ def load_assessment_units(d: Domain) -> DataFrame:
 def assessment_units_keyed(d: Domain) -> tuple[DataFrame, DataFrame]:
     """W7 on D15: first row per codigoUnidade is inserted, the rest are PK violations."""
     u = load_assessment_units(d)
-    order = [F.col(c).asc_nulls_first() for c in ("codigoDisciplina", "ordemExibicao", "nomeUnidade", "codigoCurso")]
-    return O.keep_first_with_rejects(u, ["codigoUnidade"], order)
+    return O.keep_first_with_rejects(u, ["codigoUnidade"], ["codigoDisciplina", "ordemExibicao", "nomeUnidade", "codigoCurso"])
 
 
 # --------------------------------------------------------------------------- D16
