@@ -442,9 +442,10 @@ def q_id_audit(spark, sf):
 
 @register("exam_worklist", with_views("""
 SELECT ano, semestre, turma, disciplina, prova, seq, CAST((seq - 1) // 50 AS BIGINT) AS lote FROM (
-  SELECT t.ano, t.semestre, t.turma, t.disciplina, p.prova,
-    CAST(row_number() OVER (ORDER BY t.ano, t.semestre, t.turma, t.disciplina, p.prova) AS BIGINT) AS seq
-  FROM class t JOIN (SELECT unnest(['AVF', 'AVS', 'AVSB']) AS prova) p ON true WHERE lower(t.sit_turma) = 'aberta') x"""))
+  SELECT ano, semestre, turma, disciplina, prova,
+    CAST(row_number() OVER (ORDER BY ano, semestre, turma, disciplina, prova) AS BIGINT) AS seq
+  FROM (SELECT t.ano, t.semestre, t.turma, t.disciplina, unnest(['AVF', 'AVS', 'AVSB']) AS prova
+        FROM class t WHERE lower(t.sit_turma) = 'aberta') e) x"""))
 def q_exam_worklist(spark, sf):
     return WL.exam_worklist(domain(spark, sf))
 
