@@ -319,7 +319,7 @@ def q_load_student_offerings(spark, sf):
 
 @register("load_students", with_views(f"""
 SELECT DISTINCT {trunc('aluno', 20)} AS matriculaAluno, {trunc('nome_compl', 140)} AS nomeAluno,
-  {trunc("lower(aluno || CASE WHEN unidade_ensino = '007' THEN '@etecfoa.com.br' ELSE '@unifoa.edu.br' END)", 100)} AS emailAluno,
+  {trunc(f"lower(aluno || CASE WHEN unidade_ensino = {q(K.TECH_UNIT)} THEN {q(K.STUDENT_DOMAIN_TECH)} ELSE {q(K.STUDENT_DOMAIN_DEFAULT)} END)", 100)} AS emailAluno,
   {trunc('curso', 30)} AS codigoCurso, {shift('turno')} AS turno, '' AS codigoIdentificacaoAVA
 FROM student WHERE {ci('sit_aluno', 'Ativo')} AND aluno IN (SELECT matriculaAluno FROM so)
   AND {non_blank('aluno')} AND {non_blank('nome_compl')} AND {within('curso', 30)}""", *STUDENT_OFFERINGS_CTES))

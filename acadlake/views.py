@@ -20,6 +20,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from acadlake.functions import constants as K
+
 RAW_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -65,7 +67,7 @@ SELECT CASE WHEN c_custkey % 13 = 0 THEN c_custkey + 1000000000 ELSE c_custkey E
   CASE WHEN c_custkey % 10 = 3 THEN CAST(1000000 + c_custkey AS STRING)
        ELSE lpad(CAST(27000000 + c_custkey AS STRING), 8, '0') END AS cep,
   CASE WHEN c_custkey % 5 = 0 THEN 'c' || CAST(c_custkey AS STRING) || '@mail.com' END AS e_mail_com,
-  'i' || CAST(c_custkey AS STRING) || '@unifoa.edu.br' AS e_mail_interno,
+  'i' || CAST(c_custkey AS STRING) || '@STUDENT_DOMAIN@' AS e_mail_interno,
   '24' AS ddd_fone,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '21' END AS ddd_fone_celular,
   CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE '9' || lpad(CAST(c_custkey % 100000000 AS STRING), 8, '0') END AS celular
@@ -128,7 +130,7 @@ FROM {part}
 VIEW_SQL["teacher"] = """
 SELECT s_suppkey AS num_func,
   CASE WHEN s_suppkey % 10 = 0 THEN NULL WHEN s_suppkey % 10 = 1 THEN 'bad mail@x'
-       ELSE 'T' || CAST(s_suppkey AS STRING) || '@Foa.org.br' END AS mailbox,
+       ELSE 'T' || CAST(s_suppkey AS STRING) || '@TEACHER_DOMAIN_MIXED@' END AS mailbox,
   s_name AS nome_compl,
   CASE WHEN s_suppkey % 6 = 0 THEN 'Prof ' || s_name END AS nome_social,
   CASE WHEN s_suppkey % 12 = 0 THEN NULL WHEN s_suppkey % 12 = 5 THEN '123.456.789-0' WHEN s_suppkey % 12 = 7 THEN ''
@@ -184,9 +186,9 @@ SELECT s_suppkey AS linha,
   n_name AS nomeCurso,
   CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'Coord ' || n_name END AS Coordenador,
   CASE WHEN s_suppkey % 4 = 0 THEN '' WHEN s_suppkey % 4 = 1 THEN NULL
-       ELSE 'coord' || CAST(n_nationkey AS STRING) || '@foa.org.br' END AS emailCoordenador,
+       ELSE 'coord' || CAST(n_nationkey AS STRING) || '@TEACHER_DOMAIN@' END AS emailCoordenador,
   s_name AS nomeMembro,
-  CASE WHEN s_suppkey % 10 = 3 THEN NULL ELSE 'M' || CAST(s_suppkey AS STRING) || '@Foa.org.br' END AS emailMembro
+  CASE WHEN s_suppkey % 10 = 3 THEN NULL ELSE 'M' || CAST(s_suppkey AS STRING) || '@TEACHER_DOMAIN_MIXED@' END AS emailMembro
 FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey
 """
 
@@ -202,6 +204,14 @@ SELECT p_partkey AS linha,
 FROM {part}
 """
 
+# fixture mailboxes use the configured domains (mixed case where lower-casing is exercised)
+_DOMAINS = {"@STUDENT_DOMAIN@": "@" + K.STUDENT_DOMAIN_DEFAULT.lstrip("@"), "@TEACHER_DOMAIN@": "@" + K.TEACHER_DOMAIN,
+            "@TEACHER_DOMAIN_MIXED@": "@" + K.TEACHER_DOMAIN.capitalize()}
+for _name, _text in VIEW_SQL.items():
+    for _k, _v in _DOMAINS.items():
+        _text = _text.replace(_k, _v)
+    VIEW_SQL[_name] = _text
+
 VIEWS = tuple(VIEW_SQL)
 
 
