@@ -236,6 +236,7 @@ class Domain:
 
     spark: SparkSession
     sf_dir: str
+    stored_mirrors: bool = True      # class-keyed mirrors stored bucketed (acadlake.sources.mirror)
     _frames: dict = field(default_factory=dict)
 
     def raw(self, name: str) -> DataFrame:
@@ -255,7 +256,11 @@ class Domain:
             for dep in VIEWS:
                 if "{" + dep + "}" in text:
                     deps[dep] = self.view(dep)
-            self._frames[key] = self.spark.sql(text, **deps)
+            df = self.spark.sql(text, **deps)
+            from acadlake.sources import mirror
+            if self.stored_mirrors and name in mirror.LAYOUT:
+                df = mirror.store(self.spark, name, df, self.sf_dir)
+            self._frames[key] = df
         return self._frames[key]
 
     def __getattr__(self, name: str) -> DataFrame:

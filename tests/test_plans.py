@@ -36,3 +36,20 @@ def test_enrolment_scan_prunes_columns(spark, sf):
     from acadlake.views import domain
     text = plan_text(domain(spark, sf).enrol.select("aluno", "ano"))
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
+
+
+def test_class_key_joins_are_colocated(spark, sf):
+    """Bucketed mirrors: enrolment x class on the class key needs no exchange on either side."""
+    from acadlake.views import domain
+    d = domain(spark, sf)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = d.enrol.join(d.view("class"), ["ano", "semestre", "turma", "disciplina"])
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        text = buf.getvalue()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in text and "Exchange" not in text
