@@ -33,9 +33,12 @@ def test_partition_pruning_and_pushdown(spark, sf):
 
 
 def test_enrolment_scan_prunes_columns(spark, sf):
-    from acadlake.views import domain
-    text = plan_text(domain(spark, sf).enrol.select("aluno", "ano"))
-    assert "ReadSchema: struct<l_orderkey:bigint>" in text
+    from acadlake.views import Domain, domain
+    text = plan_text(domain(spark, sf).enrol.select("aluno", "ano"))          # stored mirror
+    assert "ReadSchema: struct<aluno:string,ano:bigint>" in text
+    raw = Domain(spark, sf, stored_mirrors=False)                            # derivation from the driver tables
+    text = plan_text(raw.enrol.select("aluno", "ano"))
+    assert "ReadSchema: struct<l_orderkey:bigint>" in text and "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate" in text
 
 
 def test_class_key_joins_are_colocated(spark, sf):
