@@ -43,8 +43,11 @@ def store(spark: SparkSession, name: str, df: DataFrame, source_id: str) -> Data
             cols, n = LAYOUT[name], buckets(spark)
             digest = hashlib.sha1(f"{source_id}|{name}|{n}".encode()).hexdigest()[:10]
             table = f"acadlake_mirror_{name}_{digest}"
-            (df.repartition(n, *cols).write.mode("overwrite").format("parquet")
-             .bucketBy(n, *cols).sortBy(*cols)
-             .option("path", scratch_path(spark, f"mirror-{name}")).saveAsTable(table))
-            _stored[key] = table
-        return spark.table(_stored[key])
+            try:
+                (df.repartition(n, *cols).write.mode("overwrite").format("parquet")
+                 .bucketBy(n, *cols).sortBy(*cols)
+                 .option("path", scratch_path(spark, f"mirror-{name}")).saveAsTable(table))
+                _stored[key] = table
+            except Exception:           # catalog refuses tables: keep the derived (unbucketed) frame
+                _stored[key] = None
+        return df if _stored[key] is None else spark.table(_stored[key])
