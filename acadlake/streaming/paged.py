@@ -48,8 +48,10 @@ class PagedLoad:
             return None
 
     def _end_page(self):
-        m = self._read(self.end_marker)
-        return None if m is None else m.first()["pagina_final"]
+        if not hasattr(self, "_end_cache"):      # read once per load object, then kept in step with writes
+            m = self._read(self.end_marker)
+            self._end_cache = None if m is None or m.isEmpty() else m.first()["pagina_final"]
+        return self._end_cache
 
     def _process(self, pages: DataFrame, batch_id) -> None:
         """One batch of page files -> stored rows (idempotent per batch id)."""
@@ -60,6 +62,7 @@ class PagedLoad:
         if empty is not None and (end is None or empty < end):
             end = int(empty)
             self.spark.createDataFrame([(end,)], "pagina_final bigint").write.mode("overwrite").parquet(self.end_marker)
+            self._end_cache = end
         if end is not None:
             pages = pages.where(F.col(PAGE_COL) < end)
         rows = pages.select(PAGE_COL, F.explode("data").alias("r")).select(PAGE_COL, "r.*")
@@ -86,11 +89,13 @@ class PagedLoad:
         return len([p for p in query.recentProgress if p.get("numInputRows", 0) > 0])
 
     def reset(self) -> None:
-        """New checkpoint folder, emptied target and end marker."""
-        self.checkpoint = self.checkpoint.rstrip("/") + "-reset"
-        empty = self.spark.createDataFrame([], self.schema.add(PAGE_COL, T.LongType()))
-        empty.write.mode("overwrite").parquet(self.target)
-        self.spark.createDataFrame([], "pagina_final bigint").write.mode("overwrite").parquet(self.end_marker)
+        """Start over in fresh checkpoint / target folders (the old ones are left untouched)."""
+        self._resets = getattr(self, "_resets", 0) + 1
+        suffix = f"-reset{self._resets}"
+        self.checkpoint = self.checkpoint.rstrip("/") + suffix
+        self.target = self.target + suffix
+        self.end_marker = self.target + "_fim"
+        self._end_cache = None
 
     # ------------------------------------------------------------------ T2
     def run_pages(self, count: int, state_path: str) -> int:
@@ -121,4 +126,7 @@ class PagedLoad:
         return None if self._read(self.target) is None else self.high_water().first()[0]
 
     def result(self) -> DataFrame:
-        return self.spark.read.parquet(self.target).drop(BATCH_COL)
+        stored = self._read(self.target)
+        if stored is None:
+            return self.spark.createDataFrame([], T.StructType(self.schema.fields + [T.StructField(PAGE_COL, T.LongType())]))
+        return stored.drop(BATCH_COL)

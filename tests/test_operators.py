@@ -172,3 +172,43 @@ def test_t2_bounded_increments(spark, sf):
             break
         last = new
     assert load.result().count() == ev.count()
+
+
+def test_t3_reset_reloads_everything(spark, sf):
+    from pyspark.sql import types as T
+    d = domain(spark, sf)
+    root = scratch_path(spark, "r-landing")
+    ev = d.events.select(F.col("event_id").alias("eventId"))
+    L.land_pages(ev, root, [F.col("eventId").asc()], 100)
+    schema = T.StructType([T.StructField("eventId", T.LongType())])
+    load = PagedLoad(spark, root, scratch_path(spark, "r-target"), scratch_path(spark, "r-ckpt"), schema, "eventId",
+                     pages_per_batch=4)
+    load.run()
+    assert load.result().count() == ev.count()
+    load.reset()
+    assert load.result().count() == 0
+    load.run()
+    assert load.result().count() == ev.count()
+
+
+def test_k1_csv_quoting_and_booleans(spark):
+    df = spark.createDataFrame([("a;b", 'say "hi"', None, True), ("x", "y", "z", False)],
+                               "c1 string, c2 string, c3 string, ok boolean")
+    lines = [r["linha"] for r in KS.csv_lines(df, ["c1", "c2", "c3", "ok"]).orderBy("__k", "linha").collect()]
+    assert lines == ["c1;c2;c3;ok", '"a;b";"say ""hi""";;true', "x;y;z;false"]
+
+
+def test_k3_html_escaping(spark):
+    df = spark.createDataFrame([("C&A", "<b>", "1")], "g string, v string, o string")
+    lines = {r["linha"] for r in KS.html_report_lines(df, "g", [("v", "Valor")], ["o"]).collect()}
+    assert "<tr><td>&lt;b&gt;</td></tr>" in lines
+    assert any(line.startswith("<h2>C&amp;A (1)</h2>") for line in lines)
+
+
+def test_k4_load_sheet_layout(spark):
+    from acadlake.operators.contracts import CONTRACTS
+    df = spark.createDataFrame([("006", "ENG", 5)], "codigoCurso string, nomeCurso string, quantPeriodos bigint")
+    got = [r["linha"] for r in KS.load_sheet_lines(df, CONTRACTS["imp_001_cursos"]).orderBy("__k").collect()]
+    assert got == ["Tipo de Carga:;Incremental", "Escopo da Carga:;Instituicao", "Limite do Escopo:;",
+                   "Conteúdo da Carga:;imp_001_cursos", "",
+                   "codigoCurso;nomeCurso;quantPeriodos;codigoUnidadeOrganizacional", "006;ENG;5;"]
