@@ -17,7 +17,7 @@ from acadlake.operators import maintenance as M
 from acadlake.operators import ordering as O
 from acadlake.plans import products as P
 from acadlake.plans.catalog_products import COMMITTEE_CTES, STUDENT_OFFERINGS_CTES, committee_ctes
-from acadlake.plans.oracle_sql import ci, present, q, shift, strip, trunc, with_views, within
+from acadlake.plans.oracle_sql import ci, strip, with_views, within
 from acadlake.views import domain
 
 QUERIES = {}

@@ -12,7 +12,7 @@ from acadlake.functions import scalars as S
 from acadlake.operators import aggregates as A
 from acadlake.operators import ordering as O
 from acadlake.plans import worklists as WL
-from acadlake.plans.catalog_products import ASSESS_CTES, ASSESS_SELECT, keys4
+from acadlake.plans.catalog_products import ASSESS_CTES, ASSESS_SELECT
 from acadlake.plans.oracle_sql import (email_ok, initials, mailbox_user, offering_code, offering_type,
                                        present, q, shift, strip, subject_code, trunc, with_views, within)
 from acadlake.plans.products import CLASS_KEYS, assessment_units_keyed

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from acadlake.functions import constants as K
 from acadlake.plans import products as P
-from acadlake.plans.oracle_sql import (ci, course_map_cte, email_ok, exam_labels_case, initials,
+from acadlake.plans.oracle_sql import (ci, course_map_cte, email_ok, exam_labels_case,
                                        mailbox_user, non_blank, offering_code, offering_type, present, q,
                                        shift, strip, subject_code, to_int_via_float, trunc, with_views,
                                        within)
