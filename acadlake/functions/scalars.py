@@ -301,3 +301,22 @@ def sql_literal(x, dtype: T.DataType) -> Column:
 def fixed(value) -> Column:
     """F32: constant value."""
     return F.lit(value)
+
+
+def normalize_by_roles(df: DataFrame, integer: tuple = (), flag: tuple = (), stamp: tuple = ()) -> DataFrame:
+    """F4 for a whole record: integer / flag / timestamp roles, other text stripped ('' kept)."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if f.name in integer:
+            out = typed_integer(c)
+        elif f.name in flag:
+            out = typed_flag(c)
+        elif f.name in stamp:
+            out = typed_stamp(c, f.dataType)
+        elif isinstance(f.dataType, T.StringType):
+            out = pystrip(c)
+        else:
+            out = c
+        cols.append(out.alias(f.name))
+    return df.select(*cols)

@@ -15,7 +15,7 @@ from acadlake.operators import contracts as C
 from acadlake.plans import products as P
 from acadlake.plans import worklists as WL
 from acadlake.plans.catalog_products import ORACLES as PRODUCT_ORACLES
-from acadlake.plans.oracle_sql import q, with_views
+from acadlake.plans.oracle_sql import q, strip, with_views
 from acadlake.session import scratch_path
 from acadlake.sources import landing as L
 from acadlake.sources import sinks as KS
@@ -286,3 +286,32 @@ def q_mirror_refresh(spark, sf):
     from acadlake.plans.jobs import class_profile, refresh_classes
     state, _ = refresh_classes(domain(spark, sf))
     return class_profile(state)
+
+
+_TYPED = f"""SELECT aluno, {strip('nome_compl')} AS nome_compl, {strip('sit_aluno')} AS sit_aluno,
+  TRY_CAST(trim(CAST(serie AS VARCHAR)) AS BIGINT) AS serie,
+  CASE WHEN representante_turma IS NULL THEN NULL WHEN upper(representante_turma) = 'S' THEN 'S' ELSE 'N' END AS representante_turma,
+  strftime(make_timestamp(CAST(CASE WHEN stamp_atualizacao > 1e12 THEN stamp_atualizacao / 1000 ELSE stamp_atualizacao END
+    * 1000000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS stamp_atualizacao, ano_ingresso FROM student"""
+
+
+@register("student_sync", with_views("""
+SELECT m.* FROM merged m
+WHERE m.aluno IN (SELECT aluno FROM active)
+   OR (SELECT count(*) FROM merged WHERE aluno NOT IN (SELECT aluno FROM active)) > (SELECT count(*) FROM merged) * 0.5
+   OR NOT EXISTS (SELECT 1 FROM active)""",
+    f"typed AS ({_TYPED})",
+    "stored AS (SELECT * EXCLUDE (ano_ingresso) FROM typed WHERE ano_ingresso <= 2025)",
+    "active AS (SELECT * EXCLUDE (ano_ingresso) FROM typed WHERE lower(sit_aluno) = 'ativo')",
+    """merged AS (SELECT coalesce(t.aluno, s.aluno) AS aluno,
+      CASE WHEN s.aluno IS NOT NULL THEN s.nome_compl ELSE t.nome_compl END AS nome_compl,
+      CASE WHEN s.aluno IS NOT NULL THEN s.sit_aluno ELSE t.sit_aluno END AS sit_aluno,
+      CASE WHEN s.aluno IS NOT NULL THEN s.serie ELSE t.serie END AS serie,
+      CASE WHEN s.aluno IS NOT NULL THEN s.representante_turma ELSE t.representante_turma END AS representante_turma,
+      CASE WHEN s.aluno IS NOT NULL THEN s.stamp_atualizacao ELSE t.stamp_atualizacao END AS stamp_atualizacao,
+      CASE WHEN s.aluno IS NOT NULL AND t.aluno IS NOT NULL THEN 'update' WHEN s.aluno IS NOT NULL THEN 'insert' ELSE 'keep' END AS acao
+    FROM stored t FULL OUTER JOIN active s ON t.aluno = s.aluno)"""))
+def q_student_sync(spark, sf):
+    from acadlake.plans.jobs import sync_students
+    state, _ = sync_students(domain(spark, sf))
+    return state

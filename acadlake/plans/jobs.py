@@ -37,3 +37,24 @@ def refresh_classes(d: Domain, page_size: int = 500, stored: DataFrame | None =
 
 def class_profile(state: DataFrame) -> DataFrame:
     return A.profile(state, ["turma", "disciplina"], {"abertas": S.ci_equals("sit_turma", "aberta")}, "ano")
+
+
+STUDENT_ROLES = {"integer": ("serie", "ano_ingresso", "sem_ingresso"), "flag": ("representante_turma",),
+                 "stamp": ("stamp_atualizacao",)}
+STUDENT_COLS = ["aluno", "nome_compl", "sit_aluno", "serie", "representante_turma", "stamp_atualizacao"]
+
+
+def student_extract(d: Domain) -> DataFrame:
+    """The student extract typed by column role."""
+    return S.normalize_by_roles(d.student.select(*STUDENT_COLS), **STUDENT_ROLES)
+
+
+def sync_students(d: Domain, last_intake_year: int = 2025) -> tuple[DataFrame, dict]:
+    """Student mirror sync: the stored mirror holds the students known up to an intake year;
+    the new extract (every student, typed by role) is filtered to active ones (CI compare),
+    upserted (M1), and keys no longer active are removed under the 50% guard (M6)."""
+    stored = S.normalize_by_roles(
+        d.student.where(F.col("ano_ingresso") <= last_intake_year).select(*STUDENT_COLS), **STUDENT_ROLES)
+    active = student_extract(d).where(S.ci_equals("sit_aluno", "Ativo"))
+    merged = M.upsert(stored, active, ["aluno"])
+    return M.guarded_delete(merged, active.select("aluno"), ["aluno"])
