@@ -14,8 +14,10 @@ Spark plan:
    |la - lb| <= d and shares at least max(la, lb) - 1 - 2d bigrams
    (d = floor((100 - T) * (la + lb) / 100) indel operations), hence each key
    indexes only its 2*floor(2 * (100 - T) * la / 100) + 1 rarest bigrams, and two keys
-   that can match share one of them.  No candidate is dropped: the filter is a
-   proof, not a cap.  (Thresholds where the bound reaches zero fall back to a
+   that can match share one of them; token groups are further split by
+   geometric length band (partners sit in the same or an adjacent band), so a
+   frequent token only pairs length-compatible keys.  No candidate is dropped:
+   the filters are proofs, not caps.  (Thresholds where the bound reaches zero fall back to a
    length-band join for the affected keys.)
 3. candidates are verified with an exact LCS (bit-parallel, Arrow UDF) and an
    integer test 200 * LCS >= T * (la + lb);
@@ -28,6 +30,8 @@ Spark plan:
 
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,8 +88,18 @@ def similar_pairs(keys: DataFrame, threshold: int = 90) -> DataFrame:
         "r", F.row_number().over(Window.partitionBy("chave").orderBy("df", "tok")))
     prefix_len = (F.col("len") - Q + 1) - tau_min + 1
     prefix = ranked.where((tau_min >= 1) & (F.col("r") <= prefix_len)).select("tok", "pos", "chave", "len")
-    a, b = prefix.alias("a"), prefix.alias("b")
-    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.pos") < F.col("b.pos")))
+    # split each token group by geometric length band: partners differ in length by at most a
+    # factor (200 - T) / T, i.e. sit in the same or an adjacent band, so a key registers under its
+    # own band and probes the neighbouring ones (a hot token only pairs length-compatible keys)
+    ratio = (200.0 - threshold) / threshold * (1 + 1e-6)   # margin: a pair at the exact ratio stays adjacent
+    if ratio > 1.0 + 1e-6:
+        band = F.floor(F.log(F.col("len").cast("double")) / math.log(ratio)).cast("int")
+    else:
+        band = F.col("len")
+    a = prefix.withColumn("band", band).alias("a")
+    b = prefix.withColumn("probe", F.explode(F.array(band - 1, band, band + 1))).alias("b")
+    cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.band") == F.col("b.probe"))
+                   & (F.col("a.pos") < F.col("b.pos")))
             .select(F.col("a.pos").alias("a_pos"), F.col("a.chave").alias("a_chave"), F.col("a.len").alias("a_len"),
                     F.col("b.pos").alias("b_pos"), F.col("b.chave").alias("b_chave"), F.col("b.len").alias("b_len"))
             .distinct())
@@ -95,14 +109,14 @@ def similar_pairs(keys: DataFrame, threshold: int = 90) -> DataFrame:
         F.explode(F.sequence(F.ceil(F.col("len") * threshold / (200 - threshold)).cast("int"),
                              F.floor(F.col("len") * (200 - threshold) / threshold).cast("int"))).alias("plen"))
     wa, wb = weak.alias("wa"), k.alias("wb")
-    band = (wa.join(wb, (F.col("wa.plen") == F.col("wb.len")) & (F.col("wa.pos") != F.col("wb.pos")))
+    banded = (wa.join(wb, (F.col("wa.plen") == F.col("wb.len")) & (F.col("wa.pos") != F.col("wb.pos")))
             .select(F.least("wa.pos", "wb.pos").alias("a_pos"),
                     F.when(F.col("wa.pos") < F.col("wb.pos"), F.col("wa.chave")).otherwise(F.col("wb.chave")).alias("a_chave"),
                     F.when(F.col("wa.pos") < F.col("wb.pos"), F.col("wa.len")).otherwise(F.col("wb.len")).alias("a_len"),
                     F.greatest("wa.pos", "wb.pos").alias("b_pos"),
                     F.when(F.col("wa.pos") < F.col("wb.pos"), F.col("wb.chave")).otherwise(F.col("wa.chave")).alias("b_chave"),
                     F.when(F.col("wa.pos") < F.col("wb.pos"), F.col("wb.len")).otherwise(F.col("wa.len")).alias("b_len")))
-    cand = cand.unionByName(band).distinct()
+    cand = cand.unionByName(banded).distinct()
     total = F.col("a_len") + F.col("b_len")
     cand = cand.where(F.abs(F.col("a_len") - F.col("b_len")) <= _max_ops(total, threshold))
     scored = cand.withColumn("lcs", lcs_udf("a_chave", "b_chave"))
