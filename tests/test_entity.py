@@ -1,6 +1,7 @@
 """Fuzzy grouping (Q7) against the sequential brute force."""
 
 import bruteforce as B
+import pytest
 
 from acadlake.operators.entity import fuzzy_groups, lcs_length
 from acadlake.views import domain
@@ -33,3 +34,32 @@ def test_institution_table(spark, sf):
     inst = domain(spark, sf).institution
     rows = sorted((r["linha"], r["nome_instituicao"]) for r in inst.collect())
     _check(spark, rows)
+
+
+def _random_names(seed: int, n: int):
+    import random
+    rnd = random.Random(seed)
+    words = ["universidade", "federal", "centro", "escola", "tecnica", "instituto", "sul", "norte", "rio", "ab", "x"]
+    out = []
+    for i in range(n):
+        name = " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 4)))
+        r = rnd.random()
+        if r < 0.2 and name:
+            j = rnd.randrange(len(name))
+            name = name[:j] + rnd.choice("aeiouz") + name[j + 1:]          # typo
+        elif r < 0.35:
+            name = name.upper() + " - " + str(rnd.randint(2000, 2024))
+        elif r < 0.45:
+            name = name + str(rnd.randint(1990, 2030))
+        elif r < 0.5:
+            name = None
+        out.append((i + 1, name))
+    return out
+
+
+@pytest.mark.parametrize("seed,threshold", [(1, 90), (2, 90), (3, 80)])
+def test_random_near_duplicates(spark, seed, threshold):
+    rows = _random_names(seed, 160)
+    df = spark.createDataFrame(rows, "linha bigint, nome string")
+    got = {r["linha"]: (r["id"], r["sugerido"]) for r in fuzzy_groups(df, "linha", "nome", threshold).collect()}
+    assert got == B.greedy_groups(rows, threshold)
