@@ -80,7 +80,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "acadlake-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
 
@@ -102,3 +102,29 @@ def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def sizing(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition sizing for a run that reads ``input_bytes`` on ``cores`` task slots.
+
+    Shuffle partitions are sized so one partition holds about ``target_partition_bytes``
+    of the largest input (it fits an executor task without spilling), never fewer than two
+    waves of tasks; scan splits and AQE's advisory size use the same target, and the
+    bucketed mirrors get the same count so their joins stay co-located.
+    At 100 TB and 256 MiB this gives ~400k partitions; with AQE coalescing, small stages
+    shrink automatically.
+    """
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "acadlake.mirror.buckets": str(parts),
+    }
+
+
+def apply_sizing(spark: SparkSession, input_bytes: int, cores: int | None = None) -> dict[str, str]:
+    conf = sizing(input_bytes, cores or spark.sparkContext.defaultParallelism)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
