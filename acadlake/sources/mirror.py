@@ -43,11 +43,35 @@ def store(spark: SparkSession, name: str, df: DataFrame, source_id: str) -> Data
             cols, n = LAYOUT[name], buckets(spark)
             digest = hashlib.sha1(f"{source_id}|{name}|{n}".encode()).hexdigest()[:10]
             table = f"acadlake_mirror_{name}_{digest}"
+            path = scratch_path(spark, f"mirror-{name}")
             try:
                 (df.repartition(n, *cols).write.mode("overwrite").format("parquet")
-                 .bucketBy(n, *cols).sortBy(*cols)
-                 .option("path", scratch_path(spark, f"mirror-{name}")).saveAsTable(table))
-                _stored[key] = table
+                 .bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(table))
             except Exception:           # catalog refuses tables: keep the derived (unbucketed) frame
-                _stored[key] = None
-        return df if _stored[key] is None else spark.table(_stored[key])
+                _stored[key] = ("frame", None)
+            else:
+                _stored[key] = ("table", table) if not hot_key(spark.table(table), cols, n) else ("files", path)
+        kind, ref = _stored[key]
+        if kind == "table":
+            return spark.table(ref)
+        if kind == "files":             # same files, no bucket spec: joins shuffle and AQE splits the hot key
+            return spark.read.parquet(ref)
+        return df
+
+
+HOT_FACTOR = 4
+
+
+def hot_key(stored: DataFrame, cols: list[str], n: int) -> bool:
+    """True when one key holds more than ``HOT_FACTOR`` average buckets of rows.
+
+    A bucketed scan gives every bucket to one task and bypasses AQE's skew-join
+    splitting, so a table with such a key is better joined through a shuffle.
+    One aggregate over the stored key columns decides.
+    """
+    from pyspark.sql import functions as F
+    row = (stored.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+           .agg(F.max("n").alias("top"), F.sum("n").alias("total")).first())
+    if row is None or row["total"] is None:
+        return False
+    return row["top"] > HOT_FACTOR * row["total"] / n

@@ -56,3 +56,28 @@ def test_class_key_joins_are_colocated(spark, sf):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in text and "Exchange" not in text
+
+
+def test_hot_key_mirror_falls_back_to_shuffled_joins(spark):
+    """A class key holding most rows must not be served as one bucket: the mirror is read as plain files."""
+    from pyspark.sql import functions as F
+    from acadlake.sources import mirror
+    df = spark.range(4000).select(
+        F.when(F.col("id") < 3000, F.lit(2000)).otherwise(F.col("id")).cast("bigint").alias("ano"),
+        F.lit(1).cast("bigint").alias("semestre"), F.lit("T0").alias("turma"), F.lit("D1").alias("disciplina"),
+        F.col("id").alias("v"))
+    keys = ["ano", "semestre", "turma", "disciplina"]
+
+    def self_join_plan(t):
+        old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            return plan_text(t.join(t.select(*keys), keys))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+    hot = mirror.store(spark, "class", df, "hot-key-fixture")
+    assert hot.count() == 4000
+    assert "Exchange" in self_join_plan(hot)                    # shuffled: AQE can split the hot key
+    cool = mirror.store(spark, "class", df.withColumn("ano", F.col("v")), "cool-fixture")
+    assert "Exchange" not in self_join_plan(cool)               # bucketed: co-located
