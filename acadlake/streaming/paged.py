@@ -71,7 +71,13 @@ class PagedLoad:
         rows = rows.dropDuplicates([self.key])
         stored = self._read(self.target)
         if stored is not None:
-            rows = rows.join(stored.where(F.col(BATCH_COL) != F.lit(str(batch_id))).select(self.key), self.key, "left_anti")
+            # only stored keys inside this batch's key range can collide; the range predicate is
+            # pushed into the Parquet scan, so row groups outside it are skipped
+            lo, hi = rows.agg(F.min(self.key), F.max(self.key)).first()
+            if lo is not None:
+                others = stored.where((F.col(BATCH_COL) != F.lit(str(batch_id)))
+                                      & F.col(self.key).between(lo, hi)).select(self.key)
+                rows = rows.join(others, self.key, "left_anti")
         rows.write.mode("overwrite").parquet(f"{self.target}/{BATCH_COL}={batch_id}")
         pages.unpersist()
 
