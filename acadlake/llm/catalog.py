@@ -1,15 +1,18 @@
 """Registered queries of the training-data operators (name -> builder) and their DuckDB statements."""
 
-from acadlake.llm import chat, mixing, secrets, urls
+from acadlake.llm import chat, decontam, mixing, secrets, simhash, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op4_decontamination": decontam.op4_decontamination,
+    "op5_simhash_dedup": simhash.op5_simhash_dedup,
     "op7_secret_scans": secrets.op7_secret_scans,
     "op8_url_filters": urls.op8_url_filters,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
 ORACLES = {
+    "op4_decontamination": decontam.ORACLE,
     "op7_secret_scans": secrets.ORACLE,
     "op8_url_filters": urls.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
