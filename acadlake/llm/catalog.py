@@ -1,17 +1,22 @@
 """Registered queries of the training-data operators (name -> builder) and their DuckDB statements."""
 
-from acadlake.llm import chat, decontam, mixing, secrets, simhash, urls
+from acadlake.llm import chat, decontam, language, lm, mixing, secrets, simhash, topk, toxicity, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_language_id": language.op2_language_id,
+    "op3_topk_search": topk.op3_topk_search,
     "op4_decontamination": decontam.op4_decontamination,
     "op5_simhash_dedup": simhash.op5_simhash_dedup,
+    "op6_lm_scoring": lm.op6_lm_scoring,
     "op7_secret_scans": secrets.op7_secret_scans,
     "op8_url_filters": urls.op8_url_filters,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
 ORACLES = {
+    "op3_topk_search": topk.ORACLE,
     "op4_decontamination": decontam.ORACLE,
     "op7_secret_scans": secrets.ORACLE,
     "op8_url_filters": urls.ORACLE,
