@@ -132,7 +132,7 @@ class Automaton:
                 s = self.up[link[s]] if link[s] >= 0 else -1
             if widest:
                 start = i + 1 - widest
-                while spans and spans[-1][1] >= start:
+                while spans and spans[-1][1] > start:
                     start = min(start, spans.pop()[0])
                 spans.append((start, i + 1))
         return spans, names

@@ -1,18 +1,20 @@
 """Language-model scores by online logistic context mixing.
 
-A text is coded as a sequence of binary decisions.  Each token (word or end) of the ``TOP_WORDS`` most frequent
-training words is a path in a Huffman tree; other words are an escape followed by their bytes, each a path in a second
-Huffman tree (a blank ends the word).  So every text has a probability, and the total bits per byte follow from it.
+A text is coded as a sequence of binary decisions: each token (word or end) is a path in a Huffman tree over the end,
+an escape and the training words seen at least twice, ``TOP_WORDS`` of them at most.  An escape is followed by the
+word's share of all escaped training words, or by the share kept for unknown words (estimated from the words seen
+once).  Like the base score, the score takes all unknown words for one; the bits per byte add 8 bits for each of their
+bytes and one for their end, so that they are those of a whole code.
 
 For a decision at tree node x three predictors know how often it went either way in the training texts:
 
 * x itself;
-* x with the last of the ``TOPICS`` most frequent words before it (for bytes also the byte before), hashed;
-* x with the class of the word before it (for bytes the two bytes before), hashed.
+* x with the last of the ``TOPICS`` most frequent words before it, hashed;
+* x with the class of the word before it, hashed.
 
 Their counts fill fixed tables (``SLOTS`` entries each), summed over all training documents by Spark; they are reduced
 to a log-odds and a confidence per slot, which bounds what is broadcast.  A logistic mixer adds the three log-odds
-with weights chosen by gates (word or byte, confidence of both hashed predictors), and refines the weights online along
+with weights chosen by gates (the confidences of both hashed predictors), and refines the weights online along
 the text: each block of decisions is scored with the weights so far and then moves them along the gradient.  Every
 document starts from the same weights, which are fitted on at most ``FIT_ROWS`` training documents, so a score does
 not depend on partitions or order.
@@ -26,6 +28,7 @@ equal rows are scored one by one; a null id hashes as empty text; other columns
 from __future__ import annotations
 
 import heapq
+from dataclasses import dataclass
 from itertools import repeat
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,7 +45,7 @@ CHUNK = 1 << 14          # counts of a table that travel in one row
 FIT_ROWS = 256           # training documents for the starting weights
 RATE = 0.02
 END, ESCAPE, FIRST = 0, 1, 2
-GATES = 128
+GATES = 64
 
 
 def huffman(weights: list[int]):
@@ -76,10 +79,10 @@ def huffman(weights: list[int]):
 class Coder:
     """Turns words into decisions: tree node, two hashed contexts, bit."""
 
-    def __init__(self, words: list[tuple[bytes, int]], ends: int, rare: int, byte_counts: list[int]):
+    def __init__(self, words: list[tuple[bytes, int]], ends: int, rare: int):
         self.words, self.counts = words, [ends, rare] + [c for _, c in words]
-        self.tree, self.byte_tree = huffman(self.counts), huffman(byte_counts)
-        self.nodes = self.tree[4] + self.byte_tree[4]
+        self.tree = huffman(self.counts)
+        self.nodes = self.tree[4]
         self._ready = False
 
     def __getstate__(self):
@@ -97,15 +100,15 @@ class Coder:
         return self
 
     def tokens(self, words: list[bytes], final: bool):
-        """Ids of the words (and of the end), and the words that are spelled."""
+        """Ids of the words (and of the end), and the words that are escaped."""
         import numpy as np
 
         ids = np.fromiter(map(self.index.get, words, repeat(ESCAPE)), np.int32, len(words))
-        spelled = [words[i] for i in np.flatnonzero(ids == ESCAPE).tolist()]
-        return (np.append(ids, np.int32(END)) if final else ids), spelled
+        escaped = [words[i] for i in np.flatnonzero(ids == ESCAPE).tolist()]
+        return (np.append(ids, np.int32(END)) if final else ids), escaped
 
-    def decisions(self, ids, spelled: list[bytes], topic: int, before: int):
-        """(node, slot 1, slot 2, bit, is byte) arrays, and the topic and class that the next block starts with."""
+    def decisions(self, ids, topic: int, before: int):
+        """(node, slot 1, slot 2, bit) arrays, and the topic and class that the next block starts with."""
         import numpy as np
 
         where = np.where((ids >= FIRST) & (ids < FIRST + TOPICS), np.arange(len(ids)), -1)
@@ -117,19 +120,7 @@ class Coder:
         node, bit, of = _paths(self.tree, ids)
         one = _slot(node, topic_before[of], 0x9E3779B1)
         two = _slot(node, class_before[of], 0x85EBCA77)
-        n_word = len(node)
-        if spelled:
-            data = np.frombuffer(b" ".join(spelled) + b" ", np.uint8).astype(np.int32)
-            x, b, of = _paths(self.byte_tree, data)
-            x = x + np.int32(self.tree[4])
-            prev = np.concatenate([[32], data[:-1]]).astype(np.uint32)
-            prev2 = np.concatenate([[32, 32], data[:-2]])[:len(data)].astype(np.uint32)
-            prev2[prev == 32] = 32
-            of_word = np.repeat(topic_before[ids == ESCAPE], np.fromiter(map(len, spelled), np.int64, len(spelled)) + 1)
-            one = np.concatenate([one, _slot(x, (of_word << 8 | prev)[of], 0xC2B2AE3D)])
-            two = np.concatenate([two, _slot(x, (prev2 << 8 | prev)[of], 0x27D4EB2F)])
-            node, bit = np.concatenate([node, x]), np.concatenate([bit, b])
-        return (node, one, two, bit, n_word), int(topics[-1]), int(classes[-1])
+        return (node, one, two, bit), int(topics[-1]), int(classes[-1])
 
 
 def _paths(tree, ids):
@@ -154,15 +145,15 @@ def _slot(node, context, seed: int):
 
 
 def text_decisions(coder: Coder, text: bytes):
-    """Decisions of a whole text, a block of words at a time, with its words' ids and spelled words."""
+    """Decisions of a whole text, a block of words at a time, with its words' ids and escaped words."""
     topic, before, blocks = 0, 0, word_blocks(text.lower())
     words = next(blocks, [])
     while words is not None:
         after = next(blocks, None)
-        ids, spelled = coder.tokens(words, after is None)
+        ids, escaped = coder.tokens(words, after is None)
         if len(ids):
-            steps, topic, before = coder.decisions(ids, spelled, topic, before)
-            yield steps, ids, spelled
+            steps, topic, before = coder.decisions(ids, topic, before)
+            yield steps, ids, escaped
         words = after
 
 
@@ -194,38 +185,33 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_coder(counts: DataFrame, ends: int, top: int = TOP_WORDS) -> tuple[Coder, int]:
-    """The coder, and the count that a word needs to be in its tree.
+@dataclass(frozen=True)
+class Escaped:
+    """Counts of the words outside the tree."""
 
-    The number of words of each count decides; ``top`` words at most come to the driver.
-    """
+    least: int          # a word of the tree has this count or more
+    tokens: int
+    once: int           # words seen once, all of them outside
+
+    @property
+    def unknown(self) -> float:
+        """Share of the escapes that is kept for unknown words."""
+        return (self.once + 0.5) / (self.tokens + self.once + 1)
+
+
+def build_coder(counts: DataFrame, ends: int, top: int = TOP_WORDS) -> tuple[Coder, Escaped]:
+    """The number of words of each count decides what goes into the tree; ``top`` words at most come to the driver."""
     by_count = counts.groupBy("n").agg(F.count("*").alias("words"), F.sum("n").alias("tokens")).orderBy(F.desc("n"))
-    least, words, tokens, total = 1 << 62, 0, 0, 0
-    for r in by_count.collect():            # distinct counts: at most the root of twice the tokens
+    least, words, inside, total, once = 1 << 62, 0, 0, 0, 0
+    for r in by_count.toLocalIterator():    # distinct counts: at most the root of twice the tokens
         total += r.tokens
-        if words + r.words <= top and words >= 0:
-            words, tokens, least = words + r.words, tokens + r.tokens, r.n
-        else:
-            words = top + 1                 # no later count fits
+        once = r.words if r.n == 1 else once
+        words += r.words
+        if words <= top and r.n > 1:
+            least, inside = r.n, inside + r.tokens
     rows = counts.filter(F.col("n") >= least).select("word", "n").collect()
     chosen = sorted(((bytes(r.word), r.n) for r in rows), key=lambda x: (-x[1], x[0]))
-
-    def histogram(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        seen = np.zeros(256, np.int64)
-        for batch in batches:
-            for word, n in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
-                np.add.at(seen, np.frombuffer(word + b" ", np.uint8), n)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], ["byte", "n"])
-
-    spelled = counts.filter(F.col("n") < least).select("word", "n").mapInArrow(histogram, "byte bigint, n bigint")
-    byte_counts = [1] * 256
-    for r in spelled.groupBy("byte").agg(F.sum("n").alias("n")).collect():
-        byte_counts[r.byte] += r.n
-    return Coder(chosen, ends, total - tokens, byte_counts), least
+    return Coder(chosen, ends, total - inside), Escaped(least, total - inside, once)
 
 
 def _pack(counts, base: int):
@@ -341,7 +327,7 @@ def train_tables(docs: DataFrame, coder: Coder) -> Tables:
 
         for batch in batches:
             for text in utf8(batch.column(0)):
-                for (node, one, two, bit, _), _, _ in text_decisions(own, text or b""):
+                for (node, one, two, bit), _, _ in text_decisions(own, text or b""):
                     for k, x in enumerate((node, one, two)):
                         wait[k].append(2 * x + bit)
                     waiting += len(bit)
@@ -375,15 +361,13 @@ def mix_block(tables: Tables, weights, steps, rate: float = RATE, block: int = 1
     """log10 probability of the decisions; ``weights`` are refined on the way."""
     import numpy as np
 
-    node, one, two, bit, n_word = steps
+    node, one, two, bit = steps
     total, at, n = 0.0, 0, len(bit)
     while at < n:
         end = min(n, at + block)
         block = min(8192, 2 * block)
         a, b, c, y = node[at:end], one[at:end], two[at:end], bit[at:end]
         gate = tables.sure[1][b] * np.uint8(8) + tables.sure[2][c]
-        split = min(max(n_word - at, 0), end - at)
-        gate[split:] += np.uint8(64)
         x = np.empty((3, end - at), np.float32)
         np.multiply(tables.odds[0][a], np.float32(1 / 16), out=x[0])
         np.multiply(tables.odds[1][b], np.float32(1 / 16), out=x[1])
@@ -427,13 +411,13 @@ class Model:
 
         coder, weights = self.coder.ready(), self.weights.copy()
         score, n, known, base, left = 0.0, 0, 0, 0.0, []
-        for steps, ids, spelled in text_decisions(coder, text):
+        for steps, ids, escaped in text_decisions(coder, text):
             score += mix_block(self.tables, weights, steps)
             sure = ids[ids != ESCAPE]
             n += len(ids)
             known += len(sure) - int((sure == END).sum()) * (not self.known_end)
             base += float(self.base[sure].sum())
-            left += spelled
+            left += escaped
         return score, n, known, base, left
 
 
@@ -478,7 +462,7 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     training = docs.filter(learn).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     counts = cut_lineage(word_counts(training), "lm-counts")
     ends = training.count()
-    coder, least = build_coder(counts, ends, top)
+    coder, escaped = build_coder(counts, ends, top)
     all_ = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     model = Model(coder, train_tables(training, coder), all_.n + ends, all_.v + (ends > 0))
     picked = training.select(F.xxhash64(F.lit("lm"), F.col("doc_id")).alias("h"), "text").orderBy("h", "text")
@@ -488,18 +472,22 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     whole = float(model.train_tokens + model.distinct + 1)
     parts = scored.select("row", F.arrays_zip("words", "times").alias("w")).select("row", F.explode("w").alias("w"))
     parts = parts.select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    seldom = counts.filter(F.col("n") < least)
-    met = parts.join(seldom, "word", "left")
-    met = met.select("row", (F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(whole))).alias("base"),
-                     F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0).alias("n_known"))
-    met = met.groupBy("row").agg(F.sum("base").alias("more_base"), F.sum("n_known").alias("more_known"))
+    met = parts.join(counts.filter(F.col("n") < escaped.least), "word", "left")
+    known, times = F.col("n").isNotNull(), F.col("times")
+    share = F.when(known, F.lit((1 - escaped.unknown) / max(1, escaped.tokens)) * F.col("n")).otherwise(
+        F.lit(escaped.unknown))
+    met = met.select("row", (times * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(whole))).alias("base"),
+                     (times * F.log10(share)).alias("share"), F.when(known, times).otherwise(0).alias("known"),
+                     F.when(known, 0).otherwise(times * (8 * F.octet_length("word") + 8)).alias("spelling"))
+    met = met.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("base", "share", "known", "spelling")])
+    more = lambda c: F.coalesce(f"more_{c}", F.lit(0))
     out = scored.drop("words", "times").join(met, "row", "left")
-    bits = -F.col("score") / F.lit(0.30102999566398120)
-    return out.select("doc_id", "bytes", "n_tokens",
-                      (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+    out = out.withColumn("score", F.col("score") + more("share"))
+    bits = more("spelling") - F.col("score") / F.lit(0.30102999566398120)
+    return out.select("doc_id", "bytes", "n_tokens", (F.col("n_known") + more("known")).alias("n_known"),
                       F.lit(model.train_tokens).cast("long").alias("train_tokens"),
-                      (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"), "score",
-                      (bits / F.col("bytes")).alias("bits_per_byte"))
+                      (F.col("base") + more("base")).alias("base_score"), "score",
+                      F.try_divide(bits, F.col("bytes")).alias("bits_per_byte"))
 
 
 # ------------------------------------------------------------------------------------------ registered query
