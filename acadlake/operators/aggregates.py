@@ -69,20 +69,17 @@ def duplicate_members(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 
 def count_with_total(df: DataFrame, keys: list[str], name: str = "total_por_grupo",
                      total: str = "total_geral") -> DataFrame:
-    """Count per group beside the grand total (window over the grouped rows only)."""
+    """Count per group beside the grand total (one scalar)."""
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    return g.withColumn(total, F.sum(name).over(Window.partitionBy()).cast("bigint"))
+    everything = df.agg(F.count(F.lit(1))).first()[0]
+    return g.withColumn(total, F.lit(everything).cast("bigint"))
 
 
 def pivot_counts(df: DataFrame, row: str, col: str, values: list[str]) -> DataFrame:
-    """A10: row x level matrix of counts (fixed pivot values, one pass) + row total."""
-    out = df.groupBy(row).pivot(col, values).agg(F.count(F.lit(1)))
-    for v in values:
-        out = out.withColumn(v, F.coalesce(F.col(v), F.lit(0)).cast("bigint"))
-    total = None
-    for v in values:
-        total = F.col(v) if total is None else total + F.col(v)
-    return out.withColumn("total", total.cast("bigint"))
+    """A10: row x level matrix of counts (one pass); the total counts every row, also those
+    whose level is NULL or not listed."""
+    return df.groupBy(row).agg(*[F.count_if(F.col(col) == v).cast("bigint").alias(v) for v in values],
+                               F.count(F.lit(1)).cast("bigint").alias("total"))
 
 
 def first_non_blank(df: DataFrame, keys: list[str], value: str, pos: str, name: str | None = None) -> DataFrame:

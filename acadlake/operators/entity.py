@@ -10,22 +10,22 @@ name is the longest cleaned name of the group (first on ties).
 Spark plan:
 1. rows with the same comparison key always share a group (ratio 100), so the
    work runs on distinct keys, each carrying its first position;
-2. candidate pairs by prefix filtering: a pair with ratio >= T needs
-   |la - lb| <= d and shares at least max(la, lb) - 1 - 2d bigrams
-   (d = floor((100 - T) * (la + lb) / 100) indel operations), hence each key
-   indexes only its 2*floor(2 * (100 - T) * la / 100) + 1 rarest bigrams, and two keys
-   that can match share one of them; token groups are further split by
-   geometric length band (partners sit in the same or an adjacent band), so a
-   frequent token only pairs length-compatible keys.  No candidate is dropped:
-   the filters are proofs, not caps.  (Thresholds where the bound reaches zero fall back to a
-   length-band join for the affected keys.)
-3. candidates are verified with an exact LCS (bit-parallel, Arrow UDF) and an
-   integer test 200 * LCS >= T * (la + lb);
-4. the sequential greedy pass is the lexicographically first maximal
-   independent set of the similarity graph in input order; it is computed in
-   synchronous rounds (a key becomes leader when no earlier neighbour is
-   undecided or leader; it joins the earliest leader neighbour once every
-   neighbour before that leader is decided), checkpointing each round.
+2. candidate pairs by prefix filtering: an alignment with x deletions and y
+   insertions (d = x + y) keeps at least la - 1 - 2x - y of the la - 1 bigrams,
+   which is (la + lb) / 2 - 1 - 3d / 2, and a pair with ratio >= T has
+   d <= floor((100 - T) * (la + lb) / 100) of the parity of la + lb.  A key takes
+   the least such bound over every admissible partner length, and indexes its
+   rarest bigrams up to it; two keys that match share one of them.  Token groups
+   are further split by geometric length band (partners sit in the same or an
+   adjacent band).  No candidate is dropped: the filters are proofs, not caps.
+   (Keys whose bound is below 1 fall back to a length-band join.)
+3. candidates must then share as many bigrams (counted with repeats) as their own
+   two lengths ask for; what is left is verified with an exact LCS (bit-parallel,
+   Arrow UDF) and an integer test 200 * LCS >= T * (la + lb);
+4. the sequential greedy pass is the lexicographically first maximal independent
+   set of the similarity graph in input order, computed in rounds: a key without
+   an earlier neighbour left becomes a leader, a key whose earliest neighbour left
+   is a leader joins it.  A round keeps only undecided keys and their edges.
 """
 
 from __future__ import annotations
@@ -68,26 +68,38 @@ def _max_ops(total, t: int):
     return F.floor(F.lit(100 - t) * total / 100)
 
 
+def _least_overlap(total, t: int):
+    """Bigrams that two keys of together ``total`` characters share if their ratio is >= t."""
+    ops = _max_ops(total, t)
+    ops = ops - (total - ops) % 2                       # as many operations as the lengths allow have their parity
+    return F.ceil(total / 2 - 1 - 1.5 * ops)
+
+
+def _numbered_bigrams(chave):
+    """Bigrams with occurrence numbers: intersections of these sets count repeats."""
+    gram = lambda i: F.substring(chave, i, Q)
+    at = F.when(F.length(chave) >= Q, F.sequence(F.lit(1), F.length(chave) - Q + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: F.concat(gram(i), F.lit("#"), F.size(
+        F.filter(F.sequence(F.lit(1), i), lambda j: gram(j) == gram(i))).cast("string")))
+
+
 def similar_pairs(keys: DataFrame, threshold: int = 90) -> DataFrame:
     """Edges (a_pos < b_pos) between distinct keys with ratio >= threshold.
 
     ``keys``: columns ``chave`` (comparison key) and ``pos`` (first position).
     """
-    k = keys.withColumn("len", F.length("chave"))
-    # bigrams with occurrence numbers -> a set whose intersections count multiset overlap
-    grams = k.where(F.col("len") >= Q).select(
-        "chave", "pos", "len",
-        F.posexplode(F.transform(F.sequence(F.lit(1), F.col("len") - Q + 1),
-                                 lambda i: F.substring(F.col("chave"), i, Q))).alias("i", "g"))
-    occ = Window.partitionBy("chave", "g").orderBy("i")
-    grams = grams.withColumn("tok", F.concat(F.col("g"), F.lit("#"), F.row_number().over(occ).cast("string")))
+    k = keys.withColumn("len", F.length("chave")).withColumn("toks", _numbered_bigrams(F.col("chave")))
+    low = F.greatest(F.lit(0), F.ceil(F.col("len") * threshold / (200 - threshold)).cast("int"))
+    high = F.floor(F.col("len") * (200 - threshold) / threshold).cast("int")
+    bound = F.array_min(F.transform(F.sequence(low, high), lambda n: _least_overlap(F.col("len") + n, threshold)))
+    k = cut_lineage(k.withColumn("tau", bound))
+    grams = k.select("pos", F.explode("toks").alias("tok"))
     freq = grams.groupBy("tok").agg(F.count(F.lit(1)).alias("df"))
     # per key: the rarest tokens first; keep the prefix that the overlap bound requires
-    tau_min = F.col("len") - 1 - 2 * _max_ops(2 * F.col("len"), threshold)
     ranked = grams.join(freq, "tok").withColumn(
-        "r", F.row_number().over(Window.partitionBy("chave").orderBy("df", "tok")))
-    prefix_len = (F.col("len") - Q + 1) - tau_min + 1
-    prefix = ranked.where((tau_min >= 1) & (F.col("r") <= prefix_len)).select("tok", "pos", "chave", "len")
+        "r", F.row_number().over(Window.partitionBy("pos").orderBy("df", "tok")))
+    prefix = ranked.join(k, "pos").where((F.col("tau") >= 1) & (F.col("r") <= F.col("len") - Q + 1 - F.col("tau") + 1)) \
+        .select("tok", "pos", "chave", "len", "toks")
     # split each token group by geometric length band: partners differ in length by at most a
     # factor (200 - T) / T, i.e. sit in the same or an adjacent band, so a key registers under its
     # own band and probes the neighbouring ones (a hot token only pairs length-compatible keys)
@@ -96,65 +108,75 @@ def similar_pairs(keys: DataFrame, threshold: int = 90) -> DataFrame:
         band = F.floor(F.log(F.col("len").cast("double")) / math.log(ratio)).cast("int")
     else:
         band = F.col("len")
+    near = lambda side: [F.col(f"{side}.{c}").alias(f"{side}_{c}") for c in ("pos", "chave", "len", "toks")]
     a = prefix.withColumn("band", band).alias("a")
     b = prefix.withColumn("probe", F.explode(F.array(band - 1, band, band + 1))).alias("b")
     cand = (a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.band") == F.col("b.probe"))
-                   & (F.col("a.pos") < F.col("b.pos")))
-            .select(F.col("a.pos").alias("a_pos"), F.col("a.chave").alias("a_chave"), F.col("a.len").alias("a_len"),
-                    F.col("b.pos").alias("b_pos"), F.col("b.chave").alias("b_chave"), F.col("b.len").alias("b_len"))
-            .distinct())
-    # keys whose bound is empty (only for low thresholds): compare within the admissible length band
-    weak = k.where((F.col("len") - 1 - 2 * _max_ops(2 * F.col("len"), threshold)) < 1).select(
-        "chave", "pos", "len",
-        F.explode(F.sequence(F.ceil(F.col("len") * threshold / (200 - threshold)).cast("int"),
-                             F.floor(F.col("len") * (200 - threshold) / threshold).cast("int"))).alias("plen"))
-    wa, wb = weak.alias("wa"), k.alias("wb")
-    banded = (wa.join(wb, (F.col("wa.plen") == F.col("wb.len")) & (F.col("wa.pos") != F.col("wb.pos")))
-            .select(F.least("wa.pos", "wb.pos").alias("a_pos"),
-                    F.when(F.col("wa.pos") < F.col("wb.pos"), F.col("wa.chave")).otherwise(F.col("wb.chave")).alias("a_chave"),
-                    F.when(F.col("wa.pos") < F.col("wb.pos"), F.col("wa.len")).otherwise(F.col("wb.len")).alias("a_len"),
-                    F.greatest("wa.pos", "wb.pos").alias("b_pos"),
-                    F.when(F.col("wa.pos") < F.col("wb.pos"), F.col("wb.chave")).otherwise(F.col("wa.chave")).alias("b_chave"),
-                    F.when(F.col("wa.pos") < F.col("wb.pos"), F.col("wb.len")).otherwise(F.col("wa.len")).alias("b_len")))
-    cand = cand.unionByName(banded).distinct()
-    total = F.col("a_len") + F.col("b_len")
-    cand = cand.where(F.abs(F.col("a_len") - F.col("b_len")) <= _max_ops(total, threshold))
+                   & (F.col("a.pos") < F.col("b.pos")) & _may_match(threshold, "a.", "b."))
+            .select(*near("a"), *near("b")).drop("a_toks", "b_toks"))
+    # keys whose bound is below 1: compare within the admissible length band
+    weak = k.where(F.col("tau") < 1).select("chave", "pos", "len", "toks", F.explode(F.sequence(low, high)).alias("plen"))
+    banded = (weak.alias("a").join(k.alias("b"), (F.col("a.plen") == F.col("b.len")) & (F.col("a.pos") != F.col("b.pos"))
+                                   & _may_match(threshold, "a.", "b."))
+              .select(*near("a"), *near("b")).drop("a_toks", "b_toks"))
+    swap = F.col("a_pos") > F.col("b_pos")
+    ordered = [F.when(swap, F.col(f"{y}_{c}")).otherwise(F.col(f"{x}_{c}")).alias(f"{x}_{c}")
+               for x, y in (("a", "b"), ("b", "a")) for c in ("pos", "chave", "len")]
+    cand = cand.unionByName(banded.select(*ordered)).dropDuplicates(["a_pos", "b_pos"])
     scored = cand.withColumn("lcs", lcs_udf("a_chave", "b_chave"))
+    total = F.col("a_len") + F.col("b_len")
     return scored.where(200 * F.col("lcs") >= F.lit(threshold) * total).select("a_pos", "b_pos")
 
 
+def _may_match(threshold: int, x: str, y: str):
+    """Length difference and shared bigrams (with repeats) that a pair above the threshold must have."""
+    total = F.col(f"{x}len") + F.col(f"{y}len")
+    shared = F.size(F.array_intersect(f"{x}toks", f"{y}toks"))
+    return ((F.abs(F.col(f"{x}len") - F.col(f"{y}len")) <= _max_ops(total, threshold))
+            & (shared >= _least_overlap(total, threshold)))
+
+
 def greedy_leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Sequential greedy grouping in rounds: ``nodes(pos)``, ``edges(a_pos < b_pos)`` ->
-    ``(pos, lider)`` where ``lider`` is the leader position of the node's group."""
-    state = nodes.select("pos", F.lit("U").alias("st"), F.lit(None).cast("long").alias("lider"))
-    state = cut_lineage(state)
-    while True:
-        undecided = state.where(F.col("st") == "U")
-        if undecided.isEmpty():
-            return state.select("pos", F.when(F.col("st") == "L", F.col("pos")).otherwise(F.col("lider")).alias("lider"))
-        # statuses of each undecided node's earlier neighbours
-        e = edges.join(undecided.select(F.col("pos").alias("b_pos")), "b_pos", "left_semi")
-        e = e.join(state.select(F.col("pos").alias("a_pos"), F.col("st").alias("a_st")), "a_pos")
-        agg = e.groupBy("b_pos").agg(
-            F.min(F.when(F.col("a_st") == "U", F.col("a_pos"))).alias("min_u"),
-            F.min(F.when(F.col("a_st") == "L", F.col("a_pos"))).alias("min_l"))
-        nxt = state.join(agg.withColumnRenamed("b_pos", "pos"), "pos", "left")
-        undec = F.col("st") == "U"
-        becomes_leader = undec & F.col("min_u").isNull() & F.col("min_l").isNull()
-        becomes_member = undec & F.col("min_l").isNotNull() & (F.col("min_u").isNull() | (F.col("min_u") > F.col("min_l")))
-        nxt = nxt.select(
-            "pos",
-            F.when(becomes_leader, F.lit("L")).when(becomes_member, F.lit("M")).otherwise(F.col("st")).alias("st"),
-            F.when(becomes_member, F.col("min_l")).otherwise(F.col("lider")).alias("lider"))
-        state = cut_lineage(nxt)
+    ``(pos, lider)`` where ``lider`` is the leader position of the node's group.
+
+    A round decides at least the first node of every component that is left, and passes on only
+    undecided nodes and the edges that can still decide them."""
+    left = cut_lineage(nodes.select("pos"))
+    open_ = edges.select("a_pos", "b_pos", F.lit(False).alias("a_lider"))
+    done = None
+    while not left.isEmpty():
+        first = open_.groupBy("b_pos").agg(F.min(F.struct("a_pos", "a_lider")).alias("f"))
+        state = left.join(first, left["pos"] == first["b_pos"], "left").select(
+            "pos", F.when(F.col("f").isNull(), F.col("pos")).when(F.col("f.a_lider"), F.col("f.a_pos")).alias("lider"))
+        state = cut_lineage(state)
+        new = state.where(F.col("lider").isNotNull())
+        done = new if done is None else done.unionByName(new)
+        left = state.where(F.col("lider").isNull()).select("pos")
+        still = open_.join(left.withColumnRenamed("pos", "b_pos"), "b_pos", "left_semi")
+        now = new.select(F.col("pos").alias("a_pos"), (F.col("pos") == F.col("lider")).alias("leads"))
+        # an edge from a member decides nothing; an edge from a leader may
+        open_ = cut_lineage(still.join(now, "a_pos", "left").where(F.col("leads").isNull() | F.col("leads"))
+                            .select("a_pos", "b_pos", (F.col("a_lider") | F.coalesce("leads", F.lit(False))).alias("a_lider")))
+    return done if done is not None else nodes.select("pos", F.col("pos").alias("lider"))
+
+
+def named_keys(df: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """cleaned name ``limpo`` and comparison key ``chave`` of every row."""
+    rows = df.select(id_col, name_col).withColumn(
+        "limpo", strip_year_suffix(F.coalesce(F.col(name_col).cast("string"), F.lit("nan"))))
+    return rows.withColumn("chave", comparison_key("limpo"))
+
+
+def distinct_keys(rows: DataFrame, id_col: str) -> DataFrame:
+    """Distinct comparison keys with the position of their first row."""
+    return rows.groupBy("chave").agg(F.min(id_col).alias("pos"))
 
 
 def fuzzy_groups(df: DataFrame, id_col: str, name_col: str, threshold: int = 90) -> DataFrame:
     """Q7: every input row with its group id (1-based, leader order) and suggested name."""
-    rows = df.select(id_col, name_col).withColumn(
-        "limpo", strip_year_suffix(F.coalesce(F.col(name_col).cast("string"), F.lit("nan"))))
-    rows = rows.withColumn("chave", comparison_key("limpo"))
-    keys = rows.groupBy("chave").agg(F.min(id_col).alias("pos"))
+    rows = named_keys(df, id_col, name_col)
+    keys = cut_lineage(distinct_keys(rows, id_col))
     edges = cut_lineage(similar_pairs(keys, threshold))
     leaders = greedy_leaders(keys.select("pos"), edges)
     key_leader = keys.join(leaders, "pos").select("chave", "lider")

@@ -114,11 +114,14 @@ def guarded_delete(target: DataFrame, live_keys: DataFrame, keys: list[str], max
 
 
 def changed_by_stamp(target: DataFrame, source: DataFrame, keys: list[str], stamp: str) -> DataFrame:
-    """M7: source rows that are new or whose (normalised) change stamp differs (NULL-safe)."""
-    t = target.select(*keys, F.col(stamp).alias("__old"))
+    """M7: source rows that are new or whose (normalised) change stamp differs (NULL-safe).
+
+    A marker column tells a new key from a stored row without stamp."""
+    t = target.select(*keys, F.col(stamp).alias("__old"), F.lit(True).alias("__t"))
     j = source.join(t, keys, "left")
-    return (j.where(~F.col(stamp).eqNullSafe(F.col("__old")))
-            .withColumn("acao", F.when(F.col("__old").isNull(), "insert").otherwise("update")).drop("__old"))
+    new = F.col("__t").isNull()
+    return (j.where(new | ~F.col(stamp).eqNullSafe(F.col("__old")))
+            .withColumn("acao", F.when(new, "insert").otherwise("update")).drop("__old", "__t"))
 
 
 def mark_and_sweep(target: DataFrame, source: DataFrame, keys: list[str], null_safe: tuple = (),

@@ -16,7 +16,7 @@ from acadlake.plans import products as P
 from acadlake.plans import worklists as WL
 from acadlake.plans.catalog_products import ORACLES as PRODUCT_ORACLES
 from acadlake.plans.oracle_sql import q, strip, with_views
-from acadlake.session import scratch_path
+from acadlake.session import scratch_path, source_state
 from acadlake.sources import landing as L
 from acadlake.sources import sinks as KS
 from acadlake.streaming.paged import PagedLoad
@@ -57,13 +57,15 @@ def _api_events(d):
 _LANDED: dict = {}
 
 
-def _land(spark, d, label):
-    """Stage the events extract as landing pages once per session and data folder
-    (it stands for the API extract; loads never modify it)."""
-    key = (id(spark), d.sf_dir, spark.conf.get("spark.checkpoint.dir"))
+def _land(spark, d):
+    """Stage the events extract as landing pages once per application and state of the source
+    (it stands for the API extract; loads never modify it).  A page behind the end, with a key
+    that no event has, lands first."""
+    key = source_state(spark, d.sf_dir, "events")
     if key not in _LANDED:
         root = scratch_path(spark, "landing")
-        L.land_pages(_api_events(d), root, [F.col("eventId").asc()], PAGE_SIZE, bare_every=5)
+        L.land_pages(_api_events(d), root, [F.col("eventId").asc()], PAGE_SIZE, bare_every=5,
+                     stray_after_end={"eventId": 1 << 40, "eventType": "click"})
         _LANDED[key] = root
     return _LANDED[key]
 
@@ -75,7 +77,7 @@ _EVENTS_ORACLE = """SELECT event_id, user_id, CASE WHEN event_id % 7 = 0 THEN up
 @register("paged_landing", with_views(_EVENTS_ORACLE))
 def q_paged_landing(spark, sf):
     d = domain(spark, sf)
-    root = _land(spark, d, "landing")
+    root = _land(spark, d)
     rows = L.read_pages(spark, root, API_EVENT)          # declared schema: 'props' dropped, 'canal' NULL (S8)
     rows = L.rename_fields(rows, RENAMES, fallbacks={"event_type": ["tipoPref", "eventType"]})   # S9
     return rows.select("event_id", "user_id", "event_type", "valor", "momento", "canal")
@@ -98,7 +100,8 @@ def q_sheet_ingest(spark, sf):
 def q_pruned_scan(spark, sf):
     d = domain(spark, sf)
     path = scratch_path(spark, "enrol_by_period")
-    d.enrol.write.mode("overwrite").partitionBy("ano", "semestre").parquet(path)
+    # one task writes a period's files
+    d.enrol.repartition("ano", "semestre").write.mode("overwrite").partitionBy("ano", "semestre").parquet(path)
     return L.pruned_scan(spark, path, d.enrol.schema, ano=1998, semestre=2).select(*d.enrol.columns)
 
 
@@ -243,20 +246,39 @@ def _stream_rows(df):
     return df.select("event_id", "user_id", "event_type", "valor")
 
 
+_LOADED: dict = {}
+
+
+def _loaded(spark, d):
+    """The events table as the stream has loaded it, once per application and state of the source."""
+    key = source_state(spark, d.sf_dir, "events")
+    if key not in _LOADED:
+        load = _loader(spark, _land(spark, d), "stream-target")
+        load.run()
+        _LOADED[key] = load
+    return _LOADED[key]
+
+
 @register("paged_stream", with_views(STREAM_ORACLE))
 def q_paged_stream(spark, sf):
+    load = _loaded(spark, domain(spark, sf))
+    load.run()                     # resume: nothing new, nothing duplicated
+    return _stream_rows(load.result())
+
+
+@register("paged_reset", with_views(STREAM_ORACLE))
+def q_paged_reset(spark, sf):
     d = domain(spark, sf)
-    root = _land(spark, d, "stream-landing")
-    load = _loader(spark, root, "stream-target")
+    load = _loader(spark, _land(spark, d), "reset-target")
     load.run()
-    load.run()                     # resume: nothing new, nothing duplicated
+    load.run(reset=True)           # T3: everything once more, into fresh folders
     return _stream_rows(load.result())
 
 
 @register("bounded_increment", with_views(STREAM_ORACLE))
 def q_bounded_increment(spark, sf):
     d = domain(spark, sf)
-    root = _land(spark, d, "bounded-landing")
+    root = _land(spark, d)
     load = _loader(spark, root, "bounded-target")
     state = scratch_path(spark, "bounded-state")
     n_pages = d.events.count() // PAGE_SIZE + 3
@@ -272,11 +294,7 @@ def q_bounded_increment(spark, sf):
 
 @register("high_water", with_views("SELECT max(event_id) AS ultima_chave FROM events WHERE event_type <> 'error'"))
 def q_high_water(spark, sf):
-    d = domain(spark, sf)
-    root = _land(spark, d, "hw-landing")
-    load = _loader(spark, root, "hw-target")
-    load.run()
-    return load.high_water()
+    return _loaded(spark, domain(spark, sf)).high_water()
 
 
 @register("mirror_refresh", with_views("""

@@ -148,18 +148,22 @@ _STAMP_TXT = ("strftime(make_timestamp(CAST(CASE WHEN {x} > 1e12 THEN {x} / 1000
 
 def _stamp_versions(spark, sf):
     s = domain(spark, sf).student.select("aluno", "nome_compl", "stamp_atualizacao")
-    stored = s.select("aluno", S.epoch_to_text("stamp_atualizacao").alias("stamp"))
-    changed = F.when(F.col("aluno").cast("bigint") % 5 == 0, F.col("stamp_atualizacao") + 86400000) \
+    n = F.col("aluno").cast("bigint")
+    # the store lacks every ninth student and the stamp of every seventh
+    stored = s.where(n % 9 != 0).select("aluno", F.when(n % 7 != 0, S.epoch_to_text("stamp_atualizacao")).alias("stamp"))
+    # a fifth changed; some come without stamp, new ones among them
+    changed = F.when(n % 6 == 0, None).when(n % 5 == 0, F.col("stamp_atualizacao") + 86400000) \
         .otherwise(F.col("stamp_atualizacao"))
     extract = s.select("aluno", "nome_compl", S.epoch_to_text(changed).alias("stamp"))
     return stored, extract
 
 
 @register("stamp_incremental", with_views(f"""
-SELECT e.aluno, e.nome_compl, e.stamp, CASE WHEN t.stamp IS NULL THEN 'insert' ELSE 'update' END AS acao
-FROM (SELECT aluno, nome_compl, {_STAMP_TXT.format(x="CASE WHEN CAST(aluno AS BIGINT) % 5 = 0 THEN stamp_atualizacao + 86400000 ELSE stamp_atualizacao END")} AS stamp FROM student) e
-LEFT JOIN (SELECT aluno, {_STAMP_TXT.format(x='stamp_atualizacao')} AS stamp FROM student) t ON e.aluno = t.aluno
-WHERE e.stamp IS DISTINCT FROM t.stamp"""))
+SELECT e.aluno, e.nome_compl, e.stamp, CASE WHEN t.aluno IS NULL THEN 'insert' ELSE 'update' END AS acao
+FROM (SELECT aluno, nome_compl, {_STAMP_TXT.format(x="CASE WHEN CAST(aluno AS BIGINT) % 6 = 0 THEN NULL WHEN CAST(aluno AS BIGINT) % 5 = 0 THEN stamp_atualizacao + 86400000 ELSE stamp_atualizacao END")} AS stamp FROM student) e
+LEFT JOIN (SELECT aluno, CASE WHEN CAST(aluno AS BIGINT) % 7 <> 0 THEN {_STAMP_TXT.format(x='stamp_atualizacao')} END AS stamp
+  FROM student WHERE CAST(aluno AS BIGINT) % 9 <> 0) t ON e.aluno = t.aluno
+WHERE t.aluno IS NULL OR e.stamp IS DISTINCT FROM t.stamp"""))
 def q_stamp_incremental(spark, sf):
     stored, extract = _stamp_versions(spark, sf)
     return M.changed_by_stamp(stored, extract, ["aluno"], "stamp")

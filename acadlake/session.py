@@ -8,6 +8,7 @@ only the settings that are unset get a default here (``ensure_defaults``).
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,13 +72,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and versioned tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, fault
-    tolerant folder there).  Only when it is unset, as in tests, a folder under
-    the system temp directory is chosen.
+    tolerant folder there).  Only when it is unset on a local master, as in tests,
+    a folder under the system temp directory is chosen; any other master fails.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder: executors of "
+                               f"{master} do not see each other's disks")
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "acadlake-checkpoints")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -91,6 +96,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/acadlake/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def source_state(spark: SparkSession, sf_dir: str, *tables: str) -> tuple:
+    """A key for things derived from tables: application, checkpoint folder, and the input files
+    with their lengths and times (read through Spark's file system, so any store works)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    files = []
+    for name in tables:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            continue
+        for status in fs.listStatus(path):
+            files.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return (spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None), sf_dir, tuple(sorted(files)))
+
+
 def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
     """Cut lineage through a Parquet table written in the shared checkpoint folder.
 

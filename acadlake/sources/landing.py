@@ -1,13 +1,16 @@
 """Sources and scans.
 
-Landing data arrives as paged JSON files (one file per page): either an
-envelope ``{"data": [...]}`` or a bare JSON list; the end of the table is the
-first empty page.  Everything is read with a declared schema (never inferred),
+Landing data arrives as pages: one text line per page, the page number, a tab
+and the body (an envelope ``{"data": [...]}`` or a bare JSON list); a file holds
+up to ``PAGES_PER_FILE`` consecutive pages, in a folder per such range.  The end
+of the table is the first empty page, whatever order pages arrive in.  Everything is read with a declared schema (never inferred),
 so unknown fields are dropped and absent ones are NULL (S8).
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,15 +18,19 @@ from pyspark.sql import types as T
 from acadlake.operators import ordering as O
 
 PAGE_COL = "pagina"
+RANGE_COL = "faixa"
+PAGES_PER_FILE = 256
+LANDED = T.StructType([T.StructField("value", T.StringType()), T.StructField(RANGE_COL, T.LongType())])
 
 
 def land_pages(df: DataFrame, root: str, order: list, page_size: int = 100, bare_every: int = 0,
-               stray_after_end: bool = True) -> int:
-    """Write ``df`` as paged landing files (used to stage API extracts and in tests).
+               stray_after_end: dict | None = None) -> int:
+    """Write ``df`` as landing pages (used to stage API extracts and in tests).
 
     Pages hold ``page_size`` records in ``order``; every ``bare_every``-th page is a bare
-    list, the others an envelope; an empty page closes the table, and (optionally) a
-    stray page after it checks that readers stop at the first empty page.
+    list, the others an envelope; an empty page closes the table.  ``stray_after_end`` maps
+    columns to values of one more record, on a page behind the end that lands before all
+    others: readers must leave it out.
     Page contents are bounded by ``page_size``, so collecting a page is safe.
     Returns the number of data pages.
     """
@@ -33,31 +40,38 @@ def land_pages(df: DataFrame, root: str, order: list, page_size: int = 100, bare
     pages = paged.groupBy(PAGE_COL).agg(F.sort_array(F.collect_list(F.struct(F.col("__seq"), rec.alias("r"))))
                                         .alias("__rows"))
     pages = pages.select(PAGE_COL, F.transform("__rows", lambda x: x["r"]).alias("data"))
-    n_pages = int(pages.agg(F.count(F.lit(1))).first()[0])
     bare = (F.col(PAGE_COL) % bare_every == bare_every - 1) if bare_every else F.lit(False)
     text = F.when(bare, F.to_json(F.col("data"))).otherwise(F.to_json(F.struct("data")))
-    lines = pages.select(PAGE_COL, text.alias("value"))
+    total = int(df.agg(F.count(F.lit(1))).first()[0])
+    n_pages = -(-total // page_size)
     spark = df.sparkSession
-    tail = [(n_pages, '{"data": []}')]
-    if stray_after_end:
-        tail.append((n_pages + 1, None))
-    tail_df = spark.createDataFrame(tail, f"{PAGE_COL} bigint, value string")
+
+    def write(lines: DataFrame) -> None:
+        out = lines.select(F.floor(F.col(PAGE_COL) / PAGES_PER_FILE).alias(RANGE_COL),
+                           F.concat(F.col(PAGE_COL).cast("string"), F.lit("\t"), F.col("value")).alias("value"))
+        out.repartition(RANGE_COL).write.mode("append").partitionBy(RANGE_COL).text(root)
+
     if stray_after_end:
-        first = lines.where(F.col(PAGE_COL) == 0).select(F.lit(n_pages + 1).cast("bigint").alias(PAGE_COL), "value")
-        tail_df = tail_df.where(F.col("value").isNotNull()).unionByName(first)
-    lines.unionByName(tail_df).repartition(PAGE_COL).write.mode("overwrite").partitionBy(PAGE_COL).text(root)
+        body = json.dumps({"data": [stray_after_end]})
+        write(spark.createDataFrame([(n_pages + 1, body)], f"{PAGE_COL} bigint, value string"))
+    end = spark.createDataFrame([(n_pages, '{"data": []}')], f"{PAGE_COL} bigint, value string")
+    write(pages.select(PAGE_COL, text.alias("value")).unionByName(end))
     return n_pages
 
 
+def split_pages(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Landing lines -> (page number, records)."""
+    at = F.locate("\t", F.col("value"))
+    body = F.expr("substring(value, locate('\t', value) + 1)")
+    env = T.StructType([T.StructField("data", T.ArrayType(schema))])
+    lines = lines.select(F.substring(F.col("value"), F.lit(1), at - 1).cast("bigint").alias(PAGE_COL), body.alias("body"))
+    return lines.select(PAGE_COL, F.when(F.ltrim("body").startswith("["), F.from_json("body", T.ArrayType(schema)))
+                        .otherwise(F.from_json("body", env)["data"]).alias("data"))
+
+
 def read_pages(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
     """Read landed pages (envelope or bare list), stop at the first empty page."""
-    raw = spark.read.text(root)          # one line per page file; page number from the folder
-    env_schema = T.StructType([T.StructField("data", T.ArrayType(schema))])
-    trimmed = F.ltrim(F.col("value"))
-    rows = raw.select(
-        F.col(PAGE_COL).cast("bigint").alias(PAGE_COL),
-        F.when(trimmed.startswith("["), F.from_json("value", T.ArrayType(schema)))
-        .otherwise(F.from_json("value", env_schema)["data"]).alias("data"))
+    rows = split_pages(spark.read.schema(LANDED).text(root), schema)
     # the first empty page ends the table (one scalar, computed once)
     end = rows.where(F.size("data") == 0).agg(F.min(PAGE_COL)).first()[0]
     if end is not None:
@@ -85,12 +99,6 @@ def rename_fields(df: DataFrame, mapping: dict[str, str], fallbacks: dict | None
     return out
 
 
-def declared_projection(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Keep the declared columns (absent -> NULL of the declared type), drop the rest."""
-    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
-
-
 def read_sheet(spark: SparkSession, path: str, names: list[str], sep: str = ",") -> DataFrame:
     """Delimited sheet, all text, positional rename, blank cells -> NULL."""
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])

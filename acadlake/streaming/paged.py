@@ -1,16 +1,16 @@
 """Checkpointed paged loads (T1-T5) with Structured Streaming.
 
-Landing pages (see ``acadlake.sources.landing``) are consumed by a file
-stream, ``pages_per_batch`` page files per micro-batch (``maxFilesPerTrigger``), with
-``trigger(availableNow=True)``; progress lives in the stream checkpoint, so a
-restart resumes after the last committed page and a second run adds nothing.
-
-``foreachBatch`` is made idempotent: each batch is written to its own
-``lote=<batch id>`` folder with mode overwrite (a retried batch replaces its
-own partial output) and keys already stored by *other* batches are removed
-with an anti join on the key column only (T5, exactly-once per key).
-The first empty page ends the table: its number is kept in a one-row marker
-table and later pages are ignored.
+Landing files (see ``acadlake.sources.landing``) are consumed by a file stream,
+``files_per_batch`` files of many pages per micro-batch (``maxFilesPerTrigger``),
+with ``trigger(availableNow=True)``; progress lives in the stream checkpoint, so a
+restart resumes after the last committed file and a second run adds nothing.
+
+``foreachBatch`` is idempotent: a batch writes its rows, with their page numbers,
+to its own ``lote=<batch id>`` folder with mode overwrite, so a retried batch
+replaces its own partial output; an empty page is stored as one marked row.  A
+batch's work grows with the batch only.  Readers cut the table at the first empty
+page, in whatever order pages arrived, and keep one row per key, that of the
+lowest page (T5).
 """
 
 from __future__ import annotations
@@ -20,74 +20,54 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acadlake.sources.landing import PAGE_COL
+from acadlake.operators import ordering as O
+from acadlake.sources.landing import LANDED, PAGE_COL, PAGES_PER_FILE, RANGE_COL, split_pages
 
 BATCH_COL = "lote"
-PAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType()), T.StructField(PAGE_COL, T.LongType())])
+EMPTY_COL = "pagina_vazia"
 
 
 class PagedLoad:
     def __init__(self, spark: SparkSession, landing: str, target: str, checkpoint: str,
-                 schema: T.StructType, key: str, keep: Column | None = None, pages_per_batch: int = 100):
+                 schema: T.StructType, key: str, keep: Column | None = None, files_per_batch: int = 8):
         self.spark, self.landing, self.target = spark, landing.rstrip("/"), target.rstrip("/")
         self.checkpoint, self.schema, self.key, self.keep = checkpoint, schema, key, keep
-        self.pages_per_batch = pages_per_batch      # commit (checkpoint) granularity
-        self.end_marker = self.target + "_fim"
+        self.files_per_batch = files_per_batch      # commit (checkpoint) granularity
 
     # ------------------------------------------------------------------ helpers
-    def _data(self) -> Column:
-        env = T.StructType([T.StructField("data", T.ArrayType(self.schema))])
-        trimmed = F.ltrim(F.col("value"))
-        return F.when(trimmed.startswith("["), F.from_json("value", T.ArrayType(self.schema))) \
-            .otherwise(F.from_json("value", env)["data"])
-
     def _read(self, path: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(path)
-        except AnalysisException:
-            return None
-
-    def _end_page(self):
-        if not hasattr(self, "_end_cache"):      # read once per load object, then kept in step with writes
-            m = self._read(self.end_marker)
-            self._end_cache = None if m is None or m.isEmpty() else m.first()["pagina_final"]
-        return self._end_cache
-
-    def _process(self, pages: DataFrame, batch_id) -> None:
-        """One batch of page files -> stored rows (idempotent per batch id)."""
-        pages = pages.select(F.col(PAGE_COL).cast("bigint").alias(PAGE_COL), self._data().alias("data"))
-        pages = pages.persist()                     # a micro-batch is bounded by pages_per_batch
-        empty = pages.where(F.size("data") == 0).agg(F.min(PAGE_COL)).first()[0]
-        end = self._end_page()
-        if empty is not None and (end is None or empty < end):
-            end = int(empty)
-            self.spark.createDataFrame([(end,)], "pagina_final bigint").write.mode("overwrite").parquet(self.end_marker)
-            self._end_cache = end
-        if end is not None:
-            pages = pages.where(F.col(PAGE_COL) < end)
-        rows = pages.select(PAGE_COL, F.explode("data").alias("r")).select(PAGE_COL, "r.*")
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+
+    def _process(self, lines: DataFrame, batch_id) -> None:
+        """One batch of landing lines -> stored rows (idempotent per batch id)."""
+        pages = split_pages(lines, self.schema)
+        rows = pages.select(PAGE_COL, (F.size("data") == 0).alias(EMPTY_COL), F.explode_outer("data").alias("r"))
+        rows = rows.select(PAGE_COL, EMPTY_COL, "r.*")
         if self.keep is not None:
-            rows = rows.where(self.keep)
-        rows = rows.dropDuplicates([self.key])
-        stored = self._read(self.target)
-        if stored is not None:
-            # only stored keys inside this batch's key range can collide; the range predicate is
-            # pushed into the Parquet scan, so row groups outside it are skipped
-            lo, hi = rows.agg(F.min(self.key), F.max(self.key)).first()
-            if lo is not None:
-                others = stored.where((F.col(BATCH_COL) != F.lit(str(batch_id)))
-                                      & F.col(self.key).between(lo, hi)).select(self.key)
-                rows = rows.join(others, self.key, "left_anti")
+            rows = rows.where(F.col(EMPTY_COL) | self.keep)
         rows.write.mode("overwrite").parquet(f"{self.target}/{BATCH_COL}={batch_id}")
-        pages.unpersist()
+
+    def _stored(self) -> DataFrame | None:
+        """Stored rows in front of the first empty page (one scalar, read with a pushed filter)."""
+        stored = self._read(self.target)
+        if stored is None:
+            return None
+        end = stored.where(F.col(EMPTY_COL)).agg(F.min(PAGE_COL)).first()[0]
+        stored = stored.where(~F.col(EMPTY_COL))
+        return stored if end is None else stored.where(F.col(PAGE_COL) < end)
 
     # ------------------------------------------------------------------ T1 / T3
     def run(self, reset: bool = False) -> int:
-        """Consume every landed page not yet committed; returns the number of batches run."""
+        """Consume every landed file not yet committed; returns the number of batches run."""
         if reset:
             self.reset()
-        stream = (self.spark.readStream.format("text").option("maxFilesPerTrigger", self.pages_per_batch)
-                  .schema(PAGE_SCHEMA).load(self.landing))
+        stream = (self.spark.readStream.format("text").option("maxFilesPerTrigger", self.files_per_batch)
+                  .schema(LANDED).load(self.landing))
         query = (stream.writeStream.foreachBatch(lambda df, bid: self._process(df, bid))
                  .option("checkpointLocation", self.checkpoint)
                  .trigger(availableNow=True).start())
@@ -100,24 +80,24 @@ class PagedLoad:
         suffix = f"-reset{self._resets}"
         self.checkpoint = self.checkpoint.rstrip("/") + suffix
         self.target = self.target + suffix
-        self.end_marker = self.target + "_fim"
-        self._end_cache = None
 
     # ------------------------------------------------------------------ T2
     def run_pages(self, count: int, state_path: str) -> int:
         """Bounded increment in batch mode: the next ``count`` pages after the stored state.
 
         The state is a one-row table (last page, last key, time); it is replaced after the write.
-        Returns the new last page.
+        Only the folders of the page range are read.  Returns the new last page.
         """
         state = self._read(state_path)
         last = -1 if state is None or state.isEmpty() else int(state.first()["ultima_pagina"])
-        pages = self.spark.read.schema(PAGE_SCHEMA).text(self.landing)
-        pages = pages.where((F.col(PAGE_COL) > last) & (F.col(PAGE_COL) <= last + count))
-        top = pages.agg(F.max(PAGE_COL)).first()[0]
+        lines = self.spark.read.schema(LANDED).text(self.landing).where(
+            F.col(RANGE_COL).between((last + 1) // PAGES_PER_FILE, (last + count) // PAGES_PER_FILE))
+        page = F.substring_index("value", "\t", 1).cast("bigint")
+        lines = lines.where((page > last) & (page <= last + count))
+        top = lines.agg(F.max(page)).first()[0]
         if top is None:                      # nothing landed after the stored state
             return last
-        self._process(pages, f"p{last + 1}_{top}")
+        self._process(lines, f"p{last + 1}_{top}")
         new_last = int(top)
         self.spark.createDataFrame([(new_last, self.high_water_value())], "ultima_pagina bigint, ultima_chave bigint") \
             .withColumn("atualizado_em", F.current_timestamp()).write.mode("overwrite").parquet(state_path)
@@ -126,13 +106,13 @@ class PagedLoad:
     # ------------------------------------------------------------------ T4
     def high_water(self) -> DataFrame:
         """T4: the largest stored key."""
-        return self.spark.read.parquet(self.target).agg(F.max(self.key).alias("ultima_chave"))
+        return self._stored().agg(F.max(self.key).alias("ultima_chave"))
 
     def high_water_value(self):
         return None if self._read(self.target) is None else self.high_water().first()[0]
 
     def result(self) -> DataFrame:
-        stored = self._read(self.target)
+        stored = self._stored()
         if stored is None:
-            return self.spark.createDataFrame([], T.StructType(self.schema.fields + [T.StructField(PAGE_COL, T.LongType())]))
-        return stored.drop(BATCH_COL)
+            return self.spark.createDataFrame([], T.StructType([T.StructField(PAGE_COL, T.LongType())] + self.schema.fields))
+        return O.pick_per_key(stored.drop(BATCH_COL, EMPTY_COL), [self.key], [PAGE_COL], keep="first")

@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from acadlake.functions import constants as K
+from acadlake.session import source_state
 
 RAW_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -274,11 +275,12 @@ class Domain:
 
 
 _lock = threading.Lock()
-_domains: dict[tuple[int, str], Domain] = {}
+_domains: dict[tuple, Domain] = {}
 
 
 def domain(spark: SparkSession, sf_dir: str) -> Domain:
-    key = (id(spark), sf_dir)
+    # a changed input file, another application or checkpoint folder gets frames of its own
+    key = source_state(spark, sf_dir, *RAW_TABLES)
     with _lock:
         if key not in _domains:
             _domains[key] = Domain(spark, sf_dir)

@@ -63,3 +63,16 @@ def test_random_near_duplicates(spark, seed, threshold):
     df = spark.createDataFrame(rows, "linha bigint, nome string")
     got = {r["linha"]: (r["id"], r["sugerido"]) for r in fuzzy_groups(df, "linha", "nome", threshold).collect()}
     assert got == B.greedy_groups(rows, threshold)
+
+
+@pytest.mark.parametrize("threshold", [60, 80, 85, 90, 95])
+def test_pairs_of_short_names_match_all_pairs(spark, threshold):
+    import random
+
+    from acadlake.operators.entity import similar_pairs
+    rnd = random.Random(threshold)
+    names = sorted({"abc", "abxc", "a", "b", "ab", *("".join(rnd.choices("abx ", k=rnd.randint(1, 12))).strip() or "z"
+                                                     for _ in range(250))})
+    df = spark.createDataFrame(list(enumerate(names)), "pos bigint, chave string")
+    got = {tuple(r) for r in similar_pairs(df, threshold).collect()}
+    assert got == {(i, j) for j, y in enumerate(names) for i, x in enumerate(names[:j]) if B.similar(x, y, threshold)}

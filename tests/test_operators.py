@@ -143,7 +143,7 @@ def test_t1_resume_adds_nothing(spark, sf):
     d = domain(spark, sf)
     root = scratch_path(spark, "t-landing")
     ev = d.events.select(F.col("event_id").alias("eventId"), F.col("event_type").alias("eventType"))
-    L.land_pages(ev, root, [F.col("eventId").asc()], 100, bare_every=3)
+    L.land_pages(ev, root, [F.col("eventId").asc()], 100, bare_every=3, stray_after_end={"eventId": 10 ** 12})
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("eventId", T.LongType()), T.StructField("eventType", T.StringType())])
     load = PagedLoad(spark, root, scratch_path(spark, "t-target"), scratch_path(spark, "t-ckpt"), schema, "eventId")
@@ -182,7 +182,7 @@ def test_t3_reset_reloads_everything(spark, sf):
     L.land_pages(ev, root, [F.col("eventId").asc()], 100)
     schema = T.StructType([T.StructField("eventId", T.LongType())])
     load = PagedLoad(spark, root, scratch_path(spark, "r-target"), scratch_path(spark, "r-ckpt"), schema, "eventId",
-                     pages_per_batch=4)
+                     files_per_batch=1)
     load.run()
     assert load.result().count() == ev.count()
     load.reset()
