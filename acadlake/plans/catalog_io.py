@@ -15,6 +15,7 @@ from acadlake.operators import contracts as C
 from acadlake.plans import products as P
 from acadlake.plans import worklists as WL
 from acadlake.plans.catalog_products import ORACLES as PRODUCT_ORACLES
+from acadlake.plans.load_tables import PRODUCED, produced, product_ctes
 from acadlake.plans.oracle_sql import q, strip, with_views
 from acadlake.session import scratch_path, source_state
 from acadlake.sources import landing as L
@@ -176,42 +177,51 @@ def q_html_report(spark, sf):
     return spark.read.text(path).select(F.col("value").alias("linha"))
 
 
-def _sheet_sql(table: str, product: str) -> str:
+def _sheet_sql(table: str, alias: str) -> str:
     c = C.CONTRACTS[table]
     pre = [f"Tipo de Carga:;{c.load_type}", f"Escopo da Carga:;{c.scope}", "Limite do Escopo:;",
-           f"Conteúdo da Carga:;{table}", "", ";".join(c.columns)]
-    head = " UNION ALL ".join(f"SELECT {q(table)} AS tabela, {q(x)} AS linha" for x in pre)
+           f"Conteúdo da Carga:;{c.sheet}", "", ";".join(c.columns)]
+    head = " UNION ALL ".join(f"SELECT {q(table)} AS tabela, {n} AS k, {q(x)} AS linha" for n, x in enumerate(pre))
     body = " || ';' || ".join(f"coalesce(CAST(\"{col}\" AS VARCHAR), '')" for col in c.columns)
-    return f"{head} UNION ALL SELECT {q(table)}, {body} FROM ({PRODUCT_ORACLES[product]}) x"
+    return f"{head} UNION ALL SELECT {q(table)}, 6, {body} FROM {alias}"
 
 
-SHEETS = [("imp_001_cursos", "load_courses", P.load_courses), ("imp_006_usuarios", "load_users", P.load_users),
-          ("imp_010_alunos", "load_students", P.load_students)]
+def _numbered(parts) -> str:
+    return ("SELECT tabela, row_number() OVER (PARTITION BY tabela ORDER BY k, linha) AS n, linha FROM ("
+            + " UNION ALL ".join(parts) + ") x")
 
 
-@register("load_sheets", with_views(" UNION ALL ".join(_sheet_sql(t, p) for t, p, _ in SHEETS)))
+@register("load_sheets", with_views(_numbered([_sheet_sql(t, f"p{i}") for i, (t, _, _) in enumerate(PRODUCED)]), *product_ctes()))
 def q_load_sheets(spark, sf):
     d = domain(spark, sf)
-    tables = {t: fn(d) for t, _, fn in SHEETS}
+    tables = {t: produced(d, t) for t, _, _ in PRODUCED}
     tables["imp_999_desconhecida"] = d.course            # not a contract: skipped and reported (K5)
     lines, skipped = KS.export_tables(tables)
     assert skipped == ["imp_999_desconhecida"]
+    lines = KS.number_lines(lines, ["__k", "linha"])
     path = scratch_path(spark, "load_sheets")
-    lines.orderBy("tabela", "__k", "__o0").select("tabela", "linha").write.mode("overwrite").partitionBy("tabela").text(path)
-    return spark.read.text(path).select("tabela", F.col("value").alias("linha"))
+    out = lines.select("tabela", F.lpad(F.col("n").cast("string"), 12, "0").alias("n"), "linha")
+    out = out.repartitionByRange("tabela", "n").sortWithinPartitions("tabela", "n")
+    out.select("tabela", F.concat_ws("\t", "n", "linha").alias("value")).write.mode("overwrite").partitionBy("tabela").text(path)
+    back = spark.read.schema("value string, tabela string").text(path)
+    return back.select("tabela", F.substring_index("value", "\t", 1).cast("bigint").alias("n"),
+                       F.expr("substring(value, 14)").alias("linha"))
 
 
-@register("insert_script", with_views("""
-SELECT 'INSERT INTO imp_001_cursos (codigoCurso, nomeCurso, quantPeriodos, codigoUnidadeOrganizacional) VALUES ('
-  || coalesce('''' || replace(codigoCurso, '''', '''''') || '''', 'NULL') || ', '
-  || coalesce('''' || replace(nomeCurso, '''', '''''') || '''', 'NULL') || ', '
-  || coalesce(CAST(quantPeriodos AS VARCHAR), 'NULL') || ', '
-  || coalesce('''' || replace(codigoUnidadeOrganizacional, '''', '''''') || '''', 'NULL') || ');' AS linha
-FROM (""" + PRODUCT_ORACLES["load_courses"] + ") x"))
+def _insert_sql(table: str, alias: str) -> str:
+    c = C.CONTRACTS[table]
+    value = " || ', ' || ".join(
+        f"coalesce(CAST(\"{f.name}\" AS VARCHAR), 'NULL')" if f.is_integer
+        else f"coalesce(chr(39) || replace(\"{f.name}\", chr(39), chr(39) || chr(39)) || chr(39), 'NULL')" for f in c.fields)
+    return (f"SELECT {q(table)} AS tabela, 0 AS k, '-- Tabela: {table} (' || CAST(count(*) AS VARCHAR) || ' registros)' AS linha FROM {alias}"
+            f" UNION ALL SELECT {q(table)}, 1, 'INSERT INTO {table} ({', '.join(c.columns)}) VALUES (' || {value} || ');' FROM {alias}")
+
+
+@register("insert_script", with_views(_numbered([_insert_sql(t, f"p{i}") for i, (t, _, _) in enumerate(PRODUCED)]), *product_ctes()))
 def q_insert_script(spark, sf):
-    path = scratch_path(spark, "insert_sql")
-    KS.insert_lines(P.load_courses(domain(spark, sf)), "imp_001_cursos").write.mode("overwrite").text(path)
-    return spark.read.text(path).select(F.col("value").alias("linha"))
+    d = domain(spark, sf)
+    lines = KS.insert_script({t: produced(d, t).select(*C.CONTRACTS[t].columns) for t, _, _ in PRODUCED})
+    return KS.number_lines(lines, ["__k", "linha"]).select("tabela", "n", "linha")
 
 
 @register("run_log_json", with_views("""

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acadlake.functions import scalars as S
+from acadlake.operators import contracts as C
 from acadlake.operators import maintenance as M
 from acadlake.operators import ordering as O
 from acadlake.plans import products as P
 from acadlake.plans.catalog_products import COMMITTEE_CTES, STUDENT_OFFERINGS_CTES, committee_ctes
+from acadlake.plans.load_tables import PRODUCED, produced, product_ctes, union
 from acadlake.plans.oracle_sql import ci, strip, with_views, within
 from acadlake.views import domain
 
@@ -264,13 +266,32 @@ def q_rekey(spark, sf):
     return M.rekey(domain(spark, sf).curriculum, ["curso", "curriculo", "turno"])
 
 
-@register("deactivation_set", with_views(f"""
-SELECT DISTINCT aluno AS matriculaAluno FROM student
-WHERE {ci('sit_aluno', 'Ativo')} AND aluno IN (SELECT matriculaAluno FROM so)
-  AND ano_ingresso < 2023 AND aluno <> '' AND nome_compl IS NOT NULL AND {strip('nome_compl')} <> ''
-  AND {within('curso', 30)}""", *STUDENT_OFFERINGS_CTES))
+# a complete load in the queries below: rows whose first key part has an odd length and does not end in 1 or a
+
+def _first_key(table: str) -> str:
+    return C.CONTRACTS[table].key[0]
+
+
+def _deactivation_sql(name: str) -> str:
+    _, keys, optional, table = C.DEACTIVATIONS[name]
+    alias, first = f"p{[t for t, _, _ in PRODUCED].index(table)}", _first_key(table)
+    on = " AND ".join([f'l."{k}" = s."{k}"' for k in keys] + [f'l."{k}" IS NOT DISTINCT FROM s."{k}"' for k in optional])
+    text = " || '|' || ".join(f"coalesce(CAST(s.\"{k}\" AS VARCHAR), '')" for k in keys + optional)
+    return (f"SELECT DISTINCT '{name}' AS contrato, {text} AS chave FROM {alias} s WHERE NOT EXISTS (SELECT 1 FROM {alias} l "
+            f"WHERE length(l.\"{first}\") % 2 = 1 AND right(l.\"{first}\", 1) NOT IN ('1', 'a') AND {on})")
+
+
+DEACTIVATED = [n for n, (_, _, _, t) in C.DEACTIVATIONS.items() if t in {x for x, _, _ in PRODUCED}]
+
+
+@register("deactivation_set", with_views("\nUNION ALL ".join(map(_deactivation_sql, DEACTIVATED)), *product_ctes()))
 def q_deactivation_set(spark, sf):
-    d = domain(spark, sf)
-    system = P.load_students(d)
-    sheet = P.load_students(d, intake_year=[2023, 2024, 2025, 2026])
-    return M.deactivation_keys(system, sheet, ["matriculaAluno"])
+    """Every deactivation contract whose load table is produced (all but organisational units)."""
+    d, out = domain(spark, sf), []
+    for name in DEACTIVATED:
+        _, keys, optional, table = C.DEACTIVATIONS[name]
+        system, first = produced(d, table), F.col(_first_key(table))
+        sheet = system.where((F.length(first) % 2 == 1) & ~F.right(first, F.lit(1)).isin("1", "a"))
+        gone = M.deactivation_keys(system, sheet, list(keys + optional), null_safe=optional)
+        out.append(gone.select(F.lit(name).alias("contrato"), C.key_text(keys + optional).alias("chave")))
+    return union(out)

@@ -10,10 +10,12 @@ from acadlake.operators import maintenance as M
 from acadlake.operators import ordering as O
 from acadlake.operators import quality as Q
 from acadlake.operators import relational as J
-from acadlake.plans import products as P
+from acadlake.functions import constants as K
 from acadlake.plans.catalog_products import ORACLES as PRODUCT_ORACLES
-from acadlake.plans.oracle_sql import q, strip, with_views
-from acadlake.views import domain
+from acadlake.plans.load_tables import PRODUCED, produced, product_ctes, union
+from acadlake.plans.oracle_sql import (mailbox_user, offering_code, offering_type, q, shift, strip, subject_code,
+                                       to_int_via_float, trunc, with_views)
+from acadlake.views import VIEWS, domain, render_for_duckdb
 
 QUERIES = {}
 ORACLES = {}
@@ -28,19 +30,12 @@ def register(name, oracle=None):
     return deco
 
 
-CHECKED = [("imp_005_ofertas", "load_offerings", P.load_offerings),
-           ("imp_010_alunos", "load_students", P.load_students),
-           ("imp_011_alunos_ofertas", "load_student_offerings", P.load_student_offerings),
-           ("imp_013_unidades_avaliacao", "load_assessment_units", P.load_assessment_units)]
-
-
 def nested(name: str) -> str:
     """A product oracle as a sub-query (DuckDB accepts WITH inside a CTE)."""
     return f"({PRODUCT_ORACLES[name]})"
 
 
-def _violation_sql(table: str, alias: str) -> str:
-    c = C.CONTRACTS[table]
+def _predicates(c) -> list[tuple[str, str, str]]:
     parts = []
     for f in c.fields:
         col = f'"{f.name}"'
@@ -55,49 +50,128 @@ def _violation_sql(table: str, alias: str) -> str:
                           f"abs(TRY_CAST(CAST({col} AS VARCHAR) AS DOUBLE)) > {10 ** f.limit - 1})"))
         else:
             parts.append((f.name, f"CHAR({f.limit})", f"length(CAST({col} AS VARCHAR)) > {f.limit}"))
+    return parts
+
+
+def _violation_sql(table: str, alias: str) -> str:
     return "\nUNION ALL ".join(
         f"SELECT {q(table)} AS tabela, {q(col)} AS coluna, {q(rule)} AS regra, "
         f"count(*) FILTER (WHERE coalesce({pred}, false)) AS violacoes FROM {alias}"
-        for col, rule, pred in parts)
+        for col, rule, pred in _predicates(C.CONTRACTS[table]))
+
+
+def _keys(contract) -> str:
+    return ", ".join(f'"{k}"' for k in contract.key)
+
+
+def _key_text(keys) -> str:
+    return " || '|' || ".join(f"coalesce(CAST(\"{k}\" AS VARCHAR), '')" for k in keys)
 
 
 @register("contract_violations", with_views(
-    "\nUNION ALL ".join(_violation_sql(t, f"p{i}") for i, (t, _, _) in enumerate(CHECKED)),
-    *[f"p{i} AS {nested(n)}" for i, (_, n, _) in enumerate(CHECKED)]))
+    "\nUNION ALL ".join(_violation_sql(t, f"p{i}") for i, (t, _, _) in enumerate(PRODUCED)), *product_ctes()))
 def q_contract_violations(spark, sf):
     d = domain(spark, sf)
-    out = None
-    for table, _, fn in CHECKED:
-        v = C.violations(fn(d), C.CONTRACTS[table])
-        out = v if out is None else out.unionByName(v)
-    return out
+    return union(C.violations(produced(d, t), C.CONTRACTS[t]) for t, _, _ in PRODUCED)
+
+
+def _raised(table: str, alias: str) -> str:
+    """Rows with at least one broken rule; the rules of a row in contract order."""
+    c = C.CONTRACTS[table]
+    rules = ", ".join(f"CASE WHEN coalesce({pred}, false) THEN {q(col + ':' + rule)} END" for col, rule, pred in _predicates(c))
+    return (f"SELECT {q(table)} AS tabela, {_key_text(c.key)} AS chave, "
+            f"array_to_string(list_filter([{rules}], lambda x: x IS NOT NULL), ',') AS regras FROM {alias}")
+
+
+@register("contract_rejects", with_views(
+    "SELECT * FROM (" + "\nUNION ALL ".join(_raised(t, f"p{i}") for i, (t, _, _) in enumerate(PRODUCED)) + ") x WHERE regras <> ''",
+    *product_ctes()))
+def q_contract_rejects(spark, sf):
+    d = domain(spark, sf)
+    return union(C.row_rejects(produced(d, t), C.CONTRACTS[t]).select(
+        F.lit(t).alias("tabela"), C.key_text(C.CONTRACTS[t].key).alias("chave"),
+        F.array_join("violacoes", ",").alias("regras")) for t, _, _ in PRODUCED)
 
 
 @register("key_uniqueness", with_views(
     "\nUNION ALL ".join(
-        f"SELECT {q(t)} AS tabela, sum(n) AS linhas, count(*) AS chaves, count(*) FILTER (WHERE n > 1) AS chaves_repetidas "
-        f"FROM (SELECT count(*) AS n FROM p{i} GROUP BY {', '.join(chr(34) + k + chr(34) for k in C.CONTRACTS[t].key)}) g"
-        for i, (t, _, _) in enumerate(CHECKED)).replace("sum(n) AS linhas", "CAST(sum(n) AS BIGINT) AS linhas"),
-    *[f"p{i} AS {nested(n)}" for i, (_, n, _) in enumerate(CHECKED)]))
+        f"SELECT {q(t)} AS tabela, CAST(sum(n) AS BIGINT) AS linhas, count(*) AS chaves, count(*) FILTER (WHERE n > 1) AS chaves_repetidas "
+        f"FROM (SELECT count(*) AS n FROM p{i} GROUP BY {_keys(C.CONTRACTS[t])}) g" for i, (t, _, _) in enumerate(PRODUCED)),
+    *product_ctes()))
 def q_key_uniqueness(spark, sf):
     d = domain(spark, sf)
-    out = None
-    for table, _, fn in CHECKED:
-        v = C.key_uniqueness(fn(d), C.CONTRACTS[table])
-        out = v if out is None else out.unionByName(v)
-    return out
-
-
-@register("contract_transform", with_views("""
-SELECT substr(c.curso, 1, 30) AS codigoCurso, substr(c.nome, 1, 64) AS nomeCurso,
-  CAST(trunc(TRY_CAST(cr.prazo_ideal AS DOUBLE)) AS BIGINT) AS quantPeriodos, '4000000001' AS codigoUnidadeOrganizacional
-FROM course c JOIN curriculum cr ON cr.curso = c.curso
-  AND cr.curriculo = (SELECT max(curriculo) FROM curriculum x WHERE x.curso = c.curso)"""))
-def q_contract_transform(spark, sf):
+    return union(C.key_uniqueness(produced(d, t), C.CONTRACTS[t]) for t, _, _ in PRODUCED)
+
+
+@register("duplicate_keys", with_views(
+    "\nUNION ALL ".join(
+        f"SELECT {q(t)} AS tabela, {_key_text(C.CONTRACTS[t].key)} AS chave, count(*) AS linhas FROM p{i} "
+        f"GROUP BY {_keys(C.CONTRACTS[t])} HAVING count(*) > 1" for i, (t, _, _) in enumerate(PRODUCED)), *product_ctes()))
+def q_duplicate_keys(spark, sf):
     d = domain(spark, sf)
-    src = J.latest_version(d.curriculum.select("curso", "curriculo", "prazo_ideal"), "curso", "curriculo") \
-        .join(d.course.select("curso", "nome"), "curso")
-    return C.apply_contract(src, C.CONTRACTS["imp_001_cursos"])
+    return union(C.duplicate_keys(produced(d, t), C.CONTRACTS[t]) for t, _, _ in PRODUCED)
+
+
+# sources of the contract transforms, as the contracts name their columns (the same text for both engines)
+_SOURCES = {
+    "imp_001_cursos": """SELECT c.curso, c.nome, cr.prazo_ideal FROM {course} c JOIN {curriculum} cr ON cr.curso = c.curso
+      JOIN (SELECT curso, max(curriculo) AS ultimo FROM {curriculum} GROUP BY curso) u ON u.curso = c.curso AND u.ultimo = cr.curriculo""",
+    "imp_002_disciplina": """SELECT g.disciplina, s.nome_compl, g.curso, c.nome AS nome_curso, CAST(g.serie_ideal AS STRING) AS serie_ideal
+      FROM {grid} g JOIN {subject} s ON s.disciplina = g.disciplina LEFT JOIN {course} c ON c.curso = g.curso""",
+    "imp_005_ofertas": """SELECT t.disciplina, t.turma, t.ano, t.semestre, t.turno, t.curso, c.nome AS nome_curso,
+      CASE WHEN t.turma LIKE 'T2%' THEN 'T0' || substr(t.turma, 3) END AS turma_origem
+      FROM {class} t LEFT JOIN {course} c ON c.curso = t.curso""",
+    "imp_006_usuarios": "SELECT CAST(num_func AS STRING) AS matricula, mailbox AS email, nome_compl FROM {teacher}",
+    "imp_007_usuarios_cursos": """SELECT t.curso, p.mailbox AS email, k.num_func AS coordenador FROM {class_teacher} ct
+      JOIN {class} t ON t.ano = ct.ano AND t.semestre = ct.periodo AND t.turma = ct.turma AND t.disciplina = ct.disciplina
+      JOIN {teacher} p ON p.num_func = ct.num_func
+      LEFT JOIN {coordination} k ON k.curso = t.curso AND k.num_func = CAST(ct.num_func AS STRING) AND k.tipo_coord = 'Titular'""",
+    "imp_008_usuarios_disciplinas": """SELECT ct.disciplina, t.curso, c.nome AS nome_curso, p.mailbox AS email FROM {class_teacher} ct
+      JOIN {class} t ON t.ano = ct.ano AND t.semestre = ct.periodo AND t.turma = ct.turma AND t.disciplina = ct.disciplina
+      JOIN {teacher} p ON p.num_func = ct.num_func LEFT JOIN {course} c ON c.curso = t.curso""",
+    "imp_009_professores_ofertas": """SELECT ct.disciplina, ct.turma, ct.ano, ct.periodo AS semestre, p.mailbox AS email
+      FROM {class_teacher} ct JOIN {teacher} p ON p.num_func = ct.num_func""",
+    "imp_010_alunos": "SELECT aluno, nome_compl, unidade_ensino, curso, turno FROM {student}",
+    "imp_011_alunos_ofertas": """SELECT e.disciplina, e.turma, e.ano, e.semestre, e.aluno, a.curso FROM {enrol} e
+      LEFT JOIN {student} a ON a.aluno = e.aluno""",
+    "imp_012_alunos_periodo": "SELECT CAST(serie AS STRING) AS periodo, aluno FROM {student}",
+    "imp_013_unidades_avaliacao": """SELECT x.disciplina || '-' || x.prova AS codigo, x.nome, x.curso, x.disciplina,
+      CAST(x.ordem AS STRING) AS ordem, x.prova AS agrupamento FROM {exam} x""",
+}
+
+
+def _transformed(field_) -> str:
+    src, name = (f'"{field_.source}"' if field_.source else "NULL"), field_.transform
+    known = {
+        None: f"CAST({src} AS VARCHAR)", "truncar_texto": trunc(src, field_.limit), "converter_inteiro": to_int_via_float(src),
+        "converter_minusculas": f"lower({strip(src)})", "extrair_usuario_email": mailbox_user(src), "mapear_turno": shift(src),
+        "gerar_codigo_disciplina_curso": subject_code("disciplina", "nome_curso", "curso"),
+        "gerar_codigo_oferta": offering_code("disciplina", "turma", "ano", "semestre"),
+        "gerar_codigo_oferta_origem": offering_code("disciplina", "turma_origem", "ano", "semestre"),
+        "gerar_codigo_tipo_oferta": offering_type("turma"),
+        "gerar_email_aluno": f"lower({strip('aluno')} || CASE WHEN unidade_ensino = {q(K.TECH_UNIT)} THEN "
+                             f"{q(K.STUDENT_DOMAIN_TECH)} ELSE {q(K.STUDENT_DOMAIN_DEFAULT)} END)",
+        "determinar_papel_usuario": "CASE WHEN coordenador IS NOT NULL THEN 'C' ELSE 'P' END",
+        "valor_fixo_vazio": "''"}
+    sql = known[name] if name in known else q(name[len(C.FIXED):])
+    return f"coalesce(CAST({sql} AS VARCHAR), '<nulo>')"
+
+
+def _transform_sql(table: str) -> str:
+    body = " || '|' || ".join(_transformed(f) for f in C.CONTRACTS[table].fields)
+    return f"SELECT {q(table)} AS tabela, {body} AS linha FROM ({render_for_duckdb(_SOURCES[table])}) s"
+
+
+@register("contract_transform", with_views("\nUNION ALL ".join(_transform_sql(t) for t in _SOURCES)))
+def q_contract_transform(spark, sf):
+    """Every contract that has source tables here, all rows, as one line of text per row."""
+    d, out = domain(spark, sf), []
+    for table, text in _SOURCES.items():
+        src = spark.sql(text, **{v: d.view(v) for v in VIEWS if "{" + v + "}" in text})
+        c = C.CONTRACTS[table]
+        line = F.concat_ws("|", *[F.coalesce(F.col(x).cast("string"), F.lit("<nulo>")) for x in c.columns])
+        out.append(C.apply_contract(src, c).select(F.lit(table).alias("tabela"), line.alias("linha")))
+    return union(out)
 
 
 # --------------------------------------------------------------------------- Q5
@@ -214,11 +288,12 @@ SELECT 'imp_010.codigoCurso->imp_001', chave FROM (
     f"r11 AS {nested('load_student_offerings')}"))
 def q_referential_audit(spark, sf):
     d = domain(spark, sf)
-    offers = P.load_offerings(d)
+    offers = produced(d, "imp_005_ofertas")
     return Q.referential_audit([
-        ("imp_009.codigoOferta->imp_005", P.load_teacher_offerings(d), "codigoOferta", offers, "codigoOferta"),
-        ("imp_011.codigoOferta->imp_005", P.load_student_offerings(d), "codigoOferta", offers, "codigoOferta"),
-        ("imp_010.codigoCurso->imp_001", P.load_students(d), "codigoCurso", P.load_courses(d), "codigoCurso"),
+        ("imp_009.codigoOferta->imp_005", produced(d, "imp_009_professores_ofertas"), "codigoOferta", offers, "codigoOferta"),
+        ("imp_011.codigoOferta->imp_005", produced(d, "imp_011_alunos_ofertas"), "codigoOferta", offers, "codigoOferta"),
+        ("imp_010.codigoCurso->imp_001", produced(d, "imp_010_alunos"), "codigoCurso",
+         produced(d, "imp_001_cursos"), "codigoCurso"),
     ])
 
 

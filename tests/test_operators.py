@@ -210,5 +210,5 @@ def test_k4_load_sheet_layout(spark):
     df = spark.createDataFrame([("006", "ENG", 5)], "codigoCurso string, nomeCurso string, quantPeriodos bigint")
     got = [r["linha"] for r in KS.load_sheet_lines(df, CONTRACTS["imp_001_cursos"]).orderBy("__k").collect()]
     assert got == ["Tipo de Carga:;Incremental", "Escopo da Carga:;Instituicao", "Limite do Escopo:;",
-                   "Conteúdo da Carga:;imp_001_cursos", "",
+                   "Conteúdo da Carga:;IMP-001 - Cursos", "",
                    "codigoCurso;nomeCurso;quantPeriodos;codigoUnidadeOrganizacional", "006;ENG;5;"]
