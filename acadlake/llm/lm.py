@@ -465,8 +465,12 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     coder, escaped = build_coder(counts, ends, top)
     all_ = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     model = Model(coder, train_tables(training, coder), all_.n + ends, all_.v + (ends > 0))
-    picked = training.select(F.xxhash64(F.lit("lm"), F.col("doc_id")).alias("h"), "text").orderBy("h", "text")
-    model.fit([(r.text or "").encode() for r in picked.limit(FIT_ROWS).collect()])
+    # ids first, then their texts: a task sends at most FIT_ROWS narrow rows to the driver
+    picked = training.select("doc_id").distinct().orderBy(F.xxhash64(F.lit("lm"), F.col("doc_id")), "doc_id").limit(FIT_ROWS)
+    picked = cut_lineage(picked, "lm-sample").withColumnRenamed("doc_id", "id")
+    texts = training.join(F.broadcast(picked), F.col("doc_id").eqNullSafe(F.col("id"))).groupBy("id").agg(
+        F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    model.fit([r.text.encode() for r in texts.orderBy("id").collect()])
 
     scored = cut_lineage(score_rows(docs, model, id_col, text_col), "lm-scored")
     whole = float(model.train_tokens + model.distinct + 1)
