@@ -154,24 +154,3 @@ def teacher_mailbox(x) -> tuple[Column, Column]:
     ok = _true_or_false(present(x) & s.endswith("@" + K.TEACHER_DOMAIN))
     value = F.when(~present(x), F.lit("")).otherwise(s)
     return ok, value
-
-
-# registry of named rules (Q3 resolves contract rule names through it)
-RULES = {
-    "email": is_email,
-    "cpf": is_national_id,
-    "matricula": is_non_blank,
-    "nome": is_non_blank,
-    "data": is_date,
-    "telefone": is_phone,
-    "cep": is_postcode,
-    "ativo": is_active_flag,
-    "genero": is_gender,
-    "situacao": is_student_status,
-    "sigla_curso": is_course_acronym,
-    "codigo_curso": lambda c: is_text_within(c, 30),
-    "nome_curso": lambda c: is_text_within(c, 64),
-    "codigo_disciplina": lambda c: is_text_within(c, 30),
-    "periodo": is_period,
-    "papel_usuario": is_user_role,
-}

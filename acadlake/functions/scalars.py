@@ -8,7 +8,6 @@ Helpers take and return ``Column``; strings are accepted as column names.
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,20 +40,11 @@ def present(x, numeric: bool = False) -> Column:
     return c.isNotNull() & (c != "")
 
 
-def all_present(*cols, numeric: tuple = ()) -> Column:
-    preds = [present(c, numeric=(i in numeric)) for i, c in enumerate(cols)]
-    return reduce(lambda a, b: a & b, preds)
-
-
 def ci_equals(x, value: str) -> Column:
     """Case-insensitive equality (the source database collation)."""
     return F.lower(_c(x)) == value.lower()
 
 
-def ci_in(x, values) -> Column:
-    return F.lower(_c(x)).isin([v.lower() for v in values])
-
-
 # --------------------------------------------------------------------------- F1-F5
 
 def normalize_value(x, dtype: T.DataType, null_words: bool = True) -> Column:

@@ -31,8 +31,10 @@ Spark plan:
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,9 @@ from acadlake.session import cut_lineage
 
 Q = 2   # bigrams
 
+# the scorer below travels with its task, so workers need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def lcs_length(a: str, b: str) -> int:
     """Length of the longest common subsequence (bit-parallel, Hyyro 2004)."""

@@ -12,8 +12,8 @@ old value where the source is NULL (M2).
 
 from __future__ import annotations
 
-import json
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from acadlake.operators import ordering as O
 from acadlake.operators import relational as J
+from acadlake.session import cut_lineage
 
 
 def _merge(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None,
@@ -84,6 +85,7 @@ def full_refresh(target: DataFrame, source: DataFrame, required: list[str], nume
 
     The emptiness test is one ``limit(1)`` probe; statistics are one aggregate.
     """
+    source = cut_lineage(source, "refresh-source")       # probed, counted and written: computed once
     valid, _ = J.split_required(source, required, numeric)
     ok = J.conj(J.present(c, numeric=c in numeric) for c in required) if required else F.lit(True)
     stats = source.agg(F.count(F.lit(1)).alias("lidos"),
@@ -101,7 +103,7 @@ def guarded_delete(target: DataFrame, live_keys: DataFrame, keys: list[str], max
     """Drop target rows whose key is not live, unless they exceed ``max_fraction``
     of the table (abort: nothing deleted) or the live set is empty (nothing to compare)."""
     live = live_keys.select(*keys).distinct().withColumn("__live", F.lit(True))
-    marked = target.join(live, keys, "left")
+    marked = cut_lineage(target.join(live, keys, "left"), "guarded-delete")     # counted and returned: computed once
     row = marked.agg(F.count(F.lit(1)).alias("total"),
                      F.count_if(F.col("__live").isNull()).alias("obsoletos")).first()
     total, obsolete = int(row["total"]), int(row["obsoletos"])
@@ -109,7 +111,7 @@ def guarded_delete(target: DataFrame, live_keys: DataFrame, keys: list[str], max
     aborted = live_empty or (total > 0 and obsolete > total * max_fraction)
     stats = {"total": total, "obsoletos": obsolete, "abortado": aborted,
              "removidos": 0 if aborted else obsolete}
-    state = target if aborted else marked.where(F.col("__live").isNotNull()).drop("__live")
+    state = (marked if aborted else marked.where(F.col("__live").isNotNull())).select(*target.columns)
     return state, stats
 
 
@@ -181,10 +183,13 @@ def rewrite_if_unchanged(target: DataFrame, updates: DataFrame, keys: list[str],
         .drop("__old", "__new", "__hit")
 
 
-def evolve(df: DataFrame, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
+def evolve(df: DataFrame, schema: T.StructType, defaults: dict | None = None, required: tuple = ()) -> DataFrame:
     """Conform to ``schema``: add missing columns (default or NULL), widen/cast existing ones,
-    drop unknown ones (declared-column projection, S8)."""
+    drop unknown ones (declared-column projection, S8).  A stored table that lacks a ``required``
+    column cannot be carried over: it is rebuilt empty, to be loaded anew."""
     defaults = defaults or {}
+    if any(c not in df.columns for c in required):
+        return df.sparkSession.createDataFrame([], schema)
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
@@ -212,20 +217,27 @@ def deactivation_keys(system: DataFrame, load: DataFrame, keys: list[str], null_
 
 
 class VersionedTable:
-    """Each write goes to a new version folder; a small pointer file names the current one.
+    """Each write goes to a new version folder; an empty commit file, put in place by one rename,
+    names a finished version, and the last name is the current one.
 
-    A failure before the pointer is replaced leaves readers on the previous version.
+    A write that fails, or whose stored rows do not add up (M4), leaves readers on the previous version.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        path = self._path("")
+        self._fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
 
     def current(self) -> str | None:
-        try:
-            rows = self.spark.read.json(f"{self.root}/_current").collect()
-        except Exception:
+        commits = self._path("_commits")
+        if not self._fs.exists(commits):
             return None
-        return rows[0]["path"] if rows else None
+        names = sorted(f.getPath().getName() for f in self._fs.listStatus(commits))
+        names = [n for n in names if n.startswith("v=")]
+        return f"{self.root}/{names[-1]}" if names else None
 
     def read(self) -> DataFrame:
         path = self.current()
@@ -233,22 +245,20 @@ class VersionedTable:
             raise FileNotFoundError(f"no version under {self.root}")
         return self.spark.read.parquet(path)
 
-    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> str:
-        version = f"{self.root}/v={time.strftime('%Y%m%d%H%M%S')}-{int(time.time() * 1000) % 1000:03d}"
+    def write(self, df: DataFrame, partition_by: list[str] | None = None, expected: int | None = None) -> str:
+        """``expected``: rows that must be stored (the valid rows of the load), else the version is not published."""
+        name = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        version = f"{self.root}/{name}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(version)
-        self.spark.createDataFrame([(version,)], "path string").coalesce(1) \
-            .write.mode("overwrite").json(f"{self.root}/_current")
+        if expected is not None:
+            stored = self.spark.read.parquet(version).count()
+            if stored != expected:
+                raise ValueError(f"{version}: {stored} rows stored, {expected} valid rows expected")
+        draft = self._path(f"_commits/.draft-{name}")
+        self._fs.create(draft).close()
+        if not self._fs.rename(draft, self._path(f"_commits/{name}")):
+            raise OSError(f"{version} could not be published")
         return version
-
-
-def run_log_row(step: str, status: str, seconds: float, rows: int, error: str | None = None) -> dict:
-    """One run-log record."""
-    return {"modulo": step, "status": status, "segundos": round(seconds, 3), "linhas": rows,
-            "linhas_por_segundo": round(rows / seconds, 3) if seconds > 0 else None, "erro": error}
-
-
-def to_json_line(record: dict) -> str:
-    return json.dumps(record, ensure_ascii=False, sort_keys=True)

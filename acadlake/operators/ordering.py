@@ -31,12 +31,6 @@ def pick_per_key(df: DataFrame, keys: list[str], order: list[str], keep: str = "
     return out.select(*keys, *[F.col("__r." + c).alias(c) for c in fields]).select(*df.columns)
 
 
-def rank_within(df: DataFrame, keys: list[str], order: list[Column], name: str = "rn") -> DataFrame:
-    """row_number per key (BIGINT), for outputs that need the rank itself."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-
-
 def keep_first_with_rejects(df: DataFrame, keys: list[str], order: list[str]) -> tuple[DataFrame, DataFrame]:
     """First row per key is kept, every other row of the key is a key violation.
 

@@ -104,11 +104,6 @@ def anti_keys(a: DataFrame, b: DataFrame, keys: list[str], drop_null: bool = Tru
     return k.join(b.select(*keys), keys, "left_anti").distinct()
 
 
-def obsolete_rows(target: DataFrame, live_keys: DataFrame, keys: list[str]) -> DataFrame:
-    """Target rows whose key is not in the live set (left_anti, never NOT IN)."""
-    return target.join(live_keys.select(*keys), keys, "left_anti")
-
-
 def keep_with_parent(child: DataFrame, parent: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """(children with a parent, rejected orphans)."""
     p = parent.select(*keys).distinct()
@@ -119,3 +114,16 @@ def latest_version(df: DataFrame, key: str, version: str) -> DataFrame:
     """Rows at the (lexicographic) MAX version of their key."""
     mx = df.groupBy(key).agg(F.max(version).alias("__v"))
     return df.join(mx, (df[key] == mx[key]) & (df[version] == mx["__v"]), "inner").drop(mx[key]).drop("__v")
+
+
+def class_course(classes: DataFrame, subjects: DataFrame, grid: DataFrame, column: str = "curso") -> DataFrame:
+    """The course of every class from the first table that has the column: the class itself, else its
+    subject, else the grid (one row for each grid line of the subject).  Classes keep their other columns."""
+    rest = [c for c in classes.columns if c != column]
+    if column in classes.columns:
+        source = subjects.select("disciplina").distinct()
+        return classes.join(source, "disciplina").select(*rest, column)
+    if column in subjects.columns:
+        return classes.join(subjects.select("disciplina", column), "disciplina").select(*rest, column)
+    subjects = subjects.select("disciplina").distinct()
+    return classes.join(subjects, "disciplina").join(grid.select("disciplina", column), "disciplina").select(*rest, column)

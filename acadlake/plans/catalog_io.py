@@ -311,8 +311,8 @@ def q_high_water(spark, sf):
 SELECT count(*) AS total_rows, count(DISTINCT turma) AS distinct_turma, count(DISTINCT disciplina) AS distinct_disciplina,
   count(*) FILTER (WHERE lower(sit_turma) = 'aberta') AS abertas, max(ano) AS max_ano FROM class"""))
 def q_mirror_refresh(spark, sf):
-    from acadlake.plans.jobs import class_profile, refresh_classes
-    state, _ = refresh_classes(domain(spark, sf))
+    from acadlake.plans.jobs import class_profile, publish_classes
+    state, _ = publish_classes(domain(spark, sf))
     return class_profile(state)
 
 

@@ -17,9 +17,9 @@ from acadlake.operators import contracts as C
 from acadlake.operators import maintenance as M
 from acadlake.operators import ordering as O
 from acadlake.plans import products as P
-from acadlake.plans.catalog_products import COMMITTEE_CTES, STUDENT_OFFERINGS_CTES, committee_ctes
+from acadlake.plans.catalog_products import COMMITTEE_CTES, committee_ctes
 from acadlake.plans.load_tables import PRODUCED, produced, product_ctes, union
-from acadlake.plans.oracle_sql import ci, strip, with_views, within
+from acadlake.plans.oracle_sql import ci, strip, with_views
 from acadlake.views import domain
 
 QUERIES = {}
@@ -144,6 +144,33 @@ def q_guarded_delete(spark, sf):
     return state
 
 
+@register("empty_source", with_views("""
+SELECT 'keep' AS politica, num_func, cpf FROM teacher
+UNION ALL SELECT 'clear', num_func, cpf FROM teacher WHERE 1 = 0"""))
+def q_empty_source(spark, sf):
+    """M5: an extract without rows keeps the stored table under one policy and clears it under the other."""
+    d = domain(spark, sf)
+    stored = d.teacher.select("num_func", "cpf")
+    extract = stored.where(F.col("num_func").isNull())         # no teacher lacks a number: an empty extract
+    out = []
+    for policy in ("keep", "clear"):
+        state, _ = M.full_refresh(stored, extract, ["num_func"], numeric=("num_func",), empty_policy=policy)
+        out.append(state.select(F.lit(policy).alias("politica"), "num_func", "cpf"))
+    return union(out)
+
+
+@register("guarded_delete_abort", with_views("""
+SELECT s.aluno, s.sit_aluno, (SELECT count(*) FROM student) AS total,
+  (SELECT count(*) FROM student WHERE unidade_ensino <> '007') AS obsoletos, true AS abortado FROM student s"""))
+def q_guarded_delete_abort(spark, sf):
+    """M6: only one unit's students are live, so more than half would go: nothing is deleted."""
+    d = domain(spark, sf)
+    live = d.student.where(F.col("unidade_ensino") == "007").select("aluno")
+    state, stats = M.guarded_delete(d.student, live, ["aluno"])
+    return state.select("aluno", "sit_aluno", F.lit(stats["total"]).cast("bigint").alias("total"),
+                        F.lit(stats["obsoletos"]).cast("bigint").alias("obsoletos"), F.lit(stats["abortado"]).alias("abortado"))
+
+
 _STAMP_TXT = ("strftime(make_timestamp(CAST(CASE WHEN {x} > 1e12 THEN {x} / 1000 ELSE {x} END * 1000000 AS BIGINT)), "
               "'%Y-%m-%d %H:%M:%S')")
 
@@ -176,7 +203,7 @@ def q_stamp_incremental(spark, sf):
 def _previous_sheet(d):
     """The committee sheet as loaded last time: every fourth member sat on the next course."""
     sh = d.committee_sheet
-    moved = F.lpad(((F.col("codigoCurso").cast("bigint") + 1) % 25).cast("string"), 3, "0")
+    moved = F.lpad(((F.col("codigoCurso").try_cast("bigint") + 1) % 25).cast("string"), 3, "0")
     return sh.withColumn("codigoCurso", F.when(F.col("linha") % 4 == 0, moved).otherwise(F.col("codigoCurso")))
 
 
@@ -189,7 +216,7 @@ SELECT coalesce(p.codigoCurso, c.codigoCurso) AS codigoCurso, coalesce(p.nomeMem
   CASE WHEN c.codigoCurso IS NOT NULL THEN 'S' ELSE 'N' END AS status
 FROM pcm p FULL OUTER JOIN cm c ON p.codigoCurso = c.codigoCurso AND p.nomeMembro = c.nomeMembro
   AND p.emailMembro IS NOT DISTINCT FROM c.emailMembro""",
-    "prev_sheet AS (SELECT linha, CASE WHEN linha % 4 = 0 THEN lpad(CAST((CAST(codigoCurso AS BIGINT) + 1) % 25 AS VARCHAR), 3, '0') "
+    "prev_sheet AS (SELECT linha, CASE WHEN linha % 4 = 0 THEN lpad(CAST((TRY_CAST(codigoCurso AS BIGINT) + 1) % 25 AS VARCHAR), 3, '0') "
     "ELSE codigoCurso END AS codigoCurso, nomeCurso, Coordenador, emailCoordenador, nomeMembro, emailMembro FROM committee_sheet)",
     *COMMITTEE_CTES, *PREV_CTES))
 def q_soft_delete(spark, sf):

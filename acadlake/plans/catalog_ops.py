@@ -11,6 +11,7 @@ from acadlake.functions import rules as R
 from acadlake.functions import scalars as S
 from acadlake.operators import aggregates as A
 from acadlake.operators import ordering as O
+from acadlake.operators import relational as J
 from acadlake.plans import worklists as WL
 from acadlake.plans.catalog_products import ASSESS_CTES, ASSESS_SELECT
 from acadlake.plans.oracle_sql import (email_ok, initials, mailbox_user, offering_code, offering_type,
@@ -487,3 +488,34 @@ SELECT codigoUnidade, nomeUnidade, codigoCurso, codigoDisciplina, ordemExibicao,
 def q_assessment_units_kept(spark, sf):
     kept, _ = assessment_units_keyed(domain(spark, sf))
     return kept
+
+
+# --------------------------------------------------------------------------- J11
+
+_CLASS = "t.ano, t.semestre, t.turma, t.disciplina"
+
+
+@register("course_by_class", with_views(f"SELECT {_CLASS}, t.curso FROM class t WHERE t.disciplina IN (SELECT disciplina FROM subject)"))
+def q_course_by_class(spark, sf):
+    d = domain(spark, sf)
+    classes = d.view("class").select("ano", "semestre", "turma", "disciplina", "curso")
+    return J.class_course(classes, d.subject, d.grid)
+
+
+@register("course_by_subject", with_views(
+    f"SELECT {_CLASS}, s.curso FROM class t JOIN (SELECT disciplina, min(curso) AS curso FROM grid GROUP BY disciplina) s "
+    "ON s.disciplina = t.disciplina"))
+def q_course_by_subject(spark, sf):
+    d = domain(spark, sf)
+    classes = d.view("class").select("ano", "semestre", "turma", "disciplina")
+    subjects = d.grid.groupBy("disciplina").agg(F.min("curso").alias("curso"))
+    return J.class_course(classes, subjects, d.grid)
+
+
+@register("course_by_grid", with_views(
+    f"SELECT {_CLASS}, g.curso FROM class t JOIN grid g ON g.disciplina = t.disciplina "
+    "WHERE t.disciplina IN (SELECT disciplina FROM subject)"))
+def q_course_by_grid(spark, sf):
+    d = domain(spark, sf)
+    classes = d.view("class").select("ano", "semestre", "turma", "disciplina")
+    return J.class_course(classes, d.subject, d.grid)

@@ -231,11 +231,13 @@ def committee_ctes(p: str = "", sheet: str = "committee_sheet") -> list[str]:
       min(linha) AS pos, arg_min(Coordenador, linha) FILTER (WHERE Coordenador IS NOT NULL) AS Coordenador,
       arg_min(emailCoordenador, linha) FILTER (WHERE emailCoordenador IS NOT NULL) AS emailCoordenador
       FROM {p}sh2 GROUP BY chave)""",
-        f"""{p}cg AS (SELECT b.*, coalesce(b.codigoCurso, CASE WHEN sq = 0 THEN base ELSE base || lpad(CAST(sq AS VARCHAR), 2, '0') END) AS code
+        f"""{p}cg AS (SELECT b.*, coalesce(b.codigoCurso, list_filter(list_transform(range(0, sq + 1 + len(dados)),
+          lambda i: CASE WHEN i = 0 THEN base ELSE base || lpad(CAST(i AS VARCHAR), 2, '0') END),
+          lambda n: NOT list_contains(dados, n))[sq + 1]) AS code
       FROM (SELECT *, row_number() OVER (PARTITION BY base ORDER BY pos) - 1 AS sq FROM (
         SELECT *, CASE WHEN codigoCurso IS NULL THEN coalesce(nullif(upper(substr(array_to_string(
           list_transform(string_split_regex(nomeCurso, '\\s+'), lambda w: substr(w, 1, 1)), ''), 1, 3)), ''), 'XXX') END AS base
-        FROM {p}cf) a) b)""",
+        FROM {p}cf) a) b, (SELECT coalesce(list(codigoCurso) FILTER (codigoCurso IS NOT NULL), []) AS dados FROM {p}cf) z)""",
         f"""{p}cc AS (SELECT code AS codigoCurso, {trunc('nomeCurso', 64)} AS nomeCurso, coalesce({trunc('Coordenador', 100)}, '') AS coordenador,
       {trunc('emailCoordenador', 100)} AS emailCoordenador, 'S' AS status FROM {p}cg
       WHERE {within('code', 30)} AND {within(trunc('nomeCurso', 64), 64)})""",

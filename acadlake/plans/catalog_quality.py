@@ -9,7 +9,6 @@ from acadlake.operators import contracts as C
 from acadlake.operators import maintenance as M
 from acadlake.operators import ordering as O
 from acadlake.operators import quality as Q
-from acadlake.operators import relational as J
 from acadlake.functions import constants as K
 from acadlake.plans.catalog_products import ORACLES as PRODUCT_ORACLES
 from acadlake.plans.load_tables import PRODUCED, produced, product_ctes, union

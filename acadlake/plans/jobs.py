@@ -35,6 +35,15 @@ def refresh_classes(d: Domain, page_size: int = 500, stored: DataFrame | None =
     return M.full_refresh(target, rows, CLASS_REQUIRED, numeric=("ano", "semestre"), empty_policy="keep")
 
 
+def publish_classes(d: Domain) -> tuple[DataFrame, DataFrame]:
+    """The class mirror as a versioned table: the refreshed state is published only if every valid row
+    was stored; returns the table as readers see it, and the load statistics."""
+    state, stats = refresh_classes(d)
+    mirror = M.VersionedTable(d.spark, scratch_path(d.spark, "class-mirror"))
+    mirror.write(state, expected=stats.first()["validos"])
+    return mirror.read(), stats
+
+
 def class_profile(state: DataFrame) -> DataFrame:
     return A.profile(state, ["turma", "disciplina"], {"abertas": S.ci_equals("sit_turma", "aberta")}, "ano")
 

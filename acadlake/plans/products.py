@@ -54,11 +54,17 @@ def student_view(d: Domain, with_id: bool = True) -> DataFrame:
     p = d.person.select("pessoa", "cpf", "nome_compl", "nome_social").alias("p")
     c = d.course.select("curso", "decreto", "nome", "titulo", "tipo").alias("c")
     cr = d.curriculum.select("curso", "curriculo", "regime").alias("cr")
-    mu = representative_enrolment(d.enrol).alias("mu")
-    j = (a.join(p, F.col("a.pessoa") == F.col("p.pessoa"), "left")
+    # only the sort key (and the status, which filters use) is numbered and written; the 24 columns join afterwards
+    mu = d.student.select("aluno").join(representative_enrolment(d.enrol), "aluno", "left") \
+        .select("aluno", "ano", "semestre", "turma", "sit_matricula")
+    if with_id:
+        mu = O.sequential_ids(mu, [F.col("aluno").asc(), F.col("ano").desc_nulls_last(),
+                                   F.col("semestre").desc_nulls_last(), F.col("turma").asc_nulls_first()], "id")
+    mu = mu.alias("mu")
+    j = (a.join(mu, F.col("a.aluno") == F.col("mu.aluno"))
+         .join(p, F.col("a.pessoa") == F.col("p.pessoa"), "left")
          .join(c, F.col("a.curso") == F.col("c.curso"), "left")
-         .join(cr, (F.col("a.curriculo") == F.col("cr.curriculo")) & (F.col("a.curso") == F.col("cr.curso")), "left")
-         .join(mu, F.col("a.aluno") == F.col("mu.aluno"), "left"))
+         .join(cr, (F.col("a.curriculo") == F.col("cr.curriculo")) & (F.col("a.curso") == F.col("cr.curso")), "left"))
     out = j.select(
         F.col("p.cpf").alias("pes_nu_cpf_cgc"),
         F.col("c.decreto").alias("hab_mec"),
@@ -83,13 +89,9 @@ def student_view(d: Domain, with_id: bool = True) -> DataFrame:
         F.col("c.tipo").alias("modalidade_ensino"),
         F.col("a.unidade_fisica").alias("instituicao_ensino"),
         F.col("a.tipo_ingresso").alias("tipo_ingresso"),
-        F.col("mu.ano").alias("_ano"), F.col("mu.semestre").alias("_sem"), F.col("mu.turma").alias("_turma"),
+        *([F.col("mu.id").alias("id")] if with_id else []),
     )
-    if with_id:
-        order = [F.col("alu_nu_matricula").asc(), F.col("_ano").desc_nulls_last(),
-                 F.col("_sem").desc_nulls_last(), F.col("_turma").asc_nulls_first()]
-        out = O.sequential_ids(out, order, "id")
-    return out.drop("_ano", "_sem", "_turma")
+    return out
 
 
 def active_intake(d: Domain, intake: str = "2026/2") -> DataFrame:
@@ -436,10 +438,19 @@ def committee(d: Domain, sheet: DataFrame | None = None) -> tuple[DataFrame, Dat
     initials = F.upper(F.substring(F.array_join(F.transform(F.split(F.col("nomeCurso"), r"(?U)\s+"),
                                                             lambda w: F.substring(w, 1, 1)), ""), 1, 3))
     initials = F.when(initials == "", F.lit("XXX")).otherwise(initials)
-    courses = courses.withColumn("base", F.when(F.col("codigoCurso").isNull(), initials))
-    courses = O.repeat_suffix(courses, "base", [F.col("pos")], "seq")
-    gen = F.when(F.col("seq") == 0, F.col("base")).otherwise(F.concat("base", F.lpad(F.col("seq").cast("string"), 2, "0")))
-    courses = courses.withColumn("codigoCurso", F.coalesce("codigoCurso", gen))
+    # only code-less courses are ordered inside their base; given codes are left out of the numbering
+    coded = courses.where(F.col("codigoCurso").isNotNull())
+    blank = courses.where(F.col("codigoCurso").isNull()).withColumn("base", initials)
+    blank = O.repeat_suffix(blank, "base", [F.col("pos")], "seq")
+    given = coded.select(F.regexp_extract("codigoCurso", r"^(.{0,2}?\D)(\d\d+)?$", 1).alias("base"), "codigoCurso")
+    given = given.where("base <> ''").groupBy("base").agg(F.collect_set("codigoCurso").alias("dados"))
+    blank = blank.join(given, "base", "left")
+    taken = F.coalesce("dados", F.array().cast("array<string>"))
+    names = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("seq") + F.size(taken)), lambda i: F.when(
+        i == 0, F.col("base")).otherwise(F.concat("base", F.lpad(i.cast("string"), 2, "0"))))
+    free = F.filter(names, lambda n: ~F.array_contains(taken, n))
+    blank = blank.withColumn("codigoCurso", F.element_at(free, (F.col("seq") + 1).cast("int")))
+    courses = coded.unionByName(blank.select(*coded.columns))
     members = (sh.where(F.col("nomeMembro").isNotNull())
                .join(courses.select("chave", F.col("codigoCurso").alias("cc")), "chave", "inner")
                .select(F.col("cc").alias("codigoCurso"), S.truncate("nomeMembro", 100).alias("nomeMembro"),

@@ -150,27 +150,3 @@ def subject_first_course(d: Domain) -> DataFrame:
     smallest course code), with the course name - a left join to a per-key minimum."""
     g = d.grid.select("disciplina", "curso").join(d.course.select("curso", "nome"), "curso", "inner")
     return g.groupBy("disciplina").agg(F.min("curso").alias("curso"), F.min_by("nome", "curso").alias("nome_curso"))
-
-
-# --- fixed values: the course and curriculum feed rows (D19) ---
-FIXED_COURSE_FEED = {
-    "name": "AMBIENTAÇÃO E SOFT SKILLS (EAD)",
-    "externalId": "998",
-    "isActive": True,
-    "externalTeachingModalityId": "8566e942-e4b2-439b-a89a-72447e361c50",
-    "externalEducationLevelId": "c5395622-e684-4921-aaad-c2b98e7263d2",
-    "courseTypeId": "bachelor",
-}
-
-
-def course_feed(spark, stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Upsert the fixed course row into the feed table (M1) and return
-    (new table state, CSV lines with booleans rendered 'true'/'false')."""
-    from acadlake.operators.maintenance import upsert
-    from acadlake.sources.sinks import csv_lines
-    cols = list(FIXED_COURSE_FEED)
-    row = spark.createDataFrame([tuple(FIXED_COURSE_FEED[c] for c in cols)],
-                                "name string, externalId string, isActive boolean, externalTeachingModalityId string, "
-                                "externalEducationLevelId string, courseTypeId string")
-    state = row.withColumn("acao", F.lit("insert")) if stored is None else upsert(stored, row, ["externalId"])
-    return state, csv_lines(row, cols)

@@ -5,9 +5,14 @@ other on the class key (year, semester, class, subject) by most products.
 They are stored once as Parquet tables bucketed (and sorted) by that key with
 the same bucket count, so those joins read matching buckets side by side:
 no exchange on either side, and the sort-merge join needs no extra sort.
-The bucket count follows ``spark.sql.shuffle.partitions`` unless
-``acadlake.mirror.buckets`` is set (size it so a bucket fits a task).
-Tables are external, under the shared checkpoint folder.
+The bucket count follows ``spark.sql.shuffle.partitions`` (``acadlake.mirror.buckets``
+overrides it; size it so a bucket fits a task), but never so many that a bucket has
+fewer than ``KEYS_PER_BUCKET`` keys: then a bucket of an unskewed table holds about
+what the others hold, at any scale.  A bucketed scan gives a bucket to one task and
+bypasses AQE's skew splitting, so a table with a key above ``HOT_FACTOR`` average
+buckets is read as plain files instead, and its joins split that key.
+Tables are external, under the shared checkpoint folder, one set for each state of
+the source files.
 """
 
 from __future__ import annotations
@@ -15,7 +20,9 @@ from __future__ import annotations
 import hashlib
 import threading
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from acadlake.session import scratch_path
 
@@ -35,43 +42,43 @@ def buckets(spark: SparkSession) -> int:
     return int(spark.conf.get("acadlake.mirror.buckets", None) or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def store(spark: SparkSession, name: str, df: DataFrame, source_id: str) -> DataFrame:
+KEYS_PER_BUCKET = 4
+HOT_FACTOR = 4
+
+
+def layout(df: DataFrame, cols: list[str], most: int) -> tuple[int, bool]:
+    """Bucket count, and whether one key holds more than ``HOT_FACTOR`` average buckets of rows.
+
+    One aggregate over the key columns, one row back."""
+    row = (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+           .agg(F.count(F.lit(1)).alias("keys"), F.max("n").alias("top"), F.sum("n").alias("total")).first())
+    n = max(1, min(most, row["keys"] // KEYS_PER_BUCKET))
+    return n, row["keys"] > 0 and row["top"] > max(HOT_FACTOR * row["total"] / n, KEYS_PER_BUCKET * row["total"] / row["keys"])
+
+
+def store(spark: SparkSession, name: str, df: DataFrame, source_id) -> DataFrame:
     """Write ``df`` once as a bucketed table and return a scan of it."""
-    key = (id(spark), name, source_id, spark.conf.get("spark.checkpoint.dir", None))
+    key = (name, source_id, spark.sparkContext.applicationId, spark.conf.get("spark.checkpoint.dir", None))
     with _lock:
         if key not in _stored:
-            cols, n = LAYOUT[name], buckets(spark)
-            digest = hashlib.sha1(f"{source_id}|{name}|{n}".encode()).hexdigest()[:10]
-            table = f"acadlake_mirror_{name}_{digest}"
+            cols = LAYOUT[name]
             path = scratch_path(spark, f"mirror-{name}")
-            try:
-                (df.repartition(n, *cols).write.mode("overwrite").format("parquet")
-                 .bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(table))
-            except Exception:           # catalog refuses tables: keep the derived (unbucketed) frame
-                _stored[key] = ("frame", None)
+            n, hot = layout(df, cols, buckets(spark))
+            if hot:
+                df.write.mode("overwrite").parquet(path)
+                _stored[key] = ("files", path)
             else:
-                _stored[key] = ("table", table) if not hot_key(spark.table(table), cols, n) else ("files", path)
+                digest = hashlib.sha1(f"{source_id}|{name}|{n}".encode()).hexdigest()[:10]
+                table = f"acadlake_mirror_{name}_{digest}"
+                try:
+                    (df.repartition(n, *cols).write.mode("overwrite").format("parquet")
+                     .bucketBy(n, *cols).sortBy(*cols).option("path", path).saveAsTable(table))
+                    _stored[key] = ("table", table)
+                except AnalysisException:       # the catalog refuses tables; a failed write is raised
+                    _stored[key] = ("frame", None)
         kind, ref = _stored[key]
         if kind == "table":
             return spark.table(ref)
-        if kind == "files":             # same files, no bucket spec: joins shuffle and AQE splits the hot key
+        if kind == "files":             # no bucket spec: joins shuffle and AQE splits the hot key
             return spark.read.parquet(ref)
         return df
-
-
-HOT_FACTOR = 4
-
-
-def hot_key(stored: DataFrame, cols: list[str], n: int) -> bool:
-    """True when one key holds more than ``HOT_FACTOR`` average buckets of rows.
-
-    A bucketed scan gives every bucket to one task and bypasses AQE's skew-join
-    splitting, so a table with such a key is better joined through a shuffle.
-    One aggregate over the stored key columns decides.
-    """
-    from pyspark.sql import functions as F
-    row = (stored.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.max("n").alias("top"), F.sum("n").alias("total")).first())
-    if row is None or row["total"] is None:
-        return False
-    return row["top"] > HOT_FACTOR * row["total"] / n

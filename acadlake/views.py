@@ -93,7 +93,7 @@ SELECT CAST(o_custkey AS STRING) AS aluno,
   CAST(CASE WHEN month(o_orderdate) <= 6 THEN 1 ELSE 2 END AS BIGINT) AS semestre,
   CASE WHEN l_linenumber % 4 = 0 THEN 'T0' WHEN l_linenumber % 4 = 1 THEN 'T2' WHEN l_linenumber % 4 = 2 THEN 'T3' ELSE 'E' END
     || CAST(l_suppkey % 3 AS STRING) AS turma,
-  'D' || lpad(CAST(l_partkey % 200 AS STRING), 4, '0') AS disciplina,
+  'D' || lpad(CAST(CAST((l_partkey - l_partkey % 10) / 10 AS BIGINT) AS STRING), 9, '0') AS disciplina,
   CASE WHEN l_linestatus = 'O' THEN 'Matriculado' ELSE 'Cancelado' END AS sit_matricula,
   l_suppkey, l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
@@ -118,14 +118,14 @@ FROM (SELECT DISTINCT curso, curriculo FROM {student}) s
 """
 
 VIEW_SQL["subject"] = """
-SELECT DISTINCT 'D' || lpad(CAST(p_partkey % 200 AS STRING), 4, '0') AS disciplina,
-  'Subject ' || CAST(p_partkey % 200 AS STRING) AS nome,
-  CASE WHEN p_partkey % 200 % 11 = 0 THEN NULL WHEN p_partkey % 200 % 11 = 1 THEN '   '
-       ELSE '  Disciplina ' || CAST(p_partkey % 200 AS STRING) || ' completa ' END AS nome_compl,
-  CASE WHEN p_partkey % 200 % 5 = 0 THEN '002' ELSE '001' END AS faculdade,
-  CASE WHEN p_partkey % 200 % 7 = 0 THEN NULL WHEN p_partkey % 200 % 7 = 1 THEN '' WHEN p_partkey % 200 % 7 = 2 THEN 'Outra' ELSE 'Optativa' END AS area_conhecimento,
-  CASE WHEN p_partkey % 200 % 9 = 0 THEN 'N' ELSE 'S' END AS ativo
-FROM {part}
+SELECT DISTINCT 'D' || lpad(CAST(n AS STRING), 9, '0') AS disciplina,
+  'Subject ' || CAST(n AS STRING) AS nome,
+  CASE WHEN n % 11 = 0 THEN NULL WHEN n % 11 = 1 THEN '   '
+       ELSE '  Disciplina ' || CAST(n AS STRING) || ' completa ' END AS nome_compl,
+  CASE WHEN n % 5 = 0 THEN '002' ELSE '001' END AS faculdade,
+  CASE WHEN n % 7 = 0 THEN NULL WHEN n % 7 = 1 THEN '' WHEN n % 7 = 2 THEN 'Outra' ELSE 'Optativa' END AS area_conhecimento,
+  CASE WHEN n % 9 = 0 THEN 'N' ELSE 'S' END AS ativo
+FROM (SELECT CAST((p_partkey - p_partkey % 10) / 10 AS BIGINT) AS n FROM {part}) p
 """
 
 VIEW_SQL["teacher"] = """
@@ -180,10 +180,12 @@ SELECT o_orderkey AS id,
 FROM {orders}
 """
 
-# Committee sheet (all text): one line per member, course from the member's nation.
+# Committee sheet (all text): one line per member, course from the member's nation; some courses have no code,
+# some codes are what would be generated for others.
 VIEW_SQL["committee_sheet"] = """
 SELECT s_suppkey AS linha,
-  lpad(CAST(n_nationkey AS STRING), 3, '0') AS codigoCurso,
+  CASE WHEN n_nationkey % 4 = 3 THEN NULL WHEN n_nationkey IN (9, 10) THEN ' ' WHEN n_nationkey = 2 THEN 'C'
+       WHEN n_nationkey = 12 THEN 'I01' ELSE lpad(CAST(n_nationkey AS STRING), 3, '0') END AS codigoCurso,
   n_name AS nomeCurso,
   CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'Coord ' || n_name END AS Coordenador,
   CASE WHEN s_suppkey % 4 = 0 THEN '' WHEN s_suppkey % 4 = 1 THEN NULL
@@ -260,7 +262,7 @@ class Domain:
             df = self.spark.sql(text, **deps)
             from acadlake.sources import mirror
             if self.stored_mirrors and name in mirror.LAYOUT:
-                df = mirror.store(self.spark, name, df, self.sf_dir)
+                df = mirror.store(self.spark, name, df, source_state(self.spark, self.sf_dir, *RAW_TABLES))
             self._frames[key] = df
         return self._frames[key]
 

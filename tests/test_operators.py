@@ -101,6 +101,25 @@ def test_m15_version_swap(spark):
     assert vt.current() != first and vt.read().count() == 5
 
 
+def test_m15_failing_writes_leave_the_old_version(spark):
+    import pytest
+    vt = M.VersionedTable(spark, scratch_path(spark, "versioned"))
+    vt.write(spark.range(4), expected=4)
+    old = vt.current()
+    with pytest.raises(Exception, match="broken"):
+        vt.write(spark.range(9).select(F.when(F.col("id") > 5, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).alias("id")))
+    with pytest.raises(ValueError, match="3 rows stored"):
+        vt.write(spark.range(3), expected=4)
+    assert vt.current() == old and vt.read().count() == 4
+
+
+def test_m12_rebuild_without_a_required_column(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    assert M.evolve(spark.range(3).withColumnRenamed("id", "v"), schema, required=("k",)).count() == 0
+    assert M.evolve(spark.range(3).withColumnRenamed("id", "k"), schema, required=("k",)).count() == 3
+
+
 def test_dedupe_unique_by_key(spark, sf):
     e = domain(spark, sf).enrol
     out = O.pick_per_key(e.select("aluno", "disciplina", "ano", "turma"), ["aluno"], ["ano", "turma"], keep="last")

@@ -81,3 +81,18 @@ def test_hot_key_mirror_falls_back_to_shuffled_joins(spark):
     assert "Exchange" in self_join_plan(hot)                    # shuffled: AQE can split the hot key
     cool = mirror.store(spark, "class", df.withColumn("ano", F.col("v")), "cool-fixture")
     assert "Exchange" not in self_join_plan(cool)               # bucketed: co-located
+    # more buckets asked for than there are keys: still co-located, with buckets of several keys
+    few = df.withColumn("ano", F.col("v") % 40)
+    spark.conf.set("acadlake.mirror.buckets", "1000")
+    try:
+        assert mirror.layout(few, keys, 1000) == (10, False)
+        assert "Exchange" not in self_join_plan(mirror.store(spark, "class", few, "few-keys-fixture"))
+    finally:
+        spark.conf.unset("acadlake.mirror.buckets")
+
+
+def test_classes_grow_with_the_data(spark):
+    from acadlake.views import Domain
+    small, large = (Domain(spark, f"/root/testdata/{s}", stored_mirrors=False) for s in ("sf0.001", "sf0.01"))
+    for view in ("class", "subject", "grid"):
+        assert large.view(view).count() > 5 * small.view(view).count(), view
