@@ -70,13 +70,22 @@ def insert_absent(target: DataFrame, source: DataFrame, keys: list[str], order:
     return target.withColumn("acao", F.lit("keep")).unionByName(new.withColumn("acao", F.lit("insert")))
 
 
-def merge_statistics(merged: DataFrame) -> DataFrame:
-    """Inserted / updated / kept / processed counts of a merge, one row."""
-    return merged.agg(
+def merge_statistics(merged: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of counts: rows read, inserted, updated, kept, processed; ignored (read rows that a later
+    row of their key replaced) and errors (read rows without a whole key)."""
+    counts = merged.agg(
         F.count_if(F.col("acao") == "insert").cast("bigint").alias("inseridos"),
         F.count_if(F.col("acao") == "update").cast("bigint").alias("atualizados"),
         F.count_if(F.col("acao") == "keep").cast("bigint").alias("mantidos"),
         F.count_if(F.col("acao") != "keep").cast("bigint").alias("processados"))
+    whole = None
+    for k in keys:
+        whole = F.col(k).isNotNull() if whole is None else whole & F.col(k).isNotNull()
+    per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    read = per_key.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("lidos"),
+                       F.coalesce(F.sum(F.when(whole, F.col("__n") - 1)), F.lit(0)).cast("bigint").alias("ignorados"),
+                       F.coalesce(F.sum(F.when(~whole, F.col("__n"))), F.lit(0)).cast("bigint").alias("erros")).first()
+    return counts.select("*", *[F.lit(read[c]).cast("bigint").alias(c) for c in ("lidos", "ignorados", "erros")])
 
 
 def full_refresh(target: DataFrame, source: DataFrame, required: list[str], numeric: tuple = (),

@@ -239,6 +239,16 @@ def q_run_log_json(spark, sf):
     return spark.read.schema(schema).json(path)
 
 
+@register("run_step_log", with_views("SELECT event_type AS modulo, event_id AS execucao, value AS segundos FROM events"))
+def q_run_step_log(spark, sf):
+    """K7: the records of each step in its own folder beside the consolidated log."""
+    e = domain(spark, sf).events
+    path = scratch_path(spark, "run_steps")
+    KS.write_json_log(e.select(F.col("event_type").alias("modulo"), F.col("event_id").alias("execucao"),
+                               F.col("value").alias("segundos")), path, step="modulo")
+    return spark.read.schema("execucao bigint, segundos double, modulo string").json(path)
+
+
 # --------------------------------------------------------------------------- streaming
 
 STREAM_ORACLE = """SELECT event_id, user_id, CASE WHEN event_id % 7 = 0 THEN upper(event_type) ELSE event_type END AS event_type,

@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from acadlake.functions import constants as K
 from acadlake.functions import scalars as S
 from acadlake.operators import contracts as C
 from acadlake.operators import maintenance as M
 from acadlake.operators import ordering as O
 from acadlake.plans import products as P
+from acadlake.plans import worklists as WL
 from acadlake.plans.catalog_products import COMMITTEE_CTES, committee_ctes
 from acadlake.plans.load_tables import PRODUCED, produced, product_ctes, union
-from acadlake.plans.oracle_sql import ci, strip, with_views
+from acadlake.plans.oracle_sql import ci, q, strip, with_views
 from acadlake.views import domain
 
 QUERIES = {}
@@ -93,11 +95,30 @@ def q_merge_coalesce(spark, sf):
 
 @register("merge_stats", with_views(f"""
 SELECT count(*) FILTER (WHERE acao = 'insert') AS inseridos, count(*) FILTER (WHERE acao = 'update') AS atualizados,
-  count(*) FILTER (WHERE acao = 'keep') AS mantidos, count(*) FILTER (WHERE acao <> 'keep') AS processados
+  count(*) FILTER (WHERE acao = 'keep') AS mantidos, count(*) FILTER (WHERE acao <> 'keep') AS processados,
+  (SELECT count(*) FROM src_all) AS lidos, (SELECT count(chave) - count(DISTINCT chave) FROM src_all) AS ignorados,
+  (SELECT count(*) FROM src_all WHERE chave IS NULL) AS erros
 FROM ({_merge_sql(False)}) m""", *ORDER_CTES))
 def q_merge_stats(spark, sf):
     t, s = order_versions(spark, sf)
-    return M.merge_statistics(M.upsert(t, s, ["chave"], order=["seq"]))
+    return M.merge_statistics(M.upsert(t, s, ["chave"], order=["seq"]), s, ["chave"])
+
+
+@register("enrol_feed_merge", with_views(f"""
+SELECT coalesce(s.aluno, t.aluno) AS "externalEnrollmentId", {q(K.FEED_CLASS_SUBJECT_ID)} AS "externalClassSubjectId",
+  CASE WHEN s.aluno IS NOT NULL THEN {q(K.FEED_PERIOD_ID)} ELSE 'anterior' END AS "externalPeriodId",
+  CASE WHEN s.aluno IS NULL THEN 'keep' WHEN t.aluno IS NULL THEN 'insert' ELSE 'update' END AS acao
+FROM (SELECT aluno FROM student WHERE unidade_ensino = '002' AND ano_ingresso <= 2023) t
+FULL OUTER JOIN (SELECT aluno FROM student WHERE unidade_ensino = '002' AND {ci('sit_aluno', 'Ativo')}) s ON s.aluno = t.aluno"""))
+def q_enrol_feed_merge(spark, sf):
+    """D17 + M1: the feed goes into the stored feed table (what earlier intakes had, under the period before)."""
+    d = domain(spark, sf)
+    name = "externalEnrollmentId"
+    feed = WL.enrol_feed(d).withColumnRenamed("ext.info.tags", "ext_info_tags")
+    earlier = d.student.where((F.col("unidade_ensino") == K.FEED_UNIT) & (F.col("ano_ingresso") <= 2023))
+    stored = earlier.select(F.col("aluno").alias(name), F.lit(K.FEED_CLASS_SUBJECT_ID).alias("externalClassSubjectId"),
+                            F.lit("anterior").alias("externalPeriodId"))
+    return M.upsert(stored, feed, [name])
 
 
 @register("insert_absent", with_views("""

@@ -313,12 +313,14 @@ def q_prefix_filter(spark, sf):
 
 
 @register("recent_rows", with_views("""
-SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type FROM events
-ORDER BY events.ts DESC, event_id DESC LIMIT 5"""))
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type,
+  (SELECT count(*) FROM events) AS total_linhas FROM events ORDER BY events.ts DESC, event_id DESC LIMIT 5"""))
 def q_recent_rows(spark, sf):
+    """K8: the table's row count beside its five latest rows."""
     e = domain(spark, sf).events
     top = e.orderBy(F.desc("ts"), F.desc("event_id")).limit(5)
-    return top.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", "event_type")
+    return top.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", "event_type",
+                      F.lit(e.count()).cast("bigint").alias("total_linhas"))
 
 
 @register("latest_state", with_views("""
