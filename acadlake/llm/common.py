@@ -33,6 +33,12 @@ def crc_mod(col: Column, modulus: int) -> Column:
     return F.crc32(id_text(col)) % F.lit(modulus)
 
 
+def hashed_share(order: Column, rows: int, total: int, slack: int = 3) -> Column:
+    """Condition that about ``slack * rows`` of ``total`` rows meet, chosen by the hash ``order``: what is sorted for
+    a sample of ``rows`` then no longer grows with the number of partitions."""
+    return F.pmod(order, F.lit(1 << 30)) < F.lit(min(1 << 30, (slack * rows << 30) // max(1, total) + 1))
+
+
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the rows of an Arrow batch (texts may be long); keeps a smaller setting."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

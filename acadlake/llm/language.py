@@ -95,8 +95,13 @@ def learn_profiles(docs: DataFrame, learn: Column, rows: int = FIT_ROWS, size: i
     """``docs`` (doc_id, text, lang); ``learn`` says which rows may be used.  ``size`` codes a language come back."""
     spark = docs.sparkSession
     small_batches(spark)
-    order = W.partitionBy("lang").orderBy(F.xxhash64(F.lit("language"), F.col("doc_id")), "doc_id")
-    ids = (docs.filter(learn & F.col("lang").isNotNull()).select("doc_id", "lang")
+    known = docs.filter(learn & F.col("lang").isNotNull()).select("doc_id", "lang")
+    held = known.groupBy("lang").agg(F.count("*").alias("n"))
+    key = F.xxhash64(F.lit("language"), F.col("doc_id"))
+    # about three times the rows that the sample of a language needs are ranked
+    near = F.pmod(key, F.lit(1 << 30)) < F.least(F.lit(float(1 << 30)), F.lit(float(3 * rows << 30)) / F.col("n") + 1)
+    order = W.partitionBy("lang").orderBy(key, "doc_id")
+    ids = (known.join(held, "lang").filter(near)
            .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= rows).select("doc_id", "lang").distinct())
     ids = cut_lineage(ids, "lang-sample")           # at most `rows` ids of each language
     sample = docs.join(ids, ["doc_id", "lang"]).select("lang", "text")

@@ -34,7 +34,7 @@ from itertools import repeat
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acadlake.llm.common import crc_mod, small_batches, table
+from acadlake.llm.common import crc_mod, hashed_share, small_batches, table
 from acadlake.llm.words import utf8, word_blocks
 from acadlake.session import cut_lineage
 
@@ -465,8 +465,10 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     coder, escaped = build_coder(counts, ends, top)
     all_ = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     model = Model(coder, train_tables(training, coder), all_.n + ends, all_.v + (ends > 0))
-    # ids first, then their texts: a task sends at most FIT_ROWS narrow rows to the driver
-    picked = training.select("doc_id").distinct().orderBy(F.xxhash64(F.lit("lm"), F.col("doc_id")), "doc_id").limit(FIT_ROWS)
+    # ids first, then their texts: a few times FIT_ROWS narrow rows are sorted, however many tasks there are
+    order = F.xxhash64(F.lit("lm"), F.col("doc_id"))
+    picked = training.select("doc_id").filter(hashed_share(order, FIT_ROWS, ends)).distinct()
+    picked = picked.orderBy(order, "doc_id").limit(FIT_ROWS)
     picked = cut_lineage(picked, "lm-sample").withColumnRenamed("doc_id", "id")
     texts = training.join(F.broadcast(picked), F.col("doc_id").eqNullSafe(F.col("id"))).groupBy("id").agg(
         F.min(F.coalesce("text", F.lit(""))).alias("text"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acadlake.llm.common import crc_mod, small_batches, table
+from acadlake.llm.common import crc_mod, hashed_share, small_batches, table
 from acadlake.session import cut_lineage
 
 FIT_ROWS = 8000          # labelled rows of each label that the fit may use
@@ -109,7 +109,10 @@ def fit_sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = FI
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("label")).filter(learn)
     marks = marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
     order = F.xxhash64(F.lit("toxicity"), F.col("doc_id"))
-    parts = [marks.filter(F.col("label") == v).orderBy(order, "doc_id").limit(rows) for v in (0, 1)]
+    marks = cut_lineage(marks, "tox-marks")
+    held = {r.label: r.n for r in marks.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    parts = [marks.filter((F.col("label") == v) & hashed_share(order, rows, held.get(v, 0)))
+             .orderBy(order, "doc_id").limit(rows) for v in (0, 1)]
     chosen = cut_lineage(parts[0].unionByName(parts[1]), "tox-sample")
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
 
