@@ -282,23 +282,21 @@ def _odds(total) -> bytes:
 
 
 class Tables:
-    """Log-odds and confidences of the three predictors."""
+    """Log-odds (sixteenths, plus 128) and confidence (times 256) of the three predictors, in one code per slot."""
 
     def __init__(self, nodes: int, chunks: dict[int, bytes]):
         import numpy as np
 
-        sizes = [nodes, SLOTS, SLOTS]
-        self.odds, self.sure, base = [], [], 0
-        for size in sizes:
+        self.codes, base = [], 0
+        for size in (nodes, SLOTS, SLOTS):
             pairs = -(-2 * size // CHUNK)
-            odds, sure = np.zeros(pairs * CHUNK // 2, np.int8), np.zeros(pairs * CHUNK // 2, np.uint8)
+            codes = np.full(pairs * CHUNK // 2, 128, np.uint16)
             for i in range(pairs):
                 if base + i in chunks:
                     data = np.frombuffer(chunks[base + i], np.int8)
-                    odds[i * CHUNK // 2:(i + 1) * CHUNK // 2] = data[:CHUNK // 2]
-                    sure[i * CHUNK // 2:(i + 1) * CHUNK // 2] = data[CHUNK // 2:].view(np.uint8)
-            self.odds.append(odds.astype(np.int8))
-            self.sure.append(sure)
+                    odds, sure = data[:CHUNK // 2].astype(np.int16) + 128, data[CHUNK // 2:].astype(np.uint16)
+                    codes[i * CHUNK // 2:(i + 1) * CHUNK // 2] = odds.astype(np.uint16) | sure << np.uint16(8)
+            self.codes.append(codes)
             base += pairs
 
 
@@ -352,37 +350,39 @@ def train_tables(docs: DataFrame, coder: Coder) -> Tables:
 # ---------------------------------------------------------------------------------------------------- the mixer
 
 def starting_weights():
+    """One row of weights per predictor; log-odds are in sixteenths."""
     import numpy as np
 
-    return np.tile(np.array([0.3, 0.35, 0.35], np.float32), (GATES, 1))
+    return np.repeat(np.array([[0.3], [0.35], [0.35]], np.float32) / 16, GATES, axis=1)
 
 
-def mix_block(tables: Tables, weights, steps, rate: float = RATE, block: int = 1024) -> float:
+def mix_block(tables: Tables, weights, steps, rate: float = RATE / 16, block: int = 2048) -> float:
     """log10 probability of the decisions; ``weights`` are refined on the way."""
     import numpy as np
 
-    node, one, two, bit = steps
+    *slots, bit = steps
     total, at, n = 0.0, 0, len(bit)
     while at < n:
         end = min(n, at + block)
-        block = min(8192, 2 * block)
-        a, b, c, y = node[at:end], one[at:end], two[at:end], bit[at:end]
-        gate = tables.sure[1][b] * np.uint8(8) + tables.sure[2][c]
-        x = np.empty((3, end - at), np.float32)
-        np.multiply(tables.odds[0][a], np.float32(1 / 16), out=x[0])
-        np.multiply(tables.odds[1][b], np.float32(1 / 16), out=x[1])
-        np.multiply(tables.odds[2][c], np.float32(1 / 16), out=x[2])
-        w = weights.T[:, gate]
-        z = np.clip((w * x).sum(0), -12, 12)
-        p = 1 / (1 + np.exp(-z))
-        total += float(np.log10(np.where(y, p, 1 - p)).sum(dtype=np.float64))
-        error = (y - p) * np.float32(rate)
-        used = np.bincount(gate, minlength=GATES)
-        damp = np.float32(1) / np.sqrt(np.maximum(used, 1)).astype(np.float32)
-        for i in range(3):
-            weights[:, i] += (np.bincount(gate, error * x[i], GATES).astype(np.float32)) * damp
+        block = min(1 << 14, 2 * block)
+        codes = [np.take(t, s[at:end], mode="clip") for t, s in zip(tables.codes, slots)]
+        x = [(c & np.uint16(255)).astype(np.float32) - np.float32(128) for c in codes]
+        gate = (codes[1] >> np.uint16(8) << np.uint16(3) | codes[2] >> np.uint16(8)).astype(np.intp)
+        z = np.take(weights[0], gate, mode="clip") * x[0]
+        z += np.take(weights[1], gate, mode="clip") * x[1]
+        z += np.take(weights[2], gate, mode="clip") * x[2]
+        np.clip(z, -12, 12, out=z)
+        sign = bit[at:end] * np.float32(2) - np.float32(1)
+        z *= sign
+        odds = np.exp(-z)                       # against the decision
+        total -= float(np.log(1 + odds).sum(dtype=np.float64))
+        error = sign * (odds / (1 + odds))      # decision minus its predicted probability
+        error = error.astype(np.float64)
+        used = np.sqrt(np.maximum(np.bincount(gate, minlength=GATES), 1))
+        for k in range(3):
+            weights[k] += (rate * np.bincount(gate, error * x[k], GATES) / used).astype(np.float32)
         at = end
-    return total
+    return total / 2.302585092994046
 
 
 class Model:

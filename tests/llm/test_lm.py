@@ -64,9 +64,10 @@ def test_tree_probabilities_sum_to_one():
     import numpy as np
     coder = lm.Coder([(b"a", 5), (b"b", 3)], 4, 2).ready()
     model = lm.Model(coder, lm.Tables(coder.nodes, {}), 12, 3)
-    for weights in (lm.starting_weights(), np.random.default_rng(1).normal(size=(lm.GATES, 3)).astype(np.float32)):
+    for weights in (lm.starting_weights(), np.random.default_rng(1).normal(size=(3, lm.GATES)).astype(np.float32) / 16):
         for k in range(3):
-            model.tables.odds[k][:] = np.random.default_rng(k).integers(-40, 40, len(model.tables.odds[k]))
+            codes = model.tables.codes[k]
+            codes[:] = np.random.default_rng(k).integers(88, 168, len(codes)) | np.random.default_rng(k).integers(0, 8, len(codes)) << 8
         model.weights = weights
         ends = model_mass(model, [()])
         total = ends
