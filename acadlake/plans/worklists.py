@@ -116,24 +116,23 @@ def exam_worklist(d: Domain, units: list | None = None, batch: int = 50) -> Data
 
 def key_trace(d: Domain, num_func: int = 2) -> DataFrame:
     """For one teacher id, row counts after each stage of the user load."""
+    # the joined keys are unique on their side, so one pass with presence marks counts every stage
     td = d.class_teacher.where(F.col("num_func") == num_func)
-    t = d.view("class")
-    s1 = td
-    s2 = s1.join(t.select(F.col("ano"), F.col("semestre").alias("periodo"), "turma", "disciplina", "sit_turma", "curso"),
-                 ["ano", "periodo", "turma", "disciplina"], "inner")
-    s3 = s2.where(S.ci_equals("sit_turma", K.OPEN_CLASS_STATUS))
-    c = d.course.select(F.col("curso").alias("c_curso"), "faculdade")
-    s4 = s3.join(c, s3["curso"] == c["c_curso"], "left").where(
-        J.unassigned_or_allowed("curso", "faculdade", K.INCLUDED_FACULTIES))
-    s5 = s4.join(d.teacher.select("num_func", "mailbox"), "num_func", "inner")
-    s6 = s5.where(R.is_email("mailbox"))
-    stages = [("1_turma_docente", s1), ("2_join_turma", s2), ("3_turma_aberta", s3), ("4_faculdade", s4),
-              ("5_join_docente", s5), ("6_email_valido", s6)]
-    out = None
-    for name, df in stages:
-        row = df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(name).alias("etapa"), "linhas")
-        out = row if out is None else out.unionByName(row)
-    return out
+    t = d.view("class").select("ano", F.col("semestre").alias("periodo"), "turma", "disciplina", "sit_turma", "curso",
+                               F.lit(True).alias("__t"))
+    c = d.course.select("curso", "faculdade")
+    p = d.teacher.select("num_func", "mailbox", F.lit(True).alias("__d"))
+    j = td.join(t, ["ano", "periodo", "turma", "disciplina"], "left").join(c, "curso", "left").join(p, "num_func", "left")
+    stages = [("1_turma_docente", F.lit(True)), ("2_join_turma", F.col("__t").isNotNull()),
+              ("3_turma_aberta", S.ci_equals("sit_turma", K.OPEN_CLASS_STATUS)),
+              ("4_faculdade", J.unassigned_or_allowed("curso", "faculdade", K.INCLUDED_FACULTIES)),
+              ("5_join_docente", F.col("__d").isNotNull()), ("6_email_valido", R.is_email("mailbox"))]
+    reached, counts = F.lit(True), []
+    for i, (_, passes) in enumerate(stages):
+        reached = reached & F.coalesce(passes, F.lit(False))
+        counts.append(F.count_if(reached).cast("bigint").alias(f"s{i}"))
+    stack = ", ".join(f"'{name}', s{i}" for i, (name, _) in enumerate(stages))
+    return j.agg(*counts).selectExpr(f"stack({len(stages)}, {stack}) AS (etapa, linhas)")
 
 
 def syllabus_text(d: Domain) -> DataFrame:
