@@ -88,7 +88,7 @@ SHEET_NAMES = ["codigoCurso", "nomeCurso", "Coordenador", "emailCoordenador", "n
 
 
 @register("sheet_ingest", with_views(
-    "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in SHEET_NAMES) + " FROM committee_sheet"))
+    "SELECT " + ", ".join(f"CASE WHEN trim({c}) = '' THEN NULL ELSE {c} END AS {c}" for c in SHEET_NAMES) + " FROM committee_sheet"))
 def q_sheet_ingest(spark, sf):
     d = domain(spark, sf)
     path = scratch_path(spark, "sheet")

@@ -104,7 +104,7 @@ def read_sheet(spark: SparkSession, path: str, names: list[str], sep: str = ",")
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
     df = spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)
     df = df.toDF(*names)
-    return df.select(*[F.when(F.col(c) == "", F.lit(None).cast("string")).otherwise(F.col(c)).alias(c) for c in names])
+    return df.select(*[F.when(F.trim(c) == "", F.lit(None).cast("string")).otherwise(F.col(c)).alias(c) for c in names])
 
 
 def pruned_scan(spark: SparkSession, path: str, schema: T.StructType, **filters) -> DataFrame:

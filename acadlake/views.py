@@ -184,8 +184,8 @@ FROM {orders}
 # some codes are what would be generated for others.
 VIEW_SQL["committee_sheet"] = """
 SELECT s_suppkey AS linha,
-  CASE WHEN n_nationkey % 4 = 3 THEN NULL WHEN n_nationkey IN (9, 10) THEN ' ' WHEN n_nationkey = 2 THEN 'C'
-       WHEN n_nationkey = 12 THEN 'I01' ELSE lpad(CAST(n_nationkey AS STRING), 3, '0') END AS codigoCurso,
+  CASE WHEN n_nationkey % 4 = 3 THEN NULL WHEN n_nationkey IN (9, 10) THEN ' ' WHEN n_nationkey = 2 THEN 'N'
+       WHEN n_nationkey = 12 THEN 'N02' ELSE lpad(CAST(n_nationkey AS STRING), 3, '0') END AS codigoCurso,
   n_name AS nomeCurso,
   CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE 'Coord ' || n_name END AS Coordenador,
   CASE WHEN s_suppkey % 4 = 0 THEN '' WHEN s_suppkey % 4 = 1 THEN NULL
