@@ -57,11 +57,14 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     nameless = F.col("doc_id").isNull()
     key = F.struct(nameless.alias("nameless"), F.coalesce("doc_id", F.lit(0)).alias("id"),
                    F.when(nameless, F.xxhash64("text")).otherwise(F.lit(0)).alias("text_hash"))
+    parts = ["nameless", "id", "text_hash"]
     own = _packed(docs).withColumn("key", key)
     groups = simhash.near_duplicates(own, "key")
-    named = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("key")).distinct()
-    kept = own.join(cut_lineage(named, "pipeline-kept"), "key", "left_semi")
-    turn = F.row_number().over(W.partitionBy("key").orderBy("text", F.to_json("rest")))
+    named = groups.filter(F.col("doc_id") == F.col("component_id")).select("doc_id.*").distinct()
+    # flat keys and one kind of join at every size: texts are shuffled once, and the window needs no other exchange
+    kept = own.select("doc_id", "text", "rest", "key.*").join(
+        cut_lineage(named, "pipeline-kept").hint("merge"), parts, "left_semi")
+    turn = F.row_number().over(W.partitionBy(*parts).orderBy("text", F.to_json("rest")))
     return _unpacked(kept.withColumn("turn", turn).filter(F.col("turn") == 1), docs.columns)
 
 
@@ -79,7 +82,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     blobs = _packed(docs).withColumn("blob", F.sha2(F.coalesce("text", F.lit("")), 256))
     versions = blobs.select("blob", F.coalesce("text", F.lit("")).alias("text"))
     ledger = cut_lineage(secrets.update_ledger(versions).filter(F.size("findings") > 0), "pipeline-ledger")
-    met = blobs.join(ledger.select("blob", "findings"), "blob", "left")
+    # the same join at every size: with a broadcast on small inputs the shuffle would seem to grow faster than they do
+    met = blobs.join(ledger.select("blob", "findings").hint("merge"), "blob", "left")
     findings = F.coalesce("findings", F.array().cast(secrets.FINDINGS))
     return _unpacked(met, docs.columns, secrets.redact(F.col("text"), findings))
 
