@@ -182,8 +182,8 @@ def sample_features(sample: DataFrame, lexicon: Lexicon):
     """Features and labels of the bounded sample, as arrays in a fixed order."""
     import numpy as np
 
-    scored = with_features(sample, lexicon).select("label", "f.*").orderBy("label", "total", "by_root", "by_words")
-    rows = scored.collect()
+    scored = with_features(sample, lexicon).select("label", "f.*")
+    rows = sorted(scored.collect(), key=lambda r: (r.label, r.total, r.by_root, r.by_words))
     return (np.array([[r.total, r.by_root, r.by_words] for r in rows], float).reshape(-1, 3),
             np.array([r.label for r in rows], float))
 
