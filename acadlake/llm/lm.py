@@ -3,8 +3,8 @@
 A text is coded as a sequence of binary decisions: each token (word or end) is a path in a Huffman tree over the end,
 an escape and the training words seen at least twice, ``TOP_WORDS`` of them at most.  An escape is followed by the
 word's share of all escaped training words, or by the share kept for unknown words (estimated from the words seen
-once).  Like the base score, the score takes all unknown words for one; the bits per byte add 8 bits for each of their
-bytes and one for their end, so that they are those of a whole code.
+once).  Like the base score, the score takes all unknown words for one; the bits per byte add their spelling, so that
+they are those of a whole code: each byte of an unknown word (a blank ends it) is a path in a second Huffman tree.
 
 For a decision at tree node x three predictors know how often it went either way in the training texts:
 
@@ -12,7 +12,10 @@ For a decision at tree node x three predictors know how often it went either way
 * x with the last of the ``TOPICS`` most frequent words before it, hashed;
 * x with the class of the word before it, hashed.
 
-Their counts fill fixed tables (``SLOTS`` entries each), summed over all training documents by Spark; they are reduced
+At a node of the byte tree they know x itself, x with the last frequent word and the byte before, and x with the two
+bytes before; these tables are indexed directly, so they have no collisions.  They are counted on the escaped words.
+
+Their counts fill fixed tables (``SLOTS`` entries for a hashed one), summed over all training documents by Spark; they are reduced
 to a log-odds and a confidence per slot, which bounds what is broadcast.  A logistic mixer adds the three log-odds
 with weights chosen by gates (the confidences of both hashed predictors), and refines the weights online along
 the text: each block of decisions is scored with the weights so far and then moves them along the gradient.  Every
@@ -28,6 +31,7 @@ equal rows are scored one by one; a null id hashes as empty text; other columns
 from __future__ import annotations
 
 import heapq
+import zlib
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -46,6 +50,9 @@ FIT_ROWS = 256           # training documents for the starting weights
 RATE = 0.02
 END, ESCAPE, FIRST = 0, 1, 2
 GATES = 64
+BYTES = 256
+BLANK = 32               # ends a spelled word
+SPELLING = (BYTES, (FIRST + TOPICS) * BYTES * BYTES, BYTES ** 3)    # entries of the byte predictors' tables
 
 
 def huffman(weights: list[int]):
@@ -79,9 +86,9 @@ def huffman(weights: list[int]):
 class Coder:
     """Turns words into decisions: tree node, two hashed contexts, bit."""
 
-    def __init__(self, words: list[tuple[bytes, int]], ends: int, rare: int):
+    def __init__(self, words: list[tuple[bytes, int]], ends: int, rare: int, byte_counts: list[int] | None = None):
         self.words, self.counts = words, [ends, rare] + [c for _, c in words]
-        self.tree = huffman(self.counts)
+        self.tree, self.byte_tree = huffman(self.counts), huffman(byte_counts or [1] * BYTES)
         self.nodes = self.tree[4]
         self._ready = False
 
@@ -122,6 +129,22 @@ class Coder:
         two = _slot(node, class_before[of], 0x85EBCA77)
         return (node, one, two, bit), int(topics[-1]), int(classes[-1])
 
+    def spelling(self, ids, escaped: list[bytes], topic: int):
+        """(node, slot 1, slot 2, bit) arrays over the bytes of the escaped words, and the word of each decision."""
+        import numpy as np
+
+        where = np.where((ids >= FIRST) & (ids < FIRST + TOPICS), np.arange(len(ids)), -1)
+        seen = np.maximum.accumulate(where)
+        topics = np.concatenate([[topic], np.where(seen >= 0, ids[seen], topic)[:-1]])[ids == ESCAPE]
+        data = np.frombuffer(b" ".join(escaped) + b" ", np.uint8).astype(np.int32)
+        word = np.repeat(np.arange(len(escaped)), np.fromiter(map(len, escaped), np.int64, len(escaped)) + 1)
+        prev = np.concatenate([[BLANK], data[:-1]])
+        prev2 = np.where(prev == BLANK, BLANK, np.concatenate([[BLANK, BLANK], data[:-2]])[:len(data)])
+        node, bit, of = _paths(self.byte_tree, data)
+        one = (topics[word] * BYTES + prev)[of] * BYTES + node
+        two = (prev2 * BYTES + prev)[of] * BYTES + node
+        return (node, one.astype(np.int32), two.astype(np.int32), bit), word[of]
+
 
 def _paths(tree, ids):
     """Concatenated code paths of the symbols: nodes, bits, and the symbol's position for each step."""
@@ -146,14 +169,21 @@ def _slot(node, context, seed: int):
 
 def text_decisions(coder: Coder, text: bytes):
     """Decisions of a whole text, a block of words at a time, with its words' ids and escaped words."""
+    for steps, ids, escaped, _ in _text_blocks(coder, text):
+        yield steps, ids, escaped
+
+
+def _text_blocks(coder: Coder, text: bytes):
+    """The same with the topic before the block."""
     topic, before, blocks = 0, 0, word_blocks(text.lower())
     words = next(blocks, [])
     while words is not None:
         after = next(blocks, None)
         ids, escaped = coder.tokens(words, after is None)
         if len(ids):
+            first = topic
             steps, topic, before = coder.decisions(ids, topic, before)
-            yield steps, ids, escaped
+            yield steps, ids, escaped, first
         words = after
 
 
@@ -211,7 +241,23 @@ def build_coder(counts: DataFrame, ends: int, top: int = TOP_WORDS) -> tuple[Cod
             least, inside = r.n, inside + r.tokens
     rows = counts.filter(F.col("n") >= least).select("word", "n").collect()
     chosen = sorted(((bytes(r.word), r.n) for r in rows), key=lambda x: (-x[1], x[0]))
-    return Coder(chosen, ends, total - inside), Escaped(least, total - inside, once)
+
+    def histogram(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        seen = np.zeros(BYTES, np.int64)
+        for batch in batches:
+            for word, n in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
+                seen += n * np.bincount(np.frombuffer(word + b" ", np.uint8), minlength=BYTES)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], ["byte", "n"])
+
+    spelled = counts.filter(F.col("n") < least).select("word", "n").mapInArrow(histogram, "byte bigint, n bigint")
+    byte_counts = [1] * BYTES
+    for r in spelled.groupBy("byte").agg(F.sum("n").alias("n")).collect():
+        byte_counts[r.byte] += r.n
+    return Coder(chosen, ends, total - inside, byte_counts), Escaped(least, total - inside, once)
 
 
 def _pack(counts, base: int):
@@ -227,6 +273,16 @@ def _pack(counts, base: int):
                                        else b"s" + used.astype(np.uint32).tobytes() + part[used].tobytes())
 
 
+def _pack_few(places, counts, base: int):
+    """The same for a large table of which few places, given in order, are set."""
+    import numpy as np
+
+    cuts = np.flatnonzero(np.diff(places // CHUNK)) + 1
+    for at, n in zip(np.split(places, cuts), np.split(counts, cuts)):
+        if len(at):
+            yield base + int(at[0]) // CHUNK, b"s" + (at % CHUNK).astype(np.uint32).tobytes() + n.astype(np.uint32).tobytes()
+
+
 def _unpack(data: bytes, into) -> None:
     import numpy as np
 
@@ -278,26 +334,32 @@ def _odds(total) -> bytes:
     zero, one = total[0::2], total[1::2]
     odds = np.clip(np.rint(16 * np.log((one + 0.4) / (zero + 0.4))), -127, 127).astype(np.int8)
     sure = np.minimum(7, np.log2(zero + one + 1) / 1.5).astype(np.uint8)
-    return odds.tobytes() + sure.tobytes()
+    return zlib.compress(odds.tobytes() + sure.tobytes(), 1)        # the byte predictors set few places of a chunk
 
 
 class Tables:
     """Log-odds (sixteenths, plus 128) and confidence (times 256) of the three predictors, in one code per slot."""
 
     def __init__(self, nodes: int, chunks: dict[int, bytes]):
+        self.codes, base = self._filled((nodes, SLOTS, SLOTS), chunks, 0)
+        self.spelling, _ = self._filled(SPELLING, chunks, base)
+
+    @staticmethod
+    def _filled(sizes, chunks: dict[int, bytes], base: int):
         import numpy as np
 
-        self.codes, base = [], 0
-        for size in (nodes, SLOTS, SLOTS):
+        out = []
+        for size in sizes:
             pairs = -(-2 * size // CHUNK)
             codes = np.full(pairs * CHUNK // 2, 128, np.uint16)
             for i in range(pairs):
                 if base + i in chunks:
-                    data = np.frombuffer(chunks[base + i], np.int8)
+                    data = np.frombuffer(zlib.decompress(chunks[base + i]), np.int8)
                     odds, sure = data[:CHUNK // 2].astype(np.int16) + 128, data[CHUNK // 2:].astype(np.uint16)
                     codes[i * CHUNK // 2:(i + 1) * CHUNK // 2] = odds.astype(np.uint16) | sure << np.uint16(8)
-            self.codes.append(codes)
+            out.append(codes)
             base += pairs
+        return out, base
 
 
 def train_tables(docs: DataFrame, coder: Coder) -> Tables:
@@ -315,6 +377,8 @@ def train_tables(docs: DataFrame, coder: Coder) -> Tables:
         sizes = [own.nodes, SLOTS, SLOTS]
         sums = [np.zeros(2 * s, np.int64) for s in sizes]
         wait: list[list] = [[], [], []]
+        few = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * 3      # places and counts of the byte predictors
+        spelled: list[list] = [[], [], []]
         waiting = 0
 
         def add():
@@ -322,24 +386,42 @@ def train_tables(docs: DataFrame, coder: Coder) -> Tables:
                 if wait[k]:
                     sums[k] += np.bincount(np.concatenate(wait[k]), minlength=2 * sizes[k])
                     wait[k].clear()
+                if spelled[k]:
+                    own_places, own_counts = np.unique(np.concatenate(spelled[k]), return_counts=True)
+                    places, at = np.unique(np.concatenate([few[k][0], own_places]), return_inverse=True)
+                    counts = np.zeros(len(places), np.int64)
+                    np.add.at(counts, at, np.concatenate([few[k][1], own_counts]))
+                    few[k] = places, counts
+                    spelled[k].clear()
 
         for batch in batches:
             for text in utf8(batch.column(0)):
-                for (node, one, two, bit), _, _ in text_decisions(own, text or b""):
-                    for k, x in enumerate((node, one, two)):
+                for (*slots, bit), ids, escaped, topic in _text_blocks(own, text or b""):
+                    for k, x in enumerate(slots):
                         wait[k].append(2 * x + bit)
                     waiting += len(bit)
+                    if escaped:
+                        (*slots, bit), _ = own.spelling(ids, escaped, topic)
+                        for k, x in enumerate(slots):
+                            spelled[k].append(2 * x + bit)
+                        waiting += len(bit)
                     if waiting > 4_000_000:
                         add()
                         waiting = 0
         add()
         salt, base = TaskContext.get().partitionId() // 64, 0
+        packed = []
         for k in range(3):
-            for chunk, data in _pack(sums[k], base):
+            packed.append(_pack(sums[k], base))
+            base += -(-2 * sizes[k] // CHUNK)
+        for k in range(3):
+            packed.append(_pack_few(*few[k], base))
+            base += -(-2 * SPELLING[k] // CHUNK)
+        for rows in packed:
+            for chunk, data in rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk], pa.int64()), pa.array([salt], pa.int64()), pa.array([data], pa.binary())],
                     ["chunk", "salt", "data"])
-            base += -(-2 * sizes[k] // CHUNK)
 
     parts = docs.select("text").mapInArrow(run, "chunk bigint, salt bigint, data binary")
     near = _sum_chunks(parts, ["chunk", "salt"], "data", _dense)
@@ -356,16 +438,17 @@ def starting_weights():
     return np.repeat(np.array([[0.3], [0.35], [0.35]], np.float32) / 16, GATES, axis=1)
 
 
-def mix_block(tables: Tables, weights, steps, rate: float = RATE / 16, block: int = 2048) -> float:
-    """log10 probability of the decisions; ``weights`` are refined on the way."""
+def mix_block(tables: Tables, weights, steps, rate: float = RATE / 16, block: int = 2048, of=None, costs=None) -> float:
+    """log10 probability of the decisions; ``weights`` are refined on the way, ``costs[of]`` gets each one's share."""
     import numpy as np
 
     *slots, bit = steps
+    tables = tables.codes if costs is None else tables.spelling
     total, at, n = 0.0, 0, len(bit)
     while at < n:
         end = min(n, at + block)
         block = min(1 << 14, 2 * block)
-        codes = [np.take(t, s[at:end], mode="clip") for t, s in zip(tables.codes, slots)]
+        codes = [np.take(t, s[at:end], mode="clip") for t, s in zip(tables, slots)]
         x = [(c & np.uint16(255)).astype(np.float32) - np.float32(128) for c in codes]
         gate = (codes[1] >> np.uint16(8) << np.uint16(3) | codes[2] >> np.uint16(8)).astype(np.intp)
         z = np.take(weights[0], gate, mode="clip") * x[0]
@@ -375,7 +458,10 @@ def mix_block(tables: Tables, weights, steps, rate: float = RATE / 16, block: in
         sign = bit[at:end] * np.float32(2) - np.float32(1)
         z *= sign
         odds = np.exp(-z)                       # against the decision
-        total -= float(np.log(1 + odds).sum(dtype=np.float64))
+        loss = np.log(1 + odds)
+        total -= float(loss.sum(dtype=np.float64))
+        if costs is not None:
+            costs += np.bincount(of[at:end], loss, len(costs)) / 2.302585092994046
         error = sign * (odds / (1 + odds))      # decision minus its predicted probability
         error = error.astype(np.float64)
         used = np.sqrt(np.maximum(np.bincount(gate, minlength=GATES), 1))
@@ -392,7 +478,7 @@ class Model:
         import numpy as np
 
         self.coder, self.tables, self.train_tokens, self.distinct = coder, tables, train_tokens, distinct
-        self.weights = starting_weights()
+        self.weights, self.spelling_weights = starting_weights(), starting_weights()
         self.floor = float(np.log10(1 / (train_tokens + distinct + 1)))
         self.base = np.log10((np.array(coder.counts, np.float64) + 1) / (train_tokens + distinct + 1))
         self.known_end = coder.counts[END] > 0
@@ -401,32 +487,48 @@ class Model:
         coder = self.coder.ready()
         for _ in range(rounds):
             for text in texts:
-                for steps, _, _ in text_decisions(coder, text):
+                for steps, ids, escaped, topic in _text_blocks(coder, text):
                     mix_block(self.tables, self.weights, steps)
+                    self._spell(self.spelling_weights, ids, escaped, topic)
         return self
 
-    def score(self, text: bytes):
-        """(log10 probability, tokens, known tokens so far, base score so far, words left to look up)"""
+    def _spell(self, weights, ids, escaped: list[bytes], topic: int) -> list[float]:
+        """Bits of each escaped word's bytes and end; ``weights`` are refined on the way."""
+        import numpy as np
+
+        costs = np.zeros(len(escaped))
+        if escaped:
+            steps, of = self.coder.spelling(ids, escaped, topic)
+            mix_block(self.tables, weights, steps, of=of, costs=costs)
+        return (costs / 0.30102999566398120).tolist()
+
+    def score(self, text: bytes, bits: list[float] | None = None):
+        """(log10 probability, tokens, known tokens so far, base score so far, words left to look up); ``bits`` gets
+        the spelling of each of these words"""
         import numpy as np
 
-        coder, weights = self.coder.ready(), self.weights.copy()
+        coder, weights, spelling = self.coder.ready(), self.weights.copy(), self.spelling_weights.copy()
         score, n, known, base, left = 0.0, 0, 0, 0.0, []
-        for steps, ids, escaped in text_decisions(coder, text):
+        for steps, ids, escaped, topic in _text_blocks(coder, text):
             score += mix_block(self.tables, weights, steps)
             sure = ids[ids != ESCAPE]
             n += len(ids)
             known += len(sure) - int((sure == END).sum()) * (not self.known_end)
             base += float(self.base[sure].sum())
             left += escaped
+            if bits is not None:
+                bits += self._spell(spelling, ids, escaped, topic)
         return score, n, known, base, left
 
 
-def score_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: row number, id, score and the words that still need their counts."""
+def score_rows(docs: DataFrame, model: Model, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row a document: row number, id, score and the words that still need their counts, with the bits of their
+    spelling; a training document has no unknown word, so its words are not spelled."""
     spark = docs.sparkSession
     small_batches(spark)
     held = spark.sparkContext.broadcast(model)
-    df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    df = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                     F.coalesce(learn, F.lit(False)).alias("learn"))
 
     def run(batches):
         from collections import Counter
@@ -437,21 +539,27 @@ def score_rows(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         own, row = held.value, TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = [t or b"" for t in utf8(batch.column(1))]
-            got = [own.score(t) for t in texts]
+            bits = [None if of_training else [] for of_training in batch.column(2).to_pylist()]
+            got = [own.score(t, b) for t, b in zip(texts, bits)]
             words = [Counter(g[4]) for g in got]
+            spelling = [dict.fromkeys(w, 0.0) for w in words]
+            for total, g, b in zip(spelling, got, bits):
+                for word, own_bits in zip(g[4], b or []):
+                    total[word] += own_bits
             yield pa.RecordBatch.from_arrays([
                 pa.array(range(row, row + len(got)), pa.int64()), batch.column(0),
                 pa.array([len(t) for t in texts], pa.int64()), pa.array([g[0] for g in got], pa.float64()),
                 pa.array([g[1] for g in got], pa.int64()), pa.array([g[2] for g in got], pa.int64()),
                 pa.array([g[3] for g in got], pa.float64()),
                 pa.array([list(w) for w in words], pa.list_(pa.binary())),
-                pa.array([list(w.values()) for w in words], pa.list_(pa.int64()))],
-                ["row", "doc_id", "bytes", "score", "n_tokens", "n_known", "base", "words", "times"])
+                pa.array([list(w.values()) for w in words], pa.list_(pa.int64())),
+                pa.array([list(w.values()) for w in spelling], pa.list_(pa.float64()))],
+                ["row", "doc_id", "bytes", "score", "n_tokens", "n_known", "base", "words", "times", "spelling"])
             row += len(got)
 
     kind = df.schema["doc_id"].dataType.simpleString()
     return df.mapInArrow(run, f"row bigint, doc_id {kind}, bytes bigint, score double, n_tokens bigint, "
-                              "n_known bigint, base double, words array<binary>, times array<bigint>")
+                              "n_known bigint, base double, words array<binary>, times array<bigint>, spelling array<double>")
 
 
 def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -474,20 +582,21 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
         F.min(F.coalesce("text", F.lit(""))).alias("text"))
     model.fit([r.text.encode() for r in texts.orderBy("id").collect()])
 
-    scored = cut_lineage(score_rows(docs, model, id_col, text_col), "lm-scored")
+    scored = cut_lineage(score_rows(docs, model, learn, id_col, text_col), "lm-scored")
     whole = float(model.train_tokens + model.distinct + 1)
-    parts = scored.select("row", F.arrays_zip("words", "times").alias("w")).select("row", F.explode("w").alias("w"))
-    parts = parts.select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+    parts = scored.select("row", F.arrays_zip("words", "times", "spelling").alias("w")).select("row", F.explode("w").alias("w"))
+    parts = parts.select("row", F.col("w.words").alias("word"), F.col("w.times").alias("times"),
+                         F.col("w.spelling").alias("spelling"))
     met = parts.join(counts.filter(F.col("n") < escaped.least), "word", "left")
     known, times = F.col("n").isNotNull(), F.col("times")
     share = F.when(known, F.lit((1 - escaped.unknown) / max(1, escaped.tokens)) * F.col("n")).otherwise(
         F.lit(escaped.unknown))
     met = met.select("row", (times * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(whole))).alias("base"),
                      (times * F.log10(share)).alias("share"), F.when(known, times).otherwise(0).alias("known"),
-                     F.when(known, 0).otherwise(times * (8 * F.octet_length("word") + 8)).alias("spelling"))
+                     F.when(known, 0.0).otherwise(F.col("spelling")).alias("spelling"))
     met = met.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("base", "share", "known", "spelling")])
     more = lambda c: F.coalesce(f"more_{c}", F.lit(0))
-    out = scored.drop("words", "times").join(met, "row", "left")
+    out = scored.drop("words", "times", "spelling").join(met, "row", "left")
     out = out.withColumn("score", F.col("score") + more("share"))
     bits = more("spelling") - F.col("score") / F.lit(0.30102999566398120)
     return out.select("doc_id", "bytes", "n_tokens", (F.col("n_known") + more("known")).alias("n_known"),

@@ -125,3 +125,31 @@ def test_edge_rows(spark, folder):
         if not learn._jc.toString() == "true":
             assert all(r.n_known == 0 and r.train_tokens == 0 for r in got)
     assert lm.op6_lm_scoring(spark, folder()).count() == 0
+
+
+def test_unknown_words_are_spelled_by_the_byte_predictors(spark):
+    rng = random.Random(3)
+    rare = ["".join(rng.choices(["na", "no", "ni", "ta", "to"], k=6)) for _ in range(400)]
+    docs = [(i, f"the cat {w} the dog") for i, w in enumerate(rare)]
+    docs += [(1000, "the cat nananonitato the dog"), (1001, "the cat xqzwjkvxqzwj the dog")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in lm.lm_scores(df, lm.F.col("doc_id") < 1000).collect()}
+    like, unlike = got[1000], got[1001]
+    assert like.n_known == unlike.n_known == like.n_tokens - 1 and like.bytes == unlike.bytes
+    assert like.bits_per_byte + 1 < unlike.bits_per_byte        # flat bytes made both equal
+    assert like.bits_per_byte * like.bytes < 8 * 13 / 2         # 12 bytes and an end
+
+
+def test_spelling_is_a_code():
+    import numpy as np
+    coder = lm.Coder([(b"a", 5)], 4, 2).ready()
+    model = lm.Model(coder, lm.Tables(coder.nodes, {}), 12, 3)
+    ids = coder.tokens([b"x"], True)[0]
+    mass = 0.0
+    for byte in range(256):
+        steps, of = coder.spelling(ids, [bytes([byte])], 0)
+        n = int(coder.byte_tree[3][byte])       # decisions of the first byte; the rest are the blank
+        costs = np.zeros(1)
+        lm.mix_block(model.tables, lm.starting_weights(), tuple(a[:n] for a in steps), of=of[:n], costs=costs)
+        mass += 10 ** -costs[0]
+    assert math.isclose(mass, 1, rel_tol=1e-5)
