@@ -18,7 +18,8 @@ bytes before; these tables are indexed directly, so they have no collisions.  Th
 Their counts fill fixed tables (``SLOTS`` entries for a hashed one), summed over all training documents by Spark; they are reduced
 to a log-odds and a confidence per slot, which bounds what is broadcast.  A logistic mixer adds the three log-odds
 with weights chosen by gates (the confidences of both hashed predictors), and refines the weights online along
-the text: each block of decisions is scored with the weights so far and then moves them along the gradient.  Every
+the text: each block of decisions (the first has ``LEAST_BLOCK``, later ones up to ``BLOCK``) is scored with the
+weights so far and then moves them along the gradient.  Every
 document starts from the same weights, which are fitted on at most ``FIT_ROWS`` training documents, so a score does
 not depend on partitions or order.
 
@@ -47,7 +48,8 @@ TOPICS = 64
 SLOTS = 1 << 20          # entries of a hashed table
 CHUNK = 1 << 14          # counts of a table that travel in one row
 FIT_ROWS = 256           # training documents for the starting weights
-RATE = 0.02
+RATE = 0.02             # for log-odds in units; weights are for sixteenths
+LEAST_BLOCK, BLOCK = 64, 1024    # decisions that are scored with the same weights: first, most
 END, ESCAPE, FIRST = 0, 1, 2
 GATES = 64
 BYTES = 256
@@ -438,7 +440,7 @@ def starting_weights():
     return np.repeat(np.array([[0.3], [0.35], [0.35]], np.float32) / 16, GATES, axis=1)
 
 
-def mix_block(tables: Tables, weights, steps, rate: float = RATE / 16, block: int = 2048, of=None, costs=None) -> float:
+def mix_block(tables: Tables, weights, steps, rate: float = RATE / 256, block: int = LEAST_BLOCK, of=None, costs=None) -> float:
     """log10 probability of the decisions; ``weights`` are refined on the way, ``costs[of]`` gets each one's share."""
     import numpy as np
 
@@ -447,7 +449,7 @@ def mix_block(tables: Tables, weights, steps, rate: float = RATE / 16, block: in
     total, at, n = 0.0, 0, len(bit)
     while at < n:
         end = min(n, at + block)
-        block = min(1 << 14, 2 * block)
+        block = min(BLOCK, 2 * block)
         codes = [np.take(t, s[at:end], mode="clip") for t, s in zip(tables, slots)]
         x = [(c & np.uint16(255)).astype(np.float32) - np.float32(128) for c in codes]
         gate = (codes[1] >> np.uint16(8) << np.uint16(3) | codes[2] >> np.uint16(8)).astype(np.intp)

@@ -153,3 +153,47 @@ def test_spelling_is_a_code():
         lm.mix_block(model.tables, lm.starting_weights(), tuple(a[:n] for a in steps), of=of[:n], costs=costs)
         mass += 10 ** -costs[0]
     assert math.isclose(mass, 1, rel_tol=1e-5)
+
+
+def plain_mix(model, steps, block, most):
+    """Score and weights (for log-odds in units) of a mixer that goes decision by decision."""
+    *slots, bit = (a.tolist() for a in steps)
+    weights = [[0.3, 0.35, 0.35] for _ in range(lm.GATES)]
+    total, at = 0.0, 0
+    while at < len(bit):
+        moves, used = {}, Counter()
+        end, block = min(len(bit), at + block), min(most, 2 * block)
+        for i in range(at, end):
+            codes = [int(t[s[i]]) for t, s in zip(model.tables.codes, slots)]
+            x = [((c & 255) - 128) / 16 for c in codes]
+            gate = (codes[1] >> 8) * 8 + (codes[2] >> 8)
+            p = 1 / (1 + math.exp(-max(-12, min(12, sum(a * b for a, b in zip(weights[gate], x))))))
+            total += math.log10(p if bit[i] else 1 - p)
+            used[gate] += 1
+            move = moves.setdefault(gate, [0.0] * 3)
+            for k in range(3):
+                move[k] += 0.02 * (bit[i] - p) * x[k]
+        for gate, move in moves.items():
+            for k in range(3):
+                weights[gate][k] += move[k] / math.sqrt(used[gate])
+        at = end
+    return total, weights
+
+
+def test_mixing_equals_a_plain_mixer_and_refines_short_texts():
+    import numpy as np
+    coder = lm.Coder([(b"a", 50), (b"b", 30), (b"cc", 3), (b"d", 2)], 4, 2).ready()
+    model = lm.Model(coder, lm.Tables(coder.nodes, {}), 90, 6)
+    for k, codes in enumerate(model.tables.codes):
+        rng = np.random.default_rng(k)
+        codes[:] = rng.integers(60, 196, len(codes)) | rng.integers(0, 8, len(codes)) << 8
+    for n in (40, 1500):
+        text = " ".join(random.Random(n).choices(["a", "b", "cc", "d", "x"], k=n)).encode()
+        (steps, _, _), = lm.text_decisions(coder, text)
+        weights = lm.starting_weights()
+        score = lm.mix_block(model.tables, weights, steps)
+        want, moved = plain_mix(model, steps, 64, 1024)
+        assert math.isclose(score, want, rel_tol=1e-4)
+        assert np.allclose(weights.T * 16, moved, atol=2e-4)
+        fixed = lm.mix_block(model.tables, lm.starting_weights(), steps, rate=0)
+        assert len(steps[3]) > 64 and abs(score - fixed) > 1e-4
