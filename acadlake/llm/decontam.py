@@ -4,8 +4,10 @@ The words of the test items form one automaton over all items; documents stream
 length of the longest match that ends at a word says whether a window (13 words, or a whole shorter item) ends there.
 Runs of words that the items use are the only places where a window can lie, so other words are skipped.
 
-The automaton is broadcast; its size is bounded: items are dealt into blocks of at most ``BLOCK_WORDS`` words, and
-each block's automaton is one more pass over the batch in the same task (no shuffle, no second read).
+Items are dealt into blocks of at most ``BLOCK_WORDS`` words (a longer item in pieces that share all but one word of a
+window, so that no window is lost).  Tasks build the blocks' automata and write them under the checkpoint folder.  Each
+block is one pass over the documents, and the driver and every task hold one automaton at a time.  With several blocks
+the documents are numbered and written once, a pass writes its hits only, and these are merged for each document.
 
 Defined results: null and empty texts have no words and are not contaminated; an item without words has no window; an
 empty benchmark hits nothing; repeated items count once by id (a null id is empty text); repeated documents are judged
@@ -14,7 +16,9 @@ one by one; documents keep all their columns, results come in one new struct col
 
 from __future__ import annotations
 
+import pickle
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,7 @@ from pyspark.sql import types as T
 
 from acadlake.llm.common import LOWER, UPPER, id_text, small_batches, table
 from acadlake.llm.words import utf8, word_blocks
+from acadlake.session import cut_lineage
 
 WINDOW = 13
 COVERAGE = 20            # contaminated: n_hit > 0 and COVERAGE * n_hit >= n_words
@@ -104,6 +109,10 @@ class Automaton:
             self.up[s] = s if s in self.whole else (self.up[self.link[s]] if self.link[s] >= 0 else -1)
         return self
 
+    def dumped(self) -> bytes:
+        """Plain containers only: tasks may hold this class by value."""
+        return pickle.dumps(vars(self), pickle.HIGHEST_PROTOCOL)
+
     def match(self, codes: list[int]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged word spans [start, end) under windows, and the items that have them."""
         nxt, link, length, window = self.next, self.link, self.length, self.window
@@ -138,6 +147,12 @@ class Automaton:
         return spans, names
 
 
+def loaded(data: bytes) -> Automaton:
+    out = Automaton(0)
+    vars(out).update(pickle.loads(data))
+    return out
+
+
 def scan_text(text: bytes, automata: list[Automaton]) -> tuple[int, list[tuple[int, int]], set[str]]:
     """Number of words, merged hit spans in words, and items."""
     import numpy as np
@@ -159,13 +174,18 @@ def scan_text(text: bytes, automata: list[Automaton]) -> tuple[int, list[tuple[i
                 names |= got
     if not automata:
         total = sum(map(len, word_blocks(normal)))
+    return total, merged_spans(found), names
+
+
+def merged_spans(found) -> list[tuple[int, int]]:
+    """Spans that overlap become one."""
     merged: list[tuple[int, int]] = []
     for s, e in sorted(found):
         if merged and s < merged[-1][1]:
             merged[-1] = (merged[-1][0], max(e, merged[-1][1]))
         else:
             merged.append((s, e))
-    return total, merged, names
+    return merged
 
 
 def character_spans(text: bytes, spans: list[tuple[int, int]]) -> list[dict]:
@@ -175,48 +195,151 @@ def character_spans(text: bytes, spans: list[tuple[int, int]]) -> list[dict]:
             for s, e in spans]
 
 
+@dataclass(frozen=True)
+class Block:
+    """A written automaton."""
+
+    written: DataFrame
+    block: int
+    turn: int
+
+    def data(self) -> bytes:
+        return bytes(self.written.filter((F.col("block") == self.block) & (F.col("turn") == self.turn)).first().data)
+
+
+def pieces(words: list[bytes], window: int, block_words: int) -> list[list[bytes]]:
+    """An item in runs of at most ``block_words`` words (a window at least) that have all of its windows."""
+    most = max(window, block_words)
+    step = most - window + 1
+    return [words[at:at + most] for at in range(0, max(1, len(words) - window + 1), step)] if len(words) > most else [words]
+
+
 def automata(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW,
-             block_words: int = BLOCK_WORDS) -> list[Automaton]:
-    """The items' automata; items stream to the driver, one block of them is held as text at a time."""
-    out, block, held = [], [], 0
+             block_words: int = BLOCK_WORDS) -> list[Block]:
+    """The items' automata, built and written by tasks; a task holds one of them at a time."""
+
+    def cut(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for name, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                for part in pieces(normal_words(text or b""), window, block_words):
+                    if part:
+                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([b" ".join(part)], pa.binary()),
+                                                          pa.array([len(part)], pa.int64())], ["name", "words", "n"])
+
+    def build(batches):
+        import pyarrow as pa
+
+        def done():
+            data = Automaton(window).build(held).dumped()
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([turn], pa.int64()),
+                                               pa.array([data], pa.binary())], ["block", "turn", "data"])
+
+        now, turn, held, n = None, 0, [], 0
+        for batch in batches:
+            for block, name, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch.column(2))):
+                words = words.split()
+                if held and (block != now or n + len(words) > block_words):
+                    yield done()
+                    turn, held, n = (turn + 1 if block == now else 0), [], 0
+                now = block
+                held.append((name, words))
+                n += len(words)
+        if held:
+            yield done()
+
+    small_batches(benchmark.sparkSession)
     rows = benchmark.select(id_text(F.col(id_col)).alias("name"), F.col(text_col).alias("text")).distinct()
-    for row in rows.orderBy("name", "text").toLocalIterator():
-        words = normal_words((row.text or "").encode())
-        if block and held + len(words) > block_words:
-            out.append(Automaton(window).build(block))
-            block, held = [], 0
-        if words:
-            block.append((row.name, words))
-            held += len(words)
-    return out + ([Automaton(window).build(block)] if block else [])
-
-
-def annotate(docs: DataFrame, found: list[Automaton], text_col: str = "text", out: str = "decontamination") -> DataFrame:
+    parts = cut_lineage(rows.mapInArrow(cut, "name string, words binary, n bigint"), "decontam-items")
+    total = parts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    block = F.pmod(F.xxhash64("name", "words"), F.lit(max(1, -(-total // block_words))))
+    dealt = parts.select(block.alias("block"), "name", "words").repartition("block")
+    dealt = dealt.sortWithinPartitions("block", "name", "words")
+    written = cut_lineage(dealt.mapInArrow(build, "block bigint, turn bigint, data binary"), "decontam-automata")
+    return [Block(written, r.block, r.turn) for r in written.select("block", "turn").orderBy("block", "turn").collect()]
+
+
+def _results(texts, found):
+    """The result column of texts with (words, word spans, items)."""
+    import pyarrow as pa
+
+    kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
+                      ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("words", pa.int64())])))])
+    return pa.array([{"n_words": n, "n_hit": sum(e - s for s, e in spans), "items": sorted(names),
+                      "spans": character_spans(text, spans) if spans else []}
+                     for text, (n, spans, names) in zip(texts, found)], kind)
+
+
+def _hits(numbered: DataFrame, block: Block) -> DataFrame:
+    """(row, starts, ends, names) of the documents that one block hits, from one pass."""
+    held = numbered.sparkSession.sparkContext.broadcast(block.data())
+
+    def run(batches):
+        import pyarrow as pa
+
+        own = [loaded(held.value)]
+        for batch in batches:
+            got = [(row, *scan_text(t or b"", own)[1:]) for row, t in zip(batch.column(0).to_pylist(), utf8(batch.column(1)))]
+            got = [g for g in got if g[1]]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([r for r, _, _ in got], pa.int64()),
+                pa.array([[a for a, _ in spans] for _, spans, _ in got], pa.list_(pa.int64())),
+                pa.array([[b for _, b in spans] for _, spans, _ in got], pa.list_(pa.int64())),
+                pa.array([sorted(names) for _, _, names in got], pa.list_(pa.string()))], ["row", "starts", "ends", "names"])
+
+    out = cut_lineage(numbered.mapInArrow(run, "row bigint, starts array<bigint>, ends array<bigint>, names array<string>"),
+                      "decontam-hits")
+    held.destroy()
+    return out
+
+
+def annotate(docs: DataFrame, found: list[Block], text_col: str = "text", out: str = "decontamination") -> DataFrame:
     """``docs`` with a struct column ``out``: n_words, n_hit, items, spans (code points and words)."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.drop(out)
-    held = [spark.sparkContext.broadcast(a) for a in found]
-    at = docs.columns.index(text_col)
-
-    def run(batches):
+    schema = T.StructType(docs.schema.fields + [T.StructField(out, T._parse_datatype_string(RESULT))])
+    columns, at, width = docs.columns, docs.columns.index(text_col), len(docs.columns)
+
+    if len(found) < 2:
+        held = [spark.sparkContext.broadcast(b.data()) for b in found]
+
+        def run(batches):
+            import pyarrow as pa
+
+            own = [loaded(b.value) for b in held]
+            for batch in batches:
+                texts = [t or b"" for t in utf8(batch.column(at))]
+                result = _results(texts, [scan_text(t, own) for t in texts])
+                yield pa.RecordBatch.from_arrays([*batch.columns, result], [*batch.schema.names, out])
+
+        return docs.mapInArrow(run, schema)
+
+    # the documents' own columns in one struct, so that their names cannot meet those of the numbers and the hits
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    numbered = cut_lineage(docs.select(F.monotonically_increasing_id().alias("row"), whole), "decontam-numbered")
+    texts = numbered.select("row", F.col(f"doc.`{text_col}`").alias("text"))
+    hits = None
+    for block in found:
+        own = _hits(texts, block)
+        hits = own if hits is None else hits.unionByName(own)
+    hits = hits.groupBy("row").agg(*[F.flatten(F.collect_list(c)).alias(c)
+                                     for c in ("starts", "ends", "names")])
+    met = numbered.join(hits, "row", "left").select(
+        *[F.col(f"doc.`{c}`").alias(f"doc_{i}") for i, c in enumerate(docs.columns)], "starts", "ends", "names")
+
+    def merge(batches):
         import pyarrow as pa
 
-        own = [b.value for b in held]
-        kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())),
-                          ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()),
-                                                        ("words", pa.int64())])))])
         for batch in batches:
-            rows = []
-            for text in utf8(batch.column(at)):
-                text = text or b""
-                n, spans, names = scan_text(text, own)
-                rows.append({"n_words": n, "n_hit": sum(e - s for s, e in spans), "items": sorted(names),
-                             "spans": character_spans(text, spans) if spans else []})
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, kind)], [*batch.schema.names, out])
+            texts = [t or b"" for t in utf8(batch.column(at))]
+            found = [(scan_text(t, [])[0], merged_spans(zip(a or [], b or [])), set(names or [])) for t, a, b, names in zip(
+                texts, *(batch.column(width + i).to_pylist() for i in range(3)))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], _results(texts, found)],
+                                             [*columns, out])
 
-    schema = T.StructType(docs.schema.fields + [T.StructField(out, T._parse_datatype_string(RESULT))])
-    return docs.mapInArrow(run, schema)
+    return met.mapInArrow(merge, schema)
 
 
 def contaminated(out: str = "decontamination"):

@@ -82,3 +82,25 @@ def test_edge_rows(spark):
     none = decontam.automata(bench.limit(0))
     assert none == [] and decontam.annotate(edge.documents(spark), none).filter("decontamination.n_words > 0").count() == 5
     assert decontam.annotate(edge.documents(spark).limit(0), none).count() == 0
+
+
+def test_blocks_are_built_in_tasks_and_bounded(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(rng.choices("abc", k=n))) for i, n in enumerate([3, 20, 5, 90, 13, 14, 2, 40])]
+    texts = [" ".join(rng.choices("abcd", k=n)) for n in (0, 30, 200)] + [items[3][1], f"d {items[7][1]} d", items[3][1]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(None if i == 4 else 7, t, "x", "y") for i, t in enumerate([*texts, None])],
+                                 "doc_id long, text string, row string, names string")
+    found = decontam.automata(bench, block_words=60)
+    assert len(found) > 1 and all(isinstance(b, decontam.Block) for b in found)
+    assert all(len(decontam.loaded(b.data()).next) <= 121 for b in found)     # 60 words: 2 states each at most
+    for parts in (decontam.automata(bench), found):
+        out = decontam.annotate(docs, parts)
+        assert out.columns == [*docs.columns, "decontamination"]
+        got = sorted((r.text or "", r.doc_id is None, r.decontamination.n_words, r.decontamination.n_hit,
+                      tuple(r.decontamination.items), sum(s.words for s in r.decontamination.spans)) for r in out.collect())
+        want = []
+        for i, t in enumerate([*texts, None]):
+            n, hit, names = plain(t, [(str(k), v) for k, v in items], 13)
+            want.append((t or "", i == 4, n, hit, tuple(sorted(names)), hit))
+        assert got == sorted(want)
