@@ -20,8 +20,8 @@ to a log-odds and a confidence per slot, which bounds what is broadcast.  A logi
 with weights chosen by gates (the confidences of both hashed predictors), and refines the weights online along
 the text: each block of decisions (the first has ``LEAST_BLOCK``, later ones up to ``BLOCK``) is scored with the
 weights so far and then moves them along the gradient.  Every
-document starts from the same weights, which are fitted on at most ``FIT_ROWS`` training documents, so a score does
-not depend on partitions or order.
+document starts from the same weights, which are fitted on all training documents: in ``FIT_ROUNDS`` Newton rounds
+tasks add up each gate's gradient and curvature as whole numbers, so a score does not depend on partitions or order.
 
 The base score is exact: words beyond the ``TOP_WORDS`` meet the table of all training counts in an equi-join.
 
@@ -39,7 +39,7 @@ from itertools import repeat
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acadlake.llm.common import crc_mod, hashed_share, small_batches, table
+from acadlake.llm.common import crc_mod, small_batches, table
 from acadlake.llm.words import utf8, word_blocks
 from acadlake.session import cut_lineage
 
@@ -47,7 +47,9 @@ TOP_WORDS = 1 << 17
 TOPICS = 64
 SLOTS = 1 << 20          # entries of a hashed table
 CHUNK = 1 << 14          # counts of a table that travel in one row
-FIT_ROWS = 256           # training documents for the starting weights
+FIT_ROUNDS = 2           # passes over the training documents for the starting weights
+FIT_UNIT = 1 << 16       # a document's sums are added as whole numbers of 1 / FIT_UNIT
+RIDGE = 1.0              # pull of the first weights, for gates that are seldom met
 RATE = 0.02             # for log-odds in units; weights are for sixteenths
 LEAST_BLOCK, BLOCK = 64, 1024    # decisions that are scored with the same weights: first, most
 END, ESCAPE, FIRST = 0, 1, 2
@@ -473,6 +475,70 @@ def mix_block(tables: Tables, weights, steps, rate: float = RATE / 256, block: i
     return total / 2.302585092994046
 
 
+def fit_sums(tables, weights, steps, into) -> None:
+    """Adds the gradient (three rows) and the curvature (six rows) of each gate at fixed weights to ``into``."""
+    import numpy as np
+
+    *slots, bit = steps
+    for at in range(0, len(bit), 1 << 16):
+        part = slice(at, at + (1 << 16))
+        codes = [np.take(t, s[part], mode="clip") for t, s in zip(tables, slots)]
+        x = [((c & np.uint16(255)).astype(np.float64) - 128) / 16 for c in codes]
+        gate = (codes[1] >> np.uint16(8) << np.uint16(3) | codes[2] >> np.uint16(8)).astype(np.intp)
+        z = sum(np.take(w, gate).astype(np.float64) * 16 * v for w, v in zip(weights, x))
+        p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
+        error, curve = bit[part] - p, p * (1 - p)
+        sums = [error * v for v in x] + [curve * x[i] * x[j] for i in range(3) for j in range(i, 3)]
+        for row, v in zip(into, sums):
+            row += np.bincount(gate, v, GATES)
+
+
+def newton_step(weights, sums):
+    """The weights after a Newton step at every gate; none moves by more than a half."""
+    import numpy as np
+
+    now, first = weights.T.astype(np.float64) * 16, starting_weights().T.astype(np.float64) * 16
+    curve = np.empty((GATES, 3, 3))
+    for row, (i, j) in zip(sums[3:], [(i, j) for i in range(3) for j in range(i, 3)]):
+        curve[:, i, j] = curve[:, j, i] = row
+    move = np.linalg.solve(curve + RIDGE * np.eye(3), (sums[:3].T - RIDGE * (now - first))[:, :, None])[:, :, 0]
+    return ((now + np.clip(move, -0.5, 0.5)).T / 16).astype(np.float32)
+
+
+def fit_weights(docs: DataFrame, model: Model, rounds: int = FIT_ROUNDS) -> Model:
+    """Starting weights from all texts; 2 x 9 x ``GATES`` sums a round reach the driver."""
+    import numpy as np
+
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    for _ in range(rounds):
+        weights = model.weights, model.spelling_weights
+
+        def run(batches, weights=weights):
+            import numpy as np
+            import pyarrow as pa
+
+            own, total = held.value, np.zeros((2, 9, GATES), np.int64)
+            coder = own.coder.ready()
+            for batch in batches:
+                for text in utf8(batch.column(0)):
+                    sums = np.zeros((2, 9, GATES))
+                    for steps, ids, escaped, topic in _text_blocks(coder, text or b""):
+                        fit_sums(own.tables.codes, weights[0], steps, sums[0])
+                        if escaped:
+                            fit_sums(own.tables.spelling, weights[1], coder.spelling(ids, escaped, topic)[0], sums[1])
+                    total += np.rint(sums * FIT_UNIT).astype(np.int64)
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total.ravel()[at], pa.int64())], ["at", "n"])
+
+        sums = np.zeros(2 * 9 * GATES)
+        for r in docs.select("text").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
+            sums[r.at] = r.n / FIT_UNIT
+        sums = sums.reshape(2, 9, GATES)
+        model.weights, model.spelling_weights = (newton_step(w, s) for w, s in zip(weights, sums))
+    held.destroy()
+    return model
+
+
 class Model:
     """Everything that scoring needs; its size is fixed by TOP_WORDS and SLOTS."""
 
@@ -485,15 +551,6 @@ class Model:
         self.base = np.log10((np.array(coder.counts, np.float64) + 1) / (train_tokens + distinct + 1))
         self.known_end = coder.counts[END] > 0
 
-    def fit(self, texts: list[bytes], rounds: int = 3) -> "Model":
-        coder = self.coder.ready()
-        for _ in range(rounds):
-            for text in texts:
-                for steps, ids, escaped, topic in _text_blocks(coder, text):
-                    mix_block(self.tables, self.weights, steps)
-                    self._spell(self.spelling_weights, ids, escaped, topic)
-        return self
-
     def _spell(self, weights, ids, escaped: list[bytes], topic: int) -> list[float]:
         """Bits of each escaped word's bytes and end; ``weights`` are refined on the way."""
         import numpy as np
@@ -575,14 +632,7 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     coder, escaped = build_coder(counts, ends, top)
     all_ = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     model = Model(coder, train_tables(training, coder), all_.n + ends, all_.v + (ends > 0))
-    # ids first, then their texts: a few times FIT_ROWS narrow rows are sorted, however many tasks there are
-    order = F.xxhash64(F.lit("lm"), F.col("doc_id"))
-    picked = training.select("doc_id").filter(hashed_share(order, FIT_ROWS, ends)).distinct()
-    picked = picked.orderBy(order, "doc_id").limit(FIT_ROWS)
-    picked = cut_lineage(picked, "lm-sample").withColumnRenamed("doc_id", "id")
-    texts = training.join(F.broadcast(picked), F.col("doc_id").eqNullSafe(F.col("id"))).groupBy("id").agg(
-        F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    model.fit([r.text.encode() for r in texts.orderBy("id").collect()])
+    model = fit_weights(training, model)
 
     scored = cut_lineage(score_rows(docs, model, learn, id_col, text_col), "lm-scored")
     whole = float(model.train_tokens + model.distinct + 1)

@@ -197,3 +197,35 @@ def test_mixing_equals_a_plain_mixer_and_refines_short_texts():
         assert np.allclose(weights.T * 16, moved, atol=2e-4)
         fixed = lm.mix_block(model.tables, lm.starting_weights(), steps, rate=0)
         assert len(steps[3]) > 64 and abs(score - fixed) > 1e-4
+
+
+def test_starting_weights_are_fitted_on_all_documents(spark):
+    import numpy as np
+    rng = random.Random(11)
+    texts = [" ".join(rng.choices(["a", "b", "cc", "d", "x", "yy"], k=rng.randint(0, 30))).encode() for _ in range(400)]
+    coder = lm.Coder([(b"a", 50), (b"b", 30), (b"cc", 3), (b"d", 2)], 4, 2).ready()
+
+    def model():
+        out = lm.Model(coder, lm.Tables(coder.nodes, {}), 90, 6)
+        for k, codes in enumerate(out.tables.codes):
+            own = np.random.default_rng(k)
+            codes[:] = own.integers(100, 156, len(codes)) | own.integers(0, 2, len(codes)) << 8
+        return out
+
+    df = spark.createDataFrame([(t.decode(),) for t in texts], "text string")
+    one, many = (lm.fit_weights(df.repartition(n), model()) for n in (1, 7))
+    assert (one.weights == many.weights).all() and (one.spelling_weights == many.spelling_weights).all()
+    plain = model()
+    for _ in range(lm.FIT_ROUNDS):
+        sums = np.zeros((9, lm.GATES))
+        for text in texts:
+            for steps, _, _ in lm.text_decisions(coder, text):
+                lm.fit_sums(plain.tables.codes, plain.weights, steps, sums)
+        plain.weights = lm.newton_step(plain.weights, sums)
+    assert np.allclose(one.weights, plain.weights, atol=1e-4)
+
+    def total(weights):
+        return sum(lm.mix_block(plain.tables, weights.copy(), steps, rate=0) for t in texts
+                   for steps, _, _ in lm.text_decisions(coder, t))
+
+    assert total(one.weights) > total(lm.starting_weights())
