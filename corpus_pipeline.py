@@ -4,8 +4,8 @@ A stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 stage's ``docs``.  All but the last return the columns of ``documents``; the last one returns the mix.
 
 1. toxicity: documents whose score is 0.5 or more go.
-2. simhash_dedup: one document of each group of near copies stays, the one with the smallest id (rows of one id are
-   one document: its smallest text stays; rows without id are told apart by their texts).
+2. simhash_dedup: one document of each group of near copies stays, the one with the smallest id (rows are told apart by
+   id and text, rows without id come last; of equal ids in a group the one with the smallest text hash stays).
 3. decontamination: contaminated documents go; in the others, benchmark passages of 13 words or more are cut out.
 4. secret_scans: every finding is replaced by ``[SECRET]``.
 5. mixing: every document with its whole number of copies (0 to 3); sources reach their targets.
@@ -53,10 +53,10 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # rows without id come after all ids and are told apart by their texts
+    # rows without id come after all ids; rows of one id are told apart by their texts
     nameless = F.col("doc_id").isNull()
     key = F.struct(nameless.alias("nameless"), F.coalesce("doc_id", F.lit(0)).alias("id"),
-                   F.when(nameless, F.xxhash64("text")).otherwise(F.lit(0)).alias("text_hash"))
+                   F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_hash"))
     parts = ["nameless", "id", "text_hash"]
     own = _packed(docs).withColumn("key", key)
     groups = simhash.near_duplicates(own, "key")

@@ -111,3 +111,12 @@ def test_edge_rows_in_every_stage(spark, folder):
         assert stage(spark, docs.limit(0), empty).count() == 0
     assert corpus_pipeline.run(spark, empty).count() == 0
     assert secrets.RULES and os.path.isdir(sf)
+
+
+def test_simhash_stage_keeps_one_of_each_group_when_ids_repeat(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    docs = spark.createDataFrame([(7, a, "en", "s", 1), (7, b, "en", "s", 1), (9, b, "en", "s", 1), (7, c, "en", "s", 1),
+                                  (7, c, "en", "s", 1), (None, a, "en", "s", 1)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.simhash_stage(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(7, a), (7, b), (7, c)])
