@@ -120,3 +120,8 @@ def test_simhash_stage_keeps_one_of_each_group_when_ids_repeat(spark):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     got = corpus_pipeline.simhash_stage(spark, docs, "").collect()
     assert sorted((r.doc_id, r.text) for r in got) == sorted([(7, a), (7, b), (7, c)])
+
+
+def test_secret_stage_leaves_the_kind_of_join_to_spark(spark, small):
+    out = staged(spark, small, "secret_scans", edge.documents(spark))
+    assert "strategy=merge" not in out._jdf.queryExecution().analyzed().toString()
