@@ -1,4 +1,5 @@
-"""Training-data operators (mixing, language id, search, decontamination, dedup, scoring, scans, filters, formatting).
+"""Training-data operators (mixing, language id, search, decontamination, dedup, scoring, scans, filters, formatting,
+fill-in-middle, vector codes).
 
 Functions that run inside Python tasks are pickled by value, so executors need no copy of this package.
 """

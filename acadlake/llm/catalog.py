@@ -1,6 +1,8 @@
 """Registered queries of the training-data operators (name -> builder) and their DuckDB statements."""
 
-from acadlake.llm import chat, decontam, language, lm, mixing, secrets, simhash, topk, toxicity, urls
+from acadlake.llm import (
+    chat, codes, decontam, exact_dedup, fim, language, lm, mixing, secrets, simhash, topk, toxicity, urls,
+)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -13,6 +15,9 @@ QUERIES = {
     "op8_url_filters": urls.op8_url_filters,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_fill_in_middle": fim.op11_fill_in_middle,
+    "op12_vector_codes": codes.op12_vector_codes,
+    "op13_exact_dedup": exact_dedup.op13_exact_dedup,
 }
 
 ORACLES = {
@@ -21,4 +26,7 @@ ORACLES = {
     "op7_secret_scans": secrets.ORACLE,
     "op8_url_filters": urls.ORACLE,
     "op10_chat_formatting": chat.ORACLE,
+    "op11_fill_in_middle": fim.ORACLE,
+    "op12_vector_codes": codes.ORACLE,
+    "op13_exact_dedup": exact_dedup.ORACLE,
 }
