@@ -1,9 +1,10 @@
 """Table maintenance (M1-M15): merge, refresh, sweep, evolve, version swap.
 
-Plain Parquet tables have no MERGE, so every operator is a pure function
+Plain Parquet tables have no MERGE.  Here are the pure functions
 ``(target, source, ...) -> new state`` (plus an ``acao`` column or a one-row
-statistics frame); the writer stores the new state as a new version and swaps
-the pointer (``VersionedTable``), so a failed run leaves the old version.
+statistics frame) on whole DataFrames; a stored table is merged by
+``acadlake.tables.keyed.KeyedTable``, which rewrites touched buckets only, or is
+replaced as a new version (``VersionedTable``), so a failed run leaves the old one.
 
 Presence of a side in a merge is decided by a marker column, never by the
 nullness of data, so an update may legitimately write NULLs (M1) or keep the
@@ -12,21 +13,27 @@ old value where the source is NULL (M2).
 
 from __future__ import annotations
 
-import time
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acadlake.operators import ordering as O
 from acadlake.operators import relational as J
 from acadlake.session import cut_lineage
+from acadlake.tables.generations import Generations
+from acadlake.tables.keys import key_is_whole
+
+
+def split_by_key(source: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key columns are all present, the others): a record without a whole key never enters a merge."""
+    whole = F.coalesce(key_is_whole(source.schema, keys), F.lit(False))
+    return source.where(whole), source.where(~whole)
 
 
 def _merge(target: DataFrame, source: DataFrame, keys: list[str], order: list[str] | None,
            null_preserving: bool, created: str | None, updated: str | None, run_ts) -> DataFrame:
     cols = [c for c in target.columns if c not in keys and c not in (created, updated)]
+    source, _ = split_by_key(source, keys)
     src = source.select(*keys, *[c for c in cols if c in source.columns], *(order or []))
     if order:
         src = O.pick_per_key(src, keys, order, keep="last")   # source applied in order: last wins
@@ -65,6 +72,7 @@ def upsert_keep_old(target: DataFrame, source: DataFrame, keys: list[str], order
 
 def insert_absent(target: DataFrame, source: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """M3: source rows whose key is absent from the target (first per key) are appended."""
+    source, _ = split_by_key(source, keys)
     new = source.join(target.select(*keys), keys, "left_anti")
     new = O.pick_per_key(new, keys, order, keep="first").select(*target.columns)
     return target.withColumn("acao", F.lit("keep")).unionByName(new.withColumn("acao", F.lit("insert")))
@@ -78,9 +86,7 @@ def merge_statistics(merged: DataFrame, source: DataFrame, keys: list[str]) -> D
         F.count_if(F.col("acao") == "update").cast("bigint").alias("atualizados"),
         F.count_if(F.col("acao") == "keep").cast("bigint").alias("mantidos"),
         F.count_if(F.col("acao") != "keep").cast("bigint").alias("processados"))
-    whole = None
-    for k in keys:
-        whole = F.col(k).isNotNull() if whole is None else whole & F.col(k).isNotNull()
+    whole = F.coalesce(key_is_whole(source.schema, keys), F.lit(False))
     per_key = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     read = per_key.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("lidos"),
                        F.coalesce(F.sum(F.when(whole, F.col("__n") - 1)), F.lit(0)).cast("bigint").alias("ignorados"),
@@ -226,27 +232,22 @@ def deactivation_keys(system: DataFrame, load: DataFrame, keys: list[str], null_
 
 
 class VersionedTable:
-    """Each write goes to a new version folder; an empty commit file, put in place by one rename,
-    names a finished version, and the last name is the current one.
+    """Each write goes to a new version folder, and a numbered commit (``Generations``) makes it the current one.
 
-    A write that fails, or whose stored rows do not add up (M4), leaves readers on the previous version.
+    A write that fails, or whose stored rows do not add up (M4), leaves readers on the previous version; of two
+    writers that started from the same version one wins, the other gets ``Conflict``.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        path = self._path("")
-        self._fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        self.generations = Generations(spark, self.root)
 
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+    def number(self) -> int:
+        return self.generations.current()[0]
 
     def current(self) -> str | None:
-        commits = self._path("_commits")
-        if not self._fs.exists(commits):
-            return None
-        names = sorted(f.getPath().getName() for f in self._fs.listStatus(commits))
-        names = [n for n in names if n.startswith("v=")]
-        return f"{self.root}/{names[-1]}" if names else None
+        folder = self.generations.current()[1].get("pasta")
+        return f"{self.root}/dados/{folder}" if folder else None
 
     def read(self) -> DataFrame:
         path = self.current()
@@ -254,20 +255,22 @@ class VersionedTable:
             raise FileNotFoundError(f"no version under {self.root}")
         return self.spark.read.parquet(path)
 
-    def write(self, df: DataFrame, partition_by: list[str] | None = None, expected: int | None = None) -> str:
-        """``expected``: rows that must be stored (the valid rows of the load), else the version is not published."""
-        name = f"v={time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        version = f"{self.root}/{name}"
-        w = df.write.mode("errorifexists")
+    def write(self, df: DataFrame, partition_by: list[str] | None = None, expected: int | None = None,
+              base: int | None = None) -> str:
+        """``expected``: rows that must be stored (the valid rows of the load), counted by the write itself, else the
+        version is not published.  ``base``: the generation that ``df`` was made from (now, if not given)."""
+        base = self.number() if base is None else base
+        folder, seen = self.generations.new_folder(), Observation()
+        w = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
+        version = f"{self.root}/dados/{folder}"
         w.parquet(version)
-        if expected is not None:
-            stored = self.spark.read.parquet(version).count()
-            if stored != expected:
-                raise ValueError(f"{version}: {stored} rows stored, {expected} valid rows expected")
-        draft = self._path(f"_commits/.draft-{name}")
-        self._fs.create(draft).close()
-        if not self._fs.rename(draft, self._path(f"_commits/{name}")):
-            raise OSError(f"{version} could not be published")
+        if expected is not None and seen.get["n"] != expected:
+            raise ValueError(f"{version}: {seen.get['n']} rows stored, {expected} valid rows expected")
+        self.generations.publish(base, {"pasta": folder, "linhas": int(seen.get["n"])})
         return version
+
+    def expire(self, keep_seconds: float, now: float | None = None) -> list[str]:
+        """Remove versions that were superseded more than ``keep_seconds`` ago."""
+        return self.generations.expire(keep_seconds, "dados", lambda c: {c.get("pasta")}, now)

@@ -255,10 +255,13 @@ STREAM_ORACLE = """SELECT event_id, user_id, CASE WHEN event_id % 7 = 0 THEN upp
   value AS valor FROM events WHERE event_type <> 'error'"""
 
 
-def _loader(spark, root, label):
+def _paged(spark, root, target, checkpoint):
     keep = F.lower(F.coalesce(F.col("tipoPref"), F.col("eventType"))) != F.lit("error")   # in-flight filter (CI)
-    return PagedLoad(spark, root, scratch_path(spark, label), scratch_path(spark, label + "-ckpt"),
-                     API_EVENT, "eventId", keep)
+    return PagedLoad(spark, root, target, checkpoint, API_EVENT, "eventId", keep)
+
+
+def _loader(spark, root, label):
+    return _paged(spark, root, scratch_path(spark, label), scratch_path(spark, label + "-ckpt"))
 
 
 def _stream_rows(df):
@@ -288,24 +291,27 @@ def q_paged_stream(spark, sf):
 
 @register("paged_reset", with_views(STREAM_ORACLE))
 def q_paged_reset(spark, sf):
+    """The source changes between two loads; after a reset nothing of the first one is left, for any process."""
     d = domain(spark, sf)
-    load = _loader(spark, _land(spark, d), "reset-target")
-    load.run()
-    load.run(reset=True)           # T3: everything once more, into fresh folders
-    return _stream_rows(load.result())
+    target, checkpoint = scratch_path(spark, "reset-target"), scratch_path(spark, "reset-ckpt")
+    old = _api_events(d).withColumn("eventId", F.col("eventId") + 10 ** 9).withColumn("value", F.lit(-1.0))
+    earlier = scratch_path(spark, "earlier-landing")
+    L.land_pages(old, earlier, [F.col("eventId").asc()], PAGE_SIZE)
+    first = _paged(spark, earlier, target, checkpoint)
+    first.run()
+    _paged(spark, _land(spark, d), target, checkpoint).run(reset=True)
+    return _stream_rows(first.result())             # the first loader looks the new state up
 
 
 @register("bounded_increment", with_views(STREAM_ORACLE))
 def q_bounded_increment(spark, sf):
     d = domain(spark, sf)
-    root = _land(spark, d)
-    load = _loader(spark, root, "bounded-target")
-    state = scratch_path(spark, "bounded-state")
+    load = _loader(spark, _land(spark, d), "bounded-target")
     n_pages = d.events.count() // PAGE_SIZE + 3
     step = n_pages // 4 + 1
     last = -1
     while True:                    # a few bounded runs; each resumes from the stored state
-        new_last = load.run_pages(step, state)
+        new_last = load.run_pages(step)
         if new_last == last:
             break
         last = new_last

@@ -3,7 +3,9 @@
 Merge inputs: the stored snapshot is the orders placed before 1999 and the new
 extract is every order placed from 1997 on (the two windows overlap, so keys
 are updated, kept and inserted), plus a later correction row for urgent
-orders, which the merge must apply last.
+orders, which the merge must apply last.  In the extract some records come
+without key (NULL, empty, blanks): they are rejects.  The snapshot is a stored
+keyed table; what the queries return is read back from it.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from acadlake.plans import worklists as WL
 from acadlake.plans.catalog_products import COMMITTEE_CTES, committee_ctes
 from acadlake.plans.load_tables import PRODUCED, produced, product_ctes, union
 from acadlake.plans.oracle_sql import ci, q, strip, with_views
+from acadlake.session import scratch_path
+from acadlake.tables.keyed import KeyedTable
 from acadlake.views import domain
 
 QUERIES = {}
@@ -41,12 +45,21 @@ SNAPSHOT_END = "1999-01-01"
 EXTRACT_START = "1997-01-01"
 
 
+def _order_key(lost: bool):
+    key = F.concat(F.lit("P"), F.col("o_orderkey").cast("string"))
+    if not lost:
+        return key
+    n = F.col("o_orderkey")
+    return F.when(n % 11 == 0, F.lit(None)).when(n % 13 == 0, "").when(n % 17 == 0, "  ").otherwise(key)
+
+
 def order_versions(spark, sf) -> tuple[DataFrame, DataFrame]:
-    o = domain(spark, sf).orders.select(
-        F.col("o_orderkey").alias("chave"), F.col("o_custkey").alias("cliente"), F.col("o_orderstatus").alias("status"),
-        F.col("o_totalprice").alias("valor"), F.col("o_orderpriority").alias("prioridade"), "o_orderdate")
-    target = o.where(F.col("o_orderdate") < F.lit(SNAPSHOT_END).cast("timestamp_ntz")).drop("o_orderdate")
-    new = o.where(F.col("o_orderdate") >= F.lit(EXTRACT_START).cast("timestamp_ntz"))
+    o = domain(spark, sf).orders
+    cols = [F.col("o_custkey").alias("cliente"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("valor"),
+            F.col("o_orderpriority").alias("prioridade")]
+    target = o.where(F.col("o_orderdate") < F.lit(SNAPSHOT_END).cast("timestamp_ntz")).select(
+        _order_key(False).alias("chave"), *cols)
+    new = o.where(F.col("o_orderdate") >= F.lit(EXTRACT_START).cast("timestamp_ntz")).select(_order_key(True).alias("chave"), *cols)
     extract = new.select("chave", "cliente", F.when(F.col("status") == "O", "F").otherwise(F.col("status")).alias("status"),
                          "valor", F.when(F.col("prioridade").startswith("1"), F.lit(None).cast("string"))
                          .otherwise(F.col("prioridade")).alias("prioridade"), F.lit(1).alias("seq"))
@@ -56,18 +69,27 @@ def order_versions(spark, sf) -> tuple[DataFrame, DataFrame]:
     return target, extract.unionByName(correction)
 
 
+def stored_orders(spark, target: DataFrame) -> KeyedTable:
+    table = KeyedTable(spark, scratch_path(spark, "orders"), target.schema, ["chave"])
+    table.upsert(target)
+    return table
+
+
+_LOST = """CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 17 = 0 THEN '  '
+        ELSE 'P' || CAST(o_orderkey AS VARCHAR) END"""
 ORDER_CTES = [
-    f"""tgt AS (SELECT o_orderkey AS chave, o_custkey AS cliente, o_orderstatus AS status, o_totalprice AS valor,
-      o_orderpriority AS prioridade FROM orders WHERE o_orderdate < TIMESTAMP '{SNAPSHOT_END}')""",
+    f"""tgt AS (SELECT 'P' || CAST(o_orderkey AS VARCHAR) AS chave, o_custkey AS cliente, o_orderstatus AS status,
+      o_totalprice AS valor, o_orderpriority AS prioridade FROM orders WHERE o_orderdate < TIMESTAMP '{SNAPSHOT_END}')""",
     f"""src_all AS (
-      SELECT o_orderkey AS chave, o_custkey AS cliente, CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status,
+      SELECT {_LOST} AS chave, o_custkey AS cliente, CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS status,
         o_totalprice AS valor, CASE WHEN starts_with(o_orderpriority, '1') THEN NULL ELSE o_orderpriority END AS prioridade, 1 AS seq
       FROM orders WHERE o_orderdate >= TIMESTAMP '{EXTRACT_START}'
       UNION ALL
-      SELECT o_orderkey, o_custkey, 'P', o_totalprice, NULL, 2 FROM orders
+      SELECT {_LOST}, o_custkey, 'P', o_totalprice, NULL, 2 FROM orders
       WHERE o_orderdate >= TIMESTAMP '{EXTRACT_START}' AND o_orderpriority = '1-URGENT')""",
+    "src_keyed AS (SELECT * FROM src_all WHERE trim(chave) <> '')",
     """src AS (SELECT chave, cliente, status, valor, prioridade FROM (SELECT *, row_number() OVER (PARTITION BY chave
-      ORDER BY seq DESC, cliente DESC, status DESC, valor DESC, prioridade DESC) AS rn FROM src_all) x WHERE rn = 1)""",
+      ORDER BY seq DESC, cliente DESC, status DESC, valor DESC, prioridade DESC) AS rn FROM src_keyed) x WHERE rn = 1)""",
 ]
 
 
@@ -84,24 +106,45 @@ FROM tgt t FULL OUTER JOIN src s ON t.chave = s.chave"""
 @register("merge_upsert", with_views(_merge_sql(False), *ORDER_CTES))
 def q_merge_upsert(spark, sf):
     t, s = order_versions(spark, sf)
-    return M.upsert(t, s, ["chave"], order=["seq"])
+    table = stored_orders(spark, t)
+    table.upsert(s, ["seq"])
+    return table.read_load()
 
 
 @register("merge_coalesce", with_views(_merge_sql(True), *ORDER_CTES))
 def q_merge_coalesce(spark, sf):
     t, s = order_versions(spark, sf)
-    return M.upsert_keep_old(t, s, ["chave"], order=["seq"])
+    table = stored_orders(spark, t)
+    table.upsert(s, ["seq"], keep_old=True)
+    return table.read_load()
 
 
 @register("merge_stats", with_views(f"""
 SELECT count(*) FILTER (WHERE acao = 'insert') AS inseridos, count(*) FILTER (WHERE acao = 'update') AS atualizados,
   count(*) FILTER (WHERE acao = 'keep') AS mantidos, count(*) FILTER (WHERE acao <> 'keep') AS processados,
-  (SELECT count(*) FROM src_all) AS lidos, (SELECT count(chave) - count(DISTINCT chave) FROM src_all) AS ignorados,
-  (SELECT count(*) FROM src_all WHERE chave IS NULL) AS erros
+  (SELECT count(*) FROM src_all) AS lidos, (SELECT count(chave) - count(DISTINCT chave) FROM src_keyed) AS ignorados,
+  (SELECT count(*) FROM src_all WHERE chave IS NULL OR trim(chave) = '') AS erros
 FROM ({_merge_sql(False)}) m""", *ORDER_CTES))
 def q_merge_stats(spark, sf):
+    """The counts that the write itself took; every row read is counted once."""
+    t, s = order_versions(spark, sf)
+    table = stored_orders(spark, t)
+    c = table.upsert(s, ["seq"])
+    assert c["lidos"] == c["inseridos"] + c["atualizados"] + c["ignorados"] + c["rejeitados"]
+    done = c["inseridos"] + c["atualizados"]
+    row = (c["inseridos"], c["atualizados"], table.rows() - done, done, c["lidos"], c["ignorados"], c["rejeitados"])
+    return spark.createDataFrame([row], ", ".join(f"{n} bigint" for n in (
+        "inseridos", "atualizados", "mantidos", "processados", "lidos", "ignorados", "erros")))
+
+
+@register("merge_rejects", with_views("""
+SELECT chave, cliente, status, valor, prioridade FROM src_all WHERE chave IS NULL OR trim(chave) = ''""", *ORDER_CTES))
+def q_merge_rejects(spark, sf):
+    """The records that the merge did not take, as its write kept them apart."""
     t, s = order_versions(spark, sf)
-    return M.merge_statistics(M.upsert(t, s, ["chave"], order=["seq"]), s, ["chave"])
+    table = stored_orders(spark, t)
+    table.upsert(s, ["seq"])
+    return table.rejects()
 
 
 @register("enrol_feed_merge", with_views(f"""
@@ -126,10 +169,12 @@ SELECT chave, cliente, status, valor, prioridade, 'keep' AS acao FROM tgt
 UNION ALL
 SELECT chave, cliente, status, valor, prioridade, 'insert' AS acao FROM (
   SELECT *, row_number() OVER (PARTITION BY chave ORDER BY seq, cliente, status, valor, prioridade NULLS FIRST) AS rn
-  FROM src_all WHERE chave NOT IN (SELECT chave FROM tgt)) x WHERE rn = 1""", *ORDER_CTES))
+  FROM src_keyed WHERE chave NOT IN (SELECT chave FROM tgt)) x WHERE rn = 1""", *ORDER_CTES))
 def q_insert_absent(spark, sf):
     t, s = order_versions(spark, sf)
-    return M.insert_absent(t, s.select("chave", "cliente", "status", "valor", "prioridade", "seq"), ["chave"], ["seq"])
+    table = stored_orders(spark, t)
+    table.insert_absent(s, ["seq"])
+    return table.read_load()
 
 
 # --------------------------------------------------------------------------- M4-M7
@@ -161,8 +206,10 @@ WHERE s.aluno IN (SELECT aluno FROM live)
 def q_guarded_delete(spark, sf):
     d = domain(spark, sf)
     live = d.student.where(S.ci_equals("sit_aluno", "Ativo")).select("aluno")
-    state, _ = M.guarded_delete(d.student, live, ["aluno"])
-    return state
+    table = KeyedTable(spark, scratch_path(spark, "students"), d.student.schema, ["aluno"])
+    table.upsert(d.student)
+    table.guarded_delete(live)
+    return table.read()
 
 
 @register("empty_source", with_views("""

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from acadlake.operators import aggregates as A
 from acadlake.operators import contracts as C
-from acadlake.operators import maintenance as M
 from acadlake.operators import ordering as O
 from acadlake.operators import quality as Q
 from acadlake.functions import constants as K
@@ -14,6 +13,8 @@ from acadlake.plans.catalog_products import ORACLES as PRODUCT_ORACLES
 from acadlake.plans.load_tables import PRODUCED, produced, product_ctes, union
 from acadlake.plans.oracle_sql import (mailbox_user, offering_code, offering_type, q, shift, strip, subject_code,
                                        to_int_via_float, trunc, with_views)
+from acadlake.session import scratch_path
+from acadlake.tables.keyed import KeyedTable
 from acadlake.views import VIEWS, domain, render_for_duckdb
 
 QUERIES = {}
@@ -241,7 +242,11 @@ FROM formula f LEFT JOIN novas n ON n.id = f.id AND n.formula IS NOT DISTINCT FR
 def q_formula_writeback(spark, sf):
     f = domain(spark, sf).formula
     upd = f.select("id", F.col("formula").alias("valor_antigo"), Q.rewrite_formula("formula").alias("valor_novo"))
-    return M.rewrite_if_unchanged(f, upd, ["id"], "formula")
+    table = KeyedTable(spark, scratch_path(spark, "formulas"), f.schema, ["id"])
+    table.upsert(f)
+    # only the buckets of formulas that change are read and written
+    table.rewrite_if_unchanged(upd.where(~F.col("valor_antigo").eqNullSafe(F.col("valor_novo"))), "formula")
+    return table.read_load()
 
 
 # --------------------------------------------------------------------------- Q8

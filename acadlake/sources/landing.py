@@ -59,13 +59,14 @@ def land_pages(df: DataFrame, root: str, order: list, page_size: int = 100, bare
     return n_pages
 
 
-def split_pages(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Landing lines -> (page number, records)."""
+def split_pages(lines: DataFrame, schema: T.StructType, *more) -> DataFrame:
+    """Landing lines -> (page number, records); ``more`` columns are taken from the line."""
     at = F.locate("\t", F.col("value"))
     body = F.expr("substring(value, locate('\t', value) + 1)")
     env = T.StructType([T.StructField("data", T.ArrayType(schema))])
-    lines = lines.select(F.substring(F.col("value"), F.lit(1), at - 1).cast("bigint").alias(PAGE_COL), body.alias("body"))
-    return lines.select(PAGE_COL, F.when(F.ltrim("body").startswith("["), F.from_json("body", T.ArrayType(schema)))
+    lines = lines.select(F.substring(F.col("value"), F.lit(1), at - 1).cast("bigint").alias(PAGE_COL), body.alias("body"), *more)
+    rest = [c for c in lines.columns if c not in (PAGE_COL, "body")]
+    return lines.select(PAGE_COL, *rest, F.when(F.ltrim("body").startswith("["), F.from_json("body", T.ArrayType(schema)))
                         .otherwise(F.from_json("body", env)["data"]).alias("data"))
 
 

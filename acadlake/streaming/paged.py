@@ -5,91 +5,142 @@ Landing files (see ``acadlake.sources.landing``) are consumed by a file stream,
 with ``trigger(availableNow=True)``; progress lives in the stream checkpoint, so a
 restart resumes after the last committed file and a second run adds nothing.
 
-``foreachBatch`` is idempotent: a batch writes its rows, with their page numbers,
-to its own ``lote=<batch id>`` folder with mode overwrite, so a retried batch
-replaces its own partial output; an empty page is stored as one marked row.  A
-batch's work grows with the batch only.  Readers cut the table at the first empty
-page, in whatever order pages arrived, and keep one row per key, that of the
-lowest page (T5).
+A page that comes again as it was is dropped on arrival: the stream keeps one
+digest a page in a RocksDB state store (``dropDuplicates``), so the state is as
+large as the number of pages, not of rows.  What is left goes into a
+``KeyedTable``, where of all rows of a key the one of the lowest page stays (T5):
+the stored table has one row a key whatever order pages came in, and a batch that
+is run again after a failure changes nothing.  Readers therefore shuffle nothing.
+
+The first empty page ends the table.  Pages behind it are not stored; if they came
+before it, their rows go when it comes.  The end, the last page and the largest
+key are notes in the generation that a batch publishes, so they never disagree
+with the rows (T2, T4).
+
+A reset (T3) publishes a new state folder, for table and checkpoint, in the load's
+own generations: every process looks it up, so nobody reads or resumes the old one.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from contextlib import contextmanager
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from acadlake.operators import ordering as O
+from acadlake.session import cut_lineage
 from acadlake.sources.landing import LANDED, PAGE_COL, PAGES_PER_FILE, RANGE_COL, split_pages
+from acadlake.tables.generations import Conflict, Generations
+from acadlake.tables.keyed import KeyedTable
 
-BATCH_COL = "lote"
 EMPTY_COL = "pagina_vazia"
+DIGEST_COL = "impressao"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
 
 
 class PagedLoad:
     def __init__(self, spark: SparkSession, landing: str, target: str, checkpoint: str,
-                 schema: T.StructType, key: str, keep: Column | None = None, files_per_batch: int = 8):
+                 schema: T.StructType, key: str, keep: Column | None = None, files_per_batch: int = 8, buckets: int = 8):
         self.spark, self.landing, self.target = spark, landing.rstrip("/"), target.rstrip("/")
-        self.checkpoint, self.schema, self.key, self.keep = checkpoint, schema, key, keep
+        self.checkpoint, self.schema, self.key, self.keep = checkpoint.rstrip("/"), schema, key, keep
         self.files_per_batch = files_per_batch      # commit (checkpoint) granularity
+        self.buckets = buckets
+        self.resets = Generations(spark, self.target)
+
+    # ------------------------------------------------------------------ state
+    def _folder(self) -> str:
+        """The state folder that counts now, for this process and all others."""
+        number, content = self.resets.current()
+        if not number:
+            try:
+                self.resets.publish(0, {"pasta": self.resets.new_folder("estado")})
+            except Conflict:            # another process opened the load first: its folder counts
+                pass
+            content = self.resets.current()[1]
+        return content["pasta"]
+
+    def table(self) -> KeyedTable:
+        """The stored rows, with their page numbers."""
+        schema = T.StructType([T.StructField(PAGE_COL, T.LongType()), *self.schema.fields])
+        return KeyedTable(self.spark, f"{self.target}/{self._folder()}", schema, [self.key], self.buckets)
 
-    # ------------------------------------------------------------------ helpers
-    def _read(self, path: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
-
-    def _process(self, lines: DataFrame, batch_id) -> None:
-        """One batch of landing lines -> stored rows (idempotent per batch id)."""
-        pages = split_pages(lines, self.schema)
+    def reset(self) -> None:
+        """Start over for good; Conflict if another process has reset the load meanwhile."""
+        self._folder()
+        number = self.resets.current()[0]
+        self.resets.publish(number, {"pasta": self.resets.new_folder("estado")})
+
+    def _process(self, pages: DataFrame, note: dict | None = None) -> None:
+        """Pages -> stored rows; running the same pages again changes nothing."""
         rows = pages.select(PAGE_COL, (F.size("data") == 0).alias(EMPTY_COL), F.explode_outer("data").alias("r"))
         rows = rows.select(PAGE_COL, EMPTY_COL, "r.*")
         if self.keep is not None:
             rows = rows.where(F.col(EMPTY_COL) | self.keep)
-        rows.write.mode("overwrite").parquet(f"{self.target}/{BATCH_COL}={batch_id}")
-
-    def _stored(self) -> DataFrame | None:
-        """Stored rows in front of the first empty page (one scalar, read with a pushed filter)."""
-        stored = self._read(self.target)
-        if stored is None:
-            return None
-        end = stored.where(F.col(EMPTY_COL)).agg(F.min(PAGE_COL)).first()[0]
-        stored = stored.where(~F.col(EMPTY_COL))
-        return stored if end is None else stored.where(F.col(PAGE_COL) < end)
+        rows = cut_lineage(rows, "paged-batch")
+        table = self.table()
+        held = table.note()
+        came = rows.where(EMPTY_COL).agg(F.min(PAGE_COL)).first()[0]
+        ends = [x for x in (came, held.get("fim")) if x is not None]
+        end = min(ends) if ends else None
+        rows = rows.where(~F.col(EMPTY_COL)).drop(EMPTY_COL)
+        if end is not None:
+            rows = rows.where(F.col(PAGE_COL) < end)
+        top = rows.agg(F.max(PAGE_COL).alias("p"), F.max(self.key).alias("k")).first()
+        largest = lambda name, new: max((x for x in (held.get(name), new) if x is not None), default=None)
+        notes = {"fim": end, "pagina": largest("pagina", top.p), "chave": largest("chave", top.k)} | (note or {})
+        if top.p is not None:
+            table.lowest_wins(rows, [PAGE_COL, *[c for c in self.schema.names if c != self.key]], notes)
+        elif notes != held:
+            table.add_note(notes)
+        if end is not None and held.get("pagina") is not None and held["pagina"] >= end:
+            self._cut(table, end)
+
+    def _cut(self, table: KeyedTable, end: int) -> None:
+        """Remove what was stored from pages behind the end; the notes are taken anew from the rows that stay."""
+        behind = table.read().where(F.col(PAGE_COL) >= end).select(self.key)
+        stay = table.read().where(F.col(PAGE_COL) < end)
+        top = stay.agg(F.max(PAGE_COL).alias("p"), F.max(self.key).alias("k")).first()
+        table.delete(behind, {"pagina": top.p, "chave": top.k})
 
     # ------------------------------------------------------------------ T1 / T3
     def run(self, reset: bool = False) -> int:
         """Consume every landed file not yet committed; returns the number of batches run."""
         if reset:
             self.reset()
-        stream = (self.spark.readStream.format("text").option("maxFilesPerTrigger", self.files_per_batch)
-                  .schema(LANDED).load(self.landing))
-        query = (stream.writeStream.foreachBatch(lambda df, bid: self._process(df, bid))
-                 .option("checkpointLocation", self.checkpoint)
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
+        lines = (self.spark.readStream.format("text").option("maxFilesPerTrigger", self.files_per_batch)
+                 .schema(LANDED).load(self.landing))
+        digested = split_pages(lines, self.schema, F.sha2("value", 256).alias(DIGEST_COL))
+        fresh = digested.dropDuplicates([PAGE_COL, DIGEST_COL])
+        with _setting(self.spark, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
+            query = (fresh.writeStream.foreachBatch(lambda df, _: self._process(df))
+                     .option("checkpointLocation", f"{self.checkpoint}/{self._folder()}")
+                     .trigger(availableNow=True).start())
+            query.awaitTermination()
         return len([p for p in query.recentProgress if p.get("numInputRows", 0) > 0])
 
-    def reset(self) -> None:
-        """Start over in fresh checkpoint / target folders (the old ones are left untouched)."""
-        self._resets = getattr(self, "_resets", 0) + 1
-        suffix = f"-reset{self._resets}"
-        self.checkpoint = self.checkpoint.rstrip("/") + suffix
-        self.target = self.target + suffix
-
     # ------------------------------------------------------------------ T2
-    def run_pages(self, count: int, state_path: str) -> int:
+    def run_pages(self, count: int) -> int:
         """Bounded increment in batch mode: the next ``count`` pages after the stored state.
 
-        The state is a one-row table (last page, last key, time); it is replaced after the write.
-        Only the folders of the page range are read.  Returns the new last page.
+        The state is a note of the generation that holds the rows.  Only the folders of the page range are read.
+        Returns the new last page.
         """
-        state = self._read(state_path)
-        last = -1 if state is None or state.isEmpty() else int(state.first()["ultima_pagina"])
+        last = self.table().note().get("ultima_pagina", -1)
         lines = self.spark.read.schema(LANDED).text(self.landing).where(
             F.col(RANGE_COL).between((last + 1) // PAGES_PER_FILE, (last + count) // PAGES_PER_FILE))
         page = F.substring_index("value", "\t", 1).cast("bigint")
@@ -97,22 +148,27 @@ class PagedLoad:
         top = lines.agg(F.max(page)).first()[0]
         if top is None:                      # nothing landed after the stored state
             return last
-        self._process(lines, f"p{last + 1}_{top}")
-        new_last = int(top)
-        self.spark.createDataFrame([(new_last, self.high_water_value())], "ultima_pagina bigint, ultima_chave bigint") \
-            .withColumn("atualizado_em", F.current_timestamp()).write.mode("overwrite").parquet(state_path)
-        return new_last
+        when = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        self._process(split_pages(lines, self.schema), {"ultima_pagina": int(top), "atualizado_em": when})
+        return int(top)
+
+    def state(self) -> DataFrame:
+        """The one-row state of the bounded loads: last page read, largest key, time."""
+        note = self.table().note()
+        kind = self.schema[self.key].dataType.simpleString()
+        return self.spark.createDataFrame([(note.get("ultima_pagina"), note.get("chave"), note.get("atualizado_em"))],
+                                          f"ultima_pagina bigint, ultima_chave {kind}, atualizado_em string")
 
     # ------------------------------------------------------------------ T4
     def high_water(self) -> DataFrame:
-        """T4: the largest stored key."""
-        return self._stored().agg(F.max(self.key).alias("ultima_chave"))
-
-    def high_water_value(self):
-        return None if self._read(self.target) is None else self.high_water().first()[0]
+        """T4: the largest stored key, from the generation's notes: no row is read."""
+        kind = self.schema[self.key].dataType.simpleString()
+        return self.spark.createDataFrame([(self.table().note().get("chave"),)], f"ultima_chave {kind}")
 
     def result(self) -> DataFrame:
-        stored = self._stored()
-        if stored is None:
-            return self.spark.createDataFrame([], T.StructType([T.StructField(PAGE_COL, T.LongType())] + self.schema.fields))
-        return O.pick_per_key(stored.drop(BATCH_COL, EMPTY_COL), [self.key], [PAGE_COL], keep="first")
+        return self.table().read()
+
+    def expire(self, keep_seconds: float, now: float | None = None) -> list[str]:
+        """Remove states that a reset superseded more than ``keep_seconds`` ago, and old versions of the current one."""
+        gone = self.table().expire(keep_seconds, now)
+        return gone + self.resets.expire(keep_seconds, "", lambda c: {c["pasta"], "_geracoes", "_rascunhos"}, now)

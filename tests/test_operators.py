@@ -101,6 +101,32 @@ def test_m15_version_swap(spark):
     assert vt.current() != first and vt.read().count() == 5
 
 
+def test_m15_conflict_and_expiry(spark):
+    import time
+    import pytest
+    from acadlake.tables.generations import Conflict
+    vt = M.VersionedTable(spark, scratch_path(spark, "versioned"))
+    vt.write(spark.range(3))
+    base, old = vt.number(), vt.current()
+    vt.write(spark.range(4), base=base)
+    with pytest.raises(Conflict):
+        M.VersionedTable(spark, vt.root).write(spark.range(9), base=base)
+    assert vt.read().count() == 4 and spark.read.parquet(old).count() == 3
+    assert vt.expire(3600) == [] and len(vt.expire(3600, now=time.time() + 7200)) == 2      # the old one and the loser's
+    assert vt.read().count() == 4
+
+
+def test_merges_leave_out_records_without_a_key(spark):
+    t = spark.createDataFrame([("a", 1)], "k string, v int")
+    s = spark.createDataFrame([("a", 2), (None, 3), (None, 3), ("", 4), (" ", 5), ("b", 6), ("b", 7)], "k string, v int")
+    for merge in (M.upsert, M.upsert_keep_old):
+        assert rows(merge(t, s, ["k"], order=["v"])) == [("a", 2, "update"), ("b", 7, "insert")]
+    assert rows(M.insert_absent(t, s, ["k"], ["v"])) == [("a", 1, "keep"), ("b", 6, "insert")]
+    assert M.split_by_key(s, ["k"])[1].count() == 4
+    c = M.merge_statistics(M.upsert(t, s, ["k"], order=["v"]), s, ["k"]).first()
+    assert (c.lidos, c.inseridos, c.atualizados, c.ignorados, c.erros) == (7, 1, 1, 1, 4)
+
+
 def test_m15_failing_writes_leave_the_old_version(spark):
     import pytest
     vt = M.VersionedTable(spark, scratch_path(spark, "versioned"))
@@ -181,16 +207,86 @@ def test_t2_bounded_increments(spark, sf):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("eventId", T.LongType())])
     load = PagedLoad(spark, root, scratch_path(spark, "b-target"), scratch_path(spark, "b-ckpt"), schema, "eventId")
-    state = scratch_path(spark, "b-state")
-    assert load.run_pages(3, state) == 2
+    assert load.run_pages(3) == 2
     assert load.result().count() == 300
     last = 2
     while True:
-        new = load.run_pages(3, state)
+        new = load.run_pages(3)
         if new == last:
             break
         last = new
     assert load.result().count() == ev.count()
+    state = load.state().first()
+    assert (state.ultima_pagina, state.ultima_chave) == (last, ev.agg(F.max("eventId")).first()[0])
+
+
+PAGE_SCHEMA = "eventId long, v string"
+
+
+def land(spark, root, pages):
+    """Pages in the order given, each in a file of its own, under its range's folder."""
+    import json
+    for n, body in pages:
+        line = f"{n}\t" + json.dumps({"data": [{"eventId": k, "v": v} for k, v in body]})
+        spark.createDataFrame([(0, line)], "faixa long, value string").coalesce(1).write.mode("append").partitionBy("faixa").text(root)
+
+
+def paged(spark, root, name):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("eventId", T.LongType()), T.StructField("v", T.StringType())])
+    return lambda: PagedLoad(spark, root, f"{name}/t", f"{name}/c", schema, "eventId", files_per_batch=1)
+
+
+def test_t5_late_repeated_and_out_of_order_pages_leave_unique_keys(spark):
+    root, name = scratch_path(spark, "o-landing"), scratch_path(spark, "o-load")
+    new = paged(spark, root, name)
+    land(spark, root, [(9, [(99, "behind the end")]), (1, [(1, "late"), (4, "d")])])
+    load = new()
+    load.run()
+    assert load.high_water().first()[0] == 99
+    land(spark, root, [(0, [(1, "a"), (2, "b")]), (1, [(1, "late"), (4, "d")]), (2, [(2, "again"), (5, "e")]), (3, [])])
+    load = new()                                    # a restart: another object on the same folders
+    load.run()
+    stored = load.table().read()                    # the table itself, not a view of it
+    assert rows(stored.select("eventId", "v", "pagina")) == [(1, "a", 0), (2, "b", 0), (4, "d", 1), (5, "e", 2)]
+    assert load.high_water().first()[0] == 5        # the page behind the end is gone
+    before = load.table().generations.numbers()
+    land(spark, root, [(1, [(1, "late"), (4, "d")])])
+    new().run()                                     # a page that came before reaches no bucket
+    assert load.table().generations.numbers() == before
+    land(spark, root, [(7, [(70, "x")])])
+    new().run()
+    assert load.result().count() == 4 and load.result().select("eventId").distinct().count() == 4
+
+
+def test_t5_reading_shuffles_nothing(spark):
+    root, name = scratch_path(spark, "o-landing"), scratch_path(spark, "o-load")
+    load = paged(spark, root, name)()
+    land(spark, root, [(0, [(1, "a")]), (1, [])])
+    load.run()
+    assert "Exchange" not in load.result()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_t3_reset_holds_for_every_process(spark):
+    import time
+    import pytest
+    from acadlake.tables.generations import Conflict
+    root, name = scratch_path(spark, "x-landing"), scratch_path(spark, "x-load")
+    new = paged(spark, root, name)
+    land(spark, root, [(0, [(1, "a"), (2, "b")]), (1, [])])
+    first, second = new(), new()
+    first.run()
+    assert rows(second.result().select("eventId")) == [(1,), (2,)]
+    number = first.resets.current()[0]
+    first.reset()
+    assert second.result().count() == 0 and new().result().count() == 0 and new().high_water().first()[0] is None
+    with pytest.raises(Conflict):                   # who started from the old generation loses
+        second.resets.publish(number, {"pasta": "estado=x"})
+    assert new().run() > 0 and first.result().count() == 2
+    later = time.time() + 7200
+    assert new().expire(3600) == []
+    assert len([g for g in new().expire(3600, now=later) if g.startswith("estado=")]) == 1
+    assert new().result().count() == 2
 
 
 def test_t3_reset_reloads_everything(spark, sf):
