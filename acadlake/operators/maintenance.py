@@ -231,6 +231,9 @@ def deactivation_keys(system: DataFrame, load: DataFrame, keys: list[str], null_
     return s.join(ld, cond, "left_anti")
 
 
+VALID, REJECTED = "situacao=valido", "situacao=rejeitado"
+
+
 class VersionedTable:
     """Each write goes to a new version folder, and a numbered commit (``Generations``) makes it the current one.
 
@@ -249,11 +252,45 @@ class VersionedTable:
         folder = self.generations.current()[1].get("pasta")
         return f"{self.root}/dados/{folder}" if folder else None
 
-    def read(self) -> DataFrame:
-        path = self.current()
-        if path is None:
+    def _scan(self, part: str = "") -> DataFrame:
+        content = self.generations.current()[1]
+        if "esquema" not in content:
             raise FileNotFoundError(f"no version under {self.root}")
-        return self.spark.read.parquet(path)
+        schema = T.StructType.fromJson(content["esquema"])
+        if not content["pasta"] or (part and part not in content["partes"]):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.current()}{'/' + part if part else ''}")
+
+    def read(self) -> DataFrame:
+        return self._scan(VALID if self.generations.current()[1].get("partes") is not None else "")
+
+    def rejects(self) -> DataFrame:
+        """The records that the last ``refresh`` did not take."""
+        return self._scan(REJECTED)
+
+    def stats(self) -> dict:
+        """The counts of the last ``refresh``."""
+        return self.generations.current()[1].get("contagem", {})
+
+    def refresh(self, source: DataFrame, required: list[str], numeric: tuple = (), empty_policy: str = "keep") -> dict:
+        """M4/M5: the valid rows of ``source`` become the table.  One job writes valid rows and rejects apart and counts
+        them; an extract without rows keeps the table or clears it."""
+        base, content = self.generations.current()
+        ok = F.coalesce(J.conj(J.present(c, numeric=c in numeric) for c in required), F.lit(False))
+        folder, seen = self.generations.new_folder(), Observation()
+        part, value = VALID.split("=")
+        tagged = source.withColumn(part, F.when(ok, value).otherwise(REJECTED.split("=")[1])).observe(
+            seen, F.count(F.lit(1)).alias("lidos"), F.count_if(F.col(part) == value).alias("validos"),
+            F.count_if(F.col(part) != value).alias("rejeitados"))
+        tagged.write.partitionBy(part).parquet(f"{self.root}/dados/{folder}")
+        counts = {k: int(v) for k, v in seen.get.items()}
+        new = {"pasta": folder, "linhas": counts["validos"], "esquema": source.schema.jsonValue(),
+               "partes": [p for p, n in ((VALID, counts["validos"]), (REJECTED, counts["rejeitados"])) if n]}
+        if not counts["lidos"]:
+            kept = {"pasta": None, "linhas": 0, "esquema": source.schema.jsonValue(), "partes": []}
+            new = content if content and empty_policy == "keep" else kept
+        self.generations.publish(base, new | {"contagem": counts})
+        return counts
 
     def write(self, df: DataFrame, partition_by: list[str] | None = None, expected: int | None = None,
               base: int | None = None) -> str:
@@ -268,7 +305,7 @@ class VersionedTable:
         w.parquet(version)
         if expected is not None and seen.get["n"] != expected:
             raise ValueError(f"{version}: {seen.get['n']} rows stored, {expected} valid rows expected")
-        self.generations.publish(base, {"pasta": folder, "linhas": int(seen.get["n"])})
+        self.generations.publish(base, {"pasta": folder, "linhas": int(seen.get["n"]), "esquema": df.schema.jsonValue()})
         return version
 
     def expire(self, keep_seconds: float, now: float | None = None) -> list[str]:

@@ -182,20 +182,30 @@ def q_insert_absent(spark, sf):
 _REFRESH_OK = "(cpf IS NOT NULL AND cpf <> '' AND num_func IS NOT NULL AND num_func <> 0)"
 
 
+def refreshed_teachers(spark, sf) -> M.VersionedTable:
+    table = M.VersionedTable(spark, scratch_path(spark, "teachers"))
+    table.refresh(domain(spark, sf).teacher, ["cpf", "num_func"], numeric=("num_func",))
+    return table
+
+
 @register("full_refresh", with_views(f"SELECT * FROM teacher WHERE {_REFRESH_OK}"))
 def q_full_refresh(spark, sf):
-    d = domain(spark, sf)
-    state, _ = M.full_refresh(d.teacher.limit(0), d.teacher, ["cpf", "num_func"], numeric=("num_func",))
-    return state
+    return refreshed_teachers(spark, sf).read()
 
 
 @register("refresh_stats", with_views(f"""
 SELECT count(*) AS lidos, count(*) FILTER (WHERE {_REFRESH_OK}) AS validos, count(*) FILTER (WHERE NOT {_REFRESH_OK}) AS rejeitados
 FROM teacher"""))
 def q_refresh_stats(spark, sf):
-    d = domain(spark, sf)
-    _, stats = M.full_refresh(d.teacher.limit(0), d.teacher, ["cpf", "num_func"], numeric=("num_func",))
-    return stats
+    """The counts that the write took; a record is valid or a reject."""
+    c = refreshed_teachers(spark, sf).stats()
+    assert c["lidos"] == c["validos"] + c["rejeitados"]
+    return spark.createDataFrame([(c["lidos"], c["validos"], c["rejeitados"])], "lidos bigint, validos bigint, rejeitados bigint")
+
+
+@register("refresh_rejects", with_views(f"SELECT * FROM teacher WHERE ({_REFRESH_OK}) IS NOT TRUE"))
+def q_refresh_rejects(spark, sf):
+    return refreshed_teachers(spark, sf).rejects()
 
 
 @register("guarded_delete", with_views(f"""
@@ -222,8 +232,10 @@ def q_empty_source(spark, sf):
     extract = stored.where(F.col("num_func").isNull())         # no teacher lacks a number: an empty extract
     out = []
     for policy in ("keep", "clear"):
-        state, _ = M.full_refresh(stored, extract, ["num_func"], numeric=("num_func",), empty_policy=policy)
-        out.append(state.select(F.lit(policy).alias("politica"), "num_func", "cpf"))
+        table = M.VersionedTable(spark, scratch_path(spark, f"empty-{policy}"))
+        table.write(stored)
+        table.refresh(extract, ["num_func"], numeric=("num_func",), empty_policy=policy)
+        out.append(table.read().select(F.lit(policy).alias("politica"), "num_func", "cpf"))
     return union(out)
 
 

@@ -24,23 +24,20 @@ CLASS_API = T.StructType([
 CLASS_REQUIRED = ["ano", "semestre", "turma", "disciplina"]
 
 
-def refresh_classes(d: Domain, page_size: int = 500, stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Mirror refresh of the class table; returns (new state, load statistics)."""
+def landed_classes(d: Domain, page_size: int = 500) -> DataFrame:
+    """The class extract as landed and read back, normalised."""
     spark = d.spark
     root = scratch_path(spark, "class-landing")
     api = d.view("class").select(*[f.name for f in CLASS_API.fields])
     L.land_pages(api, root, [F.col(c).asc() for c in CLASS_KEYS], page_size)
-    rows = S.normalize_frame(L.read_pages(spark, root, CLASS_API).drop(L.PAGE_COL))
-    target = stored if stored is not None else spark.createDataFrame([], CLASS_API)
-    return M.full_refresh(target, rows, CLASS_REQUIRED, numeric=("ano", "semestre"), empty_policy="keep")
+    return S.normalize_frame(L.read_pages(spark, root, CLASS_API).drop(L.PAGE_COL))
 
 
-def publish_classes(d: Domain) -> tuple[DataFrame, DataFrame]:
-    """The class mirror as a versioned table: the refreshed state is published only if every valid row
-    was stored; returns the table as readers see it, and the load statistics."""
-    state, stats = refresh_classes(d)
+def publish_classes(d: Domain) -> tuple[DataFrame, dict]:
+    """The class mirror as a versioned table: one job writes valid rows and rejects and counts them, and the version is
+    published with these counts; returns the table as readers see it, and the counts."""
     mirror = M.VersionedTable(d.spark, scratch_path(d.spark, "class-mirror"))
-    mirror.write(state, expected=stats.first()["validos"])
+    stats = mirror.refresh(landed_classes(d), CLASS_REQUIRED, numeric=("ano", "semestre"), empty_policy="keep")
     return mirror.read(), stats
 
 

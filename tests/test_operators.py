@@ -101,6 +101,21 @@ def test_m15_version_swap(spark):
     assert vt.current() != first and vt.read().count() == 5
 
 
+def test_m4_refresh_counts_in_the_write_and_keeps_rejects_apart(spark):
+    vt = M.VersionedTable(spark, scratch_path(spark, "refresh"))
+    kinds = "k string, n int"
+    src = spark.createDataFrame([("a", 1), ("", 2), (None, 3), ("b", 0), ("b", None), ("c", 4)], kinds)
+    assert vt.refresh(src, ["k", "n"], numeric=("n",)) == {"lidos": 6, "validos": 2, "rejeitados": 4} == vt.stats()
+    assert rows(vt.read()) == [("a", 1), ("c", 4)] and vt.rejects().count() == 4 and vt.read().columns == ["k", "n"]
+    vt.refresh(src.limit(0), ["k"])
+    assert vt.read().count() == 2 and vt.stats()["lidos"] == 0              # kept
+    vt.refresh(spark.createDataFrame([("", 1)], kinds), ["k"])
+    assert vt.read().count() == 0 and vt.rejects().count() == 1             # rows came, none valid
+    vt.refresh(src, ["k"])
+    vt.refresh(src.limit(0), ["k"], empty_policy="clear")
+    assert vt.read().count() == 0
+
+
 def test_m15_conflict_and_expiry(spark):
     import time
     import pytest
