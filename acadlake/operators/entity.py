@@ -23,9 +23,11 @@ Spark plan:
    two lengths ask for; what is left is verified with an exact LCS (bit-parallel,
    Arrow UDF) and an integer test 200 * LCS >= T * (la + lb);
 4. the sequential greedy pass is the lexicographically first maximal independent
-   set of the similarity graph in input order, computed in rounds: a key without
-   an earlier neighbour left becomes a leader, a key whose earliest neighbour left
-   is a leader joins it.  A round keeps only undecided keys and their edges.
+   set of the similarity graph in input order.  Components do not touch each
+   other, so each component of at most ``COMPONENT_EDGES`` edges is walked in
+   order inside one task.  Larger ones are solved in rounds: a key without an
+   earlier neighbour left becomes a leader, a key whose earliest neighbour left is
+   a leader joins it; a round keeps only undecided keys and their edges.
 """
 
 from __future__ import annotations
@@ -41,9 +43,11 @@ from pyspark.sql import types as T
 
 from acadlake.functions.scalars import comparison_key, strip_year_suffix
 from acadlake.operators import ordering as O
+from acadlake.operators.graph import components
 from acadlake.session import cut_lineage
 
 Q = 2   # bigrams
+COMPONENT_EDGES = 500_000      # edges of a component that one task walks
 
 # the scorer below travels with its task, so workers need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -141,9 +145,48 @@ def _may_match(threshold: int, x: str, y: str):
             & (shared >= _least_overlap(total, threshold)))
 
 
-def greedy_leaders(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Sequential greedy grouping in rounds: ``nodes(pos)``, ``edges(a_pos < b_pos)`` ->
-    ``(pos, lider)`` where ``lider`` is the leader position of the node's group.
+def walk(a, b):
+    """(positions, leader of each) of one component: edge ends a < b, walked in the order of positions."""
+    import numpy as np
+
+    leader: dict[int, int] = {}
+    order = np.lexsort((b, a))
+    for x, y in zip(a[order].tolist(), b[order].tolist()):
+        if leader.setdefault(x, x) == x:          # ungrouped so far, or a leader: it takes its ungrouped neighbours
+            leader.setdefault(y, x)
+    # nodes that only end edges of grouped nodes lead themselves
+    for y in np.unique(b).tolist():
+        leader.setdefault(y, y)
+    return list(leader), list(leader.values())
+
+
+def greedy_leaders(nodes: DataFrame, edges: DataFrame, component_edges: int = COMPONENT_EDGES) -> DataFrame:
+    """Sequential greedy grouping: ``nodes(pos)``, ``edges(a_pos < b_pos)`` -> ``(pos, lider)``, the leader's position.
+
+    Small components cost one shuffle of their edges; only larger ones go through rounds."""
+    ends = edges.select("a_pos", "b_pos")
+    labels = components(ends.select(F.col("a_pos").alias("a"), F.col("b_pos").alias("b")))
+    held = cut_lineage(ends.join(labels.withColumnRenamed("node", "a_pos"), "a_pos"), "greedy-edges")
+    sizes = cut_lineage(held.groupBy("label").agg(F.count(F.lit(1)).alias("n")), "greedy-sizes")
+    large = sizes.where(F.col("n") > component_edges).select("label")
+
+    def run(table):
+        import pyarrow as pa
+
+        pos, leader = walk(table["a_pos"].to_numpy(), table["b_pos"].to_numpy())
+        return pa.table({"pos": pa.array(pos, pa.int64()), "lider": pa.array(leader, pa.int64())})
+
+    small = held.join(large, "label", "left_anti").groupBy("label").applyInArrow(run, "pos bigint, lider bigint")
+    done = cut_lineage(small, "greedy-small")
+    rest = held.join(large, "label", "left_semi").select("a_pos", "b_pos")
+    if not large.isEmpty():
+        touched = rest.select(F.col("a_pos").alias("pos")).unionByName(rest.select(F.col("b_pos").alias("pos"))).distinct()
+        done = done.unionByName(leaders_in_rounds(touched, rest))
+    return nodes.select("pos").join(done, "pos", "left").select("pos", F.coalesce("lider", "pos").alias("lider"))
+
+
+def leaders_in_rounds(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """The same result for components of any size.
 
     A round decides at least the first node of every component that is left, and passes on only
     undecided nodes and the edges that can still decide them."""
