@@ -9,6 +9,7 @@ task holds one block of each and multiplies them as one matrix product.
 3. The entries of a query are few; their whole order (score, then id) decides.
 
 Scores are integers.  A product whose sums could pass 2^53 is computed on Python integers, others exactly in doubles.
+Components and scores saturate at the limits of a long.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no part, nor do rows with a
 null id; vectors of other lengths than the query's are not candidates of it; equal rows (id and vector) count once, an
@@ -47,7 +48,8 @@ def _product(q, x):
     most = float(np.abs(q).max()) * float(np.abs(x).max()) * q.shape[1]
     if most < 2 ** 53:
         return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
-    return q.astype(object) @ x.astype(object).T
+    exact = q.astype(object) @ x.astype(object).T
+    return np.clip(exact, -1 << 63, (1 << 63) - 1).astype(np.int64)
 
 
 def _matrix(column):

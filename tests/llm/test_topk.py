@@ -44,6 +44,14 @@ def test_large_numbers_stay_exact(spark):
     assert {tuple(r) for r in topk.top_k(df, F.col("vec_id") == 0).collect()} == plain(rows, lambda i: i == 0)
 
 
+def test_products_beyond_a_long_saturate(spark):
+    rows = [(0, [1e19, 4e6]), (1, [1e19, 4e6]), (2, [-1e19, 1.0]), (3, [4e6, 4e6]), (4, [3e300, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    most = (1 << 63) - 1
+    assert got == [(1, most), (3, most), (4, most), (2, -most - 1)]
+
+
 def test_query_against_sql_and_empty(spark, small, folder):
     assert compare("op3", topk.op3_topk_search(spark, small), topk.ORACLE, duck_con(small))
     assert topk.op3_topk_search(spark, folder()).count() == 0
