@@ -47,6 +47,22 @@ def test_unknown_records_are_reported(spark):
     assert chat.unmapped(df).count() == 3 and chat.canonical_turns(df).count() == 1
 
 
+def test_strict_jobs_fail_on_unknown_records(spark):
+    df = spark.createDataFrame([('{"conv_id":1,"messages":[]}',), ('{"a":1}',)], "record string")
+    with pytest.raises(Exception, match="no mapping for record"):
+        chat.canonical_turns(df, strict=True).count()
+    assert chat.canonical_turns(df.limit(1), strict=True).count() == 1
+    with pytest.raises(ValueError, match="no mapping"):
+        chat.table_turns(spark.createDataFrame([(1, "x")], "conv_id long, body string"))
+
+
+def test_very_long_turns_stay(spark, folder):
+    long = "abcdefghi " * 2_100_000                            # more than Spark's JSON parser takes
+    got = {r.conv_id: r for r in chat.op10_chat_formatting(
+        spark, folder(conversations=[(1, 0, "user", "hello"), (1, 1, "assistant", long)])).collect()}
+    assert (got[1].n_turns, got[1].loss_chars) == (2, len(long)) and len(got) == 2
+
+
 def test_rows_nulls_ties_and_repeats(spark, folder):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", None), (1, None, None, "last"), (2, 0, "user", "same"),
             (2, 0, "user", "same"), (None, 0, "assistant", "x" * 200_000)]
