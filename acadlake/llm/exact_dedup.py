@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from acadlake.llm.common import table
 from acadlake.session import cut_lineage
 
-BUCKET_KEYS = 1 << 14           # live digests of a bucket on average, at most
+BUCKET_KEYS = 1 << 11           # live digests of a bucket on average, at most
 SLOTS = 4                       # fingerprints in a place of the filter
 KICKS = 200                     # fingerprints moved before a filter counts as too full
 LEAST_PLACES = 4
