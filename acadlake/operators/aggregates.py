@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acadlake.functions import constants as K
+from acadlake.session import cut_lineage
 
 
 def profile(df: DataFrame, distinct_cols: list[str], conditions: dict[str, Column] | None = None,
@@ -69,9 +70,9 @@ def duplicate_members(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
 
 def count_with_total(df: DataFrame, keys: list[str], name: str = "total_por_grupo",
                      total: str = "total_geral") -> DataFrame:
-    """Count per group beside the grand total (one scalar)."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-    everything = df.agg(F.count(F.lit(1))).first()[0]
+    """Count per group beside the grand total, which is the sum of the group counts: the input is read once."""
+    g = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), "group-counts")
+    everything = g.agg(F.coalesce(F.sum(name), F.lit(0))).first()[0]
     return g.withColumn(total, F.lit(everything).cast("bigint"))
 
 

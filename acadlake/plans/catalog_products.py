@@ -232,7 +232,7 @@ def committee_ctes(p: str = "", sheet: str = "committee_sheet") -> list[str]:
       arg_min(emailCoordenador, linha) FILTER (WHERE emailCoordenador IS NOT NULL) AS emailCoordenador
       FROM {p}sh2 GROUP BY chave)""",
         f"""{p}cg AS (SELECT b.*, coalesce(b.codigoCurso, list_filter(list_transform(range(0, sq + 1 + len(dados)),
-          lambda i: CASE WHEN i = 0 THEN base ELSE base || lpad(CAST(i AS VARCHAR), 2, '0') END),
+          lambda i: CASE WHEN i = 0 THEN base ELSE base || format('{{:02d}}', i) END),
           lambda n: NOT list_contains(dados, n))[sq + 1]) AS code
       FROM (SELECT *, row_number() OVER (PARTITION BY base ORDER BY pos) - 1 AS sq FROM (
         SELECT *, CASE WHEN codigoCurso IS NULL THEN coalesce(nullif(upper(substr(array_to_string(

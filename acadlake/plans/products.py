@@ -438,18 +438,10 @@ def committee(d: Domain, sheet: DataFrame | None = None) -> tuple[DataFrame, Dat
     initials = F.upper(F.substring(F.array_join(F.transform(F.split(F.col("nomeCurso"), r"(?U)\s+"),
                                                             lambda w: F.substring(w, 1, 1)), ""), 1, 3))
     initials = F.when(initials == "", F.lit("XXX")).otherwise(initials)
-    # only code-less courses are ordered inside their base; given codes are left out of the numbering
+    # only code-less courses are ordered inside their base; codes that are given are skipped
     coded = courses.where(F.col("codigoCurso").isNotNull())
-    blank = courses.where(F.col("codigoCurso").isNull()).withColumn("base", initials)
-    blank = O.repeat_suffix(blank, "base", [F.col("pos")], "seq")
-    given = coded.select(F.regexp_extract("codigoCurso", r"^(.{0,2}?\D)(\d\d+)?$", 1).alias("base"), "codigoCurso")
-    given = given.where("base <> ''").groupBy("base").agg(F.collect_set("codigoCurso").alias("dados"))
-    blank = blank.join(given, "base", "left")
-    taken = F.coalesce("dados", F.array().cast("array<string>"))
-    names = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("seq") + F.size(taken)), lambda i: F.when(
-        i == 0, F.col("base")).otherwise(F.concat("base", F.lpad(i.cast("string"), 2, "0"))))
-    free = F.filter(names, lambda n: ~F.array_contains(taken, n))
-    blank = blank.withColumn("codigoCurso", F.element_at(free, (F.col("seq") + 1).cast("int")))
+    blank = courses.where(F.col("codigoCurso").isNull()).withColumn("base", initials).drop("codigoCurso")
+    blank = O.free_codes(blank, coded, "base", F.col("pos"), "codigoCurso")
     courses = coded.unionByName(blank.select(*coded.columns))
     members = (sh.where(F.col("nomeMembro").isNotNull())
                .join(courses.select("chave", F.col("codigoCurso").alias("cc")), "chave", "inner")
