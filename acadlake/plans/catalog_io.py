@@ -97,13 +97,45 @@ def q_sheet_ingest(spark, sf):
     return L.read_sheet(spark, path, SHEET_NAMES)
 
 
+_BY_PERIOD: dict = {}
+
+
+def enrol_by_period(spark, sf):
+    """Enrolments by period folder, sorted by student, with Bloom filters on the student: stored once per application."""
+    d = domain(spark, sf)
+    key = source_state(spark, d.sf_dir, "orders", "lineitem")
+    if key not in _BY_PERIOD:
+        path = scratch_path(spark, "enrol_by_period")
+        L.write_partitioned(d.enrol, path, ["ano", "semestre"], ["aluno"])
+        _BY_PERIOD[key] = path
+    return L.pruned_scan(spark, _BY_PERIOD[key], d.enrol.schema)
+
+
 @register("pruned_scan", with_views("SELECT * FROM enrol WHERE ano = 1998 AND semestre = 2"))
 def q_pruned_scan(spark, sf):
     d = domain(spark, sf)
-    path = scratch_path(spark, "enrol_by_period")
-    # one task writes a period's files
-    d.enrol.repartition("ano", "semestre").write.mode("overwrite").partitionBy("ano", "semestre").parquet(path)
-    return L.pruned_scan(spark, path, d.enrol.schema, ano=1998, semestre=2).select(*d.enrol.columns)
+    return enrol_by_period(spark, sf).where((F.col("ano") == 1998) & (F.col("semestre") == 2)).select(*d.enrol.columns)
+
+
+_ENROL_KEYED = "aluno, ano, semestre, turma, disciplina, sit_matricula"
+
+
+@register("keyed_lookup", with_views(f"""SELECT {_ENROL_KEYED} FROM enrol
+WHERE aluno IN (SELECT aluno FROM (SELECT DISTINCT aluno FROM enrol) ORDER BY aluno LIMIT 5)"""))
+def q_keyed_lookup(spark, sf):
+    """S3: a few students' rows, found through row group ranges and Bloom filters."""
+    e = enrol_by_period(spark, sf)
+    keys = e.select("aluno").distinct().orderBy("aluno").limit(5)
+    return L.keyed_lookup(e, keys, ["aluno"]).select(*_ENROL_KEYED.split(", "))
+
+
+@register("period_lookup", with_views(f"""SELECT {_ENROL_KEYED} FROM enrol
+WHERE (ano, semestre) IN (SELECT (ano, semestre) FROM class WHERE unidade_responsavel = '001' AND ano >= 1998)"""))
+def q_period_lookup(spark, sf):
+    """The periods come from a key table; only their folders are read."""
+    held = domain(spark, sf).view("class")
+    keys = held.where((F.col("unidade_responsavel") == "001") & (F.col("ano") >= 1998)).select("ano", "semestre")
+    return L.keyed_lookup(enrol_by_period(spark, sf), keys, ["ano", "semestre"]).select(*_ENROL_KEYED.split(", "))
 
 
 @register("keyed_scan", with_views("""

@@ -20,6 +20,7 @@ from acadlake.operators import ordering as O
 PAGE_COL = "pagina"
 RANGE_COL = "faixa"
 PAGES_PER_FILE = 256
+FEW_KEYS = 10            # as many values of a filter Spark hands to a Parquet scan one by one
 LANDED = T.StructType([T.StructField("value", T.StringType()), T.StructField(RANGE_COL, T.LongType())])
 
 
@@ -117,6 +118,31 @@ def pruned_scan(spark: SparkSession, path: str, schema: T.StructType, **filters)
     return df
 
 
+def write_partitioned(df: DataFrame, path: str, by: list[str], keys: list[str] = ()) -> None:
+    """A folder for each value of ``by``.  Rows are rebalanced, so a large value is written by as many tasks as its
+    size asks for and a small one by one.  Files are sorted by ``keys`` and carry Bloom filters on them, so a scan for
+    given keys skips row groups by their ranges and filters (S3)."""
+    out = df.hint("rebalance", *[F.col(c) for c in by]).sortWithinPartitions(*by, *keys)
+    writer = out.write.mode("overwrite").partitionBy(*by)
+    for k in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
+    writer.parquet(path)
+
+
+def keyed_lookup(df: DataFrame, keys: DataFrame, on: list[str], few: int = FEW_KEYS) -> DataFrame:
+    """S3/S4 on a stored table: the rows of a key set.
+
+    A single-column set of at most ``few`` keys becomes a filter that reaches the scan (ranges and Bloom filters of row
+    groups).  A larger one is a semi join; if ``on`` holds partition columns, Spark reads only the folders of the keys'
+    partitions (dynamic partition pruning), provided the key side is filtered and small enough to be sent to all tasks."""
+    keys = keys.select(*on).distinct()
+    if len(on) == 1:
+        found = keys.limit(few + 1).collect()           # few + 1 keys at most
+        if len(found) <= few:
+            return df.where(F.col(on[0]).isin([r[0] for r in found if r[0] is not None]))
+    return df.join(keys, on, "left_semi")
+
+
 def keyed_scan(df: DataFrame, keys: DataFrame, on: list[str], order: list[str] | None = None) -> DataFrame:
     """Rows whose key is in a key set (semi join; AQE broadcasts a small key set), ordered."""
     out = df.join(keys.select(*on).distinct(), on, "left_semi")
