@@ -15,20 +15,54 @@ from acadlake.session import cut_lineage
 
 def profile(df: DataFrame, distinct_cols: list[str], conditions: dict[str, Column] | None = None,
             max_col: str | None = None, approx: bool = False) -> DataFrame:
-    """A1: one-pass table profile (rows, distinct per column, conditional counts, max stamp).
+    """A1: table profile (rows, distinct per column, conditional counts, max stamp).
 
-    ``approx=True`` swaps exact distinct counts (an Expand per column) for
-    HyperLogLog sketches, the right choice on very wide / very large tables.
+    Rows, conditions and maximum are one pass.  Each exact distinct count is a two-level aggregate over its own column
+    alone: no row is copied once a column (as several distinct counts in one aggregate would), and on columnar files
+    each column is read once.  ``approx=True`` takes HyperLogLog estimates in the one pass instead.
     """
-    aggs = [F.count(F.lit(1)).alias("total_rows")]
-    for c in distinct_cols:
-        d = F.approx_count_distinct(c) if approx else F.count_distinct(F.col(c))
-        aggs.append(d.cast("bigint").alias(f"distinct_{c}"))
+    aggs = {"total_rows": F.count(F.lit(1))}
     for name, cond in (conditions or {}).items():
-        aggs.append(F.count_if(cond).cast("bigint").alias(name))
+        aggs[name] = F.count_if(cond).cast("bigint")
     if max_col:
-        aggs.append(F.max(max_col).alias(f"max_{max_col}"))
-    return df.agg(*aggs)
+        aggs[f"max_{max_col}"] = F.max(max_col)
+    if approx:
+        aggs |= {f"distinct_{c}": F.approx_count_distinct(c).cast("bigint") for c in distinct_cols}
+    parts = [df.agg(*[v.alias(k) for k, v in aggs.items()])]
+    if not approx:
+        parts += [df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct()
+                  .agg(F.count(F.lit(1)).alias(f"distinct_{c}")) for c in distinct_cols]
+    out = parts[0]
+    for p in parts[1:]:                     # rows of one value each: they meet in one row, without a join
+        out = out.unionByName(p, allowMissingColumns=True)
+    names = ["total_rows", *[f"distinct_{c}" for c in distinct_cols], *(conditions or {}),
+             *([f"max_{max_col}"] if max_col else [])]
+    return out.agg(*[F.max(n).alias(n) for n in names])
+
+
+LG_K = 14               # sketches of 2^14 registers: a standard error of 0.8 / 2^7
+SKETCH_ERROR = 3 * 0.8 / 2 ** (LG_K / 2)        # three standard errors
+
+
+def sketches(df: DataFrame, load: str, cols: list[str]) -> DataFrame:
+    """A1/A5 by load: one row for each load and column, with its rows, the non-NULL ones and a mergeable sketch.
+
+    A load's sketches are written once with it; profiles of any range of loads need no row of it again."""
+    one = df.groupBy(load).agg(F.count(F.lit(1)).alias("linhas"),
+                               *[F.count(F.col(c)).alias(f"n_{c}") for c in cols],
+                               *[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(LG_K)).alias(f"s_{c}") for c in cols])
+    packed = F.explode(F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(f"n_{c}").alias("preenchidas"),
+                                          F.col(f"s_{c}").alias("esboco")) for c in cols]))
+    return one.select(F.col(load), "linhas", packed.alias("x")).select(load, "linhas", "x.*")
+
+
+def merged_profile(stored: DataFrame) -> DataFrame:
+    """Rows, non-NULL rows and estimated distinct values of each column over the loads in ``stored``; duplicates (A5)
+    are the non-NULL rows beyond the distinct values."""
+    out = stored.groupBy("coluna").agg(
+        F.sum("linhas").alias("linhas"), F.sum("preenchidas").alias("preenchidas"),
+        F.hll_sketch_estimate(F.hll_union_agg("esboco")).alias("distintos"))
+    return out.withColumn("duplicados", F.greatest(F.lit(0).cast("bigint"), F.col("preenchidas") - F.col("distintos")))
 
 
 def frequency_top(df: DataFrame, col: str, n: int | None = None, label: str = K.NOT_INFORMED,

@@ -3,11 +3,13 @@ snapshot stability (Q8), referential audit (Q9)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acadlake.functions.scalars import _c, pystrip
 from acadlake.operators import ordering as O
+from acadlake.session import cut_lineage
+from acadlake.tables.generations import Generations
 
 
 # --------------------------------------------------------------------------- Q6
@@ -90,6 +92,72 @@ def snapshot_diff(current: DataFrame, previous: DataFrame, page: str = "pagina")
                     _joined(added).alias("chaves_adicionadas"), _joined(removed).alias("chaves_removidas"))
 
 
+PAGES_PER_FOLDER = 256
+
+
+def page_digests(df: DataFrame, key: str, page: str) -> DataFrame:
+    """(page, n, soma, mistura): an order-free digest of the distinct keys of each page."""
+    h = F.xxhash64(key)
+    return df.select(page, key).where(F.col(key).isNotNull()).distinct().groupBy(page).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.pmod(h, F.lit(1 << 40))).alias("soma"), F.bit_xor(h).alias("mistura"))
+
+
+class SnapshotStore:
+    """Stored snapshots of the keys of pages.
+
+    A snapshot holds a digest a page and the keys themselves, in a folder for each range of pages.  A comparison joins
+    digests, which are narrow; keys are read only for pages whose digest differs, and only from the folders of these."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.generations = spark, Generations(spark, root)
+
+    def _folder(self, name: str) -> str:
+        return f"{self.generations.root}/dados/{self.generations.current()[1]['pasta']}/{name}"
+
+    @staticmethod
+    def _pages(df: DataFrame, key: str, page: str) -> DataFrame:
+        return df.select(F.col(page).alias("pagina"), F.col(key).alias("chave"),
+                         F.floor(F.col(page) / PAGES_PER_FOLDER).cast("bigint").alias("faixa"))
+
+    def save(self, df: DataFrame, key: str, page: str) -> None:
+        """Store the keys of ``df`` by page as the snapshot to compare with."""
+        base, folder = self.generations.current()[0], self.generations.new_folder()
+        path = f"{self.generations.root}/dados/{folder}"
+        keys = self._pages(df, key, page).where(F.col("chave").isNotNull()).distinct()
+        keys.hint("rebalance", F.col("faixa")).sortWithinPartitions("faixa", "pagina").write.partitionBy("faixa").parquet(f"{path}/chaves")
+        page_digests(self.spark.read.parquet(f"{path}/chaves"), "chave", "pagina").write.parquet(f"{path}/resumo")
+        self.generations.publish(base, {"pasta": folder})
+
+    def stored_keys(self, changed: DataFrame) -> DataFrame:
+        """The stored keys of changed pages (pagina, faixa, mudou = 1)."""
+        return self.spark.read.parquet(self._folder("chaves")).join(changed, ["faixa", "pagina"], "left_semi")
+
+    def compare(self, df: DataFrame, key: str, page: str) -> DataFrame:
+        """Pages of ``df`` against the stored snapshot, in the columns of ``snapshot_diff``."""
+        now = self._pages(df, key, page)
+        a = page_digests(now, "chave", "pagina").alias("a")
+        b = self.spark.read.parquet(self._folder("resumo")).alias("b")
+        j = a.join(b, F.col("a.pagina") == F.col("b.pagina"), "full_outer")
+        same = F.struct("a.n", "a.soma", "a.mistura").eqNullSafe(F.struct("b.n", "b.soma", "b.mistura"))
+        pages = cut_lineage(j.select(
+            F.coalesce("a.pagina", "b.pagina").alias("pagina"), F.coalesce("a.n", F.lit(0)).alias("tamanho_atual"),
+            F.coalesce("b.n", F.lit(0)).alias("tamanho_anterior"), F.when(same, 0).otherwise(1).alias("mudou")), "snapshot-pages")
+        changed = pages.where(F.col("mudou") == 1).select(
+            "pagina", F.floor(F.col("pagina") / PAGES_PER_FOLDER).cast("bigint").alias("faixa"), "mudou")
+        new = now.join(changed, ["faixa", "pagina"], "left_semi").where(F.col("chave").isNotNull())
+        sides = new.select("pagina", "chave", F.lit(1).alias("lado")).unionByName(
+            self.stored_keys(changed).select("pagina", "chave", F.lit(2).alias("lado")))
+        found = sides.groupBy("pagina", "chave").agg(F.bit_or("lado").alias("lado")).where("lado < 3")
+        # a page holds a bounded number of keys
+        diff = found.groupBy("pagina").agg(*[F.collect_list(F.when(F.col("lado") == n, F.col("chave"))).alias(name)
+                                             for n, name in ((1, "novas"), (2, "idas"))])
+        none = F.array().cast(diff.schema["novas"].dataType)
+        out = pages.join(diff.withColumnRenamed("pagina", "p"), F.col("pagina") == F.col("p"), "left")
+        return out.select("pagina", F.col("tamanho_atual").cast("bigint"), F.col("tamanho_anterior").cast("bigint"),
+                          (F.col("mudou") == 0).alias("identica"), _joined(F.coalesce("novas", none)).alias("chaves_adicionadas"),
+                          _joined(F.coalesce("idas", none)).alias("chaves_removidas"))
+
+
 def _joined(arr: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(arr), lambda x: x.cast("string")), ",")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from acadlake.functions import constants as K
 from acadlake.plans import products as P
 from acadlake.plans.oracle_sql import (ci, course_map_cte, email_ok, exam_labels_case,
@@ -261,6 +263,24 @@ def q_committee_members(spark, sf):
     return P.committee(domain(spark, sf))[1]
 
 
+# the sheet with a course name that is too long in every third course: its members have no course to belong to
+_LONG_SHEET = """long_sheet AS (SELECT linha, codigoCurso || CASE WHEN TRY_CAST(codigoCurso AS BIGINT) % 3 = 0
+    THEN repeat('x', 30) ELSE '' END AS codigoCurso, nomeCurso, Coordenador, emailCoordenador, nomeMembro, emailMembro FROM committee_sheet)"""
+
+
+@register("committee_orphans", with_views(f"""
+SELECT DISTINCT g.code AS codigoCurso, {trunc('h.nomeMembro', 100)} AS nomeMembro, {trunc('h.emailMembro', 100)} AS emailMembro, 'S' AS status
+FROM osh2 h JOIN ocg g ON g.chave = h.chave WHERE h.nomeMembro IS NOT NULL AND g.code NOT IN (SELECT codigoCurso FROM occ)""",
+    _LONG_SHEET, *committee_ctes("o", "long_sheet")))
+def q_committee_orphans(spark, sf):
+    """Members that are not loaded, since their course was refused."""
+    d = domain(spark, sf)
+    code = F.col("codigoCurso")
+    sheet = d.committee_sheet.withColumn("codigoCurso", F.when(code.try_cast("bigint") % 3 == 0, F.concat(code, F.lit("x" * 30)))
+                                         .otherwise(code))
+    return P.committee_with_orphans(d, sheet)[2]
+
+
 @register("load_users_subjects", with_views(f"""
 SELECT DISTINCT {subject_code('disciplina', 'cn', 'cu')} AS codigoDisciplina, {trunc('lower(email)', 100)} AS emailUsuario
 FROM {unify_sql('rws', 'curso', blank_as='')} r WHERE {present('disciplina')} AND {present('cu')}""",

@@ -249,9 +249,32 @@ def q_formula_writeback(spark, sf):
     return table.read_load()
 
 
+# --------------------------------------------------------------------------- A1 by load
+
+SKETCHED = ["aluno", "turma", "disciplina"]
+
+
+@register("merged_profile", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS coluna, count(*) AS linhas, count({c}) AS preenchidas, count(DISTINCT {c}) AS distintos_exatos, true AS dentro_do_erro "
+    "FROM enrol WHERE ano >= 1996" for c in SKETCHED)))
+def q_merged_profile(spark, sf):
+    """A1/A5: sketches stored by load (a year each), merged for a range of loads; the estimate keeps its stated error."""
+    e = domain(spark, sf).enrol
+    path = scratch_path(spark, "sketches")
+    A.sketches(e, "ano", SKETCHED).write.parquet(path)
+    merged = A.merged_profile(spark.read.parquet(path).where("ano >= 1996"))
+    exact = A.profile(e.where("ano >= 1996"), SKETCHED)
+    exact = exact.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"distinct_{c}").alias("distintos_exatos"))
+                                             for c in SKETCHED])).alias("x")).select("x.*")
+    near = F.abs(F.col("distintos") - F.col("distintos_exatos")) <= F.lit(A.SKETCH_ERROR) * F.col("distintos_exatos")
+    return merged.join(exact, F.col("coluna") == F.col("c")).select(
+        "coluna", "linhas", "preenchidas", "distintos_exatos", near.alias("dentro_do_erro"))
+
+
 # --------------------------------------------------------------------------- Q8
 
 PAGE = 100
+_GONE = f"(event_type = 'error' AND (event_id // {PAGE}) % 7 = 0)"
 
 
 @register("snapshot_diff", with_views(f"""
@@ -269,8 +292,24 @@ def q_snapshot_diff(spark, sf):
     before = O.sequential_ids(e.select("event_id"), [F.col("event_id").asc()], "pos")
     now = O.sequential_ids(e.where(F.col("event_type") != "error").select("event_id"), [F.col("event_id").asc()], "pos")
     page = lambda df: df.withColumn("pagina", F.floor((F.col("pos") - 1) / PAGE).cast("bigint"))
-    return Q.snapshot_diff(Q.page_snapshot(page(now), "event_id", "pagina"),
-                           Q.page_snapshot(page(before), "event_id", "pagina"))
+    store = Q.SnapshotStore(spark, scratch_path(spark, "snapshot"))
+    store.save(page(before), "event_id", "pagina")
+    return store.compare(page(now), "event_id", "pagina")
+
+
+@register("snapshot_stability", with_views(f"""
+SELECT c.pagina, coalesce(n.k, 0) AS tamanho_atual, c.k AS tamanho_anterior, coalesce(n.k, 0) = c.k AS identica,
+  '' AS chaves_adicionadas, coalesce(g.r, '') AS chaves_removidas
+FROM (SELECT event_id // {PAGE} AS pagina, count(*) AS k FROM events GROUP BY 1) c
+LEFT JOIN (SELECT event_id // {PAGE} AS pagina, count(*) AS k FROM events WHERE NOT {_GONE} GROUP BY 1) n USING (pagina)
+LEFT JOIN (SELECT event_id // {PAGE} AS pagina, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS r
+           FROM events WHERE {_GONE} GROUP BY 1) g USING (pagina)"""))
+def q_snapshot_stability(spark, sf):
+    """Q8 on fixed pages: the errors of every seventh page are gone, so only these pages' keys are read again."""
+    e = domain(spark, sf).events.select("event_id", "event_type", F.floor(F.col("event_id") / PAGE).cast("bigint").alias("pagina"))
+    store = Q.SnapshotStore(spark, scratch_path(spark, "stability"))
+    store.save(e, "event_id", "pagina")
+    return store.compare(e.where(F.expr(f"NOT {_GONE.replace('//', 'DIV')}")), "event_id", "pagina")
 
 
 # --------------------------------------------------------------------------- Q9

@@ -416,7 +416,12 @@ def assessment_units_keyed(d: Domain) -> tuple[DataFrame, DataFrame]:
 # --------------------------------------------------------------------------- D16
 
 def committee(d: Domain, sheet: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Committee courses and members from the committee sheet.
+    """Committee courses and members from the committee sheet (see ``committee_with_orphans``)."""
+    return committee_with_orphans(d, sheet)[:2]
+
+
+def committee_with_orphans(d: Domain, sheet: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Committee courses, their members, and the members whose course was not loaded (J6 rejects).
 
     Courses keyed by code (or by name when the code is blank); coordinator name
     and mailbox are the first non-blank values in sheet order (A14); generated
@@ -456,5 +461,5 @@ def committee(d: Domain, sheet: DataFrame | None = None) -> tuple[DataFrame, Dat
         F.lit("S").alias("status"))
     courses = courses.where(R.is_text_within("codigoCurso", 30) & R.is_text_within("nomeCurso", 64))
     # Members are loaded only when their course exists among the loaded courses
-    members, _orphans = J.keep_with_parent(members, courses, ["codigoCurso"])
-    return courses, members
+    members, orphans = J.keep_with_parent(members, courses, ["codigoCurso"])
+    return courses, members, orphans
