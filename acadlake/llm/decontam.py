@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from acadlake.llm.folds import without
 from acadlake.llm.common import LOWER, UPPER, id_text, small_batches, table
 from acadlake.llm.words import utf8, word_blocks
 from acadlake.session import cut_lineage
@@ -349,13 +350,7 @@ def contaminated(out: str = "decontamination"):
 
 def without_spans(text, spans, least: int = WINDOW):
     """``text`` without the spans of at least ``least`` words."""
-    long_ = F.filter(spans, lambda s: s["words"] >= least)
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("kept"))
-    step = lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["kept"], F.array(
-        F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")))).alias("kept"))
-    end = lambda acc: F.concat(F.array_join(acc["kept"], ""),
-                               F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-    return F.when(F.size(long_) > 0, F.aggregate(long_, begin, step, end)).otherwise(text)
+    return without(text, F.filter(spans, lambda s: s["words"] >= least))
 
 
 # ------------------------------------------------------------------------------------------ registered query

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acadlake.llm.common import table
+from acadlake.llm.folds import before, chunks, let, without
 from acadlake.session import cut_lineage
 
 FINDINGS = "array<struct<start:bigint,kind_no:int,kind:string,end:bigint>>"
@@ -58,7 +59,6 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
                                                      F.length(g).alias("own")))
     sizes = F.filter(sizes, lambda x: x["n"].isNotNull())
     none = F.lit(None).cast(FINDINGS)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(FINDINGS).alias("found"))
 
     def step(acc: Column, x: Column) -> Column:
         begin = acc["at"] + x["gap"]
@@ -68,7 +68,13 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
         found = F.when(x["own"] >= rule.least, F.concat(acc["found"], one)).otherwise(acc["found"])
         return F.struct(end.alias("at"), found.alias("found"))
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(sizes, start, step, lambda a: a["found"])).otherwise(none)
+    def found(parts: Column) -> Column:
+        lengths = F.transform(parts, lambda c: F.aggregate(c, F.lit(0).cast("bigint"), lambda a, x: a + x["gap"] + x["n"]))
+        return F.flatten(F.zip_with(parts, before(lengths, lambda a, x: a + x), lambda c, at: F.aggregate(
+            c, F.struct(at.alias("at"), F.array().cast(FINDINGS).alias("found")), step, lambda a: a["found"])))
+
+    spans = let(sizes, lambda own: let(chunks(own), found))
+    return F.when(text.rlike(rule.pattern), spans).otherwise(none)
 
 
 def scan_blobs(blobs: DataFrame, rules=RULES, version: str = RULE_VERSION) -> DataFrame:
@@ -110,19 +116,7 @@ def digest_spans(findings: Column) -> Column:
 
 def redact(text: Column, findings: Column, mark: str = "[SECRET]") -> Column:
     """``text`` with every finding (overlapping ones merged) replaced by ``mark``."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        inside = x["start"] < acc["at"]
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"),
-                        F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(gap, F.lit(mark)))).alias("out"))
-
-    def finish(acc: Column) -> Column:
-        rest = F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))
-        return F.concat(F.array_join(acc["out"], ""), rest)
-
-    return F.when(F.size(findings) > 0, F.aggregate(findings, start, step, finish)).otherwise(text)
+    return without(text, findings, mark)
 
 
 # ------------------------------------------------------------------------------------------ registered query
