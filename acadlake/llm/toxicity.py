@@ -103,7 +103,7 @@ class Lexicon:
 def fit_sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = FIT_ROWS) -> DataFrame:
     """(label, text) of at most ``rows`` labelled documents of each label; ``learn`` says which ids may be used.
 
-    Ids are chosen on the narrow tables, so texts are read once, for the chosen ids only.
+    An id that many rows have gives one text, the smallest, so the bound holds for rows too.  Ids are chosen on the narrow tables, so texts are read once, for the chosen ids only.
     """
     marks = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("label")).filter(learn)
@@ -114,7 +114,8 @@ def fit_sample(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = FI
     parts = [marks.filter((F.col("label") == v) & hashed_share(order, rows, held.get(v, 0)))
              .orderBy(order, "doc_id").limit(rows) for v in (0, 1)]
     chosen = cut_lineage(parts[0].unionByName(parts[1]), "tox-sample")
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return met.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text")).select("label", "text")
 
 
 def _patterns(text: str, table_: dict) -> tuple[set[str], int]:

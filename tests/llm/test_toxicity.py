@@ -42,6 +42,13 @@ def test_labels_of_held_out_rows_do_not_matter(spark, small):
     assert a == b
 
 
+def test_the_sample_is_bounded_by_rows(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(3000)] + [(i, "x") for i in range(2, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, toxic int")
+    got = toxicity.fit_sample(docs, labels, toxicity.F.lit(True), rows=10).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in got} == {0: 10, 1: 10}
+
+
 def test_edge_rows(spark, folder):
     docs = edge.with_clashes(edge.documents(spark))
     labels = spark.createDataFrame([(1, 1, 1), (1, 1, 1), (4, 0, 0), (77, 0, 1), (None, 1, 1), (2, 1, None)],
