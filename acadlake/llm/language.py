@@ -5,8 +5,8 @@ order.  A document's own most frequent n-grams are compared with each profile: a
 has at rank j costs abs(i - j), one that it lacks costs the profile's length.  The language with the least sum is
 predicted (ties: the smaller name); the score is 1 minus that sum over the largest possible sum.
 
-Profiles are counted on at most ``FIT_ROWS`` texts of each language (those with the smallest hashes of their id);
-every document is scored on its whole text, a piece at a time, so memory does not grow with the text.
+Profiles are counted on at most ``FIT_ROWS`` texts of each language (those with the smallest hashes of their id, one
+text an id, the smallest); every document is scored on its whole text, a piece at a time, so memory does not grow with the text.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and so is every text if nothing could
 be learned; null languages teach nothing; repeated rows are scored one by one; other columns are kept.
@@ -15,6 +15,7 @@ be learned; null languages teach nothing; repeated rows are scored one by one; o
 from __future__ import annotations
 
 import re
+import sys
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,9 @@ FIT_ROWS = 2000
 PIECE = 1 << 18          # characters that are counted at once
 UNKNOWN = "und"
 
-_NO_LETTER = re.compile(r"[\W\d_]+")
+# word characters that are not letters: numerals such as superscripts, fractions and enclosed numbers
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_NO_LETTER = re.compile(rf"[\W\d_{_NUMERALS}]+")
 
 
 def grams(text: str):
@@ -95,16 +98,17 @@ def learn_profiles(docs: DataFrame, learn: Column, rows: int = FIT_ROWS, size: i
     """``docs`` (doc_id, text, lang); ``learn`` says which rows may be used.  ``size`` codes a language come back."""
     spark = docs.sparkSession
     small_batches(spark)
-    known = docs.filter(learn & F.col("lang").isNotNull()).select("doc_id", "lang")
+    known = docs.filter(learn & F.col("lang").isNotNull()).select("doc_id", "lang").distinct()
     held = known.groupBy("lang").agg(F.count("*").alias("n"))
     key = F.xxhash64(F.lit("language"), F.col("doc_id"))
     # about three times the rows that the sample of a language needs are ranked
     near = F.pmod(key, F.lit(1 << 30)) < F.least(F.lit(float(1 << 30)), F.lit(float(3 * rows << 30)) / F.col("n") + 1)
     order = W.partitionBy("lang").orderBy(key, "doc_id")
-    ids = (known.join(held, "lang").filter(near)
-           .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= rows).select("doc_id", "lang").distinct())
+    # one number a language, as the profiles are: rows are filtered where they are, whatever share a language has
+    ids = (known.join(F.broadcast(held), "lang").filter(near)
+           .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= rows).select("doc_id", "lang"))
     ids = cut_lineage(ids, "lang-sample")           # at most `rows` ids of each language
-    sample = docs.join(ids, ["doc_id", "lang"]).select("lang", "text")
+    sample = docs.join(ids, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).select("lang", "text")
 
     def count(batches):
         import numpy as np

@@ -41,6 +41,21 @@ def test_out_of_place_distance():
     assert p.predict("") == p.predict(None) == p.predict("1 2") == ("und", 0.0)
 
 
+def test_numerals_are_no_letters():
+    p = language.Profiles({"en": [code("a"), code(" a")]}, size=10)
+    for text in ("²", "½ ①", "③④", "٣", "_", "¼"):
+        assert p.predict(text) == ("und", 0.0), text
+    assert p.predict("a²")[0] == "en" and len(language.grams("一二")[0])
+
+
+def test_one_id_on_many_rows_is_one_text(spark):
+    rows = [(1, f"word {i}", "en") for i in range(300)] + [(i, "autre mot", "en") for i in range(2, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = language.learn_profiles(docs, language.F.lit(True), rows=10)
+    q = language.learn_profiles(docs.filter("doc_id > 1 OR text = 'word 0'"), language.F.lit(True), rows=10)
+    assert [x.tolist() for x in p.codes] == [x.tolist() for x in q.codes]
+
+
 def test_query_accuracy_on_held_out(spark, small):
     docs = {r.doc_id: r.lang for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     rows = language.op2_language_id(spark, small).collect()
