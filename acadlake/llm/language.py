@@ -31,15 +31,19 @@ PIECE = 1 << 18          # characters that are counted at once
 UNKNOWN = "und"
 
 # word characters that are not letters: numerals such as superscripts, fractions and enclosed numbers
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_NO_LETTER = re.compile(rf"[\W\d_{_NUMERALS}]+")
+_NUMERALS = {c for c in map(chr, range(sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()}
+_BLANKS = {ord(c): " " for c in _NUMERALS}
+_NO_LETTER = re.compile(r"[\W\d_]+")
 
 
 def grams(text: str):
     """Codes and counts of the 1- to 3-grams: three code points of 21 bits in one number."""
     import numpy as np
 
-    clean = f" {_NO_LETTER.sub(' ', text.lower()).strip()} "
+    text = text.lower()
+    if not text.isascii() and not _NUMERALS.isdisjoint(set(text)):      # few texts have any
+        text = text.translate(_BLANKS)
+    clean = f" {_NO_LETTER.sub(' ', text).strip()} "
     if len(clean) < 3:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     total = None
