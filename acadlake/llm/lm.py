@@ -23,6 +23,11 @@ weights so far and then moves them along the gradient.  Every
 document starts from the same weights, which are fitted on all training documents: in ``FIT_ROUNDS`` Newton rounds
 tasks add up each gate's gradient and curvature as whole numbers, so a score does not depend on partitions or order.
 
+One pass over the training texts counts every symbol in its contexts (token, topic, class; spelled byte, topic, two
+bytes before) into a written table, which grows with the corpus and holds each distinct one once.  The predictors'
+tables and all rounds of the fit are sums over that table, weighted by the counts.  Scoring goes through the texts of
+a group together, each with its own weights; a text above ``GROUP`` bytes is scored alone, a block of words at a time.
+
 The base score is exact: words beyond the ``TOP_WORDS`` meet the table of all training counts in an equi-join.
 
 Defined results: a null text is an empty one (its only token is the end); with no training texts every count is 0;
@@ -47,13 +52,18 @@ TOP_WORDS = 1 << 17
 TOPICS = 64
 SLOTS = 1 << 20          # entries of a hashed table
 CHUNK = 1 << 14          # counts of a table that travel in one row
-FIT_ROUNDS = 2           # passes over the training documents for the starting weights
-FIT_UNIT = 1 << 16       # a document's sums are added as whole numbers of 1 / FIT_UNIT
+FIT_ROUNDS = 2           # passes over the counted contexts for the starting weights
+FIT_UNIT = 1 << 16       # a row's sums are added as whole numbers of 1 / FIT_UNIT
 RIDGE = 1.0              # pull of the first weights, for gates that are seldom met
 RATE = 0.02             # for log-odds in units; weights are for sixteenths
 LEAST_BLOCK, BLOCK = 64, 1024    # decisions that are scored with the same weights: first, most
 END, ESCAPE, FIRST = 0, 1, 2
 GATES = 64
+GROUP = 1 << 17          # bytes of texts that are scored together
+HELD = 1 << 23           # symbols that a task holds before it counts them
+BUCKET_TOKENS = 1 << 21  # training tokens for each bucket of counted contexts
+ROW_KEYS = 1 << 17       # counted contexts in one row
+SPELLED = 1 << 60        # marks the contexts of a spelled byte
 BYTES = 256
 BLANK = 32               # ends a spelled word
 SPELLING = (BYTES, (FIRST + TOPICS) * BYTES * BYTES, BYTES ** 3)    # entries of the byte predictors' tables
@@ -118,57 +128,112 @@ class Coder:
         escaped = [words[i] for i in np.flatnonzero(ids == ESCAPE).tolist()]
         return (np.append(ids, np.int32(END)) if final else ids), escaped
 
-    def decisions(self, ids, topic: int, before: int):
-        """(node, slot 1, slot 2, bit) arrays, and the topic and class that the next block starts with."""
+    def contexts(self, ids, topic: int, before: int):
+        """Topic and class before each word, and those that the next block starts with."""
         import numpy as np
 
-        where = np.where((ids >= FIRST) & (ids < FIRST + TOPICS), np.arange(len(ids)), -1)
-        seen = np.maximum.accumulate(where)
-        topics = np.where(seen >= 0, ids[seen], topic).astype(np.uint32)
+        topics = _topics(ids, topic)
         classes = self.classes[ids]
-        topic_before = np.concatenate([[topic], topics[:-1]]).astype(np.uint32)
-        class_before = np.concatenate([[before], classes[:-1]]).astype(np.uint32)
-        node, bit, of = _paths(self.tree, ids)
-        one = _slot(node, topic_before[of], 0x9E3779B1)
-        two = _slot(node, class_before[of], 0x85EBCA77)
-        return (node, one, two, bit), int(topics[-1]), int(classes[-1])
+        return (np.concatenate([[topic], topics[:-1]]), np.concatenate([[before], classes[:-1]]),
+                int(topics[-1]), int(classes[-1]))
 
-    def spelling(self, ids, escaped: list[bytes], topic: int):
-        """(node, slot 1, slot 2, bit) arrays over the bytes of the escaped words, and the word of each decision."""
+    def steps(self, ids, topics, classes):
+        """(node, slot 1, slot 2, bit) arrays of tokens after a topic and a class, and each token's decisions."""
+        node, bit, n = _paths(self.tree, ids)
+        return (node, _slot(node, topics, n, 0x9E3779B1), _slot(node, classes, n, 0x85EBCA77), bit), n
+
+    def decisions(self, ids, topic: int, before: int):
+        """(node, slot 1, slot 2, bit) arrays, and the topic and class that the next block starts with."""
+        topics, classes, topic, before = self.contexts(ids, topic, before)
+        return self.steps(ids, topics, classes)[0], topic, before
+
+    def spelled(self, ids, escaped: list[bytes], topic: int):
+        """Bytes of the escaped words, the topic and the two bytes before each, and its word."""
         import numpy as np
 
-        where = np.where((ids >= FIRST) & (ids < FIRST + TOPICS), np.arange(len(ids)), -1)
-        seen = np.maximum.accumulate(where)
-        topics = np.concatenate([[topic], np.where(seen >= 0, ids[seen], topic)[:-1]])[ids == ESCAPE]
+        topics = np.concatenate([[topic], _topics(ids, topic)[:-1]])[ids == ESCAPE]
         data = np.frombuffer(b" ".join(escaped) + b" ", np.uint8).astype(np.int32)
         word = np.repeat(np.arange(len(escaped)), np.fromiter(map(len, escaped), np.int64, len(escaped)) + 1)
         prev = np.concatenate([[BLANK], data[:-1]])
         prev2 = np.where(prev == BLANK, BLANK, np.concatenate([[BLANK, BLANK], data[:-2]])[:len(data)])
-        node, bit, of = _paths(self.byte_tree, data)
-        one = (topics[word] * BYTES + prev)[of] * BYTES + node
-        two = (prev2 * BYTES + prev)[of] * BYTES + node
-        return (node, one.astype(np.int32), two.astype(np.int32), bit), word[of]
+        return data, topics[word], prev, prev2, word
+
+    def byte_steps(self, data, topics, prev, prev2):
+        """(node, slot 1, slot 2, bit) arrays of spelled bytes, and each byte's decisions."""
+        import numpy as np
+
+        node, bit, n = _paths(self.byte_tree, data)
+        one = np.repeat((topics * BYTES + prev) * BYTES, n) + node
+        two = np.repeat((prev2 * BYTES + prev) * BYTES, n) + node
+        return (node, one.astype(np.int32), two.astype(np.int32), bit), n
+
+    def spelling(self, ids, escaped: list[bytes], topic: int):
+        """(node, slot 1, slot 2, bit) arrays over the bytes of the escaped words, and the word of each decision."""
+        import numpy as np
+
+        *symbols, word = self.spelled(ids, escaped, topic)
+        steps, n = self.byte_steps(*symbols)
+        return steps, np.repeat(word, n)
+
+    def group(self, texts: list[bytes]):
+        """Ids of the tokens of whole texts one after another, the place of each text's first token (and the end),
+        topic and class before each token, and the escaped words of each text."""
+        import numpy as np
+
+        words, ends = [], np.zeros(len(texts) + 1, np.int64)
+        for i, text in enumerate(texts, 1):
+            words += text.lower().split()
+            ends[i] = len(words)
+        plain = np.fromiter(map(self.index.get, words, repeat(ESCAPE)), np.int32, len(words))
+        at = np.flatnonzero(plain == ESCAPE)
+        cut = np.searchsorted(at, ends).tolist()
+        at = at.tolist()
+        escaped = [[words[i] for i in at[a:b]] for a, b in zip(cut, cut[1:])]
+        ids = np.insert(plain, ends[1:], END)
+        starts = ends + np.arange(len(ends))
+        first = np.repeat(starts[:-1], np.diff(starts))
+        topics = np.zeros(len(ids), np.int64)
+        classes = np.zeros(len(ids), np.uint32)
+        if len(ids):
+            seen = np.maximum.accumulate(np.where((ids >= FIRST) & (ids < FIRST + TOPICS), np.arange(len(ids)), -1))
+            seen[1:] = seen[:-1]
+            seen[0] = -1
+            topics = np.where(seen >= first, ids[seen], 0)
+            classes[1:] = self.classes[ids[:-1]]
+            classes[starts[:-1]] = 0
+        return ids, starts, topics, classes, escaped
+
+
+def _topics(ids, topic: int):
+    """The last frequent word up to each token."""
+    import numpy as np
+
+    where = np.where((ids >= FIRST) & (ids < FIRST + TOPICS), np.arange(len(ids)), -1)
+    seen = np.maximum.accumulate(where)
+    return np.where(seen >= 0, ids[seen], topic)
 
 
 def _paths(tree, ids):
-    """Concatenated code paths of the symbols: nodes, bits, and the symbol's position for each step."""
+    """Concatenated code paths of the symbols: nodes, bits, and the number of steps of each symbol."""
     import numpy as np
 
     nodes, bits, offsets, lengths, _ = tree
     n = lengths[ids]
-    of = np.repeat(np.arange(len(ids), dtype=np.int32), n)
-    start = np.cumsum(n, dtype=np.int32) - n
-    at = (offsets[ids] - start)[of] + np.arange(len(of), dtype=np.int32)
-    return nodes[at], bits[at], of
+    at = np.repeat(offsets[ids] - (np.cumsum(n, dtype=np.int32) - n), n)
+    at += np.arange(len(at), dtype=np.int32)
+    return nodes[at], bits[at], n
 
 
-def _slot(node, context, seed: int):
+def _slot(node, context, n, seed: int):
+    """Hash of each node and the context of its symbol, which has ``n`` nodes."""
     import numpy as np
 
-    h = node.astype(np.uint32) * np.uint32(0x2C1B3C6D) + (context + np.uint32(1)) * np.uint32(seed)
+    h = np.repeat((context.astype(np.uint32) + np.uint32(1)) * np.uint32(seed), n)
+    h += node.astype(np.uint32) * np.uint32(0x2C1B3C6D)
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x297A2D39)
-    return (h >> np.uint32(32 - (SLOTS.bit_length() - 1))).astype(np.int32)
+    h >>= np.uint32(32 - (SLOTS.bit_length() - 1))
+    return h.view(np.int32)
 
 
 def text_decisions(coder: Coder, text: bytes):
@@ -177,20 +242,27 @@ def text_decisions(coder: Coder, text: bytes):
         yield steps, ids, escaped
 
 
-def _text_blocks(coder: Coder, text: bytes):
-    """The same with the topic before the block."""
-    topic, before, blocks = 0, 0, word_blocks(text.lower())
+def _token_blocks(coder: Coder, text: bytes):
+    """Ids of a block of words (the last one with the end) and its escaped words."""
+    blocks = word_blocks(text.lower())
     words = next(blocks, [])
     while words is not None:
         after = next(blocks, None)
         ids, escaped = coder.tokens(words, after is None)
         if len(ids):
-            first = topic
-            steps, topic, before = coder.decisions(ids, topic, before)
-            yield steps, ids, escaped, first
+            yield ids, escaped
         words = after
 
 
+def _text_blocks(coder: Coder, text: bytes):
+    """The same with the topic before the block."""
+    topic, before = 0, 0
+    for ids, escaped in _token_blocks(coder, text):
+        first = topic
+        steps, topic, before = coder.decisions(ids, topic, before)
+        yield steps, ids, escaped, first
+
+
 # ---------------------------------------------------------------------------------------------- training counts
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -269,12 +341,12 @@ def _pack(counts, base: int):
     import numpy as np
 
     for at in range(0, len(counts), CHUNK):
-        part = counts[at:at + CHUNK].astype(np.uint32)
+        part = counts[at:at + CHUNK].astype(np.int64)
         used = np.flatnonzero(part)
         if len(used):
             dense = 2 * len(used) >= len(part)
             yield base + at // CHUNK, (b"d" + part.tobytes() if dense
-                                       else b"s" + used.astype(np.uint32).tobytes() + part[used].tobytes())
+                                       else b"s" + used.astype(np.int64).tobytes() + part[used].tobytes())
 
 
 def _pack_few(places, counts, base: int):
@@ -284,13 +356,13 @@ def _pack_few(places, counts, base: int):
     cuts = np.flatnonzero(np.diff(places // CHUNK)) + 1
     for at, n in zip(np.split(places, cuts), np.split(counts, cuts)):
         if len(at):
-            yield base + int(at[0]) // CHUNK, b"s" + (at % CHUNK).astype(np.uint32).tobytes() + n.astype(np.uint32).tobytes()
+            yield base + int(at[0]) // CHUNK, b"s" + (at % CHUNK).astype(np.int64).tobytes() + n.astype(np.int64).tobytes()
 
 
 def _unpack(data: bytes, into) -> None:
     import numpy as np
 
-    values = np.frombuffer(data, np.uint32, offset=1)
+    values = np.frombuffer(data[1:], np.int64)
     if data[:1] == b"d":
         into[:len(values)] += values
     else:
@@ -328,7 +400,7 @@ def _sum_chunks(parts: DataFrame, keys: list[str], out: str, finish) -> DataFram
 def _dense(total) -> bytes:
     import numpy as np
 
-    return b"d" + total.astype(np.uint32).tobytes()
+    return b"d" + total.astype(np.int64).tobytes()
 
 
 def _odds(total) -> bytes:
@@ -366,11 +438,153 @@ class Tables:
         return out, base
 
 
-def train_tables(docs: DataFrame, coder: Coder) -> Tables:
-    """Counts of every decision of every training text, added up in two levels, so that no task gets one row per task
-    of a large input; only the reduced tables (a few MB, fixed) reach the driver."""
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(coder)
+def _added(keys, counts):
+    """Distinct keys in order and the sums of their counts."""
+    import numpy as np
+
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(counts[order], first)
+
+
+def _pack_keys(keys, counts) -> bytes:
+    """Keys in order, as differences, and their counts."""
+    import numpy as np
+
+    return np.diff(keys, prepend=0).astype(np.int64).tobytes() + counts.astype(np.int64).tobytes()
+
+
+def _unpack_keys(data: bytes):
+    import numpy as np
+
+    values = np.frombuffer(data, np.int64)
+    return np.cumsum(values[:len(values) // 2]), values[len(values) // 2:]
+
+
+def context_counts(docs: DataFrame, coder: Coder, tokens: int) -> DataFrame:
+    """(data) Every token with the topic and class before it, and every byte of an escaped word with the topic and the
+    two bytes before it, counted over all texts: each distinct one in one row, ``ROW_KEYS`` at most in a row.
+
+    Tasks count what they hold before the shuffle, so a hot context costs one entry a flush; buckets follow ``tokens``.
+    """
+    held, buckets = docs.sparkSession.sparkContext.broadcast(coder), max(1, tokens // BUCKET_TOKENS)
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        own, wait, waiting = held.value.ready(), [], 0
+
+        def flushed():
+            keys, counts = np.unique(np.concatenate(wait), return_counts=True)
+            bucket = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+            rows = [(int(bucket[part[0]]), _pack_keys(keys[part], counts[part])) for part in np.split(order, cuts)]
+            for at in range(0, len(rows), 64):
+                of, data = zip(*rows[at:at + 64])
+                yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array(data, pa.binary())], ["bucket", "data"])
+
+        def add(ids, topics, classes, escaped, topic):
+            keys = ids.astype(np.int64) << 17 | topics.astype(np.int64) << 10 | classes.astype(np.int64)
+            wait.append(keys)
+            if escaped:
+                data, topics, prev, prev2, _ = own.spelled(ids, escaped, topic)
+                wait.append(SPELLED | data.astype(np.int64) << 23 | topics.astype(np.int64) << 16 | prev << 8 | prev2)
+                return len(keys) + len(data)
+            return len(keys)
+
+        for batch in batches:
+            for texts in _groups([t or b"" for t in utf8(batch.column(0))]):
+                if len(texts[0]) > GROUP:
+                    topic, before = 0, 0
+                    for ids, escaped in _token_blocks(own, texts[0]):
+                        topics, classes, next_topic, before = own.contexts(ids, topic, before)
+                        waiting += add(ids, topics, classes, escaped, topic)
+                        topic = next_topic
+                        if waiting > HELD:
+                            yield from flushed()
+                            wait, waiting = [], 0
+                else:
+                    ids, starts, topics, classes, escaped = own.group(texts)
+                    waiting += add(ids, topics, classes, [], 0)
+                    for a, b, words in zip(starts[:-1].tolist(), starts[1:].tolist(), escaped):
+                        if words:
+                            data, topics_, prev, prev2, _ = own.spelled(ids[a:b], words, 0)
+                            wait.append(SPELLED | data.astype(np.int64) << 23 | topics_.astype(np.int64) << 16
+                                        | prev << 8 | prev2)
+                            waiting += len(data)
+                if waiting > HELD:
+                    yield from flushed()
+                    wait, waiting = [], 0
+        if waiting:
+            yield from flushed()
+
+    def merge(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        now, keys, counts, more, size = None, np.zeros(0, np.int64), np.zeros(0, np.int64), [], 0
+
+        def done():
+            for at in range(0, len(keys), ROW_KEYS):
+                data = _pack_keys(keys[at:at + ROW_KEYS], counts[at:at + ROW_KEYS])
+                yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["data"])
+
+        def joined():
+            parts = [(keys, counts), *more]
+            return _added(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+
+        for batch in batches:
+            for bucket, data in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                if bucket != now:
+                    keys, counts = joined()
+                    yield from done()
+                    now, keys, counts, more, size = bucket, keys[:0], counts[:0], [], 0
+                more.append(_unpack_keys(data))
+                size += len(more[-1][0])
+                if size > HELD:
+                    keys, counts = joined()
+                    more, size = [], 0
+        keys, counts = joined()
+        yield from done()
+
+    parts = docs.select("text").mapInArrow(count, "bucket bigint, data binary")
+    return parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "data binary")
+
+
+def _groups(texts: list[bytes]):
+    """Texts in order, about ``GROUP`` bytes at a time; a longer one stands alone."""
+    now, size = [], 0
+    for text in texts:
+        if now and size + len(text) > GROUP:
+            yield now
+            now, size = [], 0
+        now.append(text)
+        size += len(text)
+    if now:
+        yield now
+
+
+def _counted_steps(coder: Coder, data: bytes):
+    """Decisions of the counted tokens and of the counted bytes, each with the counts of its decisions."""
+    import numpy as np
+
+    keys, counts = _unpack_keys(data)
+    cut = int(np.searchsorted(keys, SPELLED))
+    word, byte = keys[:cut], keys[cut:]
+    steps, n = coder.steps(word >> 17, word >> 10 & 127, word & 1023)
+    spelled, m = coder.byte_steps(byte >> 23 & 255, byte >> 16 & 127, byte >> 8 & 255, byte & 255)
+    return (steps, np.repeat(counts[:cut], n)), (spelled, np.repeat(counts[cut:], m))
+
+
+def train_tables(counted: DataFrame, coder: Coder) -> Tables:
+    """Counts of every decision of every training text, from the counted contexts, added up in two levels, so that no
+    task gets one row per task of a large input; only the reduced tables (a few MB, fixed) reach the driver."""
+    held = counted.sparkSession.sparkContext.broadcast(coder)
 
     def run(batches):
         import numpy as np
@@ -380,39 +594,15 @@ def train_tables(docs: DataFrame, coder: Coder) -> Tables:
         own = held.value.ready()
         sizes = [own.nodes, SLOTS, SLOTS]
         sums = [np.zeros(2 * s, np.int64) for s in sizes]
-        wait: list[list] = [[], [], []]
         few = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * 3      # places and counts of the byte predictors
-        spelled: list[list] = [[], [], []]
-        waiting = 0
-
-        def add():
-            for k in range(3):
-                if wait[k]:
-                    sums[k] += np.bincount(np.concatenate(wait[k]), minlength=2 * sizes[k])
-                    wait[k].clear()
-                if spelled[k]:
-                    own_places, own_counts = np.unique(np.concatenate(spelled[k]), return_counts=True)
-                    places, at = np.unique(np.concatenate([few[k][0], own_places]), return_inverse=True)
-                    counts = np.zeros(len(places), np.int64)
-                    np.add.at(counts, at, np.concatenate([few[k][1], own_counts]))
-                    few[k] = places, counts
-                    spelled[k].clear()
-
         for batch in batches:
-            for text in utf8(batch.column(0)):
-                for (*slots, bit), ids, escaped, topic in _text_blocks(own, text or b""):
-                    for k, x in enumerate(slots):
-                        wait[k].append(2 * x + bit)
-                    waiting += len(bit)
-                    if escaped:
-                        (*slots, bit), _ = own.spelling(ids, escaped, topic)
-                        for k, x in enumerate(slots):
-                            spelled[k].append(2 * x + bit)
-                        waiting += len(bit)
-                    if waiting > 4_000_000:
-                        add()
-                        waiting = 0
-        add()
+            for data in utf8(batch.column(0)):
+                ((*slots, bit), times), ((*byte_slots, byte_bit), byte_times) = _counted_steps(own, data)
+                for k, x in enumerate(slots):       # whole numbers, exact in a double below 2^53
+                    sums[k] += np.bincount(2 * x + bit, times, 2 * sizes[k]).astype(np.int64)
+                for k, x in enumerate(byte_slots):
+                    places, counts = few[k]
+                    few[k] = _added(np.concatenate([places, 2 * x + byte_bit]), np.concatenate([counts, byte_times]))
         salt, base = TaskContext.get().partitionId() // 64, 0
         packed = []
         for k in range(3):
@@ -427,7 +617,7 @@ def train_tables(docs: DataFrame, coder: Coder) -> Tables:
                     [pa.array([chunk], pa.int64()), pa.array([salt], pa.int64()), pa.array([data], pa.binary())],
                     ["chunk", "salt", "data"])
 
-    parts = docs.select("text").mapInArrow(run, "chunk bigint, salt bigint, data binary")
+    parts = counted.select("data").mapInArrow(run, "chunk bigint, salt bigint, data binary")
     near = _sum_chunks(parts, ["chunk", "salt"], "data", _dense)
     rows = _sum_chunks(near, ["chunk"], "data", _odds).collect()
     return Tables(coder.nodes, {r.chunk: bytes(r.data) for r in rows})
@@ -475,8 +665,43 @@ def mix_block(tables: Tables, weights, steps, rate: float = RATE / 256, block: i
     return total / 2.302585092994046
 
 
-def fit_sums(tables, weights, steps, into) -> None:
-    """Adds the gradient (three rows) and the curvature (six rows) of each gate at fixed weights to ``into``."""
+def mix_many(tables: Tables, weights, steps, starts, rate: float = RATE / 256, block: int = LEAST_BLOCK):
+    """``mix_block`` of many texts at once, each from its own copy of ``weights``: log10 probability of the decisions
+    between two ``starts``.  Block by block, all texts that reach it go through the same array operations."""
+    import numpy as np
+
+    *slots, bit = steps
+    texts, sizes = len(starts) - 1, np.diff(starts)
+    codes = [np.take(t, s, mode="clip") for t, s in zip(tables.codes, slots)]
+    x = [(c & np.uint16(255)).astype(np.float32) - np.float32(128) for c in codes]
+    gates = (codes[1] >> np.uint16(8) << np.uint16(3) | codes[2] >> np.uint16(8)).astype(np.int32)
+    gates += np.repeat(np.arange(texts, dtype=np.int32) * GATES, sizes)
+    signs = bit * np.float32(2) - np.float32(1)
+    own = [np.tile(w, texts) for w in weights]
+    total, at = np.zeros(texts), 0
+    active = np.arange(texts)
+    while len(active := active[sizes[active] > at]):
+        n = np.minimum(sizes[active], at + block) - at
+        places = np.repeat(starts[active] + at - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        gate, sign, v = gates[places], signs[places], [a[places] for a in x]
+        z = own[0][gate] * v[0]
+        z += own[1][gate] * v[1]
+        z += own[2][gate] * v[2]
+        np.clip(z, -12, 12, out=z)
+        z *= sign
+        odds = np.exp(-z)                       # against the decision
+        total -= np.bincount(np.repeat(active, n), np.log(1 + odds), texts)
+        error = (sign * (odds / (1 + odds))).astype(np.float64)
+        used = np.sqrt(np.maximum(np.bincount(gate, minlength=texts * GATES), 1))
+        for k in range(3):
+            own[k] += (rate * np.bincount(gate, error * v[k], texts * GATES) / used).astype(np.float32)
+        at, block = at + block, min(BLOCK, 2 * block)
+    return total / 2.302585092994046
+
+
+def fit_sums(tables, weights, steps, into, times=None) -> None:
+    """Adds the gradient (three rows) and the curvature (six rows) of each gate at fixed weights to ``into``; a
+    decision counts ``times`` times."""
     import numpy as np
 
     *slots, bit = steps
@@ -488,6 +713,8 @@ def fit_sums(tables, weights, steps, into) -> None:
         z = sum(np.take(w, gate).astype(np.float64) * 16 * v for w, v in zip(weights, x))
         p = 1 / (1 + np.exp(-np.clip(z, -12, 12)))
         error, curve = bit[part] - p, p * (1 - p)
+        if times is not None:
+            error, curve = error * times[part], curve * times[part]
         sums = [error * v for v in x] + [curve * x[i] * x[j] for i in range(3) for j in range(i, 3)]
         for row, v in zip(into, sums):
             row += np.bincount(gate, v, GATES)
@@ -506,10 +733,15 @@ def newton_step(weights, sums):
 
 
 def fit_weights(docs: DataFrame, model: Model, rounds: int = FIT_ROUNDS) -> Model:
-    """Starting weights from all texts; 2 x 9 x ``GATES`` sums a round reach the driver."""
+    """Starting weights from all texts."""
+    return fit_counted(cut_lineage(context_counts(docs, model.coder, model.train_tokens), "lm-contexts"), model, rounds)
+
+
+def fit_counted(counted: DataFrame, model: Model, rounds: int = FIT_ROUNDS) -> Model:
+    """The same from their counted contexts; 2 x 9 x ``GATES`` sums a round reach the driver."""
     import numpy as np
 
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = counted.sparkSession.sparkContext.broadcast(model)
     for _ in range(rounds):
         weights = model.weights, model.spelling_weights
 
@@ -520,19 +752,19 @@ def fit_weights(docs: DataFrame, model: Model, rounds: int = FIT_ROUNDS) -> Mode
             own, total = held.value, np.zeros((2, 9, GATES), np.int64)
             coder = own.coder.ready()
             for batch in batches:
-                for text in utf8(batch.column(0)):
+                for data in utf8(batch.column(0)):
                     sums = np.zeros((2, 9, GATES))
-                    for steps, ids, escaped, topic in _text_blocks(coder, text or b""):
-                        fit_sums(own.tables.codes, weights[0], steps, sums[0])
-                        if escaped:
-                            fit_sums(own.tables.spelling, weights[1], coder.spelling(ids, escaped, topic)[0], sums[1])
+                    words, spelled = _counted_steps(coder, data)
+                    fit_sums(own.tables.codes, weights[0], words[0], sums[0], words[1])
+                    fit_sums(own.tables.spelling, weights[1], spelled[0], sums[1], spelled[1])
                     total += np.rint(sums * FIT_UNIT).astype(np.int64)
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total.ravel()[at], pa.int64())], ["at", "n"])
 
         sums = np.zeros(2 * 9 * GATES)
-        for r in docs.select("text").mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).collect():
-            sums[r.at] = r.n / FIT_UNIT
+        found = counted.select("data").mapInArrow(run, "at bigint, n bigint")
+        for r in found.groupBy("at").agg(F.sum(F.col("n").cast("decimal(38,0)")).alias("n")).collect():
+            sums[r.at] = float(r.n) / FIT_UNIT
         sums = sums.reshape(2, 9, GATES)
         model.weights, model.spelling_weights = (newton_step(w, s) for w, s in zip(weights, sums))
     held.destroy()
@@ -580,6 +812,30 @@ class Model:
         return score, n, known, base, left
 
 
+    def score_many(self, texts: list[bytes], spell: list[bool]):
+        """The same for each text, with the spelling of the words left (None if it is not asked for)."""
+        import numpy as np
+
+        coder, at = self.coder.ready(), 0
+        for group in _groups(texts):
+            asked = spell[at:at + len(group)]
+            at += len(group)
+            if len(group[0]) > GROUP:
+                bits = [] if asked[0] else None
+                yield *self.score(group[0], bits), bits
+                continue
+            ids, starts, topics, classes, escaped = coder.group(group)
+            steps, n = coder.steps(ids, topics, classes)
+            scores = mix_many(self.tables, self.weights, steps, np.concatenate([[0], np.cumsum(n)])[starts])
+            sure = ids != ESCAPE
+            of = np.repeat(np.arange(len(group)), np.diff(starts))[sure]
+            base = np.bincount(of, self.base[ids[sure]], len(group))
+            known = np.bincount(of, minlength=len(group)) - (not self.known_end)
+            for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
+                bits = self._spell(self.spelling_weights.copy(), ids[a:b], escaped[i], 0) if asked[i] else None
+                yield float(scores[i]), b - a, int(known[i]), float(base[i]), escaped[i], bits
+
+
 def score_rows(docs: DataFrame, model: Model, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: row number, id, score and the words that still need their counts, with the bits of their
     spelling; a training document has no unknown word, so its words are not spelled."""
@@ -598,12 +854,11 @@ def score_rows(docs: DataFrame, model: Model, learn: Column, id_col: str = "doc_
         own, row = held.value, TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = [t or b"" for t in utf8(batch.column(1))]
-            bits = [None if of_training else [] for of_training in batch.column(2).to_pylist()]
-            got = [own.score(t, b) for t, b in zip(texts, bits)]
+            got = list(own.score_many(texts, [not of_training for of_training in batch.column(2).to_pylist()]))
             words = [Counter(g[4]) for g in got]
             spelling = [dict.fromkeys(w, 0.0) for w in words]
-            for total, g, b in zip(spelling, got, bits):
-                for word, own_bits in zip(g[4], b or []):
+            for total, g in zip(spelling, got):
+                for word, own_bits in zip(g[4], g[5] or []):
                     total[word] += own_bits
             yield pa.RecordBatch.from_arrays([
                 pa.array(range(row, row + len(got)), pa.int64()), batch.column(0),
@@ -631,8 +886,9 @@ def lm_scores(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col:
     ends = training.count()
     coder, escaped = build_coder(counts, ends, top)
     all_ = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    model = Model(coder, train_tables(training, coder), all_.n + ends, all_.v + (ends > 0))
-    model = fit_weights(training, model)
+    counted = cut_lineage(context_counts(training, coder, all_.n + ends), "lm-contexts")
+    model = Model(coder, train_tables(counted, coder), all_.n + ends, all_.v + (ends > 0))
+    model = fit_counted(counted, model)
 
     scored = cut_lineage(score_rows(docs, model, learn, id_col, text_col), "lm-scored")
     whole = float(model.train_tokens + model.distinct + 1)
