@@ -59,7 +59,7 @@ RATE = 0.02             # for log-odds in units; weights are for sixteenths
 LEAST_BLOCK, BLOCK = 64, 1024    # decisions that are scored with the same weights: first, most
 END, ESCAPE, FIRST = 0, 1, 2
 GATES = 64
-GROUP = 1 << 17          # bytes of texts that are scored together
+GROUP = 1 << 18          # bytes of texts that are scored together
 HELD = 1 << 23           # symbols that a task holds before it counts them
 BUCKET_TOKENS = 1 << 21  # training tokens for each bucket of counted contexts
 ROW_KEYS = 1 << 17       # counted contexts in one row
@@ -674,8 +674,8 @@ def mix_many(tables: Tables, weights, steps, starts, rate: float = RATE / 256, b
     texts, sizes = len(starts) - 1, np.diff(starts)
     codes = [np.take(t, s, mode="clip") for t, s in zip(tables.codes, slots)]
     x = [(c & np.uint16(255)).astype(np.float32) - np.float32(128) for c in codes]
-    gates = (codes[1] >> np.uint16(8) << np.uint16(3) | codes[2] >> np.uint16(8)).astype(np.int32)
-    gates += np.repeat(np.arange(texts, dtype=np.int32) * GATES, sizes)
+    gates = (codes[1] >> np.uint16(8) << np.uint16(3) | codes[2] >> np.uint16(8)).astype(np.intp)
+    gates += np.repeat(np.arange(texts) * GATES, sizes)
     signs = bit * np.float32(2) - np.float32(1)
     own = [np.tile(w, texts) for w in weights]
     total, at = np.zeros(texts), 0
@@ -683,10 +683,10 @@ def mix_many(tables: Tables, weights, steps, starts, rate: float = RATE / 256, b
     while len(active := active[sizes[active] > at]):
         n = np.minimum(sizes[active], at + block) - at
         places = np.repeat(starts[active] + at - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        gate, sign, v = gates[places], signs[places], [a[places] for a in x]
-        z = own[0][gate] * v[0]
-        z += own[1][gate] * v[1]
-        z += own[2][gate] * v[2]
+        gate, sign, *v = (np.take(a, places, mode="clip") for a in (gates, signs, *x))
+        z = np.take(own[0], gate, mode="clip") * v[0]
+        z += np.take(own[1], gate, mode="clip") * v[1]
+        z += np.take(own[2], gate, mode="clip") * v[2]
         np.clip(z, -12, 12, out=z)
         z *= sign
         odds = np.exp(-z)                       # against the decision
@@ -854,7 +854,10 @@ def score_rows(docs: DataFrame, model: Model, learn: Column, id_col: str = "doc_
         own, row = held.value, TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = [t or b"" for t in utf8(batch.column(1))]
-            got = list(own.score_many(texts, [not of_training for of_training in batch.column(2).to_pylist()]))
+            spell = [not of_training for of_training in batch.column(2).to_pylist()]
+            order = sorted(range(len(texts)), key=lambda i: len(texts[i]))     # a group's texts end at about one block
+            found = own.score_many([texts[i] for i in order], [spell[i] for i in order])
+            got = [g for _, g in sorted(zip(order, found), key=lambda pair: pair[0])]
             words = [Counter(g[4]) for g in got]
             spelling = [dict.fromkeys(w, 0.0) for w in words]
             for total, g in zip(spelling, got):
