@@ -60,7 +60,7 @@ LEAST_BLOCK, BLOCK = 64, 1024    # decisions that are scored with the same weigh
 END, ESCAPE, FIRST = 0, 1, 2
 GATES = 64
 GROUP = 1 << 18          # bytes of texts that are scored together
-HELD = 1 << 23           # symbols that a task holds before it counts them
+HELD = 1 << 22           # symbols that a task holds before it counts them
 BUCKET_TOKENS = 1 << 21  # training tokens for each bucket of counted contexts
 ROW_KEYS = 1 << 17       # counted contexts in one row
 SPELLED = 1 << 60        # marks the contexts of a spelled byte
@@ -673,25 +673,24 @@ def mix_many(tables: Tables, weights, steps, starts, rate: float = RATE / 256, b
     *slots, bit = steps
     texts, sizes = len(starts) - 1, np.diff(starts)
     codes = [np.take(t, s, mode="clip") for t, s in zip(tables.codes, slots)]
-    x = [(c & np.uint16(255)).astype(np.float32) - np.float32(128) for c in codes]
+    signs = bit * np.float32(2) - np.float32(1)
+    x = [((c & np.uint16(255)).astype(np.float32) - np.float32(128)) * signs for c in codes]    # for the decision
     gates = (codes[1] >> np.uint16(8) << np.uint16(3) | codes[2] >> np.uint16(8)).astype(np.intp)
     gates += np.repeat(np.arange(texts) * GATES, sizes)
-    signs = bit * np.float32(2) - np.float32(1)
     own = [np.tile(w, texts) for w in weights]
     total, at = np.zeros(texts), 0
     active = np.arange(texts)
     while len(active := active[sizes[active] > at]):
         n = np.minimum(sizes[active], at + block) - at
         places = np.repeat(starts[active] + at - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        gate, sign, *v = (np.take(a, places, mode="clip") for a in (gates, signs, *x))
+        gate, *v = (np.take(a, places, mode="clip") for a in (gates, *x))
         z = np.take(own[0], gate, mode="clip") * v[0]
         z += np.take(own[1], gate, mode="clip") * v[1]
         z += np.take(own[2], gate, mode="clip") * v[2]
         np.clip(z, -12, 12, out=z)
-        z *= sign
         odds = np.exp(-z)                       # against the decision
         total -= np.bincount(np.repeat(active, n), np.log(1 + odds), texts)
-        error = (sign * (odds / (1 + odds))).astype(np.float64)
+        error = (odds / (1 + odds)).astype(np.float64)
         used = np.sqrt(np.maximum(np.bincount(gate, minlength=texts * GATES), 1))
         for k in range(3):
             own[k] += (rate * np.bincount(gate, error * v[k], texts * GATES) / used).astype(np.float32)

@@ -229,3 +229,81 @@ def test_starting_weights_are_fitted_on_all_documents(spark):
                    for steps, _, _ in lm.text_decisions(coder, t))
 
     assert total(one.weights) > total(lm.starting_weights())
+
+
+def small_model(texts):
+    import numpy as np
+    c = Counter(w for t in texts for w in t.lower().split())
+    words = sorted(((w, n) for w, n in c.items() if n > 1), key=lambda x: (-x[1], x[0]))
+    coder = lm.Coder(words, len(texts), sum(n == 1 for n in c.values())).ready()
+    model = lm.Model(coder, lm.Tables(coder.nodes, {}), sum(c.values()) + len(texts), len(c) + 1)
+    for codes in (*model.tables.codes, *model.tables.spelling):
+        rng = np.random.default_rng(len(codes))
+        codes[:] = rng.integers(60, 196, len(codes)) | rng.integers(0, 8, len(codes)) << 8
+    return model
+
+
+def some_texts(n, seed=21):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(150)]
+    return [b"", b" \n", *(" ".join(rng.choices(words, range(150, 0, -1), k=rng.choice([1, 5, 60, 700]))).encode() for _ in range(n)),
+            b"Only once", b"W1 w1 W1 w1"]
+
+
+def test_texts_of_a_group_score_as_if_alone(monkeypatch):
+    texts = some_texts(60)
+    model = small_model(texts[::2])
+    alone = []
+    for text in texts:
+        bits = []
+        alone.append((*model.score(text, bits), bits))
+    for group in (1 << 18, 3000, 100):      # with the smallest most texts are long ones
+        monkeypatch.setattr(lm, "GROUP", group)
+        for got, want in zip(model.score_many(texts, [True] * len(texts)), alone, strict=True):
+            assert math.isclose(got[0], want[0], rel_tol=1e-12) and math.isclose(got[3], want[3], rel_tol=1e-9)
+            assert got[1:3] == want[1:3] and got[4:] == want[4:]
+
+
+def plain_contexts(coder, texts):
+    """Symbols in their contexts, counted token by token."""
+    out = Counter()
+    for text in texts:
+        topic = before = 0
+        for word in [*text.lower().split(), None]:
+            i = lm.END if word is None else coder.index.get(word, lm.ESCAPE)
+            out[i << 17 | topic << 10 | before] += 1
+            if i == lm.ESCAPE:
+                prev2 = prev = 32
+                for byte in word + b" ":
+                    out[1 << 60 | byte << 23 | topic << 16 | prev << 8 | prev2] += 1
+                    prev2, prev = (32 if byte == 32 else prev), byte
+            if lm.FIRST <= i < lm.FIRST + lm.TOPICS:
+                topic = i
+            before = int(coder.classes[i])
+    return out
+
+
+def test_contexts_and_tables_equal_plain_counts(spark, monkeypatch):
+    import numpy as np
+    texts = some_texts(80, 5)
+    coder = small_model(texts[::2]).coder
+    texts.append(b" ".join(random.Random(8).choices(texts[7].split() + [b"rare"], k=lm.GROUP // 2)))    # goes alone
+    assert len(texts[-1]) > lm.GROUP
+    df = spark.createDataFrame([(t.decode(),) for t in texts], "text string")
+    want = plain_contexts(coder, texts)
+    for parts, held, tokens in ((1, 1 << 22, 10), (5, 500, 50 << 21)):
+        monkeypatch.setattr(lm, "HELD", held)
+        counted = lm.context_counts(df.repartition(parts), coder, tokens)
+        got = [lm._unpack_keys(bytes(r.data)) for r in counted.collect()]
+        pairs = [(k, n) for keys, counts in got for k, n in zip(keys.tolist(), counts.tolist())]
+        assert len(pairs) == len(want) and dict(pairs) == want
+    tables = lm.train_tables(counted, coder)
+    counts = [np.zeros((s, 2), np.int64) for s in (coder.nodes, lm.SLOTS, lm.SLOTS)]
+    for text in texts:
+        for (*slots, bit), _, _ in lm.text_decisions(coder, text):
+            for c, s in zip(counts, slots):
+                np.add.at(c, (s, bit), 1)
+    for c, codes in zip(counts, tables.codes):
+        odds = np.clip(np.rint(16 * np.log((c[:, 1] + 0.4) / (c[:, 0] + 0.4))), -127, 127).astype(int) + 128
+        sure = np.minimum(7, np.log2(c.sum(1) + 1) / 1.5).astype(int)
+        assert (codes[:len(c)] == odds + 256 * sure).all()
