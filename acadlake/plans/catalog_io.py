@@ -164,11 +164,14 @@ _FEED_ROWS = f"""SELECT aluno || ';' || {q(K.FEED_CLASS_SUBJECT_ID)} || ';' || {
   || ';;;' || {q(K.FEED_ENROLMENT_STATUS_ID)} || ';;' AS linha FROM student WHERE unidade_ensino = '002' AND lower(sit_aluno) = 'ativo'"""
 
 
-@register("csv_feed", with_views(f"SELECT {q(';'.join(K.FEED_COLUMNS))} AS linha UNION ALL {_FEED_ROWS}"))
+@register("csv_feed", with_views(
+    f"SELECT 1 AS n, {q(';'.join(K.FEED_COLUMNS))} AS linha UNION ALL "
+    f"SELECT 1 + row_number() OVER (ORDER BY split_part(linha, ';', {K.FEED_COLUMNS.index('externalEnrollmentId') + 1}), linha), linha "
+    f"FROM ({_FEED_ROWS}) x"))
 def q_csv_feed(spark, sf):
     path = scratch_path(spark, "feed_csv")
     KS.write_csv_feed(WL.enrol_feed(domain(spark, sf)), path, K.FEED_COLUMNS, order=["externalEnrollmentId"])
-    return spark.read.text(path).select(F.col("value").alias("linha"))
+    return KS.read_document(spark, path)
 
 
 REPORT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
@@ -196,17 +199,20 @@ _HEAD = "".join(f"<th>{label}</th>" for _, label in HTML_COLS)
 
 
 @register("html_report", with_views(f"""
-SELECT '<html><head><meta charset="utf-8"><title>Relatório de Contatos</title></head><body><h1>Relatório de Contatos</h1>' AS linha
-UNION ALL SELECT '</body></html>'
-UNION ALL SELECT '<h2>' || {_esc('g')} || ' (' || CAST(count(*) AS VARCHAR) || ')</h2><table><tr>{_HEAD}</tr>' FROM cr GROUP BY g
-UNION ALL SELECT '</table>' FROM cr GROUP BY g
-UNION ALL SELECT '<tr>' || {' || '.join("'<td>' || " + _esc(c) + " || '</td>'" for c, _ in HTML_COLS)} || '</tr>' FROM cr""",
+SELECT row_number() OVER (ORDER BY k, g NULLS FIRST, p NULLS FIRST, nome NULLS FIRST, cod NULLS FIRST, linha) AS n, linha FROM (
+SELECT 0 AS k, NULL AS g, NULL AS p, NULL AS nome, NULL AS cod,
+  '<html><head><meta charset="utf-8"><title>Relatório de Contatos</title></head><body><h1>Relatório de Contatos</h1>' AS linha
+UNION ALL SELECT 2, NULL, NULL, NULL, NULL, '</body></html>'
+UNION ALL SELECT 1, g, 0, NULL, NULL, '<h2>' || {_esc('g')} || ' (' || CAST(count(*) AS VARCHAR) || ')</h2><table><tr>{_HEAD}</tr>' FROM cr GROUP BY g
+UNION ALL SELECT 1, g, 2, NULL, NULL, '</table>' FROM cr GROUP BY g
+UNION ALL SELECT 1, g, 1, CAST(nome_aluno AS VARCHAR), CAST(cod_aluno AS VARCHAR),
+  '<tr>' || {' || '.join("'<td>' || " + _esc(c) + " || '</td>'" for c, _ in HTML_COLS)} || '</tr>' FROM cr) x""",
     f"cr AS (SELECT *, coalesce(nome_curso, '') AS g FROM {'(' + PRODUCT_ORACLES['contact_report'] + ')'} x)"))
 def q_html_report(spark, sf):
     path = scratch_path(spark, "report_html")
     rows = P.contact_report(domain(spark, sf))
     KS.write_lines(KS.html_report_lines(rows, "nome_curso", HTML_COLS, ["nome_aluno", "cod_aluno"]), path)
-    return spark.read.text(path).select(F.col("value").alias("linha"))
+    return KS.read_document(spark, path)
 
 
 def _sheet_sql(table: str, alias: str) -> str:
@@ -230,14 +236,9 @@ def q_load_sheets(spark, sf):
     tables["imp_999_desconhecida"] = d.course            # not a contract: skipped and reported (K5)
     lines, skipped = KS.export_tables(tables)
     assert skipped == ["imp_999_desconhecida"]
-    lines = KS.number_lines(lines, ["__k", "linha"])
     path = scratch_path(spark, "load_sheets")
-    out = lines.select("tabela", F.lpad(F.col("n").cast("string"), 12, "0").alias("n"), "linha")
-    out = out.repartitionByRange("tabela", "n").sortWithinPartitions("tabela", "n")
-    out.select("tabela", F.concat_ws("\t", "n", "linha").alias("value")).write.mode("overwrite").partitionBy("tabela").text(path)
-    back = spark.read.schema("value string, tabela string").text(path)
-    return back.select("tabela", F.substring_index("value", "\t", 1).cast("bigint").alias("n"),
-                       F.expr("substring(value, 14)").alias("linha"))
+    KS.write_lines(lines, path, "tabela")
+    return KS.read_document(spark, path, "tabela")
 
 
 def _insert_sql(table: str, alias: str) -> str:
@@ -253,7 +254,9 @@ def _insert_sql(table: str, alias: str) -> str:
 def q_insert_script(spark, sf):
     d = domain(spark, sf)
     lines = KS.insert_script({t: produced(d, t).select(*C.CONTRACTS[t].columns) for t, _, _ in PRODUCED})
-    return KS.number_lines(lines, ["__k", "linha"]).select("tabela", "n", "linha")
+    path = scratch_path(spark, "insert_script")
+    KS.write_lines(lines, path, "tabela")
+    return KS.read_document(spark, path, "tabela")
 
 
 @register("run_log_json", with_views("""

@@ -87,10 +87,12 @@ def q_course_totals(spark, sf):
 
 
 @register("student_report", with_views("""
-SELECT a.aluno AS matricula, a.nome_compl AS nome, p.cpf, p.e_mail AS email, c.nome AS curso_nome, a.sit_aluno AS situacao
-FROM student a LEFT JOIN person p ON a.pessoa = p.pessoa LEFT JOIN course c ON a.curso = c.curso"""))
+SELECT *, row_number() OVER (ORDER BY curso_nome NULLS FIRST, nome NULLS FIRST, matricula NULLS FIRST, cpf NULLS FIRST,
+  email NULLS FIRST, situacao NULLS FIRST) AS ordem
+FROM (SELECT a.aluno AS matricula, a.nome_compl AS nome, p.cpf, p.e_mail AS email, c.nome AS curso_nome, a.sit_aluno AS situacao
+  FROM student a LEFT JOIN person p ON a.pessoa = p.pessoa LEFT JOIN course c ON a.curso = c.curso) x"""))
 def q_student_report(spark, sf):
-    return P.student_report(domain(spark, sf))
+    return P.numbered_student_report(domain(spark, sf))
 
 
 @register("contact_report", with_views(f"""

@@ -122,6 +122,13 @@ def student_report(d: Domain) -> DataFrame:
             .orderBy(F.col("curso_nome").asc_nulls_first(), F.col("nome").asc_nulls_first()))
 
 
+def numbered_student_report(d: Domain) -> DataFrame:
+    """D4/O1 with its order as column ``ordem`` (W2): course name, student name, then the other columns."""
+    report = student_report(d)
+    order = ["curso_nome", "nome", *[c for c in report.columns if c not in ("curso_nome", "nome")]]
+    return O.sequential_ids(report, [F.col(c).asc_nulls_first() for c in order], "ordem")
+
+
 def contact_report(d: Domain, years=None, semesters=None, unit: str | None = "001", course: str | None = None,
                    intake_years=None, intake_semesters=None) -> DataFrame:
     """One row per student at the latest enrolment (W3), optional filters (P6), NULL -> ''."""
