@@ -84,6 +84,14 @@ def q_paged_landing(spark, sf):
     return rows.select("event_id", "user_id", "event_type", "valor", "momento", "canal")
 
 
+@register("paged_source_scan", with_views(_EVENTS_ORACLE))
+def q_paged_source_scan(spark, sf):
+    """S1 through the ``paged`` data source."""
+    rows = L.read_source_pages(spark, _land(spark, domain(spark, sf)), API_EVENT)
+    rows = L.rename_fields(rows, RENAMES, fallbacks={"event_type": ["tipoPref", "eventType"]})
+    return rows.select("event_id", "user_id", "event_type", "valor", "momento", "canal")
+
+
 SHEET_NAMES = ["codigoCurso", "nomeCurso", "Coordenador", "emailCoordenador", "nomeMembro", "emailMembro"]
 
 
@@ -324,6 +332,16 @@ def q_paged_stream(spark, sf):
     return _stream_rows(load.result())
 
 
+@register("paged_source_stream", with_views(STREAM_ORACLE))
+def q_paged_source_stream(spark, sf):
+    """T1 through the ``paged`` data source: a few bounded batches, then a second run that finds nothing new."""
+    d = domain(spark, sf)
+    load = _loader(spark, _land(spark, d), "source-target")
+    load.run_in_order(pages_per_batch=d.events.count() // PAGE_SIZE // 4 + 1)
+    load.run_in_order()
+    return _stream_rows(load.result())
+
+
 @register("paged_reset", with_views(STREAM_ORACLE))
 def q_paged_reset(spark, sf):
     """The source changes between two loads; after a reset nothing of the first one is left, for any process."""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acadlake.operators import ordering as O
+from acadlake.sources.paged_source import BODY_COL, scan_pages
 
 PAGE_COL = "pagina"
 RANGE_COL = "faixa"
@@ -60,25 +61,38 @@ def land_pages(df: DataFrame, root: str, order: list, page_size: int = 100, bare
     return n_pages
 
 
+def parse_pages(pages: DataFrame, schema: T.StructType, body: str = "body") -> DataFrame:
+    """(page number, body, ...) -> the body column becomes ``data``, its records (envelope or bare list)."""
+    env = T.StructType([T.StructField("data", T.ArrayType(schema))])
+    data = F.when(F.ltrim(body).startswith("["), F.from_json(body, T.ArrayType(schema))).otherwise(F.from_json(body, env)["data"])
+    return pages.select(*[c for c in pages.columns if c != body], data.alias("data"))
+
+
 def split_pages(lines: DataFrame, schema: T.StructType, *more) -> DataFrame:
     """Landing lines -> (page number, records); ``more`` columns are taken from the line."""
     at = F.locate("\t", F.col("value"))
     body = F.expr("substring(value, locate('\t', value) + 1)")
-    env = T.StructType([T.StructField("data", T.ArrayType(schema))])
-    lines = lines.select(F.substring(F.col("value"), F.lit(1), at - 1).cast("bigint").alias(PAGE_COL), body.alias("body"), *more)
-    rest = [c for c in lines.columns if c not in (PAGE_COL, "body")]
-    return lines.select(PAGE_COL, *rest, F.when(F.ltrim("body").startswith("["), F.from_json("body", T.ArrayType(schema)))
-                        .otherwise(F.from_json("body", env)["data"]).alias("data"))
+    number = F.substring(F.col("value"), F.lit(1), at - 1).cast("bigint")
+    return parse_pages(lines.select(number.alias(PAGE_COL), body.alias("body"), *more), schema)
 
 
-def read_pages(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """Read landed pages (envelope or bare list), stop at the first empty page."""
-    rows = split_pages(spark.read.schema(LANDED).text(root), schema)
+def records(pages: DataFrame) -> DataFrame:
+    """The records of pages (page number, data) in front of the first empty page."""
     # the first empty page ends the table (one scalar, computed once)
-    end = rows.where(F.size("data") == 0).agg(F.min(PAGE_COL)).first()[0]
+    end = pages.where(F.size("data") == 0).agg(F.min(PAGE_COL)).first()[0]
     if end is not None:
-        rows = rows.where(F.col(PAGE_COL) < end)
-    return rows.select(PAGE_COL, F.explode("data").alias("r")).select(PAGE_COL, "r.*")
+        pages = pages.where(F.col(PAGE_COL) < end)
+    return pages.select(PAGE_COL, F.explode("data").alias("r")).select(PAGE_COL, "r.*")
+
+
+def read_pages(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """Read landed pages (envelope or bare list), stop at the first empty page."""
+    return records(split_pages(spark.read.schema(LANDED).text(root), schema))
+
+
+def read_source_pages(spark: SparkSession, root: str, schema: T.StructType, first: int = 0, until: int | None = None) -> DataFrame:
+    """S1/S8 through the ``paged`` data source: a range of pages, whose other folders are not opened."""
+    return records(parse_pages(scan_pages(spark, root, first, until), schema, BODY_COL))
 
 
 def rename_fields(df: DataFrame, mapping: dict[str, str], fallbacks: dict | None = None,

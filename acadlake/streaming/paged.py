@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from acadlake.session import cut_lineage
-from acadlake.sources.landing import LANDED, PAGE_COL, PAGES_PER_FILE, RANGE_COL, split_pages
+from acadlake.sources.landing import LANDED, PAGE_COL, PAGES_PER_FILE, RANGE_COL, parse_pages, split_pages
+from acadlake.sources.paged_source import BODY_COL, PAGES_PER_BATCH, stream_pages
 from acadlake.tables.generations import Conflict, Generations
 from acadlake.tables.keyed import KeyedTable
 
@@ -133,6 +134,27 @@ class PagedLoad:
             query.awaitTermination()
         return len([p for p in query.recentProgress if p.get("numInputRows", 0) > 0])
 
+    def run_in_order(self, pages_per_batch: int = PAGES_PER_BATCH) -> int:
+        """T1 through the ``paged`` data source: pages in order, ``pages_per_batch`` a batch at most, up to the first one
+        that has not landed.  Offsets are page numbers; returns the number of batches run.
+
+        A load keeps to one way of reading: its progress is not that of ``run``."""
+        place = f"{self.checkpoint}/{self._folder()}"
+        pages = stream_pages(self.spark, self.landing, f"{place}-posicao", pages_per_batch)
+        ran = []
+
+        def batch(df: DataFrame, number: int) -> None:
+            if not df.isEmpty():                # page 0 has not landed
+                self._process(parse_pages(df, self.schema, BODY_COL))
+                ran.append(number)
+
+        query = pages.writeStream.foreachBatch(batch).option("checkpointLocation", f"{place}-paginas").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return len(ran)
+
     # ------------------------------------------------------------------ T2
     def run_pages(self, count: int) -> int:
         """Bounded increment in batch mode: the next ``count`` pages after the stored state.
