@@ -52,6 +52,42 @@ def test_products_beyond_a_long_saturate(spark):
     assert got == [(1, most), (3, most), (4, most), (2, -most - 1)]
 
 
+@pytest.mark.parametrize("nodes", [1, 3, 4, 7])
+def test_any_number_of_nodes_gives_the_same(spark, nodes):
+    rng = random.Random(nodes)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(rng.choice([7, 7, 7, 2, 1]))]) for i in range(300)]
+    rows += [(5, [rng.gauss(0, 2) for _ in range(7)]) for _ in range(100)]              # one id on many vectors
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 10 == 0, nodes=nodes).collect()}
+    assert got == plain(rows, lambda i: i % 10 == 0)
+
+
+def test_phases_leave_most_pairs_out_and_look_some_up(spark, monkeypatch):
+    """Fewer entries than pairs are sent, fewer still are looked up, and the last phase has work."""
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(16)]) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    looked, lookup, sent, cut = [], topk._scored, [], topk.cut_lineage
+
+    def scored(pairs, *more):
+        looked.append(pairs.count())
+        return lookup(pairs, *more)
+
+    def counted(frame, label):
+        out = cut(frame, label)
+        if label == "topk-entries":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(topk, "_scored", scored)
+    monkeypatch.setattr(topk, "cut_lineage", counted)
+    got = {tuple(r) for r in topk.top_k(df, F.col("vec_id") % 100 == 0).collect()}
+    assert got == plain(rows, lambda i: i % 100 == 0)
+    pairs = 40 * 4000
+    first, last = looked
+    assert first <= 40 * 2 * 11 and 0 < last < sent[0] < pairs / 5
+
+
 def test_query_against_sql_and_empty(spark, small, folder):
     assert compare("op3", topk.op3_topk_search(spark, small), topk.ORACLE, duck_con(small))
     assert topk.op3_topk_search(spark, folder()).count() == 0
