@@ -4,8 +4,8 @@ Equal vectors are one object.  Every vector is cut into component groups; a node
 holds, for each query, the partial product of that group with every object.  A task holds a block of a node's rows and
 of the queries, and computes their partial products as one matrix product.
 
-1. Every node sends the k + 1 highest entries of its list for each query.  The exact scores of these few objects are
-   looked up; the k-th highest of them is a lower bound t of the k-th best score.
+1. Every node gathers a short list of its highest entries for each query, k + 1 from each of its blocks.  The exact
+   scores of these few objects are looked up; the k-th highest of them is a lower bound t of the k-th best score.
 2. Each of the m nodes gets the same share of it, t / m, and sends every entry that reaches the share: an object below
    it in all nodes scores less than t, so no answer is lost.
 3. Objects that came from all nodes have their score; the k-th highest of these is a better bound.  Others miss only
@@ -35,6 +35,7 @@ ROW_BLOCK = 4096
 QUERY_BLOCK = 2048
 QUERY_STEP = 128         # queries whose scores against a row block are held at once
 NODES = 2                # component groups a vector is cut into
+LISTED = 4               # a node's list holds LISTED * (k + 1) entries of a query; longer lists give a better first bound
 EXACT = float(2 ** 53)   # doubles hold all integers up to here
 
 
@@ -195,7 +196,7 @@ def top_k(df: DataFrame, is_query: Column, k: int = TOP, id_col: str = "vec_id",
     local = _node_lists(left, right, _entries(_highest(k + 1)))
     local = local.groupBy("q", "g", "lead").agg(F.max(F.struct("part", "obj")).alias("e"))
     high = W.partitionBy("q", "g").orderBy(F.col("e.part").desc(), "lead")
-    local = local.withColumn("k", F.row_number().over(high)).filter(F.col("k") <= k + 1)
+    local = local.withColumn("k", F.row_number().over(high)).filter(F.col("k") <= LISTED * (k + 1))
     local = local.select("q", "e.obj", "lead", F.col("e.part").alias("score"))
     first = local if nodes == 1 else _scored(local.select("q", "obj").distinct(), queries, objects)
     cutoff = _kth(first, queries, k).withColumnRenamed("bound", "cutoff")

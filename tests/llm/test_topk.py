@@ -85,7 +85,7 @@ def test_phases_leave_most_pairs_out_and_look_some_up(spark, monkeypatch):
     assert got == plain(rows, lambda i: i % 100 == 0)
     pairs = 40 * 4000
     first, last = looked
-    assert first <= 40 * 2 * 11 and 0 < last < sent[0] < pairs / 5
+    assert first <= 40 * 2 * topk.LISTED * 11 and 0 < last < sent[0] < pairs / 5
 
 
 def test_query_against_sql_and_empty(spark, small, folder):
