@@ -144,3 +144,25 @@ def test_classes_grow_with_the_data(spark):
     small, large = (Domain(spark, f"/root/testdata/{s}", stored_mirrors=False) for s in ("sf0.001", "sf0.01"))
     for view in ("class", "subject", "grid"):
         assert large.view(view).count() > 5 * small.view(view).count(), view
+
+
+def test_mirror_source_is_computed_once_and_keys_are_not_shuffled(spark):
+    """The layout counts rows by bucket: its shuffle is as small as the number of buckets; the source's join runs once."""
+    from pyspark.sql import functions as F
+    from acadlake.sources import mirror
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for r in rows:
+            seen.add(len(r))
+            yield r
+
+    keys = mirror.LAYOUT["enrol"]
+    df = spark.range(4000).select((F.col("id") % 1000).alias("ano"), F.lit(1).cast("bigint").alias("semestre"),
+                                  F.lit("T01").alias("turma"), F.lit("D").alias("disciplina"), "id")
+    n, hot = mirror.layout(df, keys, 8)
+    assert (n, hot) == (8, False)
+    once = df.mapInPandas(count, df.schema)
+    held = mirror.store(spark, "enrol", once, "computed-once-fixture")
+    assert seen.value == 4000
+    assert held.count() == 4000 and held.select("id").distinct().count() == 4000
