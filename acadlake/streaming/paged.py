@@ -2,6 +2,8 @@
 
 Landing files (see ``acadlake.sources.landing``) are consumed by a file stream,
 ``files_per_batch`` files of many pages per micro-batch (``maxFilesPerTrigger``),
+more if a run would then need above ``MOST_BATCHES`` batches (each of them rewrites the
+buckets it touches, so many small ones would cost the square of the table),
 with ``trigger(availableNow=True)``; progress lives in the stream checkpoint, so a
 restart resumes after the last committed file and a second run adds nothing.
 
@@ -38,6 +40,7 @@ from acadlake.tables.keyed import KeyedTable
 
 EMPTY_COL = "pagina_vazia"
 DIGEST_COL = "impressao"
+MOST_BATCHES = 8
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -119,11 +122,16 @@ class PagedLoad:
         table.delete(behind, {"pagina": top.p, "chave": top.k})
 
     # ------------------------------------------------------------------ T1 / T3
+    def _batch_files(self) -> int:
+        """Files of a micro-batch: at least ``files_per_batch``, and all landed files are ``MOST_BATCHES`` batches at most."""
+        landed = len(self.spark.read.schema(LANDED).text(self.landing).inputFiles())
+        return max(self.files_per_batch, -(-landed // MOST_BATCHES))
+
     def run(self, reset: bool = False) -> int:
         """Consume every landed file not yet committed; returns the number of batches run."""
         if reset:
             self.reset()
-        lines = (self.spark.readStream.format("text").option("maxFilesPerTrigger", self.files_per_batch)
+        lines = (self.spark.readStream.format("text").option("maxFilesPerTrigger", self._batch_files())
                  .schema(LANDED).load(self.landing))
         digested = split_pages(lines, self.schema, F.sha2("value", 256).alias(DIGEST_COL))
         fresh = digested.dropDuplicates([PAGE_COL, DIGEST_COL])

@@ -342,3 +342,17 @@ def test_k4_load_sheet_layout(spark):
     assert got == ["Tipo de Carga:;Incremental", "Escopo da Carga:;Instituicao", "Limite do Escopo:;",
                    "Conteúdo da Carga:;IMP-001 - Cursos", "",
                    "codigoCurso;nomeCurso;quantPeriodos;codigoUnidadeOrganizacional", "006;ENG;5;"]
+
+
+def test_t1_backlog_is_read_in_few_batches(spark):
+    """A run over many files rewrites the table a bounded number of times, however many files landed."""
+    from pyspark.sql import types as T
+    from acadlake.streaming.paged import MOST_BATCHES
+    schema = T.StructType([T.StructField("eventId", T.LongType())])
+    root, rows = scratch_path(spark, "backlog"), 20 * L.PAGES_PER_FILE
+    L.land_pages(spark.range(rows).select(F.col("id").alias("eventId")), root, [F.col("eventId").asc()], 1)
+    load = PagedLoad(spark, root, scratch_path(spark, "bl-target"), scratch_path(spark, "bl-ckpt"), schema, "eventId",
+                     files_per_batch=1)
+    assert 1 < load.run() <= MOST_BATCHES
+    assert load.result().agg(F.count("*"), F.countDistinct("eventId")).first() == (rows, rows)
+    assert load.run() == 0
