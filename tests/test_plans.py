@@ -166,3 +166,22 @@ def test_mirror_source_is_computed_once_and_keys_are_not_shuffled(spark):
     held = mirror.store(spark, "enrol", once, "computed-once-fixture")
     assert seen.value == 4000
     assert held.count() == 4000 and held.select("id").distinct().count() == 4000
+
+
+def test_members_of_codes_are_joined_without_shuffling_the_pairs(spark):
+    """imp_008: subjects times members pairs come out once each, and what is shuffled is the two sides."""
+    import re
+    from acadlake.plans import products as P
+    codes = spark.createDataFrame([(c, k) for c in ("A", "B", "C") for k in ("1", "2")] + [("A", "1"), ("D", "3"), ("E", None), ("F", "9")],
+                                  "codigoDisciplina string, curso string")
+    members = spark.createDataFrame([("1", "x"), ("2", "x"), ("2", "y"), ("3", "z"), ("4", "w"), (None, "v")],
+                                    "curso string, emailUsuario string")
+    taught = spark.createDataFrame([("A", "x"), ("A", "t"), ("D", "x"), ("F", "z"), ("Q", "w"), ("E", "v")],
+                                   "codigoDisciplina string, emailUsuario string")
+    out = P._codes_by_members(codes, members, taught)
+    given = {(c, m) for c, k in {tuple(r) for r in codes.collect()} for k2, m in {tuple(r) for r in members.collect()} if k == k2 and k}
+    rows = [tuple(r) for r in out.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == given | {tuple(r) for r in taught.collect()}
+    text = plan_text(out)
+    # no aggregate and no exchange above the join of the two sides
+    assert not re.search(r"HashAggregate|Exchange", text[:text.index("Join")])
