@@ -39,13 +39,13 @@ from __future__ import annotations
 import heapq
 import zlib
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import islice, repeat
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acadlake.llm.common import crc_mod, small_batches, table
-from acadlake.llm.words import utf8, word_blocks
+from acadlake.llm.words import BLOCK as WORDS, split_words, utf8, word_blocks
 from acadlake.session import cut_lineage
 
 TOP_WORDS = 1 << 17
@@ -60,9 +60,12 @@ LEAST_BLOCK, BLOCK = 64, 1024    # decisions that are scored with the same weigh
 END, ESCAPE, FIRST = 0, 1, 2
 GATES = 64
 GROUP = 1 << 18          # bytes of texts that are scored together
+LOOKED = 1 << 22         # bytes of texts whose words are looked up together
+TOKENS = 1 << 12         # tokens whose decisions are found together
+HELD_WORDS = 1_000_000   # counts of words (of some texts each) that a task holds before it adds them up
 HELD = 1 << 23           # symbols that a task holds before it counts them
 BUCKET_TOKENS = 1 << 21  # training tokens for each bucket of counted contexts
-ROW_KEYS = 1 << 17       # counted contexts in one row
+ROW_KEYS = 1 << 16       # counted contexts in one row
 SPELLED = 1 << 60        # marks the contexts of a spelled byte
 BYTES = 256
 BLANK = 32               # ends a spelled word
@@ -107,13 +110,18 @@ class Coder:
         self._ready = False
 
     def __getstate__(self):
-        return self.__dict__ | {"_ready": False, "index": None, "classes": None}
+        return self.__dict__ | {"_ready": False, "index": None, "known": None, "classes": None, "paths": None}
 
     def ready(self) -> "Coder":
         import numpy as np
 
         if not self._ready:
+            import pyarrow as pa
+
             self.index = {w: i for i, (w, _) in enumerate(self.words, FIRST)}
+            self.known = pa.array([w for w, _ in self.words], pa.binary())
+            self.paths = [(nodes << 1 | bits, offsets, lengths)
+                          for nodes, bits, offsets, lengths, _ in (self.tree, self.byte_tree)]
             last = np.array([0, 0] + [w[-1] for w, _ in self.words], np.uint32)
             rank = np.arange(len(last), dtype=np.uint32)
             self.classes = np.where(rank < 256, rank, 256 + last).astype(np.uint32)
@@ -139,8 +147,11 @@ class Coder:
 
     def steps(self, ids, topics, classes):
         """(node, slot 1, slot 2, bit) arrays of tokens after a topic and a class, and each token's decisions."""
-        node, bit, n = _paths(self.tree, ids)
-        return (node, _slot(node, topics, n, 0x9E3779B1), _slot(node, classes, n, 0x85EBCA77), bit), n
+        import numpy as np
+
+        node, bit, n = _paths(self.paths[0], ids)
+        mixed = node.view(np.uint32) * np.uint32(0x2C1B3C6D)
+        return (node, _slot(mixed, topics, n, 0x9E3779B1), _slot(mixed, classes, n, 0x85EBCA77), bit), n
 
     def decisions(self, ids, topic: int, before: int):
         """(node, slot 1, slot 2, bit) arrays, and the topic and class that the next block starts with."""
@@ -151,7 +162,13 @@ class Coder:
         """Bytes of the escaped words, the topic and the two bytes before each, and its word."""
         import numpy as np
 
-        topics = np.concatenate([[topic], _topics(ids, topic)[:-1]])[ids == ESCAPE]
+        return self.spelled_after(np.concatenate([[topic], _topics(ids, topic)[:-1]])[ids == ESCAPE], escaped)
+
+    @staticmethod
+    def spelled_after(topics, escaped: list[bytes]):
+        """The same for escaped words (of any number of texts), each after one of the topics."""
+        import numpy as np
+
         data = np.frombuffer(b" ".join(escaped) + b" ", np.uint8).astype(np.int32)
         word = np.repeat(np.arange(len(escaped)), np.fromiter(map(len, escaped), np.int64, len(escaped)) + 1)
         prev = np.concatenate([[BLANK], data[:-1]])
@@ -162,7 +179,7 @@ class Coder:
         """(node, slot 1, slot 2, bit) arrays of spelled bytes, and each byte's decisions."""
         import numpy as np
 
-        node, bit, n = _paths(self.byte_tree, data)
+        node, bit, n = _paths(self.paths[1], data)
         one = np.repeat((topics * BYTES + prev) * BYTES, n) + node
         two = np.repeat((prev2 * BYTES + prev) * BYTES, n) + node
         return (node, one.astype(np.int32), two.astype(np.int32), bit), n
@@ -175,33 +192,44 @@ class Coder:
         steps, n = self.byte_steps(*symbols)
         return steps, np.repeat(word, n)
 
-    def group(self, texts: list[bytes]):
+    def groups(self, texts: list[bytes]):
+        """Texts in order, some at a time, and what ``laid`` gives for them (None for a text that is too long and alone)."""
+        for many in _groups(texts, LOOKED):
+            plain, ends, words = self._looked_up([t if len(t) <= GROUP else b"" for t in many])
+            at = 0
+            for group in _groups(many, GROUP):
+                cut = ends[at:at + len(group) + 1]
+                at += len(group)
+                yield group, (None if len(group[0]) > GROUP else self.laid(plain[cut[0]:cut[-1]], cut - cut[0],
+                                                                          words.slice(cut[0], cut[-1] - cut[0])))
+
+    def _looked_up(self, texts: list[bytes]):
+        """Ids of the words of texts one after another, the place of each text's first word (and the end), the words."""
+        import numpy as np
+        import pyarrow.compute as pc
+
+        words, ends = split_words(texts)
+        ids = pc.fill_null(pc.index_in(words, self.known), ESCAPE - FIRST).to_numpy() + np.int32(FIRST)
+        return ids, ends, words
+
+    def laid(self, plain, ends, words):
         """Ids of the tokens of whole texts one after another, the place of each text's first token (and the end),
-        topic and class before each token, and the escaped words of each text."""
+        topic and class before each token, the escaped words, and the place of each text's first one (and the end)."""
         import numpy as np
 
-        words, ends = [], np.zeros(len(texts) + 1, np.int64)
-        for i, text in enumerate(texts, 1):
-            words += text.lower().split()
-            ends[i] = len(words)
-        plain = np.fromiter(map(self.index.get, words, repeat(ESCAPE)), np.int32, len(words))
         at = np.flatnonzero(plain == ESCAPE)
-        cut = np.searchsorted(at, ends).tolist()
-        at = at.tolist()
-        escaped = [[words[i] for i in at[a:b]] for a, b in zip(cut, cut[1:])]
+        escaped = words.take(at).to_pylist()
         ids = np.insert(plain, ends[1:], END)
         starts = ends + np.arange(len(ends))
         first = np.repeat(starts[:-1], np.diff(starts))
-        topics = np.zeros(len(ids), np.int64)
+        seen = np.maximum.accumulate(np.where((ids >= FIRST) & (ids < FIRST + TOPICS), np.arange(len(ids)), -1))
+        seen[1:] = seen[:-1]
+        seen[0] = -1
+        topics = np.where(seen >= first, ids[seen], 0)
         classes = np.zeros(len(ids), np.uint32)
-        if len(ids):
-            seen = np.maximum.accumulate(np.where((ids >= FIRST) & (ids < FIRST + TOPICS), np.arange(len(ids)), -1))
-            seen[1:] = seen[:-1]
-            seen[0] = -1
-            topics = np.where(seen >= first, ids[seen], 0)
-            classes[1:] = self.classes[ids[:-1]]
-            classes[starts[:-1]] = 0
-        return ids, starts, topics, classes, escaped
+        classes[1:] = self.classes[ids[:-1]]
+        classes[starts[:-1]] = 0
+        return ids, starts, topics, classes, escaped, np.searchsorted(at, ends)
 
 
 def _topics(ids, topic: int):
@@ -213,23 +241,24 @@ def _topics(ids, topic: int):
     return np.where(seen >= 0, ids[seen], topic)
 
 
-def _paths(tree, ids):
+def _paths(paths, ids):
     """Concatenated code paths of the symbols: nodes, bits, and the number of steps of each symbol."""
     import numpy as np
 
-    nodes, bits, offsets, lengths, _ = tree
+    steps, offsets, lengths = paths
     n = lengths[ids]
     at = np.repeat(offsets[ids] - (np.cumsum(n, dtype=np.int32) - n), n)
     at += np.arange(len(at), dtype=np.int32)
-    return nodes[at], bits[at], n
+    steps = steps[at]
+    return steps >> 1, (steps & 1).astype(np.int8), n
 
 
-def _slot(node, context, n, seed: int):
-    """Hash of each node and the context of its symbol, which has ``n`` nodes."""
+def _slot(mixed, context, n, seed: int):
+    """Hash of each (multiplied) node and the context of its symbol, which has ``n`` nodes."""
     import numpy as np
 
     h = np.repeat((context.astype(np.uint32) + np.uint32(1)) * np.uint32(seed), n)
-    h += node.astype(np.uint32) * np.uint32(0x2C1B3C6D)
+    h += mixed
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x297A2D39)
     h >>= np.uint32(32 - (SLOTS.bit_length() - 1))
@@ -269,24 +298,39 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n) over all texts; tasks add up before the shuffle and hold a bounded number of words."""
 
     def run(batches):
-        from collections import Counter
-
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        def flushed(c):
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())],
-                                              ["word", "n"])
+        held, size = [], 0
 
-        held: Counter = Counter()
-        for batch in batches:
-            for text in utf8(batch.column(0)):
-                for words in word_blocks((text or b"").lower()):
-                    held.update(words)
-                    if len(held) > 500_000:
-                        yield flushed(held)
-                        held = Counter()
+        def counted(words):
+            found = pc.value_counts(words)
+            return pa.table([found.field(0), found.field(1)], ["word", "n"])
+
+        def flushed():
+            total = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            held.clear()
+            yield from total.rename_columns(["word", "n"]).to_batches(1 << 14)
+            del total
+            pa.default_memory_pool().release_unused()
+
+        def parts(batch):
+            texts = [t or b"" for t in utf8(batch.column(0))]
+            yield split_words([t if len(t) <= WORDS else b"" for t in texts])[0]
+            for text in texts:
+                if len(text) > WORDS:
+                    for words in word_blocks(text.lower()):
+                        yield pa.array(words, pa.binary())
+
+        for batch in _merged(batches, 0):
+            for words in parts(batch):
+                held.append(counted(words))
+                size += len(held[-1])
+                if size > HELD_WORDS:
+                    yield from flushed()
+                    size = 0
         if held:
-            yield flushed(held)
+            yield from flushed()
 
     return docs.select("text").mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -479,47 +523,46 @@ def context_counts(docs: DataFrame, coder: Coder, tokens: int) -> DataFrame:
         own, wait, waiting = held.value.ready(), [], 0
 
         def flushed():
-            keys, counts = np.unique(np.concatenate(wait), return_counts=True)
+            keys = np.concatenate(wait)
+            wait.clear()
+            keys.sort()
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            counts = np.diff(first, append=len(keys))
+            keys = keys[first]
             bucket = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
+            order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order])) + 1
             rows = [(int(bucket[part[0]]), _pack_keys(keys[part], counts[part])) for part in np.split(order, cuts)]
             for at in range(0, len(rows), 64):
                 of, data = zip(*rows[at:at + 64])
                 yield pa.RecordBatch.from_arrays([pa.array(of, pa.int64()), pa.array(data, pa.binary())], ["bucket", "data"])
+            pa.default_memory_pool().release_unused()
 
-        def add(ids, topics, classes, escaped, topic):
+        def add(ids, topics, classes, escaped):
             keys = ids.astype(np.int64) << 17 | topics.astype(np.int64) << 10 | classes.astype(np.int64)
             wait.append(keys)
             if escaped:
-                data, topics, prev, prev2, _ = own.spelled(ids, escaped, topic)
+                data, topics, prev, prev2, _ = own.spelled_after(topics[ids == ESCAPE], escaped)
                 wait.append(SPELLED | data.astype(np.int64) << 23 | topics.astype(np.int64) << 16 | prev << 8 | prev2)
                 return len(keys) + len(data)
             return len(keys)
 
-        for batch in batches:
-            for texts in _groups([t or b"" for t in utf8(batch.column(0))]):
-                if len(texts[0]) > GROUP:
+        for batch in _merged(batches, 0):
+            for texts, laid in own.groups([t or b"" for t in utf8(batch.column(0))]):
+                if laid is None:
                     topic, before = 0, 0
                     for ids, escaped in _token_blocks(own, texts[0]):
-                        topics, classes, next_topic, before = own.contexts(ids, topic, before)
-                        waiting += add(ids, topics, classes, escaped, topic)
-                        topic = next_topic
+                        topics, classes, topic, before = own.contexts(ids, topic, before)
+                        waiting += add(ids, topics, classes, escaped)
                         if waiting > HELD:
                             yield from flushed()
-                            wait, waiting = [], 0
+                            waiting = 0
                 else:
-                    ids, starts, topics, classes, escaped = own.group(texts)
-                    waiting += add(ids, topics, classes, [], 0)
-                    for a, b, words in zip(starts[:-1].tolist(), starts[1:].tolist(), escaped):
-                        if words:
-                            data, topics_, prev, prev2, _ = own.spelled(ids[a:b], words, 0)
-                            wait.append(SPELLED | data.astype(np.int64) << 23 | topics_.astype(np.int64) << 16
-                                        | prev << 8 | prev2)
-                            waiting += len(data)
+                    ids, _, topics, classes, escaped, _ = laid
+                    waiting += add(ids, topics, classes, escaped)
                 if waiting > HELD:
                     yield from flushed()
-                    wait, waiting = [], 0
+                    waiting = 0
         if waiting:
             yield from flushed()
 
@@ -546,7 +589,7 @@ def context_counts(docs: DataFrame, coder: Coder, tokens: int) -> DataFrame:
                     now, keys, counts, more, size = bucket, keys[:0], counts[:0], [], 0
                 more.append(_unpack_keys(data))
                 size += len(more[-1][0])
-                if size > HELD:
+                if size > HELD // 4:        # sums need several arrays of that length at once
                     keys, counts = joined()
                     more, size = [], 0
         keys, counts = joined()
@@ -556,11 +599,27 @@ def context_counts(docs: DataFrame, coder: Coder, tokens: int) -> DataFrame:
     return parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "data binary")
 
 
-def _groups(texts: list[bytes]):
-    """Texts in order, about ``GROUP`` bytes at a time; a longer one stands alone."""
+def _merged(batches, column: int):
+    """Batches put together until their texts have about ``LOOKED`` bytes."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for batch in batches:
+        own = batch.column(column).nbytes
+        if held and size + own > LOOKED:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += own
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _groups(texts: list[bytes], most: int):
+    """Texts in order, about ``most`` bytes at a time; a longer one stands alone."""
     now, size = [], 0
     for text in texts:
-        if now and size + len(text) > GROUP:
+        if now and size + len(text) > most:
             yield now
             now, size = [], 0
         now.append(text)
@@ -593,13 +652,13 @@ def train_tables(counted: DataFrame, coder: Coder) -> Tables:
 
         own = held.value.ready()
         sizes = [own.nodes, SLOTS, SLOTS]
-        sums = [np.zeros(2 * s, np.int64) for s in sizes]
+        sums = [np.zeros(2 * s) for s in sizes]
         few = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * 3      # places and counts of the byte predictors
         for batch in batches:
             for data in utf8(batch.column(0)):
                 ((*slots, bit), times), ((*byte_slots, byte_bit), byte_times) = _counted_steps(own, data)
-                for k, x in enumerate(slots):       # whole numbers, exact in a double below 2^53
-                    sums[k] += np.bincount(2 * x + bit, times, 2 * sizes[k]).astype(np.int64)
+                for k, x in enumerate(slots):       # whole numbers, exact in a double up to 2^53
+                    np.add.at(sums[k], 2 * x.astype(np.intp) + bit, times.astype(np.float64))
                 for k, x in enumerate(byte_slots):
                     places, counts = few[k]
                     few[k] = _added(np.concatenate([places, 2 * x + byte_bit]), np.concatenate([counts, byte_times]))
@@ -665,36 +724,65 @@ def mix_block(tables: Tables, weights, steps, rate: float = RATE / 256, block: i
     return total / 2.302585092994046
 
 
-def mix_many(tables: Tables, weights, steps, starts, rate: float = RATE / 256, block: int = LEAST_BLOCK):
-    """``mix_block`` of many texts at once, each from its own copy of ``weights``: log10 probability of the decisions
-    between two ``starts``.  Block by block, all texts that reach it go through the same array operations."""
+def packed_odds(tables, steps):
+    """Three log-odds for each decision, negative ones against it, and its gate: a byte each."""
     import numpy as np
 
     *slots, bit = steps
+    first, second, third = (np.take(t, s, mode="clip").astype(np.uint32) for t, s in zip(tables, slots))
+    out = first & np.uint32(255)
+    out |= (second & np.uint32(255)) << np.uint32(8)
+    out |= (third & np.uint32(255)) << np.uint32(16)
+    against = (bit ^ 1).astype(np.uint32)       # turns x + 128, from 1 to 255, into 128 - x
+    out ^= against * np.uint32(0xFFFFFF)
+    out += against * np.uint32(0x010101)
+    out ^= np.uint32(0x808080)
+    out |= second >> np.uint32(8) << np.uint32(27)
+    out |= third >> np.uint32(8) << np.uint32(24)
+    return out
+
+
+def mix_many(odds, weights, starts, rate: float = RATE / 256, block: int = LEAST_BLOCK, of=None, costs=None):
+    """``mix_block`` of many texts at once, each from its own copy of ``weights``: log10 probability of the decisions
+    (packed odds) between two ``starts``.  Block by block, all texts that reach it go through the same array operations."""
+    import numpy as np
+
     texts, sizes = len(starts) - 1, np.diff(starts)
-    codes = [np.take(t, s, mode="clip") for t, s in zip(tables.codes, slots)]
-    x = [(c & np.uint16(255)).astype(np.float32) - np.float32(128) for c in codes]
-    gates = (codes[1] >> np.uint16(8) << np.uint16(3) | codes[2] >> np.uint16(8)).astype(np.intp)
-    gates += np.repeat(np.arange(texts) * GATES, sizes)
-    signs = bit * np.float32(2) - np.float32(1)
     own = [np.tile(w, texts) for w in weights]
-    total, at = np.zeros(texts), 0
-    active = np.arange(texts)
-    while len(active := active[sizes[active] > at]):
-        n = np.minimum(sizes[active], at + block) - at
-        places = np.repeat(starts[active] + at - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        gate, sign, *v = (np.take(a, places, mode="clip") for a in (gates, signs, *x))
-        z = np.take(own[0], gate, mode="clip") * v[0]
-        z += np.take(own[1], gate, mode="clip") * v[1]
-        z += np.take(own[2], gate, mode="clip") * v[2]
+    total, at, active = np.zeros(texts), 0, np.arange(texts)
+    while True:
+        more = sizes[active] > at
+        if not more.all():
+            active, own = active[more], [w.reshape(-1, GATES)[more].ravel() for w in own]
+        if not len(active):
+            break
+        first = starts[active] + at
+        n = np.minimum(sizes[active] - at, block)
+        parts = [slice(a, b) for a, b in zip(first.tolist(), (first + n).tolist())]
+        now = np.concatenate([odds[part] for part in parts]).view(np.int8)
+        gate = np.repeat(np.arange(0, GATES * len(active), GATES), n)
+        gate += now[3::4]
+        x = [now[k::4].astype(np.float32) for k in range(3)]
+        z = np.take(own[0], gate, mode="clip")
+        z *= x[0]
+        for k in (1, 2):
+            y = np.take(own[k], gate, mode="clip")
+            y *= x[k]
+            z += y
         np.clip(z, -12, 12, out=z)
-        z *= sign
-        odds = np.exp(-z)                       # against the decision
-        total -= np.bincount(np.repeat(active, n), np.log(1 + odds), texts)
-        error = (sign * (odds / (1 + odds))).astype(np.float64)
-        used = np.sqrt(np.maximum(np.bincount(gate, minlength=texts * GATES), 1))
+        z = np.exp(np.negative(z, out=z), out=z)        # odds against the decision
+        whole = 1 + z
+        z /= whole
+        loss = np.log(whole, out=whole)
+        total[active] -= np.add.reduceat(loss.astype(np.float64), np.cumsum(n) - n)
+        if costs is not None:
+            costs += np.bincount(np.concatenate([of[part] for part in parts]), loss, len(costs)) / 2.302585092994046
+        error = z.astype(np.float64)
+        used = np.sqrt(np.maximum(np.bincount(gate, minlength=len(own[0])), 1))
         for k in range(3):
-            own[k] += (rate * np.bincount(gate, error * v[k], texts * GATES) / used).astype(np.float32)
+            move = x[k].astype(np.float64)
+            move *= error
+            own[k] += (rate * np.bincount(gate, move, len(own[0])) / used).astype(np.float32)
         at, block = at + block, min(BLOCK, 2 * block)
     return total / 2.302585092994046
 
@@ -817,23 +905,45 @@ class Model:
         import numpy as np
 
         coder, at = self.coder.ready(), 0
-        for group in _groups(texts):
+        for group, laid in coder.groups(texts):
             asked = spell[at:at + len(group)]
             at += len(group)
-            if len(group[0]) > GROUP:
+            if laid is None:
                 bits = [] if asked[0] else None
                 yield *self.score(group[0], bits), bits
                 continue
-            ids, starts, topics, classes, escaped = coder.group(group)
-            steps, n = coder.steps(ids, topics, classes)
-            scores = mix_many(self.tables, self.weights, steps, np.concatenate([[0], np.cumsum(n)])[starts])
+            ids, starts, topics, classes, escaped, cuts = laid
+            odds = []
+            for a in range(0, len(ids), TOKENS):    # arrays stay small, so they are found in the cache
+                part = slice(a, a + TOKENS)
+                odds.append(packed_odds(self.tables.codes, coder.steps(ids[part], topics[part], classes[part])[0]))
+            places = np.concatenate([[0], np.cumsum(coder.tree[3][ids], dtype=np.int64)])
+            scores = mix_many(np.concatenate(odds), self.weights, places[starts])
             sure = ids != ESCAPE
             of = np.repeat(np.arange(len(group)), np.diff(starts))[sure]
             base = np.bincount(of, self.base[ids[sure]], len(group))
             known = np.bincount(of, minlength=len(group)) - (not self.known_end)
-            for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist())):
-                bits = self._spell(self.spelling_weights.copy(), ids[a:b], escaped[i], 0) if asked[i] else None
-                yield float(scores[i]), b - a, int(known[i]), float(base[i]), escaped[i], bits
+            bits = self._spell_many(topics[~sure], escaped, cuts, asked)
+            cuts = cuts.tolist()
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                yield (float(scores[i]), int(starts[i + 1] - starts[i]), int(known[i]), float(base[i]), escaped[a:b], bits[i])
+
+    def _spell_many(self, topics, escaped: list[bytes], cuts, asked: list[bool]) -> list[list[float] | None]:
+        """``_spell`` for those of many texts that are asked for (None for the others); a text's words are between two
+        ``cuts``."""
+        import numpy as np
+
+        sizes = np.diff(cuts) * np.array(asked)
+        of_asked = np.repeat(np.array(asked), np.diff(cuts))
+        costs = np.zeros(int(sizes.sum()))
+        if len(costs):
+            *symbols, word = self.coder.spelled_after(topics[of_asked], [escaped[i] for i in np.flatnonzero(of_asked).tolist()])
+            steps, n = self.coder.byte_steps(*symbols)
+            of = np.repeat(word, n)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            mix_many(packed_odds(self.tables.spelling, steps), self.spelling_weights, np.searchsorted(of, ends), of=of, costs=costs)
+        bits = iter((costs / 0.30102999566398120).tolist())
+        return [list(islice(bits, k)) if a else None for k, a in zip(sizes.tolist(), asked)]
 
 
 def score_rows(docs: DataFrame, model: Model, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -852,7 +962,7 @@ def score_rows(docs: DataFrame, model: Model, learn: Column, id_col: str = "doc_
         from pyspark import TaskContext
 
         own, row = held.value, TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in _merged(batches, 1):
             texts = [t or b"" for t in utf8(batch.column(1))]
             spell = [not of_training for of_training in batch.column(2).to_pylist()]
             order = sorted(range(len(texts)), key=lambda i: len(texts[i]))     # a group's texts end at about one block

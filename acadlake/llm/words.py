@@ -22,6 +22,20 @@ def word_blocks(text: bytes, block: int = BLOCK) -> Iterator[list[bytes]]:
         at = end
 
 
+def split_words(texts: list[bytes]):
+    """The lower-cased words of texts one after another (Arrow), and the place of each text's first word (and the end)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    # the parts before and after a text's outer white space are empty
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.binary()).view(pa.utf8())))
+    ends, words = parts.offsets.to_numpy(), parts.values.view(pa.binary())
+    filled = pc.not_equal(pc.binary_length(words), 0)
+    ends = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False), dtype=np.int64)])[ends]
+    return words.filter(filled), ends
+
+
 def utf8(column) -> list:
     """The values of an Arrow text column as UTF-8 bytes (None for null)."""
     import pyarrow as pa

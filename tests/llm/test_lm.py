@@ -307,3 +307,36 @@ def test_contexts_and_tables_equal_plain_counts(spark, monkeypatch):
         odds = np.clip(np.rint(16 * np.log((c[:, 1] + 0.4) / (c[:, 0] + 0.4))), -127, 127).astype(int) + 128
         sure = np.minimum(7, np.log2(c.sum(1) + 1) / 1.5).astype(int)
         assert (codes[:len(c)] == odds + 256 * sure).all()
+
+
+def test_words_of_many_texts_are_split_like_each_text():
+    from acadlake.llm.words import split_words
+    texts = [b"", b" \n", b"Ab\x0bcD\x0c e\r\n", b"\x00 \x1c\x1f x\xc2\xa0y \xc3\x84\xc3\xa4", b"\xff\xfe A", b"one"]
+    for some in (texts, texts[:2], []):
+        words, ends = split_words(some)
+        assert [words.to_pylist()[a:b] for a, b in zip(ends, ends[1:])] == [t.lower().split() for t in some]
+
+
+def test_word_counts_do_not_depend_on_what_a_task_holds(spark, monkeypatch):
+    texts = [t.decode() for t in some_texts(80, 9)] + [None, "W3 " * 50 + "Long" * 30]
+    want = Counter(w for t in texts for w in (t or "").encode().lower().split())
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for held, long, looked in ((1_000_000, 1 << 20, 1 << 22), (40, 100, 300)):      # with few most texts are long ones
+        monkeypatch.setattr(lm, "HELD_WORDS", held)
+        monkeypatch.setattr(lm, "WORDS", long)
+        monkeypatch.setattr(lm, "LOOKED", looked)
+        got = lm.word_counts(df.repartition(2)).collect()
+        assert len(got) == len(want) and {bytes(r.word): r.n for r in got} == want
+
+
+def test_packed_odds_are_those_for_the_decision():
+    import numpy as np
+    rng = np.random.default_rng(4)
+    tables = [(rng.integers(1, 256, 500) | rng.integers(0, 8, 500) << 8).astype(np.uint16) for _ in range(3)]
+    tables[0][:2] = 1, 255
+    steps = *(np.concatenate([[0, 1, 0, 1], rng.integers(0, 500, 300)]) for _ in range(3)), np.arange(304) % 4 // 2
+    odds = lm.packed_odds(tables, steps).view(np.int8).reshape(-1, 4)
+    codes = [t[s].astype(int) for t, s in zip(tables, steps)]
+    for k, c in enumerate(codes):
+        assert (odds[:, k] == ((c & 255) - 128) * (2 * steps[3] - 1)).all()
+    assert (odds[:, 3] == (codes[1] >> 8) * 8 + (codes[2] >> 8)).all()
