@@ -185,3 +185,50 @@ def test_members_of_codes_are_joined_without_shuffling_the_pairs(spark):
     text = plan_text(out)
     # no aggregate and no exchange above the join of the two sides
     assert not re.search(r"HashAggregate|Exchange", text[:text.index("Join")])
+
+
+def test_derived_mirror_takes_over_its_parents_buckets(spark, monkeypatch):
+    """Classes and exams are not counted or shuffled again: their rows come bucket by bucket from the mirror they are made of."""
+    from pyspark.sql import functions as F
+    from acadlake.sources import mirror
+    keys = mirror.LAYOUT["enrol"]
+    df = spark.range(4000).select((F.col("id") % 1000).alias("ano"), F.lit(1).cast("bigint").alias("semestre"),
+                                  F.lit("T01").alias("turma"), F.lit("D").alias("disciplina"), "id")
+    enrol = mirror.store(spark, "enrol", df, "derived-fixture")
+    monkeypatch.setattr(mirror, "layout", lambda *a: pytest.fail("counted again"))
+    classes = mirror.store(spark, "class", enrol.groupBy(*keys).agg(F.min("id").alias("id")), "derived-fixture")
+    exams = mirror.store(spark, "exam", classes.unionByName(classes).unionByName(classes), "derived-fixture")
+    assert (classes.count(), exams.count()) == (1000, 3000)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = exams.join(classes.withColumnRenamed("id", "c"), keys)
+        assert "Exchange" not in plan_text(joined) and joined.where("id = c").count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_products_are_built_once_and_students_read_the_stored_offerings(spark, sf, monkeypatch):
+    from acadlake.plans import load_tables as LT
+    from acadlake.plans import products as P
+    from acadlake.views import Domain
+    built, offerings = [], LT.BUILDERS[LT.OFFERINGS]
+    monkeypatch.setitem(LT.BUILDERS, LT.OFFERINGS, lambda d: built.append(1) or offerings(d))
+    monkeypatch.setattr(P, "load_student_offerings", lambda *a: pytest.fail("built again"))
+    d = Domain(spark, sf)
+    forms = LT.produced_forms(d)
+    assert list(forms) == [t for t, _, _ in LT.PRODUCED] and built == [1]
+    assert forms[LT.STUDENTS].count() > 0 and LT.produced_forms(d)[LT.STUDENTS] is forms[LT.STUDENTS]
+
+
+def test_values_of_a_key_are_joined_by_sets_of_values(spark):
+    """150 values (three numbers of 64 bits) and facts that repeat; the join has a row for a fact and 64 values."""
+    from pyspark.sql import functions as F
+    from acadlake.operators import relational as J
+    links = [(f"s{i % 7}", f"c{i:03}") for i in range(150)] + [("s1", "c001"), ("s9", "c200"), (None, "c201")]
+    facts = [(k, f"s{(k * 3 + j) % 11}") for k in range(5) for j in range(4)] * 2 + [(None, "s1"), (9, None)]
+    f, g = spark.createDataFrame(facts, "k int, s string"), spark.createDataFrame(links, "s string, c string")
+    want = {(k, c) for k, s in facts for s2, c in links if s is not None and s == s2}
+    got = [tuple(r) for r in J.linked_values(f, g, "k", "s", "c").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert "bit_or" in plan_text(J.linked_values(f, g, "k", "s", "c"))
