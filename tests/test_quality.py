@@ -63,3 +63,14 @@ def test_exact_profile_copies_no_row(spark):
     assert tuple(out.first()) == (1000, 7, 11, 500, 571, 10)
     assert "Expand" not in out._jdf.queryExecution().toString()
     assert tuple(A.profile(df.limit(0), ["a"], max_col="b").first()) == (0, 0, None)
+
+
+def test_row_checks_make_messages_for_broken_rows_only(spark):
+    from acadlake.operators import contracts as C
+    from test_plans import plan_text
+    contract = C.Contract("t", (C._f("a", "CHAR(3)", True), C._f("b", "CHAR(2)", False)), ("a",))
+    df = spark.createDataFrame([("x", "y"), ("", "y"), ("　 ", None), (None, "yyy"), ("abcd", "yyy"), ("　x", "y")], "a string, b string")
+    assert [(r.a, r.violacoes) for r in C.row_rejects(df, contract).collect()] == [
+        ("", ["a:obrigatorio"]), ("　 ", ["a:obrigatorio"]), (None, ["a:obrigatorio", "b:CHAR(2)"]), ("abcd", ["a:CHAR(3)", "b:CHAR(2)"])]
+    kept = [x for x in plan_text(C.row_rejects(df, contract)).splitlines() if x.startswith("Condition")]
+    assert kept and not any("filter(array" in x for x in kept)      # the rows are chosen without their lists
