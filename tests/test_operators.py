@@ -356,3 +356,16 @@ def test_t1_backlog_is_read_in_few_batches(spark):
     assert 1 < load.run() <= MOST_BATCHES
     assert load.result().agg(F.count("*"), F.countDistinct("eventId")).first() == (rows, rows)
     assert load.run() == 0
+
+
+def test_deactivated_keys_are_grouped_once(spark):
+    from acadlake.operators import maintenance as M
+    from test_plans import plan_text
+    system = spark.createDataFrame([("a", None), ("a", None), ("b", "x"), (None, "x"), ("c", "y"), ("d", "z")], "k string, p string")
+    load = spark.createDataFrame([("a", None), (None, "x"), ("c", "q"), ("d", "z"), ("e", "w")], "k string, p string")
+    gone = M.deactivation_keys(system, load, ["k", "p"], null_safe=("p",))
+    assert sorted(map(tuple, gone.collect()), key=repr) == [("b", "x"), ("c", "y"), (None, "x")]
+    assert sorted(map(tuple, M.deactivation_keys(system, load, ["k", "p"]).collect()), key=repr) == [
+        ("a", None), ("b", "x"), ("c", "y"), (None, "x")]
+    text = plan_text(M.deactivation_keys(system, load, ["k", "p"], null_safe=("p",)))
+    assert text.count("hashpartitioning") == 1 and "Join" not in text
