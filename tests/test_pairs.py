@@ -91,3 +91,17 @@ def test_stored_product_of_pairs_is_its_sides(spark, sf):
     assert isinstance(form, Pairs) and produced_form(d, "imp_008_usuarios_disciplinas") is form
     from acadlake.plans.products import load_users_subjects
     assert found(produced(d, "imp_008_usuarios_disciplinas")) == found(load_users_subjects(d))
+
+
+def test_pairs_are_made_of_blocks(spark):
+    """A left row is joined with blocks of the right rows of a set, which become rows behind the join."""
+    from acadlake.operators import pairs as PR
+    n = 2 * PR.BLOCK_ROWS + 1
+    left = spark.createDataFrame([("a", ["1"]), ("b", ["1", "2"]), ("c", ["2"]), ("d", ["3"])], "a string, __left array<string>")
+    right = spark.range(n).select(F.col("id").cast("string").alias("b"), F.when(F.col("id") == 7, F.array(F.lit("1"), F.lit("2")))
+                                  .otherwise(F.array(F.lit("1"))).alias("__right"))
+    rows = PR.Pairs(left, right, spark.createDataFrame([], "a string, b string")).rows()
+    assert sorted(map(tuple, rows.groupBy("a").agg(F.count("*"), F.countDistinct("b")).collect())) == [
+        ("a", n, n), ("b", n, n), ("c", 1, 1)]
+    text = plan_text(rows)
+    assert "Generate" in text[:text.index("Join")]
